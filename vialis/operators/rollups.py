@@ -165,22 +165,21 @@ def exclusive_percentiles(df: DataFrame, keys: Sequence[str], value: str, least_
 
     def at_rank(rank: Column) -> Column:
         """The one value whose copies cover the rank."""
-        rank = F.greatest(F.lit(1), F.least(F.col("muestras"), rank))
         return F.max(F.when((F.col("_upto") - F.col("_copies") < rank) & (rank <= F.col("_upto")), F.col(value)))
 
-    # (n + 1) p lies between two ranks; `percent` keeps the split in whole numbers.
-    aggregates = []
+    # (n + 1) p falls on or after rank `low`, by `over` hundredths; the last two
+    # ranks carry everything beyond them.
+    split, aggregates = {}, []
     for name, percent in points.items():
         target = (F.col("muestras") + 1) * percent
-        low = F.floor(target / 100)
+        low = F.least(F.floor(target / 100), F.col("muestras") - 1)
+        split[name] = target - low * 100
         aggregates += [at_rank(low).alias(f"{name}_low"), at_rank(low + 1).alias(f"{name}_high")]
     parts = placed.groupBy(*keys, "muestras").agg(*aggregates)
-    result = {}
-    for name, percent in points.items():
-        share = ((F.col("muestras") + 1) * percent % 100) / 100.0
-        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        result[name] = (low * (1 - share) + high * share).cast("bigint")
-    return parts.select(*keys, *[c.alias(n) for n, c in result.items()], "muestras")
+    return parts.select(*keys, *[
+        ((F.col(f"{name}_low") * (100 - over) + F.col(f"{name}_high") * over) / 100).cast("bigint").alias(name)
+        for name, over in split.items()
+    ], "muestras")
 
 
 def area_ranking(df: DataFrame, area: str, severity: str, dead: str = "Con muertos",

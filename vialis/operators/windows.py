@@ -44,7 +44,7 @@ def latest_before(
     moment: str,
     value: str,
     by: Sequence[str] = (),
-    slice_seconds: int = 3600,
+    slice_seconds: int = 600,
 ) -> DataFrame:
     """Left rows with the newest non-null right ``value`` at or before their ``moment``.
 
