@@ -122,23 +122,24 @@ def series_by_line(snapshots: DataFrame, lines: list[str], line: str, value: str
     ])
 
 
-# Report texts over gold views named like the gold tables.
-REPORTS = {
-    "top_areas": """
-        SELECT comuna, sum(con_muertos) AS total_muertos, sum(con_heridos) AS total_heridos,
-               avg(indice_severidad) AS severidad_media
-        FROM accidentalidad_por_comuna GROUP BY comuna
-        ORDER BY total_muertos DESC, comuna LIMIT 5""",
-    "area_by_year": """
-        SELECT comuna, anio, sum(con_muertos) AS muertos, sum(con_heridos) AS heridos,
-               avg(indice_severidad) AS severidad_media
-        FROM accidentalidad_por_comuna GROUP BY comuna, anio
-        ORDER BY anio, severidad_media DESC, comuna""",
-    "most_severe": """
-        SELECT anio, comuna, incidentes_total, indice_severidad
-        FROM accidentalidad_por_comuna ORDER BY indice_severidad DESC, anio, comuna LIMIT 10""",
-    "most_central": """
-        SELECT nombre, linea, pagerank, ranking FROM red_pagerank ORDER BY ranking LIMIT 10""",
-    "legacy_rows_per_year": """
-        SELECT anio, count(*) AS n FROM incidentes_legado GROUP BY anio ORDER BY anio""",
-}
+def severity_by(severity: DataFrame, *keys: str) -> DataFrame:
+    """Deaths, injuries and mean severity index per area, or per area and year."""
+    return severity.groupBy(*keys).agg(
+        F.sum("con_muertos").alias("muertos"),
+        F.sum("con_heridos").alias("heridos"),
+        F.avg("indice_severidad").alias("severidad_media"),
+    )
+
+
+def most_severe(severity: DataFrame, year: str, area: str, k: int = 10) -> DataFrame:
+    """The area-years with the highest severity index."""
+    order = [F.desc("indice_severidad"), F.asc(year), F.asc(area)]
+    return first_rows(severity, order, k).select(year, area, "incidentes_total", "indice_severidad")
+
+
+def most_central(ranking: DataFrame, k: int = 10) -> DataFrame:
+    return first_rows(ranking, [F.asc("ranking")], k)
+
+
+def rows_per_year(df: DataFrame, year: str = "anio") -> DataFrame:
+    return df.groupBy(year).agg(F.count(F.lit(1)).alias("n"))
