@@ -92,6 +92,14 @@ def correlation(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+def rounded(value: Column, places: int) -> Column:
+    """Half-up rounding of a reported average, the same whatever order its terms were added in.
+
+    Nine decimals are kept first, so the noise of the last bits cannot move a tie.
+    """
+    return F.round(value.cast("decimal(28,9)"), places).cast("double")
+
+
 def percent_from(value: Column, mean: Column) -> Column:
     """Relative deviation from the mean, in percent."""
     return F.try_divide(value, mean) * 100.0 - 100.0

@@ -78,7 +78,7 @@ def legacy_lines(df: DataFrame, moment: str) -> DataFrame:
         {"fecha": day_first_text(at), "ubicacion": pipe_text(F.col("ubicacion"))}
     )
     new = df.filter(F.year(at) >= FIRST_NEW_YEAR).withColumn("fecha", iso)
-    line = lambda fields: F.to_csv(F.struct(*fields)).alias("value")
+    line = lambda fields: F.to_csv(F.struct(*fields), {"escape": '"'}).alias("value")
     return old.select(line(OLD_FIELDS)).unionByName(new.select(line(NEW_FIELDS)))
 
 

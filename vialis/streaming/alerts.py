@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vialis import vocabulary as v
 from vialis.functions.calendar import day_band
-from vialis.functions.measures import air_class, air_class_short_window
+from vialis.functions.measures import air_class, air_class_short_window, rounded
 from vialis.operators.windows import last_known
 
 
@@ -53,7 +53,7 @@ def air_alerts(
         F.avg(value).alias("_avg"), F.count(F.lit(1)).alias("lecturas_en_ventana"),
     ])
     return _bounds(
-        windows.filter(passed), zone, F.round(average, 2).alias("pm25_promedio"), "lecturas_en_ventana",
+        windows.filter(passed), zone, rounded(average, 2).alias("pm25_promedio"), "lecturas_en_ventana",
         F.lit(v.AIR_ALERT).alias("tipo"), classify(average).alias("gravedad"), F.lit(float(limit)).alias("umbral"),
     )
 
@@ -77,7 +77,7 @@ def bike_snapshots(
     low = F.col("bicicletas_min") <= limit
     return _bounds(
         windows, station, *[F.col(f"_last.{c}").alias(c) for c in about], "bicicletas_min",
-        F.round("_avg", 2).alias("bicicletas_avg"), F.col(f"_last.{bikes}").alias("bicicletas_ultimo"), "lecturas",
+        rounded(F.col("_avg"), 2).alias("bicicletas_avg"), F.col(f"_last.{bikes}").alias("bicicletas_ultimo"), "lecturas",
         F.when(low, F.lit(v.BIKE_ALERT)).otherwise(F.lit(v.BIKE_SNAPSHOT)).alias("tipo"),
         F.lit(limit).alias("umbral"),
     )
@@ -102,7 +102,7 @@ def corridor_snapshots(
     per_minute = F.col("intensidad_total") / minutes
     return _bounds(
         marked, corridor, *[F.col(f"_last.{c}").alias(c) for c in about], "intensidad_total",
-        F.round("_avg", 2).alias("intensidad_promedio"), F.round(per_minute, 2).alias("intensidad_por_minuto"),
+        rounded(F.col("_avg"), 2).alias("intensidad_promedio"), rounded(per_minute, 2).alias("intensidad_por_minuto"),
         "lecturas",
         F.when(is_risky & (per_minute >= limit), F.lit(v.CORRIDOR_ALERT)).otherwise(F.lit(v.CORRIDOR_SNAPSHOT)).alias("tipo"),
         is_risky.alias("alta_siniestralidad"), F.lit(limit).alias("umbral_por_minuto"),
@@ -153,7 +153,7 @@ def hybrid_alerts(
         met.filter(ratio < factor), F.col(line).alias("linea"), "franja_horaria",
         F.col("_actual").alias("afluencia_5min_actual"),
         F.col("_expected").cast("bigint").alias("afluencia_5min_referencia"),
-        F.round(ratio, 3).alias("ratio_vs_referencia"), F.lit(percentile).alias("percentil_referencia"),
+        rounded(ratio, 3).alias("ratio_vs_referencia"), F.lit(percentile).alias("percentil_referencia"),
         F.col("_rain").alias("lluvia_mm"), F.col("_pm25").alias("pm25_red"),
         F.lit(v.HYBRID_ALERT).alias("tipo"), F.lit(v.HYBRID_HYPOTHESIS).alias("hipotesis"),
         F.lit(factor).alias("factor_umbral"),

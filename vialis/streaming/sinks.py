@@ -63,9 +63,12 @@ def write_once(
     df: DataFrame, path: str, keys: Sequence[str], moment: str, checkpoint: str, every: str | None = TRIGGER
 ) -> StreamingQuery:
     """Stream into the insert-once sink; a replayed batch or a fresh checkpoint adds no row twice."""
-    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, _: insert_absent(batch, path, keys, moment)
-    )
+    def insert(batch: DataFrame, _: int) -> None:
+        batch.persist()
+        insert_absent(batch, path, keys, moment)
+        batch.unpersist()
+
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(insert)
     return _paced(writer, every).start()
 
 
