@@ -46,3 +46,8 @@ def sql_corr(x: str, y: str) -> str:
     keep = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
     return (f"CASE WHEN stddev_pop({x}) {keep} * stddev_pop({y}) {keep} = 0 THEN NULL "
             f"ELSE covar_pop({x}, {y}) / (stddev_pop({x}) {keep} * stddev_pop({y}) {keep}) END")
+
+
+def sql_day_text(query: str, day: str = "fecha") -> str:
+    """The query with its date as ISO text."""
+    return f"SELECT * REPLACE (CAST({day} AS VARCHAR) AS {day}) FROM ({query})"
