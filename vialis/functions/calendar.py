@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 
 from vialis import vocabulary as v
 
-# Accepted day formats, tried in this order.
-DAY_FORMATS = ("dd.MM.yyyy", "yyyy-MM-dd", "dd/MM/yyyy")
-# Leading part of a legacy date and how Spark reads it.
-ISO_SECONDS = (r"^\s*(\d{4}-\d{2}-\d{2})T(\d{2}:\d{2}:\d{2})", "yyyy-MM-dd HH:mm:ss")
-DAY_FIRST_SECONDS = (r"^\s*(\d{2}/\d{2}/\d{4})\s+(\d{2}:\d{2}:\d{2})", "dd/MM/yyyy HH:mm:ss")
+# Accepted texts, and how their parts give year-month-day order.
+DAY_TEXTS = (
+    (r"^\s*(\d{1,2})\.(\d{1,2})\.(\d{4})\s*$", "$3-$2-$1"),
+    (r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s*$", "$3-$2-$1"),
+    (r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})\s*$", "$1-$2-$3"),
+)
+MOMENT_TEXTS = (
+    (r"^\s*(\d{4})-(\d{2})-(\d{2})T(\d{2}:\d{2}:\d{2}).*$", "$1-$2-$3 $4"),
+    (r"^\s*(\d{2})/(\d{2})/(\d{4})\s+(\d{2}:\d{2}:\d{2}).*$", "$3-$2-$1 $4"),
+)
 LOOKBACK_UNITS = {"min": "mins", "h": "hours", "d": "days"}
 
 
@@ -30,18 +35,26 @@ def is_weekend(day: Column) -> Column:
     return F.dayofweek(day).isin(1, 7).cast("int")
 
 
+def _reordered(text: Column, rules) -> Column:
+    """Text in year-month-day order where a rule fits, else null.
+
+    Rewriting first leaves one plain cast; trying one format after another
+    would raise and catch an error per row and misfit.
+    """
+    ordered = F
+    for pattern, order in rules:
+        ordered = ordered.when(text.rlike(pattern), F.regexp_replace(text, pattern, order))
+    return ordered
+
+
 def parse_day(text: Column) -> Column:
-    """Date from any accepted day format, null when none fits."""
-    return F.coalesce(*[F.try_to_date(F.trim(text), fmt) for fmt in DAY_FORMATS])
+    """Date from ``dd.MM.yyyy``, ``dd/MM/yyyy`` or ``yyyy-MM-dd``, null when none fits."""
+    return _reordered(text, DAY_TEXTS).try_cast("date")
 
 
 def parse_legacy_moment(text: Column) -> Column:
     """Timestamp from ISO-8601 or day-first text, cut to seconds; null when neither fits."""
-    readings = []
-    for pattern, fmt in (ISO_SECONDS, DAY_FIRST_SECONDS):
-        day, clock = (F.regexp_extract(text, pattern, group) for group in (1, 2))
-        readings.append(F.try_to_timestamp(F.concat_ws(" ", day, clock), F.lit(fmt)))
-    return F.coalesce(*readings)
+    return _reordered(text, MOMENT_TEXTS).try_cast("timestamp")
 
 
 def canonical_moment(moment: Column) -> Column:

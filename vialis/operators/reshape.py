@@ -85,21 +85,21 @@ def legacy_lines(df: DataFrame, moment: str) -> DataFrame:
 def read_legacy(lines: DataFrame, value: str = "value") -> DataFrame:
     """Fields of every line with its layout and a ``status`` that says whether it is usable."""
     text = F.col(value)
-    schema = lambda fields: ", ".join(f"{f} string" for f in fields)
-    parsed = lines.filter(F.trim(text) != "").select(
-        field_count(text).alias("_fields"),
-        F.from_csv(text, schema(OLD_FIELDS), {"escape": '"'}).alias("_old"),
-        F.from_csv(text, schema(NEW_FIELDS), {"escape": '"'}).alias("_new"),
-    )
+    slots = [f"f{i}" for i in range(len(NEW_FIELDS))]
+    parsed = F.from_csv(text, ", ".join(f"{s} string" for s in slots), {"escape": '"'})
+    # One generated row per line: the parse runs once, and no later filter is moved before it.
+    rows = lines.filter(F.trim(text) != "").select(
+        F.inline(F.array(F.struct(field_count(text).alias("_fields"), parsed.alias("_f"))))
+    ).select("_fields", "_f.*")
     is_old, is_new = F.col("_fields") == len(OLD_FIELDS), F.col("_fields") == len(NEW_FIELDS)
 
     def field(name: str) -> Column:
-        old = F.col(f"_old.{name}") if name in OLD_FIELDS else F.lit("")
-        chosen = F.when(is_old, old).when(is_new, F.col(f"_new.{name}"))
+        old = F.col(slots[OLD_FIELDS.index(name)]) if name in OLD_FIELDS else F.lit("")
+        chosen = F.when(is_old, old).when(is_new, F.col(slots[NEW_FIELDS.index(name)]))
         return F.coalesce(F.trim(chosen), F.lit("")).alias(name)
 
     layout = F.when(is_old, F.lit(OLD_LAYOUT)).when(is_new, F.lit(NEW_LAYOUT)).alias("layout")
-    rows = parsed.select(layout, *[field(n) for n in NEW_FIELDS])
+    rows = rows.select(layout, *[field(n) for n in NEW_FIELDS])
     place = F.when(
         F.col("layout") == OLD_LAYOUT, F.split("ubicacion", r"\|", 2)
     ).otherwise(F.split(F.regexp_replace("ubicacion", r"[\[\] ]", ""), ",", 2))
@@ -118,7 +118,9 @@ def read_legacy(lines: DataFrame, value: str = "value") -> DataFrame:
         "fecha": canonical_moment(F.col("_at")),
         "anio": F.year("_at"),
         "mes": F.month("_at"),
-    }).select("status", "layout", *CANONICAL)
+    })
+    # Again one generated row, so that a filter on the status reads it and does not repeat the parse.
+    return rows.select(F.inline(F.array(F.struct("status", "layout", *CANONICAL))))
 
 
 def _usable(read: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import defaultdict
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from vialis.functions.text import boundary_kind
 
@@ -55,22 +56,25 @@ def chain(ways: list[list[tuple[float, float]]]) -> list[tuple[float, float]]:
     return ring
 
 
-def _ring_of_group(key: tuple, ways: pd.DataFrame) -> pd.DataFrame:
-    ways = ways.sort_values("seq")
-    ring = chain([list(zip(lons, lats)) for lons, lats in zip(ways["lons"], ways["lats"])])
-    return pd.DataFrame({"relation_id": [key[0]], "role": [key[1]], "ring": [[list(p) for p in ring]]})
+@F.pandas_udf(ArrayType(ArrayType(DoubleType())))
+def _chained(lons: pd.Series, lats: pd.Series) -> pd.Series:
+    return pd.Series([
+        [list(point) for point in chain([list(zip(x, y)) for x, y in zip(*ring)])] for ring in zip(lons, lats)
+    ])
 
 
 def rings_of_relations(members: DataFrame) -> DataFrame:
     """One ring per relation and role from ``relation_id, type, role, seq, lons, lats``.
 
-    A group is the segments of one ring, and the ring is one value of the
-    result, so the work of a group is bounded by a single output row.
+    The segments of one ring meet in one row, as the ring they form does, and
+    are chained in Arrow batches of many rings.
     """
     ways = members.filter((F.col("type") == "way") & F.col("role").isin("outer", "inner"))
-    return ways.select("relation_id", "role", "seq", "lons", "lats").groupBy("relation_id", "role").applyInPandas(
-        _ring_of_group, "relation_id bigint, role string, ring array<array<double>>"
-    ).filter(F.size("ring") >= LEAST_POINTS)
+    gathered = ways.groupBy("relation_id", "role").agg(
+        F.sort_array(F.collect_list(F.struct("seq", "lons", "lats"))).alias("_ways")
+    )
+    chained = gathered.select("relation_id", "role", _chained("_ways.lons", "_ways.lats").alias("ring"))
+    return chained.filter(F.size("ring") >= LEAST_POINTS)
 
 
 def polygon_features(relations: DataFrame, members: DataFrame) -> DataFrame:
