@@ -83,12 +83,15 @@ def append_version(df: DataFrame, table: str, batch: int, operation: str = "appe
     """Write a batch as one version of the table and log it; a repeated batch replaces itself."""
     spark = df.sparkSession
     seen = Observation()
-    rows = df.withColumn(v.BATCH_ID, F.lit(batch).cast("int")).observe(seen, F.count(F.lit(1)).alias("n"))
+    rows = df.drop(v.BATCH_ID).observe(seen, F.count(F.lit(1)).alias("n"))
     if spark.catalog.tableExists(table):
-        rows = rows.select(*spark.table(table).columns)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        columns = [c for c in spark.table(table).columns if c != v.BATCH_ID]
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({v.BATCH_ID} = {int(batch)}) SELECT * FROM {{rows}}",
+            rows=rows.select(*columns),
+        )
     else:
-        rows.write.partitionBy(v.BATCH_ID).saveAsTable(table)
+        rows.withColumn(v.BATCH_ID, F.lit(batch).cast("int")).write.partitionBy(v.BATCH_ID).saveAsTable(table)
     added = seen.get["n"]
     notes = {"added-records": str(added), **(summary or {})}
     entry = spark.range(1).select(
