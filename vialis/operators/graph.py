@@ -115,13 +115,12 @@ def shortest_routes(
 
     starts = vertices if sources is None else vertices.join(sources.select(key).distinct(), key, "left_semi")
     route = F.struct(
-        F.lit(0).cast(edges.schema[weight].dataType).alias("minutes"), F.lit(0).alias("is_new"),
+        F.lit(0).cast(edges.schema[weight].dataType).alias("minutes"), F.lit(1).alias("is_new"),
         F.array(key).alias("ids"), F.array(name).alias("names"),
     )
-    best = settle(starts.select(F.col(key).alias("source"), F.col(key).alias("id"), route.alias("route")))
-    frontier = best
-    while not frontier.isEmpty():
-        step = frontier.join(links, F.col("id") == F.col("src")).select(
+    def extended(best: DataFrame) -> DataFrame:
+        """Routes after one more edge; ``is_new`` marks those that got better."""
+        step = best.filter("route.is_new = 1").join(links, F.col("id") == F.col("src")).select(
             "source", F.col("dst").alias("id"),
             F.struct(
                 (F.col("route.minutes") + F.col("weight")).alias("minutes"), F.lit(1).alias("is_new"),
@@ -130,8 +129,14 @@ def shortest_routes(
             ).alias("route"),
         )
         known = best.withColumn("route", F.col("route").withField("is_new", F.lit(0)))
-        best = settle(known.union(step).groupBy("source", "id").agg(F.min("route").alias("route")))
-        frontier = best.filter("route.is_new = 1")
+        return known.union(step).groupBy("source", "id").agg(F.min("route").alias("route"))
+
+    best = starts.select(F.col(key).alias("source"), F.col(key).alias("id"), route.alias("route"))
+    while True:
+        # Two rounds per cut: the second reads the shuffle of the first for both of its sides.
+        best = settle(extended(extended(best)))
+        if best.filter("route.is_new = 1").isEmpty():
+            break
     return best.select("source", "id", "route.minutes", "route.ids", "route.names")
 
 

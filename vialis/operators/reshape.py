@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vialis.functions.calendar import canonical_moment, day_first_text, parse_day, parse_legacy_moment
 from vialis.functions.geo import pipe_text
 from vialis.functions.messages import field_count
-from vialis.operators.quality import counters, one_per_key
+from vialis.operators.quality import one_per_key
 
 # Fields of a legacy line, by layout, and the canonical columns after normalising.
 OLD_FIELDS = ("nro_radicado", "fecha", "clase", "gravedad", "barrio", "direccion", "ubicacion")
@@ -136,10 +136,17 @@ def normalise_legacy(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def legacy_counters(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Lines per status, ids that had copies, and records written, one row per counter."""
+    """Lines per status, ids that had copies, and records written, one row per counter.
+
+    Both kinds of counter start from one count per usable id and status, so the
+    text is read and parsed once.
+    """
     read = read_legacy(lines, value)
-    copies = _usable(read).groupBy("nro_radicado").agg(F.count(F.lit(1)).alias("_n"))
-    written = copies.agg(F.count_if(F.col("_n") > 1).alias(RESOLVED), F.count(F.lit(1)).alias(EMITTED))
-    return counters(read, F.col("status")).unionByName(
-        written.unpivot([], [RESOLVED, EMITTED], "status", "n")
-    ).filter(F.col("n") > 0)
+    usable_id = F.when(F.col("status").startswith("esquema_"), F.col("nro_radicado"))
+    counted = read.groupBy(usable_id.alias("_id"), "status").agg(F.count(F.lit(1)).alias("n"))
+    per_id = counted.groupBy("_id").agg(F.sum("n").alias("n"))
+    is_record = F.col("_id").isNotNull()
+    written = per_id.agg(
+        F.count_if(is_record & (F.col("n") > 1)).alias(RESOLVED), F.count_if(is_record).alias(EMITTED)
+    ).unpivot([], [RESOLVED, EMITTED], "status", "n")
+    return counted.groupBy("status").agg(F.sum("n").alias("n")).unionByName(written).filter(F.col("n") > 0)

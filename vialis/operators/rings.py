@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -56,11 +56,10 @@ def chain(ways: list[list[tuple[float, float]]]) -> list[tuple[float, float]]:
     return ring
 
 
-@F.pandas_udf(ArrayType(ArrayType(DoubleType())))
-def _chained(lons: pd.Series, lats: pd.Series) -> pd.Series:
-    return pd.Series([
-        [list(point) for point in chain([list(zip(x, y)) for x, y in zip(*ring)])] for ring in zip(lons, lats)
-    ])
+@F.arrow_udf(ArrayType(ArrayType(DoubleType())))
+def _chained(lons: pa.Array, lats: pa.Array) -> pa.Array:
+    rings = [chain([list(zip(x, y)) for x, y in zip(*ways)]) for ways in zip(lons.to_pylist(), lats.to_pylist())]
+    return pa.array(rings, pa.list_(pa.list_(pa.float64())))
 
 
 def rings_of_relations(members: DataFrame) -> DataFrame:

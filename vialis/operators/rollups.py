@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vialis import vocabulary as v
 from vialis.functions.measures import correlation, percent_from, severity_index
 from vialis.operators.ranking import ranked, running_total, top_per_group
+from vialis.session import settle
 
 
 def _sum(terms: Sequence[Column]) -> Column:
@@ -89,13 +90,14 @@ def line_monthly(daily: DataFrame, day: str, line: str) -> DataFrame:
 def demand_by_bins(trips: DataFrame, keys: Sequence[str], minutes: str) -> DataFrame:
     """Trips and mean duration per day and climate bins, and the deviation from the mean day.
 
-    The overall mean is a one-row subquery over the grouped frame; Spark reuses
-    the exchange of the grouping for it.
+    The overall mean is a one-row subquery over the grouped rows, which are
+    settled first: it needs fewer columns than the result, so Spark would plan
+    it as a second pass over the trips.
     """
-    daily = trips.groupBy(*keys).agg(
+    daily = settle(trips.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("viajes"),
         F.avg(minutes).alias("duracion_promedio_min"),
-    )
+    ))
     mean = daily.agg(F.avg("viajes").alias("media")).scalar()
     return daily.withColumn("viajes_relativos_pct", percent_from(F.col("viajes"), mean))
 

@@ -12,7 +12,7 @@ MICROS = 1_000_000
 
 
 def rolling_sum(
-    df: DataFrame, entity: str, moment: str, value: str, seconds: int = 300, slice_seconds: int = 3600
+    df: DataFrame, entity: str, moment: str, value: str, seconds: int = 300, slice_seconds: int = 1800
 ) -> DataFrame:
     """Sum and count of the last ``seconds``, both ends included, at each instant of each entity.
 

@@ -10,6 +10,7 @@ from vialis.functions.text import corridor_of, is_known_area
 from vialis.operators import reports, rollups
 from vialis.operators.ranking import first_rows
 from vialis.questions.base import sql_shown, table, with_shown
+from vialis.session import settle
 from vialis.sources.tables import with_known_corridors
 
 CLASSES = (("F", "con_heridos", 1.0), ("O", "con_muertos", 5.0), ("P", "solo_danos", 0.1))
@@ -35,7 +36,8 @@ def severity_by_area_year(spark, sf_dir):
 
 def severity_top_latest_year(spark, sf_dir):
     order = [F.desc("indice_severidad"), F.asc("comuna")]
-    return with_shown(reports.latest_year_top(severity(spark, sf_dir), "anio", order, 5), "indice_severidad")
+    table = settle(severity(spark, sf_dir))
+    return with_shown(reports.latest_year_top(table, "anio", order, 5), "indice_severidad")
 
 
 def volume(spark, sf_dir):

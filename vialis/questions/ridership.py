@@ -98,7 +98,7 @@ def trips_by_class(spark, sf_dir):
 
 
 def demand(spark, sf_dir):
-    """Trips counted per day before they meet the climate, which has one row per day."""
+    """Trips per day and climate bins; the climate has one row per day."""
     weather = climate(spark, sf_dir).select(
         "fecha", bin_label(F.col("temperatura_promedio_c"), v.TEMPERATURE_BIN).alias("bin_temperatura"),
         bin_label(F.col("pm25_promedio_red"), v.PM25_BIN).alias("bin_pm25"),

@@ -158,7 +158,8 @@ def load_risk_corridors(spark: SparkSession, export: str | None) -> DataFrame:
 
 
 def known_corridors(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(c,) for c in v.KNOWN_CORRIDORS], "corredor string")
+    listed = F.array(*[F.lit(c) for c in v.KNOWN_CORRIDORS])
+    return spark.range(1).select(F.explode(listed).alias("corredor"))
 
 
 def with_known_corridors(corridors: DataFrame) -> DataFrame:
