@@ -43,11 +43,16 @@ def drain(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def format_times(spark) -> dict[str, float]:
-    """Write, full scan and filtered scan of ``lineitem`` per format, median of three."""
+def stored_bytes(spark, path: str) -> int:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+
+
+def format_times(spark) -> tuple[dict[str, float], dict[str, int]]:
+    """Write, full scan and filtered scan of ``lineitem`` per format, median of three; and the bytes stored."""
     rows = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").persist()
     rows.count()
-    result = {}
+    result, sizes = {}, {}
     for name, write, read in FORMATS:
         path = scratch_folder(spark, f"bench-{name}")
         stored = lambda: read(spark, rows.schema, path)
@@ -58,8 +63,9 @@ def format_times(spark) -> dict[str, float]:
         }
         for step, action in actions.items():
             result[f"format_{name}_{step}"] = statistics.median(timed(action) for _ in range(RUNS))
+        sizes[name] = stored_bytes(spark, path)
     rows.unpersist()
-    return result
+    return result, sizes
 
 
 def main() -> None:
@@ -70,7 +76,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     registered = questions.queries()
-    times = {}
+    times, sizes = {}, {}
     with contextlib.redirect_stdout(sys.stderr):
         drain(registered["deaths_per_year"](spark, SF_DIR))
         for name in HEADLINES:
@@ -79,12 +85,13 @@ def main() -> None:
             times[name] = timed(lambda: drain(registered[name](spark, SF_DIR)))
             print(name, round(times[name], 2))
         if not only or "formats" in only:
-            times.update(format_times(spark))
+            measured, sizes = format_times(spark)
+            times.update(measured)
     total = sum(times.values())
     spark.stop()
     print(json.dumps({
         "metric": "headline queries, wall clock", "value": round(total, 3), "unit": "sec",
-        "queries": {name: round(t, 3) for name, t in times.items()}, "sf": SF_DIR.rsplit("sf", 1)[-1],
+        "queries": {name: round(t, 3) for name, t in times.items()}, "bytes": sizes, "sf": SF_DIR.rsplit("sf", 1)[-1],
     }))
 
 

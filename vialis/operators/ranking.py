@@ -21,6 +21,7 @@ def running_total(
     weight: Column | None = None,
     alias: str = "position",
     one_task_rows: int = ONE_TASK_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
     """Running sum of ``weight`` (1 by default: the row number) along ``order`` in each group.
 
@@ -28,11 +29,12 @@ def running_total(
     frame is numbered by one window. A larger one is cut into range partitions
     of equal size by (group, order), each numbered on its own, and every part
     starts from the total of the parts before it; that step sees one row per
-    group and part, so no task holds a whole large group.
+    group and part, so no task holds a whole large group. ``settled`` says that
+    ``df`` already is a settled frame.
     """
     weight = F.lit(1) if weight is None else weight
     rows = df.withColumn("_w", weight.cast("bigint"))
-    rows = settle(rows)
+    rows = rows if settled else settle(rows)
     until_here = (W.unboundedPreceding, W.currentRow)
     if rows.count() <= one_task_rows:
         along = W.partitionBy(*groups).orderBy(*order).rowsBetween(*until_here)

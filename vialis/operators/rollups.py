@@ -159,9 +159,9 @@ def exclusive_percentiles(df: DataFrame, keys: Sequence[str], value: str, least_
     """
     points = {"p50": 50, "p75": 75, "p90": 90, "p95": 95}
     valued = df.filter(F.col(value).isNotNull())
-    distinct = valued.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_copies"))
-    upto = running_total(distinct, keys, [F.asc(value)], F.col("_copies"), "_upto")
-    size = upto.groupBy(*keys).agg(F.sum("_copies").alias("muestras"))
+    distinct = settle(valued.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_copies")))
+    upto = running_total(distinct, keys, [F.asc(value)], F.col("_copies"), "_upto", settled=True)
+    size = distinct.groupBy(*keys).agg(F.sum("_copies").alias("muestras"))
     size = size.filter(F.col("muestras") >= least_rows)
     placed = upto.join(size, on=list(keys))
 
