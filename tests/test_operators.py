@@ -133,8 +133,8 @@ def test_spatial_join_against_brute_force(spark):
 
     expected = {i: next((name for _, name, r in shapes if inside(px, py, r)), None) for i, px, py in spots}
     points = spark.createDataFrame(spots, "i int, x double, y double")
-    for limit in (-1, 1 << 20):
-        found = spatial.assign_area(points, polygons, "x", "y", "n", "g", "o", cell=0.7, broadcast_bytes=limit)
+    for limit, cell in ((-1, 0.7), (1 << 20, 0.7), (-1, 0.11), (1 << 20, 0.11)):
+        found = spatial.assign_area(points, polygons, "x", "y", "n", "g", "o", cell=cell, broadcast_bytes=limit)
         assert {r["i"]: r["area"] for r in found.collect()} == expected
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def pagerank(
     Ranks start even; what vertices without neighbours hold is not handed on.
     One round is one join and one aggregate: the vertices travel through the
     aggregate with a zero flow, so none is lost and no second join is needed.
-    Edges of hubs are kept apart. There can be no more hubs than tasks, since
+    Edges are laid out by source before the first round. Edges of hubs are kept apart. There can be no more hubs than tasks, since
     each has more edges than an even share, so their ranks are sent to every
     executor and the edges stay spread.
     """
@@ -59,8 +60,10 @@ def pagerank(
     has_hubs = not hubs.isEmpty()
     light, heavy = links, None
     if has_hubs:
-        light = settle(links.join(F.broadcast(hubs), "src", "left_anti"))
+        light = links.join(F.broadcast(hubs), "src", "left_anti")
         heavy = settle(links.join(F.broadcast(hubs), "src", "left_semi"))
+    # Laid out once by source, so that a round moves only ranks and flows; a lost part is read again from `links`.
+    light = light.repartition(tasks, "src").sortWithinPartitions("src").persist(StorageLevel.MEMORY_AND_DISK)
 
     state = nodes.withColumn("rank", F.lit(1.0 / total))
     still = nodes.withColumn("flow", F.lit(0.0))
@@ -77,8 +80,10 @@ def pagerank(
             F.max("hub").alias("hub"),
             (F.lit((1 - damping) / total) + F.sum("flow") * damping).alias("rank"),
         )
-        if number % CUT_EVERY == 0 and number < rounds:
+        # With hubs a round reads the ranks twice, so they are settled each time.
+        if has_hubs or number % CUT_EVERY == 0 or number == rounds:
             state = settle(state)
+    light.unpersist()
     return state.select("id", F.col("rank").alias("pagerank"))
 
 

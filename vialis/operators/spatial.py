@@ -8,32 +8,51 @@ from pyspark.sql import functions as F
 from vialis.functions.geo import edges_of, is_inside, rings_of
 
 # Grid step in degrees, and the index size up to which it may travel to every executor.
-CELL_DEGREES = 0.02
+CELL_DEGREES = 0.005
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Share of a cell by which its sides are moved out, so that rounding never leaves a point outside its cell.
+MARGIN = 1e-6
 
 
 def area_index(
     polygons: DataFrame, name: str, geojson: str, order: str, cell: float = CELL_DEGREES, holes: bool = False
 ) -> DataFrame:
-    """One row per polygon and grid cell its bounding box touches."""
+    """One row per polygon and grid cell it reaches, with the edges that matter there.
+
+    A ray to the east from inside a cell can only meet edges at its height that
+    are not wholly to its west. Where no edge touches the cell, the cell is all
+    inside or all outside: it is decided once, by its middle.
+    """
     shaped = polygons.select(
         F.col(order).alias("_rank"),
         F.col(name).alias("_area"),
-        edges_of(rings_of(F.col(geojson), holes)).alias("_edges"),
-    ).filter(F.size("_edges") > 0)
-    side = lambda pick, axis: pick(F.transform("_edges", lambda e: e[axis]))
-    boxed = shaped.withColumns({
-        "_west": side(F.array_min, "x0"), "_east": side(F.array_max, "x0"),
-        "_south": side(F.array_min, "y0"), "_north": side(F.array_max, "y0"),
-    })
-    slots = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell)))
-    return boxed.withColumn("_cx", slots("_west", "_east")).withColumn("_cy", slots("_south", "_north"))
+        edges_of(rings_of(F.col(geojson), holes)).alias("_all"),
+    ).filter(F.size("_all") > 0)
+
+    def cells(axis: str) -> Column:
+        """Cells from the lowest to the highest corner; every corner starts one edge."""
+        corners = F.transform("_all", lambda e: F.floor(e[axis] / cell))
+        return F.explode(F.sequence(F.array_min(corners), F.array_max(corners)))
+
+    placed = shaped.withColumn("_cx", cells("x0")).withColumn("_cy", cells("y0"))
+    side = lambda c, step: (F.col(c) + step) * cell
+    west, east, south, north = side("_cx", -MARGIN), side("_cx", 1 + MARGIN), side("_cy", -MARGIN), side("_cy", 1 + MARGIN)
+    matters = lambda e: (
+        (F.greatest(e["y0"], e["y1"]) >= south) & (F.least(e["y0"], e["y1"]) <= north)
+        & (F.greatest(e["x0"], e["x1"]) >= west)
+    )
+    placed = placed.withColumn("_edges", F.filter("_all", matters))
+    touched = F.exists("_edges", lambda e: F.least(e["x0"], e["x1"]) <= east)
+    middle = is_inside(side("_cx", 0.5), side("_cy", 0.5), F.col("_edges"))
+    decided = placed.select("_rank", "_area", "_cx", "_cy", "_edges", touched.alias("_touched"), middle.alias("_middle"))
+    return decided.filter(F.col("_touched") | F.col("_middle")).select(
+        "_cx", "_cy", "_rank", "_area", (~F.col("_touched")).alias("_whole"),
+        F.when(F.col("_touched"), F.col("_edges")).otherwise(F.slice("_edges", 1, 0)).alias("_edges"),
+    )
 
 
 def _covers(entry, lon: Column, lat: Column) -> Column:
-    """Bounding box first, so most candidates stop at four comparisons."""
-    boxed = lon.between(entry("_west"), entry("_east")) & lat.between(entry("_south"), entry("_north"))
-    return boxed & is_inside(lon, lat, entry("_edges"))
+    return entry("_whole") | is_inside(lon, lat, entry("_edges"))
 
 
 def _index_bytes(index: DataFrame) -> int:
@@ -66,7 +85,7 @@ def assign_area(
     cell_of = lambda c: F.floor(F.col(c) / cell)
 
     if _index_bytes(index) <= broadcast_bytes:
-        entry = F.struct("_rank", "_area", "_west", "_east", "_south", "_north", "_edges")
+        entry = F.struct("_rank", "_area", "_whole", "_edges")
         cells = index.groupBy("_cx", "_cy").agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
         held = F.filter("_entries", lambda e: _covers(lambda f: e[f], F.col(lon), F.col(lat)))
         placed = points.withColumns({"_cx": cell_of(lon), "_cy": cell_of(lat)})

@@ -6,10 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from vialis.functions.geo import rings_of
 from vialis.functions.text import corridor_of
-from vialis.questions import incidents, places, ridership
+from vialis.questions import incidents, ridership
 from vialis.questions.base import events, sql_shown, table, with_shown
-from vialis.session import scratch_folder
+from vialis.session import scratch_folder, settle
 from vialis.sources import files, tables
 
 BATCHES = (("click", "error"), ("view",), ("signup", "purchase"))
@@ -102,37 +103,45 @@ def layer_names(spark, sf_dir):
     return spark.table(f"{name}.una").withColumn("otra_existe", left)
 
 
+# Records one JSON document holds; a document is one file, and one task reads it.
+DOCUMENT_RECORDS = 500
+
+
+def block(key: str):
+    return F.floor(F.col(key) / DOCUMENT_RECORDS)
+
+
 def geojson_features(spark, sf_dir):
-    """Polygons written as a FeatureCollection and read as one row per feature."""
+    """A polygon per supplier, written as FeatureCollections and read as one row per feature."""
     path = scratch_folder(spark, "geojson")
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.from_json("geometria", "type string, coordinates string").alias("geometry"),
-        F.struct(F.col("n_nationkey").cast("bigint").alias("osm_id"), F.col("n_name").alias("nombre"),
-                 F.lit("comuna").alias("tipo"), F.lit("8").alias("admin_level")).alias("properties"),
-    )
-    # One collection per region; a line of text each, as a file holds one collection.
-    polygons = places.nation_polygons(spark, sf_dir).filter(~F.col("geometria").contains("Multi"))
-    polygons = polygons.join(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), "n_nationkey")
-    text = F.regexp_replace(F.regexp_replace(F.to_json(feature), r'"coordinates":"', '"coordinates":'), r'\]\]\]"', "]]]")
-    documents = polygons.groupBy("n_regionkey").agg(F.concat(
-        F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list(text)), F.lit("]}")).alias("value"))
-    documents.write.partitionBy("n_regionkey").text(path)
-    read = files.read_geojson(spark, path).select("osm_id", "nombre", "tipo", "admin_level", "geometry_geojson")
-    ring = F.from_json("geometry_geojson", "coordinates array<array<array<double>>>")["coordinates"][0]
-    return read.select("osm_id", "nombre", "tipo", "admin_level", F.size(ring).alias("puntos"))
+    x = F.col("s_suppkey")
+    corner = lambda dx, dy: F.format_string("[%d,%d]", x + dx, x + dy)
+    square = F.concat(F.lit("[["), F.concat_ws(",", *[corner(*c) for c in ((0, 0), (9, 0), (9, 9), (0, 9), (0, 0))]), F.lit("]]"))
+    is_multi = F.col("s_nationkey") % 3 == 0
+    feature = F.concat(
+        F.lit('{"type":"Feature","geometry":{"type":"'), F.when(is_multi, F.lit("MultiPolygon")).otherwise(F.lit("Polygon")),
+        F.lit('","coordinates":'), F.when(is_multi, F.concat(F.lit("["), square, F.lit("]"))).otherwise(square),
+        F.lit('},"properties":'),
+        F.to_json(F.struct(x.alias("osm_id"), F.col("s_name").alias("nombre"), F.lit("comuna").alias("tipo"), F.lit("8").alias("admin_level"))),
+        F.lit("}"))
+    documents = table(spark, sf_dir, "supplier").groupBy(block("s_suppkey").alias("bloque")).agg(F.concat(
+        F.lit('{"type":"FeatureCollection","features":['), F.concat_ws(",", F.collect_list(feature)), F.lit("]}")).alias("value"))
+    documents.write.partitionBy("bloque").text(path)
+    read = files.read_geojson(spark, f"{path}/*/*.txt").select("osm_id", "nombre", "tipo", "admin_level", "geometry_geojson")
+    ring = F.get(rings_of(F.col("geometry_geojson")), F.lit(0))
+    return read.select("osm_id", "nombre", "tipo", "admin_level", F.size(ring).alias("puntos"), ring[1][0].alias("este"))
 
 
 def json_stations(spark, sf_dir):
-    """Stations written as ``result.records[]``, one file per nation, and read back as rows."""
+    """Stations written as ``result.records[]``, and read back as rows."""
     path = scratch_folder(spark, "estaciones")
     record = F.struct(
         F.col("s_suppkey").cast("int").alias("_id"), F.format_string("ENC%03d", "s_suppkey").alias("estacion_id"),
         F.col("s_name").alias("nombre"), F.lit(12).alias("capacidad_anclajes"), F.lit("activa").alias("estado"))
-    documents = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(
+    documents = table(spark, sf_dir, "supplier").groupBy(block("s_suppkey").alias("bloque")).agg(
         F.to_json(F.struct(F.struct(F.collect_list(record).alias("records")).alias("result"))).alias("value"))
-    documents.repartition("s_nationkey").write.partitionBy("s_nationkey").text(path)
-    return files.read_bike_stations(spark, path).select("_id", "estacion_id", "nombre", "capacidad_anclajes", "estado")
+    documents.write.partitionBy("bloque").text(path)
+    return files.read_bike_stations(spark, f"{path}/*/*.txt").select("_id", "estacion_id", "nombre", "capacidad_anclajes", "estado")
 
 
 def csv_text(spark, sf_dir):
@@ -198,22 +207,22 @@ def tsv_canonical(spark, sf_dir):
 
 
 def station_months(spark, sf_dir):
-    """Monthly wide files with different stations; only the files of the wanted years count."""
+    """A wide file per year, with other stations in odd years; only files of the wanted years count."""
     path = scratch_folder(spark, "meses")
     rows = table(spark, sf_dir, "lineitem").groupBy("l_shipdate").agg(*[
         F.sum(F.when(F.col("l_returnflag") == flag, F.col("l_quantity"))).alias(f"EST-{flag}") for flag in ("A", "N", "R")])
+    rows = settle(rows.withColumn("anio", F.year("l_shipdate")))
+    years = [r["anio"] for r in rows.select("anio").distinct().collect()]
     moment = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("Fecha_Hora")
-    year = F.year("l_shipdate")
-    layouts = {"1996_01": (1996, ("A", "N", "R")), "1997_01": (1997, ("R", "A")), "1999_01": (1999, ("N",))}
-    for tag, (wanted, flags) in layouts.items():
-        month = rows.filter(year == wanted).select(moment, *[F.col(f"EST-{f}") for f in flags])
-        month.coalesce(1).write.csv(f"{path}/{tag}", header=True, sep="\t")
-    # Spark names the parts itself; the month goes into the name as downloads have it.
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for tag in layouts:
-        part = hadoop.Path(files.existing_inputs(spark, [f"{path}/{tag}/part-*.csv"])[0])
-        part.getFileSystem(spark._jsc.hadoopConfiguration()).rename(part, hadoop.Path(f"{path}/pm25_{tag}.tab"))
-    read = files.read_station_months(spark, [f"{path}/*.tab"], "pm25", 1996, 1997)
+    # Spark names the parts itself; the year goes into the name as downloads have it.
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    for year in years:
+        stations = ("R", "A") if year % 2 else ("A", "N", "R")
+        month = rows.filter(F.col("anio") == year).select(moment, *[F.col(f"EST-{f}") for f in stations])
+        month.coalesce(1).write.csv(f"{path}/{year}", header=True, sep="\t")
+        part = hadoop.Path(files.existing_inputs(spark, [f"{path}/{year}/part-*.csv"])[0])
+        part.getFileSystem(conf).rename(part, hadoop.Path(f"{path}/pm25_{year}_01.tab"))
+    read = files.read_station_months(spark, [f"{path}/*.tab"], "pm25", 1996, 1999)
     return with_shown(read, "valor")
 
 
@@ -301,8 +310,8 @@ SQL = {
     "schema_evolution": f"""SELECT {_BATCH} AS _batch_id, count(*) AS filas,
         count(*) FILTER ({_BATCH} = 1) AS sin_observacion FROM events WHERE {_BATCH} < 3 GROUP BY 1""",
     "layer_names": "SELECT c_nationkey, count(*) AS n, 0 AS otra_existe FROM customer GROUP BY 1",
-    "geojson_features": """SELECT CAST(n_nationkey AS BIGINT) AS osm_id, n_name AS nombre, 'comuna' AS tipo, '8' AS admin_level,
-        CASE WHEN n_nationkey % 2 = 0 THEN 7 ELSE 5 END AS puntos FROM nation WHERE n_nationkey % 3 <> 0""",
+    "geojson_features": """SELECT s_suppkey AS osm_id, s_name AS nombre, 'comuna' AS tipo, '8' AS admin_level, 5 AS puntos,
+        CAST(s_suppkey + 9 AS DOUBLE) AS este FROM supplier""",
     "json_stations": """SELECT CAST(s_suppkey AS INTEGER) AS _id, printf('ENC%03d', s_suppkey) AS estacion_id, s_name AS nombre,
         12 AS capacidad_anclajes, 'activa' AS estado FROM supplier""",
     "csv_text": """SELECT CAST(o_orderkey AS VARCHAR) AS nro_radicado, 'Calle "' || o_orderpriority || '",' || chr(10) || 'Barrio' AS direccion
@@ -319,7 +328,7 @@ SQL = {
         6.2e0 AS lat FROM orders GROUP BY 1, 2, 3""",
     "station_months": f"""SELECT strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS timestamp, 'EST-' || l_returnflag AS estacion_id,
         'pm25' AS variable, {sql_shown('sum(l_quantity)')} AS valor FROM lineitem
-        WHERE year(l_shipdate) = 1996 OR (year(l_shipdate) = 1997 AND l_returnflag <> 'N') GROUP BY 1, 2""",
+        WHERE year(l_shipdate) BETWEEN 1996 AND 1999 AND (year(l_shipdate) % 2 = 0 OR l_returnflag <> 'N') GROUP BY 1, 2""",
     "reference_export": ridership.SQL["band_percentiles"],
     "reference_table": ridership.SQL["band_percentiles"],
     "corridor_export": f"SELECT DISTINCT corredor FROM ({_STREET}) WHERE corredor IS NOT NULL",

@@ -8,6 +8,7 @@ frame the watermark has no effect and every window is returned.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,13 +90,15 @@ def corridor_snapshots(
 ) -> DataFrame:
     """Traffic per corridor and window; an alert where a risk corridor reaches the limit per minute.
 
-    ``risky`` has one column named like ``corridor``, each corridor once.
+    ``about`` is taken from the newest event that has all of it, so a reading
+    without a place does not hide one. ``risky`` has one column named like ``corridor``, each corridor once.
     """
     named = counts.filter(F.trim(F.col(corridor).cast("string")) != "")
     aggregates = [F.sum(vehicles).alias("intensidad_total"), F.avg(vehicles).alias("_avg"),
                   F.count(F.lit(1)).alias("lecturas")]
     if about:
-        aggregates.append(last_known(list(about), F.struct(moment, *about)).alias("_last"))
+        complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in about])
+        aggregates.append(last_known(list(about), F.when(complete, F.struct(moment, *about))).alias("_last"))
     windows = windowed(named, [corridor], moment, f"{minutes} minutes", None, delay, aggregates)
     marked = windows.join(risky.select(corridor, F.lit(True).alias("_risky")), corridor, "left")
     is_risky = F.coalesce(F.col("_risky"), F.lit(False))
