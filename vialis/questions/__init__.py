@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
+from vialis.session import ship_package
+
 TOPICS = ("incidents", "ridership", "readings", "places", "history", "stored", "live", "network", "model")
 
 
@@ -29,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def in_utc(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship_package(spark)
             return _days_as_text(query(spark, sf_dir))
         return run
     return {name: in_utc(query) for name, query in _collect("QUERIES").items()}
