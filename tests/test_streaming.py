@@ -2,7 +2,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from vialis.plans import live
 from vialis.streaming import alerts, sinks

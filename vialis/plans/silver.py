@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialis import vocabulary as v
 from vialis.functions.calendar import day_band, is_weekend
 from vialis.functions.geo import in_valid_area, pair_from_brackets, pair_from_dict_text, repair_swapped
 from vialis.functions.measures import is_plausible_trip, trip_class, vehicle_total

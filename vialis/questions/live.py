@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from vialis.functions.messages import LINE_SCHEMA, decode, has_key
 from vialis.functions.measures import whole_or_zero
 from vialis.questions import ridership
-from vialis.questions.base import events, local_times, shown, sql_band, sql_shown, table, with_shown
+from vialis.questions.base import events, local_times, sql_band, sql_shown, with_shown
 from vialis.questions.stored import layer
 from vialis.session import scratch_folder
-from vialis.sources.tables import known_corridors
 from vialis.streaming import alerts, sinks
 from vialis.streaming.sources import of_topics, open_stream, publish, stream_parquet
 

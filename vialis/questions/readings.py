@@ -6,13 +6,12 @@ from pyspark.sql import functions as F
 
 from vialis import vocabulary as v
 from vialis.functions.calendar import floor_minutes, floor_seconds
-from vialis.functions.geo import pair_from_dict_text
 from vialis.functions.measures import vehicle_total
 from vialis.functions.messages import AIR_SCHEMA, air_message, corridor_message, decode
 from vialis.functions.text import zone_of
 from vialis.operators import quality, reports, reshape, rollups
 from vialis.operators.windows import latest_before
-from vialis.questions.base import events, local_times, shown, sql_shown, table, with_shown
+from vialis.questions.base import events, local_times, sql_shown, table, with_shown
 from vialis.sources.files import typed_readings
 from vialis.streaming.alerts import air_alerts, line_snapshots
 

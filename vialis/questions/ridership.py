@@ -9,7 +9,7 @@ from vialis.functions.calendar import day_band, is_weekend
 from vialis.functions.measures import bin_label, is_plausible_trip, rain_flag, trip_class
 from vialis.operators import quality, reports, reshape, rollups
 from vialis.operators.windows import rolling_sum
-from vialis.questions.base import events, local_times, shown, sql_band, sql_corr, sql_day_text, sql_shown, table, with_shown
+from vialis.questions.base import events, local_times, sql_band, sql_corr, sql_day_text, sql_shown, table, with_shown
 
 # Text formats the days of a wide sheet come in, by line.
 SHEET_FORMATS = {"view": "dd.MM.yyyy", "click": "yyyy-MM-dd"}
