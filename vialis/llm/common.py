@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vialis.session import scratch_folder, ship_package
 
@@ -30,6 +32,29 @@ def python_ready(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def with_columns_from_text(
+    rows: DataFrame, text: str, new: str, work: Callable[[list[str | None]], dict[str, list]], keep_text: bool = False,
+) -> DataFrame:
+    """``rows`` with the columns that ``work`` makes of a batch of texts (a null text is None).
+
+    ``new`` is a schema string. All other columns pass through the task as
+    Arrow data, untouched. Arrow batches bound what a task holds.
+    """
+    python_ready(rows.sparkSession)
+    kept = rows.columns if keep_text else [c for c in rows.columns if c != text]
+    added = rows.sparkSession.createDataFrame([], new).schema
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*rows.select(*kept).schema, *added])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = to_arrow_schema(added)
+        for batch in batches:
+            made = work(batch.column(text).to_pylist())
+            arrays = [batch.column(c) for c in kept] + [pa.array(made[f.name], type=f.type) for f in types]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *types.names])
+
+    return rows.mapInArrow(run, schema)
+
+
 def unit_hash(*columns: Column, seed: int = 0) -> Column:
     """A number in [0, 1) that follows from the columns and the seed alone."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11) / F.lit(float(2**53))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vialis.llm import chat_prefix, mixing, sharding
+from vialis.llm import chat_prefix, langid, mixing, pii, sharding, topk
 from vialis.llm.common import table
 
 
@@ -49,11 +50,42 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document, learned from two thirds of them."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.held_out("doc_id"))
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest integer inner products of every hundredth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER o AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW o AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER o <= 10"""
+
+
 QUERIES = {
     "op1_chat_prefix": op1_chat_prefix,
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
+    "op6_pii": op6_pii,
+    "op7_language_id": op7_language_id,
+    "op8_top_k": op8_top_k,
 }
 SQL = {
     "op1_chat_prefix": OP1_SQL,
+    "op8_top_k": OP8_SQL,
 }
