@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialis.llm import chat_prefix, langid, mixing, pii, sharding, topk
+from vialis.llm import chat_prefix, decontaminate, langid, mixing, pii, secret_scan, sharding, topk
 from vialis.llm.common import table
 
 
@@ -39,6 +39,11 @@ SELECT conv_id, count(*) AS n_turns,
 FROM p GROUP BY conv_id"""
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size, target and taken words of every document."""
     found = mixing.mix(table(spark, sf_dir, "documents")).rows
@@ -77,13 +82,22 @@ SELECT query_id, CAST(row_number() OVER o AS INTEGER) AS rank, vec_id, score FRO
 WINDOW o AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER o <= 10"""
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of a benchmark item in a document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
+    return marked.select("doc_id", F.inline("leaks"))
+
+
 QUERIES = {
     "op1_chat_prefix": op1_chat_prefix,
+    "op3_secrets": op3_secrets,
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
     "op6_pii": op6_pii,
     "op7_language_id": op7_language_id,
     "op8_top_k": op8_top_k,
+    "op10_decontamination": op10_decontamination,
 }
 SQL = {
     "op1_chat_prefix": OP1_SQL,
