@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialis.llm import chat_prefix, decontaminate, langid, mixing, pii, secret_scan, sharding, topk
+from vialis.llm import chat_prefix, decontaminate, langid, mixing, ngram_join, pii, secret_scan, sharding, topk
 from vialis.llm.common import table
 
 
@@ -82,6 +82,11 @@ SELECT query_id, CAST(row_number() OVER o AS INTEGER) AS rank, vec_id, score FRO
 WINDOW o AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER o <= 10"""
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return ngram_join.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every place of a benchmark item in a document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,6 +102,7 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_language_id": op7_language_id,
     "op8_top_k": op8_top_k,
+    "op9_ngram_join": op9_ngram_join,
     "op10_decontamination": op10_decontamination,
 }
 SQL = {
