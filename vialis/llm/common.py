@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from vialis.session import scratch_folder, ship_package
 
@@ -42,8 +43,8 @@ def with_columns_from_text(
     """
     python_ready(rows.sparkSession)
     kept = rows.columns if keep_text else [c for c in rows.columns if c != text]
-    added = rows.sparkSession.createDataFrame([], new).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*rows.select(*kept).schema, *added])
+    added = StructType.fromDDL(new)
+    schema = StructType([*[rows.schema[c] for c in kept], *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = to_arrow_schema(added)

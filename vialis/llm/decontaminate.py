@@ -256,22 +256,29 @@ def with_leaks(
     result is empty or has no leaks. A column called ``leaks`` is replaced; all
     others pass through.
     """
-    spark = docs.sparkSession
+    kept = [c for c in docs.columns if c.lower() != "leaks" and (keep_text or c != text)]
+    rows = docs.select(docs[text].alias("_text"), F.struct(*[docs[c] for c in kept]).alias("_doc"))
+    return _marked(rows, items, item_id, item_text, rule, block_chars).select("_doc.*", "leaks")
+
+
+def _marked(rows: DataFrame, items: DataFrame, item_id: str, item_text: str, rule: Rule, block_chars: int) -> DataFrame:
+    """Rows (_text, _doc) as rows (_doc, leaks)."""
+    spark = rows.sparkSession
     numbered, n_blocks = blocks_of(items, item_id, item_text, block_chars)
-    rows = docs.select(*[docs[c] for c in docs.columns if c.lower() != "leaks"])
-    rows = rows.withColumn("_leaks", F.array().cast(f"array<{LEAK}>"))
+    rows = rows.withColumn("leaks", F.array().cast(f"array<{LEAK}>"))
     for block in range(n_blocks):
         part = [(r["item_id"], r["text"]) for r in numbered.filter(F.col("block") == block).select("item_id", "text").collect()]
         shared = spark.sparkContext.broadcast(Index(part, rule))
         found = with_columns_from_text(
-            rows, text, f"_more array<{LEAK}>", lambda texts, shared=shared: {"_more": shared.value.leaks(texts)}, keep_text=True,
+            rows, "_text", f"more array<{LEAK}>", lambda texts, shared=shared: {"more": shared.value.leaks(texts)},
+            keep_text=block + 1 < n_blocks,
         )
-        rows = found.withColumn("_leaks", F.concat("_leaks", "_more")).drop("_more")
-    return rows.withColumnRenamed("_leaks", "leaks") if keep_text else rows.drop(text).withColumnRenamed("_leaks", "leaks")
+        rows = found.withColumn("leaks", F.concat("leaks", "more")).drop("more")
+    return rows.drop("_text")
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", rule: Rule = Rule()) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item."""
-    columns = docs.columns
-    marked = with_leaks(docs, items, text, rule=rule)
-    return marked.filter(F.size("leaks") == 0).select(*[F.col(f"`{c}`") for c in columns if c != "leaks"])
+    rows = docs.select(docs[text].alias("_text"), F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
+    marked = _marked(rows, items, "item_id", "text", rule, BLOCK_CHARS)
+    return marked.filter(F.size("leaks") == 0).select("_doc.*")

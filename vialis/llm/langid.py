@@ -216,3 +216,13 @@ def predict(
         return {"lang_pred": found, "score": score, "bits": bits}
 
     return with_columns_from_text(rows, "_text", "lang_pred string, score double, bits double", judge)
+
+
+def known(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language that could be learned; texts without letters go.
+
+    All columns pass through, whatever their names.
+    """
+    rows = docs.select(docs[lang].alias("lang"), docs[text].alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("_doc"))
+    found = predict(rows, F.lit(False), doc_id="lang", keep=("_doc",))
+    return found.filter(F.col("lang_pred") != UNKNOWN).select("_doc.*")

@@ -171,8 +171,11 @@ def resample(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     The form for a pipeline: a row is kept, left out or repeated, never cut. A
     document without words is kept once. The columns are those of ``docs``.
     """
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    fixed = written(docs.withColumns({"_content": content, "_row": F.monotonically_increasing_id()}), "mixed")
+    columns = docs.columns
+    fixed = written(docs.select(
+        docs["source"], docs["text"], F.struct(*[docs[c] for c in columns if c != "text"]).alias("_doc"),
+        F.xxhash64(*[docs[c] for c in columns]).alias("_content"), F.monotonically_increasing_id().alias("_row"),
+    ), "mixed")
     mixed = mix(fixed, doc_id="_row", plan=plan, order="_content")
     blocks = F.aggregate(F.coalesce("blocks", F.array().cast("array<bigint>")), F.lit(0).cast("bigint"), lambda a, x: a + x)
     ends = mixed.sources.select(F.col("source").alias("_s"), (blocks * F.lit(mixed.block_words)).alias("_end"))
@@ -185,4 +188,4 @@ def resample(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
         F.col("doc_id").alias("_id"), F.when(F.col("size") == 0, 1).otherwise(times).alias("_times"),
     ).filter(F.col("_times") > 0)
     repeated = fixed.join(lots, F.col("_row") == F.col("_id")).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times")))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return repeated.select(*[F.col("text") if c == "text" else F.col("_doc")[c].alias(c) for c in columns])
