@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialis.llm import chat_prefix, decontaminate, langid, mixing, ngram_join, pii, secret_scan, sharding, topk
+from vialis.llm import chat_prefix, decontaminate, langid, line_dedup, mixing, ngram_join, pii, secret_scan, sharding, topk
 from vialis.llm.common import table
 
 
@@ -39,6 +39,42 @@ SELECT conv_id, count(*) AS n_turns,
 FROM p GROUP BY conv_id"""
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every document that repeat an earlier line, nearly or exactly."""
+    found = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
+
+
+# Sets share a word among the rarest n - ceil(0.8 n) + 1, whatever order breaks ties.
+OP2_SQL = """
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, generate_subscripts(parts, 1) - 1 AS line, unnest(parts) AS words FROM d),
+s AS (
+  SELECT doc_id, line, list_sort(list_distinct(list_filter(
+    string_split(translate(lower(words), chr(9) || chr(11) || chr(12) || chr(13), '    '), ' '), lambda w: w <> ''))) AS ws FROM l),
+g AS (
+  SELECT ws, min((doc_id, line)) AS first, row_number() OVER (ORDER BY min((doc_id, line))) AS id, len(ws) AS n
+  FROM s WHERE len(ws) > 0 GROUP BY ws),
+w AS (SELECT id, n, unnest(ws) AS word FROM g),
+f AS (SELECT word, count(*) AS df FROM w GROUP BY word HAVING count(*) > 0),
+p AS (
+  SELECT id, n, word FROM w JOIN f USING (word)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY df, word) <= n - ((4 * n + 4) // 5) + 1),
+c AS (
+  SELECT DISTINCT x.id AS earlier, y.id AS later FROM p x JOIN p y ON x.word = y.word AND x.id < y.id
+  AND 5 * x.n >= 4 * y.n AND 5 * y.n >= 4 * x.n),
+m AS (
+  SELECT DISTINCT later FROM c JOIN g x ON x.id = earlier JOIN g y ON y.id = later
+  WHERE 9 * len(list_intersect(x.ws, y.ws)) >= 4 * (x.n + y.n)),
+r AS (
+  SELECT s.doc_id, s.line FROM s JOIN g USING (ws) LEFT JOIN m ON m.later = g.id
+  WHERE m.later IS NOT NULL OR (s.doc_id, s.line) <> g.first),
+a AS (SELECT doc_id, count(*) AS n_removed, string_agg(line, ',' ORDER BY line) AS removed FROM r GROUP BY doc_id)
+SELECT documents.doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS INTEGER) AS n_lines,
+  CAST(coalesce(n_removed, 0) AS INTEGER) AS n_removed, coalesce(removed, '') AS removed
+FROM documents LEFT JOIN a ON a.doc_id = documents.doc_id"""
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
@@ -96,6 +132,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_prefix": op1_chat_prefix,
+    "op2_line_dedup": op2_line_dedup,
     "op3_secrets": op3_secrets,
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
@@ -107,5 +144,6 @@ QUERIES = {
 }
 SQL = {
     "op1_chat_prefix": OP1_SQL,
+    "op2_line_dedup": OP2_SQL,
     "op8_top_k": OP8_SQL,
 }
