@@ -94,8 +94,9 @@ class Model:
             parts = [self.alphabet.encoded(t) for t in samples[lang]]
             codes = np.concatenate([x for p in parts for x in (p, np.zeros(1, dtype=np.uint8))])[:SAMPLE_CHARS]
             moves = suffix_automaton(codes, size)
-            start = np.where(moves[0] >= 0, moves[0], 0)
-            flat = np.where(moves >= 0, moves * size, start[None, :] * size + 1)
+            # One more state, before the first phrase and after a letter that the language lacks: any letter begins a phrase there.
+            begin = np.where(moves[0] >= 0, moves[0], len(moves)) * size + 1
+            flat = np.vstack([np.where(moves >= 0, moves * size, begin[None, :]), begin[None, :]])
             self.tables.append(flat.astype(np.int32).ravel())
             self.norms.append(np.log2(len(codes) + 1))
 
@@ -107,8 +108,8 @@ class Model:
         codes = np.ascontiguousarray(codes[:, order])
         alive = np.searchsorted(-ends[order], -np.arange(codes.shape[0]), side="left")
         for k, moves in enumerate(self.tables):
-            state = np.zeros(codes.shape[1], dtype=np.int32)
-            begun = np.ones(codes.shape[1], dtype=np.int32)
+            state = np.full(codes.shape[1], len(moves) - self.alphabet.size, dtype=np.int32)
+            begun = np.zeros(codes.shape[1], dtype=np.int32)
             for i, n in enumerate(alive.tolist()):
                 if not n:
                     break
