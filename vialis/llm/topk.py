@@ -16,6 +16,7 @@ VECTORS_PER_GROUP = 8_192
 QUERIES_PER_GROUP = 16_384
 SEED_VECTORS = 1_024
 CHUNK = 1_024
+PAIRS = 50_000
 EXACT = 2**52
 
 
@@ -35,10 +36,14 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
     return np.floor(out * SCALE)
 
 
+def _exact(q: np.ndarray, v: np.ndarray) -> bool:
+    """Whether inner products of these rows stay whole numbers that a double holds."""
+    return np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * max(1, q.shape[1]) < EXACT
+
+
 def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Exact inner products of paired rows; what a long cannot hold is set to its nearest end."""
-    bound = np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * max(1, q.shape[1])
-    if bound < EXACT:
+    if _exact(q, v):
         return np.einsum("ij,ij->i", q, v).astype(np.int64)
     low, high = 1 - 2**63, 2**63 - 1
     pairs = zip(q, v, strict=True)
@@ -99,10 +104,18 @@ def search(
         rest = np.sqrt((turned[:, head:] ** 2).sum(axis=1))
         bound = turned_q[live, :head] @ turned[:, :head].T + np.outer(rest_q[live], rest)
         reach = best.least[live] - (1e-9 * own[live] * long + 1e-6)
-        a, b = np.nonzero((bound >= reach[:, None]) & (qid[live][:, None] != ids[None, :]))
-        if len(a):
-            a = live[a]
-            best.add(a, _scores(q[a], part[b]), ids[b])
+        open_pairs = (bound >= reach[:, None]) & (qid[live][:, None] != ids[None, :])
+        if open_pairs.sum() > 0.1 * open_pairs.size and _exact(q[live], part):
+            # Many pairs are left: one product of whole numbers in doubles, exact at this size, is cheaper than row by row.
+            scores = q[live] @ part.T
+            open_pairs &= scores >= best.least[live][:, None]
+            a, b = np.nonzero(open_pairs)
+            best.add(live[a], scores[a, b].astype(np.int64), ids[b])
+            continue
+        a, b = np.nonzero(open_pairs)
+        for i in range(0, len(a), PAIRS):
+            x, y = live[a[i:i + PAIRS]], b[i:i + PAIRS]
+            best.add(x, _scores(q[x], part[y]), ids[y])
     return best
 
 
