@@ -12,7 +12,7 @@ import time
 from pyspark.sql import functions as F
 
 from vialis import questions
-from vialis.session import open_session, scratch_folder
+from vialis.session import clear_scratch, open_session, scratch_folder
 from vialis.sources import files
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -88,6 +88,7 @@ def main() -> None:
             measured, sizes = format_times(spark)
             times.update(measured)
     total = sum(times.values())
+    clear_scratch(spark)
     spark.stop()
     print(json.dumps({
         "metric": "headline queries, wall clock", "value": round(total, 3), "unit": "sec",

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from vialis.session import open_session
+    from vialis.session import clear_scratch, open_session
 
     session = open_session(
         "tests", "local[4]",
@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

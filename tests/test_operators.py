@@ -15,19 +15,18 @@ def rows(df, *order):
     return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 1000])
-def test_positions_on_both_ways(spark, one_task_rows):
+def test_positions(spark):
     shuffled = random.Random(1).sample(range(500), 500)
     data = [(k, "g1" if k % 3 else ("g2" if k % 2 else None), k // 7) for k in shuffled]
     frame = spark.createDataFrame(data, "k int, g string, score int")
     order = [F.desc("score"), F.asc("k")]
-    found = ranking.running_total(frame, ["g"], order, alias="n", one_task_rows=one_task_rows)
+    found = ranking.running_total(frame, ["g"], order, alias="n")
     expected = {}
     for group in ("g1", "g2", None):
         members = sorted((d for d in data if d[1] == group), key=lambda d: (-d[2], d[0]))
         expected.update({d[0]: i for i, d in enumerate(members, 1)})
     assert {r["k"]: r["n"] for r in found.collect()} == expected
-    overall = ranking.running_total(frame, [], order, F.col("score"), "total", one_task_rows=one_task_rows)
+    overall = ranking.running_total(frame, [], order, F.col("score"), "total")
     total, sums = 0, {}
     for d in sorted(data, key=lambda d: (-d[2], d[0])):
         total += d[2]
@@ -35,6 +34,13 @@ def test_positions_on_both_ways(spark, one_task_rows):
     assert {r["k"]: r["total"] for r in overall.collect()} == sums
 
 
+def test_an_unreadable_value_never_beats_a_readable_one(spark):
+    frame = spark.createDataFrame([(1, None, "bad"), (1, 5, "good"), (2, None, "only"), (None, None, "x"), (None, None, "x")], "id int, t int, w string")
+    for last in (False, True):
+        found = quality.one_per_key(frame, ["id"], [F.col("t")], last=last)
+        assert sorted((r["id"] or 0, r["w"]) for r in found.collect()) == [(0, "x"), (0, "x"), (1, "good"), (2, "only")]
+
+
 def test_one_per_key_keeps_unknown_keys(spark):
     data = [(1, 5, "b"), (1, 4, "a"), (1, 4, "c"), (None, 1, "x"), (None, 1, "x")]
     frame = spark.createDataFrame(data, "id int, t int, z string")
@@ -105,14 +111,22 @@ SQUARE = '{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,1],[0,0]]]}'
 BESIDE = '{"type":"Polygon","coordinates":[[[0.5,0],[2,0],[2,1],[0.5,1],[0.5,0]]]}'
 
 
-@pytest.mark.parametrize("limit", [-1, 1 << 20])
-def test_first_polygon_wins(spark, limit):
+def test_first_polygon_wins(spark):
     polygons = spark.createDataFrame([(2, "segundo", BESIDE), (1, "primero", SQUARE), (3, "roto", "{}")], "o int, n string, g string")
     points = spark.createDataFrame([(0, 0.25, 0.5), (1, 0.75, 0.5), (2, 1.5, 0.5), (3, 3.0, 0.5), (4, None, 0.5), (5, 0.25, 0.5)], "i int, x double, y double")
-    found = spatial.assign_area(points, polygons, "x", "y", "n", "g", "o", cell=0.3, broadcast_bytes=limit)
+    found = spatial.assign_area(points, polygons, "x", "y", "n", "g", "o", cell=0.3)
     assert [r["area"] for r in found.orderBy("i").collect()] == ["primero", "primero", "segundo", None, None, "primero"]
 
 
+def test_equal_places_come_by_name_and_missing_ones_last(spark):
+    points = spark.createDataFrame([(0, 0.75, 0.5)], "i int, x double, y double")
+    area = lambda rows: spatial.assign_area(
+        points, spark.createDataFrame(rows, "o int, n string, g string"), "x", "y", "n", "g", "o", cell=0.3).first()["area"]
+    assert area([(1, "b", SQUARE), (1, "a", BESIDE)]) == "a"
+    assert area([(None, "a", SQUARE), (7, "b", BESIDE)]) == "b"
+    assert area([(None, "b", SQUARE), (None, "a", BESIDE)]) == "a"
+
+
 def test_spatial_join_against_brute_force(spark):
     rng = random.Random(7)
     shapes = []
@@ -133,8 +147,8 @@ def test_spatial_join_against_brute_force(spark):
 
     expected = {i: next((name for _, name, r in shapes if inside(px, py, r)), None) for i, px, py in spots}
     points = spark.createDataFrame(spots, "i int, x double, y double")
-    for limit, cell in ((-1, 0.7), (1 << 20, 0.7), (-1, 0.11), (1 << 20, 0.11)):
-        found = spatial.assign_area(points, polygons, "x", "y", "n", "g", "o", cell=cell, broadcast_bytes=limit)
+    for cell in (0.7, 0.11):
+        found = spatial.assign_area(points, polygons, "x", "y", "n", "g", "o", cell=cell)
         assert {r["i"]: r["area"] for r in found.collect()} == expected
 
 
@@ -146,9 +160,9 @@ def test_hours_to_rows(spark):
     assert rows(found) == [(dt.date(2024, 1, 1), "L1", 4, 180)]
 
 
-def test_micro_events(spark):
+def test_totals_spread_evenly(spark):
     frame = spark.createDataFrame([(dt.date(2024, 1, 1), 7, "A", 100), (dt.date(2024, 1, 1), 8, "A", 0)], "d date, h int, l string, p bigint")
-    found = reshape.micro_events(frame, "d", "h", "l", "p").orderBy("timestamp").collect()
+    found = reshape.spread_evenly(frame, "d", "h", "l", "p").orderBy("timestamp").collect()
     assert len(found) == 12 and sum(r["pasajeros_periodo"] for r in found) == 100
     assert [r["timestamp"].minute for r in found] == list(range(0, 60, 5))
 
@@ -198,21 +212,21 @@ def test_polygon_features(spark):
         '{"type":"Polygon","coordinates":[[[0.0,0.0],[9.0,0.0],[9.0,9.0],[0.0,9.0],[0.0,0.0]],[[1.0,1.0],[2.0,1.0],[2.0,2.0],[1.0,1.0]]]}')
 
 
-@pytest.mark.parametrize("hub_edges", [1, 1000])
-def test_pagerank_of_a_path(spark, hub_edges):
+@pytest.mark.parametrize("spread", [1, 1000])
+def test_pagerank_of_a_path(spark, spread):
     vertices = spark.createDataFrame([(i,) for i in range(1, 6)], "v int")
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "a int, b int")
-    found = dict(rows(graph.pagerank(vertices.filter("v < 5"), edges, "v", "a", "b", hub_edges=hub_edges)))
+    found = dict(rows(graph.pagerank(vertices.filter("v < 5"), edges, "v", "a", "b", spread=spread)))
     assert found[1] == found[4] == pytest.approx(0.175439, abs=1e-6)
     assert found[2] == found[3] == pytest.approx(0.324561, abs=1e-6)
-    lonely = dict(rows(graph.pagerank(vertices, edges, "v", "a", "b", rounds=2, hub_edges=hub_edges)))
+    lonely = dict(rows(graph.pagerank(vertices, edges, "v", "a", "b", rounds=2, spread=spread)))
     assert lonely[5] == pytest.approx(0.15 / 5)
 
 
 def test_transit_network(spark):
     stations, links = transit.stations(spark), transit.links(spark)
     assert (stations.count(), links.count()) == (34, 33)
-    routes = graph.route_table(graph.shortest_routes(stations, links, "id", "nombre", "origen", "destino", "minutos")).cache()
+    routes = graph.route_table(graph.shortest_routes(stations, links, "id", "nombre", "origen", "destino", "minutos", sources=stations)).cache()
     assert routes.count() == 34 * 33
     far = routes.filter("origen_id = 'A21' and destino_id = 'M02'").first()
     assert (far["tiempo_min"], far["origen"], far["destino"]) == (71, "La Estrella", "Parque Arví")

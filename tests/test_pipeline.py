@@ -118,7 +118,8 @@ def test_whole_pipeline(spark, inputs, layers, tmp_path):
 
 
 def test_network_tables(spark, layers):
-    gold.build_network(spark, transit.stations(spark), transit.links(spark), layers)
+    stations = transit.stations(spark)
+    gold.build_network(spark, stations, transit.links(spark), stations, layers)
     ranks = spark.table(layers.derived("red_pagerank"))
     assert ranks.count() == 34 and ranks.agg(F.sum("pagerank")).first()[0] == pytest.approx(1.0)
     assert sorted(r["ranking"] for r in ranks.collect()) == list(range(1, 35))
@@ -130,21 +131,37 @@ def test_missing_inputs(spark, inputs, tmp_path, layers):
         bronze.load_ridership(spark, [inputs["empty"], str(tmp_path / "no*.csv")], layers)
 
 
-def test_versions(spark, layers):
+def test_loads_lose_and_double_nothing(spark, layers, tmp_path):
+    """Equal base names, a superset, a grown file, a load that was cut off."""
     table = layers.raw("lecturas")
-    frame = lambda ids: spark.createDataFrame([(i, 1.0) for i in ids], "id bigint, pm25 double")
-    assert tables.append_version(frame([1, 2, 3]), table, 1) == 3
-    assert tables.append_version(frame([4, 5, 6]), table, 2) == 3
-    assert tables.as_of(spark, table, 1).count() == 3
-    tables.add_columns(spark, table, {"observacion": "string"})
-    tables.append_version(frame([7, 8]).withColumn("observacion", F.lit("x")), table, 3)
-    assert tables.append_version(frame([7, 8]).withColumn("observacion", F.lit("x")), table, 3) == 2
-    stored = spark.table(table)
-    assert stored.count() == 8 and stored.filter("observacion is null").count() == 6
-    assert [(r["added_records"], r["total_records"]) for r in tables.snapshots(spark, table).orderBy("_batch_id").collect()] == [(3, 3), (3, 6), (2, 8)]
-    assert tables.latest_version(spark, table).first()["_batch_id"] == 3
-    tables.drop_table(spark, table)
-    assert not spark.catalog.tableExists(table)
+    read = lambda found: spark.read.schema("i int, w string").csv(found)
+    load = lambda *names: tables.append_files(spark, [str(tmp_path / n) for n in names], table, "s", read)
+    held = lambda: sorted(r["i"] for r in spark.table(table).collect())
+    write(tmp_path / "2021/data.csv", "1,a\n")
+    write(tmp_path / "2022/data.csv", "2,b\n3,c\n")
+    assert load("2021/data.csv") == 1 and load("2022/data.csv") == 2
+    assert load("2021/data.csv", "2022/data.csv") == 0 and held() == [1, 2, 3]
+    write(tmp_path / "2023/data.csv", "9,z\n")
+    assert load("2021/data.csv", "2022/data.csv", "2023/data.csv") == 1
+    write(tmp_path / "2022/data.csv", "2,b\n3,c\n4,d\n")
+    assert load("2021/data.csv", "2022/data.csv") == 3 and held() == [1, 2, 3, 4, 9]
+    # The rows were written, the ledger was never closed: the next load takes them out and loads again.
+    write(tmp_path / "2024/data.csv", "7,x\n")
+    entry = [tuple(r) for r in tables.file_list(spark, [str(tmp_path / "2024/data.csv")]).collect()]
+    tables._note(spark, table, entry, "cut-off", False)
+    tables._write(tables.audited(read([entry[0][0]]), "s"), table, "fecha_ingesta")
+    assert load("2024/data.csv") == 1 and held() == [1, 2, 3, 4, 7, 9]
+    assert tables.append_raw(spark.createDataFrame([(5, "e")], "i int, w string"), table, "s", "frame") == 1
+    assert tables.append_raw(spark.createDataFrame([(5, "e")], "i int, w string"), table, "s", "frame") == 0
+
+
+def test_air_of_a_superset_is_not_doubled(spark, layers, tmp_path):
+    head = "timestamp,estacion_id,variable,valor\n"
+    a = write(tmp_path / "a.csv", head + "2020-05-01 01:00:00,S1,pm25,10\n")
+    b = write(tmp_path / "b.csv", head + "2020-05-01 02:00:00,S1,pm25,20\n")
+    assert bronze.load_air(spark, [a], layers=layers) == 1
+    assert bronze.load_air(spark, [a, b], layers=layers) == 1
+    assert sorted((r["pm25"], r["nombre_archivo"]) for r in spark.table(layers.raw("aire")).collect()) == [(10.0, "a.csv"), (20.0, "b.csv")]
 
 
 def test_monthly_station_files(spark, tmp_path):

@@ -36,8 +36,7 @@ def is_known_area(area: Column) -> Column:
 def corridor_of(address: Column) -> Column:
     """Corridor an address lies on: street kind and token, else a keyword's corridor, else null."""
     street = F.upper(F.trim(address))
-    pattern = rf"^({'|'.join(v.STREET_KINDS)})\s*([0-9A-Z]+)"
-    kind, token = (F.regexp_extract(street, pattern, group) for group in (1, 2))
+    kind, token = (F.regexp_extract(street, v.STREET_PATTERN, group) for group in (1, 2))
     corridor = F.when(kind != "", F.concat_ws(" ", F.initcap(kind), token))
     for word, name in v.STREET_KEYWORDS:
         corridor = corridor.when(street.contains(word), F.lit(name))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from vialis.operators.ranking import ranked
 from vialis.session import settle
 
-# A vertex is a hub from this many edges on, where it also holds more than one task's even share.
-HUB_EDGES = 100_000
+# Edges of a vertex that stay together; a vertex has as many parts as that takes.
+SPREAD = 10_000
 # Rounds between two lineage cuts.
 CUT_EVERY = 5
 # Decimals that count when ranks are compared, so equal vertices tie on any layout of the sums.
@@ -33,57 +33,48 @@ def pagerank(
     dst: str,
     rounds: int = 20,
     damping: float = 0.85,
-    hub_edges: int = HUB_EDGES,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """``id, pagerank`` after ``rounds`` power iterations over undirected edges.
 
     Ranks start even; what vertices without neighbours hold is not handed on.
     One round is one join and one aggregate: the vertices travel through the
     aggregate with a zero flow, so none is lost and no second join is needed.
-    Edges are laid out by source before the first round. Edges of hubs are kept apart. There can be no more hubs than tasks, since
-    each has more edges than an even share, so their ranks are sent to every
-    executor and the edges stay spread.
+    Edges are laid out before the first round by source and part: a vertex has
+    one part per ``spread`` edges, picked by a hash of the other end, and its
+    rank is sent to each of its parts. So the edges of a hub lie on many tasks.
     """
     session = vertices.sparkSession
     links = settle(both_ways(edges, src, dst))
     tasks = int(session.conf.get("spark.sql.shuffle.partitions"))
-    even_share = max(hub_edges, links.count() // tasks)
 
     degrees = links.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
+    parts = F.ceil(F.col("degree") / spread).cast("int")
     ids = vertices.select(F.col(key).alias("id"))
     nodes = ids.join(degrees, F.col("id") == F.col("src"), "left").select(
-        "id", "degree", F.coalesce(F.col("degree") > even_share, F.lit(False)).alias("hub")
-    )
+        "id", "degree", F.coalesce(parts, F.lit(1)).alias("parts"))
     nodes = settle(nodes)
     total = nodes.count()
-    hubs = nodes.filter("hub").select(F.col("id").alias("src"))
-    has_hubs = not hubs.isEmpty()
-    light, heavy = links, None
-    if has_hubs:
-        light = links.join(F.broadcast(hubs), "src", "left_anti")
-        heavy = settle(links.join(F.broadcast(hubs), "src", "left_semi"))
-    # Laid out once by source, so that a round moves only ranks and flows; a lost part is read again from `links`.
-    light = light.repartition(tasks, "src").sortWithinPartitions("src").persist(StorageLevel.MEMORY_AND_DISK)
+    counts = nodes.select(F.col("id").alias("src"), "parts")
+    laid = links.join(counts, "src").select("src", "dst", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int").alias("part"))
+    # Laid out once, so that a round moves only ranks and flows; a lost part is read again from `links`.
+    laid = laid.repartition(tasks, "src", "part").sortWithinPartitions("src", "part").persist(StorageLevel.MEMORY_AND_DISK)
 
     state = nodes.withColumn("rank", F.lit(1.0 / total))
     still = nodes.withColumn("flow", F.lit(0.0))
     for number in range(1, rounds + 1):
-        shares = state.select("id", "hub", (F.col("rank") / F.col("degree")).alias("flow"))
-        follow = lambda side, part: side.join(part, F.col("src") == F.col("id")).select(
-            F.col("dst").alias("id"), "flow"
-        )
-        flows = follow(light, shares.filter("not hub"))
-        if has_hubs:
-            flows = flows.unionByName(follow(heavy, F.broadcast(shares.filter("hub"))))
+        shares = state.select(
+            F.col("id").alias("src"), (F.col("rank") / F.col("degree")).alias("flow"),
+            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        flows = laid.join(shares, ["src", "part"]).select(F.col("dst").alias("id"), "flow")
         state = still.unionByName(flows, allowMissingColumns=True).groupBy("id").agg(
             F.max("degree").alias("degree"),
-            F.max("hub").alias("hub"),
+            F.max("parts").alias("parts"),
             (F.lit((1 - damping) / total) + F.sum("flow") * damping).alias("rank"),
         )
-        # With hubs a round reads the ranks twice, so they are settled each time.
-        if has_hubs or number % CUT_EVERY == 0 or number == rounds:
+        if number % CUT_EVERY == 0 or number == rounds:
             state = settle(state)
-    light.unpersist()
+    laid.unpersist()
     return state.select("id", F.col("rank").alias("pagerank"))
 
 
@@ -104,12 +95,12 @@ def shortest_routes(
     src: str,
     dst: str,
     weight: str,
-    sources: DataFrame | None = None,
+    sources: DataFrame,
 ) -> DataFrame:
     """Fastest route from every source to every vertex it reaches, with the stops on the way.
 
-    ``sources`` is a frame with the ``key`` column; all vertices by default, so
-    the result is as large as its pairs. Each round extends the routes that got
+    ``sources`` is a frame with the ``key`` column; the result is as large as the
+    pairs of sources and vertices. Each round extends the routes that got
     better in the round before by one edge; of equally fast routes the one with
     fewer stops stays, then the first by its list of ids. It ends when nothing
     gets better.
@@ -118,7 +109,7 @@ def shortest_routes(
     links = both_ways(edges, src, dst, weight).join(named, F.col("dst") == F.col("_dst")).drop("_dst")
     links = settle(links.groupBy("src", "dst", "dst_name").agg(F.min("weight").alias("weight")))
 
-    starts = vertices if sources is None else vertices.join(sources.select(key).distinct(), key, "left_semi")
+    starts = vertices.join(sources.select(key).distinct(), key, "left_semi")
     route = F.struct(
         F.lit(0).cast(edges.schema[weight].dataType).alias("minutes"), F.lit(1).alias("is_new"),
         F.array(key).alias("ids"), F.array(name).alias("names"),

@@ -47,21 +47,24 @@ def clean_ridership(df: DataFrame, day: str, line: str, hour: str, passengers: s
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool = False) -> DataFrame:
     """The row of each key that is first (or last) in ``order``; ties fall to the other columns.
 
-    The choice is an aggregate, so every task keeps one row per key before the
-    shuffle and a key with very many copies costs no more than any other. Rows
-    with a null in the key are no copies of each other: all of them stay.
+    A null in the order comes last either way: an unreadable value never beats a
+    readable one. The choice is an aggregate over structs, so every task keeps
+    one row per key before the shuffle and a key with very many copies costs no
+    more than any other; Spark plans it as a sort aggregate, which sorts the
+    rows of a task and spills. Rows with a null in the key are no copies of each
+    other: each gets a key part of its own and all of them stay, in the same pass.
     """
     rest = [c for c in df.columns if c not in keys]
-    entry = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *[F.col(c) for c in rest])
+    marks = [(o.isNull() != F.lit(last)).alias(f"_n{i}") for i, o in enumerate(order)]
+    parts = [x for i, o in enumerate(order) for x in (marks[i], o.alias(f"_o{i}"))]
+    entry = F.struct(*parts, *[F.col(c) for c in rest])
     known = F.lit(True)
     for k in keys:
         known &= F.col(k).isNotNull()
+    own = F.when(~known, F.monotonically_increasing_id())
     pick = F.max if last else F.min
-    kept = df.filter(known).groupBy(*keys).agg(pick(entry).alias("_e"))
-    kept = kept.select(*[F.col(c) if c in keys else F.col(f"_e.{c}").alias(c) for c in df.columns])
-    if not any(df.schema[k].nullable for k in keys):
-        return kept
-    return kept.unionByName(df.filter(~known))
+    kept = df.withColumns({"_own": own, "_e": entry}).groupBy(*keys, "_own").agg(pick("_e").alias("_e"))
+    return kept.select(*[F.col(c) if c in keys else F.col(f"_e.{c}").alias(c) for c in df.columns])
 
 
 def latest_per_entity(df: DataFrame, entity: Sequence[str], moment: str) -> DataFrame:

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from vialis.session import settle
 
-# Up to this many counted rows an order may be numbered inside single tasks.
-ONE_TASK_ROWS = 100_000
-
 
 def running_total(
     df: DataFrame,
@@ -20,26 +17,19 @@ def running_total(
     order: Sequence[Column],
     weight: Column | None = None,
     alias: str = "position",
-    one_task_rows: int = ONE_TASK_ROWS,
     settled: bool = False,
 ) -> DataFrame:
     """Running sum of ``weight`` (1 by default: the row number) along ``order`` in each group.
 
-    ``order`` has to be total. The rows are settled and counted first. A small
-    frame is numbered by one window. A larger one is cut into range partitions
-    of equal size by (group, order), each numbered on its own, and every part
-    starts from the total of the parts before it; that step sees one row per
-    group and part, so no task holds a whole large group. ``settled`` says that
-    ``df`` already is a settled frame.
+    ``order`` has to be total. The rows are cut into range partitions of equal
+    size by (group, order), each numbered on its own, and every part starts from
+    the total of the parts before it; that step sees one row per group and part,
+    so no task holds a whole large group. ``settled`` says that ``df`` already is
+    a settled frame.
     """
     weight = F.lit(1) if weight is None else weight
     rows = df.withColumn("_w", weight.cast("bigint"))
     rows = rows if settled else settle(rows)
-    until_here = (W.unboundedPreceding, W.currentRow)
-    if rows.count() <= one_task_rows:
-        along = W.partitionBy(*groups).orderBy(*order).rowsBetween(*until_here)
-        return rows.withColumn(alias, F.sum("_w").over(along)).drop("_w")
-
     sliced = rows.repartitionByRange(*[F.col(g) for g in groups], *order)
     sliced = settle(sliced.withColumn("_slice", F.spark_partition_id()))
     before = W.partitionBy(*groups).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
@@ -51,7 +41,7 @@ def running_total(
     same_part = F.col("_slice") == F.col("_s")
     for g in groups:
         same_part &= F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    along = W.partitionBy(*groups, "_slice").orderBy(*order).rowsBetween(*until_here)
+    along = W.partitionBy(*groups, "_slice").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     numbered = sliced.withColumn("_inside", F.sum("_w").over(along)).join(starts, same_part)
     return numbered.withColumn(alias, F.col("_start") + F.col("_inside")).select(
         *[c for c in df.columns if c != alias], alias

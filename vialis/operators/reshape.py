@@ -1,4 +1,4 @@
-"""Wide to long, hourly totals to timed parts, and the two legacy text layouts."""
+"""Wide to long, and the two legacy text layouts."""
 
 from __future__ import annotations
 
@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vialis.functions.calendar import canonical_moment, day_first_text, parse_day, parse_legacy_moment
-from vialis.functions.geo import pipe_text
+from vialis.functions.calendar import canonical_moment, parse_day, parse_legacy_moment
 from vialis.functions.messages import field_count
 from vialis.operators.quality import one_per_key
 
@@ -18,7 +17,6 @@ NEW_FIELDS = ("nro_radicado", "fecha", "clase", "gravedad", "barrio", "comuna",
 CANONICAL = ("nro_radicado", "fecha", "anio", "mes", "clase", "gravedad", "barrio", "comuna",
              "direccion", "longitud", "latitud")
 OLD_LAYOUT, NEW_LAYOUT = "pre2017", "post2017"
-FIRST_NEW_YEAR = 2017
 
 # Status of a line in the quality counters.
 MALFORMED, NO_ID, BAD_DATE = "lineas_malformadas", "sin_radicado", "fecha_no_reconocida"
@@ -52,8 +50,8 @@ def stations_to_rows(df: DataFrame, moment: str, variable: str, stations: Sequen
     )
 
 
-def micro_events(df: DataFrame, day: str, hour: str, line: str, passengers: str, parts: int = 12) -> DataFrame:
-    """Each hourly total as ``parts`` timed events that add up to it; the first ones take the remainder."""
+def spread_evenly(df: DataFrame, day: str, hour: str, line: str, passengers: str, parts: int = 12) -> DataFrame:
+    """Hourly totals resampled to ``parts`` equal times that add up to them; the first ones take the remainder."""
     start = F.col(day).cast("timestamp") + F.make_dt_interval(hours=F.col(hour))
     minute = F.floor(F.col("_i") * 60 / parts).cast("int")
     share = F.floor(F.col(passengers) / parts) + F.when(F.col("_i") < F.col(passengers) % parts, 1).otherwise(0)
@@ -66,31 +64,15 @@ def micro_events(df: DataFrame, day: str, hour: str, line: str, passengers: str,
     )
 
 
-def legacy_lines(df: DataFrame, moment: str) -> DataFrame:
-    """Text lines in the layout of their year: day-first with seven fields before 2017, else ISO with eight.
-
-    ``df`` has the fields of the newer layout except ``fecha``, which is taken
-    from ``moment``.
-    """
-    at = F.col(moment)
-    iso = F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000Z"))
-    old = df.filter(F.year(at) < FIRST_NEW_YEAR).withColumns(
-        {"fecha": day_first_text(at), "ubicacion": pipe_text(F.col("ubicacion"))}
-    )
-    new = df.filter(F.year(at) >= FIRST_NEW_YEAR).withColumn("fecha", iso)
-    line = lambda fields: F.to_csv(F.struct(*fields), {"escape": '"'}).alias("value")
-    return old.select(line(OLD_FIELDS)).unionByName(new.select(line(NEW_FIELDS)))
-
-
-def read_legacy(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Fields of every line with its layout and a ``status`` that says whether it is usable."""
+def read_legacy(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Fields of every line with its layout, a ``status`` that says whether it is usable, and the columns in ``keep``."""
     text = F.col(value)
     slots = [f"f{i}" for i in range(len(NEW_FIELDS))]
     parsed = F.from_csv(text, ", ".join(f"{s} string" for s in slots), {"escape": '"'})
     # One generated row per line: the parse runs once, and no later filter is moved before it.
     rows = lines.filter(F.trim(text) != "").select(
-        F.inline(F.array(F.struct(field_count(text).alias("_fields"), parsed.alias("_f"))))
-    ).select("_fields", "_f.*")
+        *keep, F.inline(F.array(F.struct(field_count(text).alias("_fields"), parsed.alias("_f"))))
+    ).select(*keep, "_fields", "_f.*")
     is_old, is_new = F.col("_fields") == len(OLD_FIELDS), F.col("_fields") == len(NEW_FIELDS)
 
     def field(name: str) -> Column:
@@ -99,7 +81,7 @@ def read_legacy(lines: DataFrame, value: str = "value") -> DataFrame:
         return F.coalesce(F.trim(chosen), F.lit("")).alias(name)
 
     layout = F.when(is_old, F.lit(OLD_LAYOUT)).when(is_new, F.lit(NEW_LAYOUT)).alias("layout")
-    rows = rows.select(layout, *[field(n) for n in NEW_FIELDS])
+    rows = rows.select(*keep, layout, *[field(n) for n in NEW_FIELDS])
     place = F.when(
         F.col("layout") == OLD_LAYOUT, F.split("ubicacion", r"\|", 2)
     ).otherwise(F.split(F.regexp_replace("ubicacion", r"[\[\] ]", ""), ",", 2))
@@ -113,26 +95,26 @@ def read_legacy(lines: DataFrame, value: str = "value") -> DataFrame:
         .when(F.col("_at").isNull(), F.lit(BAD_DATE))
         .otherwise(F.concat(F.lit("esquema_"), F.col("layout")))
     )
-    return rows.withColumns({
+    rows = rows.withColumns({
         "status": status,
         "fecha": canonical_moment(F.col("_at")),
         "anio": F.year("_at"),
         "mes": F.month("_at"),
     })
     # Again one generated row, so that a filter on the status reads it and does not repeat the parse.
-    return rows.select(F.inline(F.array(F.struct("status", "layout", *CANONICAL))))
+    return rows.select(*keep, F.inline(F.array(F.struct("status", "layout", *CANONICAL))))
 
 
 def _usable(read: DataFrame) -> DataFrame:
     return read.filter(F.col("status").startswith("esquema_"))
 
 
-def normalise_legacy(lines: DataFrame, value: str = "value") -> DataFrame:
+def normalise_legacy(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Canonical rows, one per record id: the newer layout wins, then the first by value."""
-    usable = _usable(read_legacy(lines, value))
+    usable = _usable(read_legacy(lines, value, keep))
     newest_first = F.when(F.col("layout") == NEW_LAYOUT, 0).otherwise(1)
     order = [newest_first, *[F.col(c) for c in CANONICAL if c != "nro_radicado"]]
-    return one_per_key(usable, ["nro_radicado"], order).select(*CANONICAL)
+    return one_per_key(usable, ["nro_radicado"], order).select(*CANONICAL, *keep)
 
 
 def legacy_counters(lines: DataFrame, value: str = "value") -> DataFrame:

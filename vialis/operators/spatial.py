@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from vialis.functions.geo import edges_of, is_inside, rings_of
 
-# Grid step in degrees, and the index size up to which it may travel to every executor.
+# Grid step in degrees.
 CELL_DEGREES = 0.005
-BROADCAST_BYTES = 32 * 1024 * 1024
 # Share of a cell by which its sides are moved out, so that rounding never leaves a point outside its cell.
 MARGIN = 1e-6
 
@@ -55,12 +54,6 @@ def _covers(entry, lon: Column, lat: Column) -> Column:
     return entry("_whole") | is_inside(lon, lat, entry("_edges"))
 
 
-def _index_bytes(index: DataFrame) -> int:
-    """Upper estimate of the index in memory: edges of four doubles plus the fixed fields of a row."""
-    size = F.sum(F.size("_edges") * 32 + F.length(F.col("_area").cast("string")) * 4 + 128)
-    return index.agg(size.alias("n")).first()["n"] or 0
-
-
 def assign_area(
     points: DataFrame,
     polygons: DataFrame,
@@ -72,31 +65,28 @@ def assign_area(
     alias: str = "area",
     cell: float = CELL_DEGREES,
     holes: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Points with the first polygon, by ``order``, that holds them; null outside all of them.
 
-    The polygon index is measured. A small one is grouped by cell and sent to
-    the executors: points stay where they are and each meets one row. A larger
-    one is joined on the cell by shuffle, with equal coordinates tested once,
-    which also leaves a crowded place no heavier than any other.
+    Polygons with equal order values come by name, those without one last.
+    Distinct coordinates are joined with the polygon index on the grid cell, so
+    a crowded place is tested once and is no heavier than any other; whether
+    the index travels to the executors is left to Spark's own size check.
+    Points without coordinates meet nothing and take no part in the joins.
     """
     index = area_index(polygons, name, geojson, order, cell, holes)
-    cell_of = lambda c: F.floor(F.col(c) / cell)
-
-    if _index_bytes(index) <= broadcast_bytes:
-        entry = F.struct("_rank", "_area", "_whole", "_edges")
-        cells = index.groupBy("_cx", "_cy").agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
-        held = F.filter("_entries", lambda e: _covers(lambda f: e[f], F.col(lon), F.col(lat)))
-        placed = points.withColumns({"_cx": cell_of(lon), "_cy": cell_of(lat)})
-        joined = placed.join(F.broadcast(cells), ["_cx", "_cy"], "left")
-        return joined.select(*points.columns, F.get(held, F.lit(0))["_area"].alias(alias))
-
-    spots = points.select(F.col(lon).alias("_lon"), F.col(lat).alias("_lat")).distinct()
-    spots = spots.withColumns({"_cx": cell_of("_lon"), "_cy": cell_of("_lat")})
+    located = F.col(lon).isNotNull() & F.col(lat).isNotNull()
+    spots = points.filter(located).select(F.col(lon).alias("_lon"), F.col(lat).alias("_lat")).distinct()
+    spots = spots.withColumns({"_cx": F.floor(F.col("_lon") / cell), "_cy": F.floor(F.col("_lat") / cell)})
     hits = spots.join(index, ["_cx", "_cy"]).filter(_covers(F.col, F.col("_lon"), F.col("_lat")))
-    first = hits.groupBy("_lon", "_lat").agg(F.min_by("_area", "_rank").alias("_area"))
-    joined = points.join(first, (F.col(lon) == F.col("_lon")) & (F.col(lat) == F.col("_lat")), "left")
+    place = F.struct(F.col("_rank").isNull(), F.col("_rank"), F.col("_area"))
+    first = hits.groupBy("_lon", "_lat").agg(F.min(place)["_area"].alias("_area"))
+    # A row without coordinates gets a key of its own, so that all of them do not meet in one task.
+    apart = F.when(~located, -1.0 - F.monotonically_increasing_id())
+    keyed = points.withColumn("_apart", F.coalesce(apart, F.lit(0.0)))
+    first = first.withColumn("_apart_0", F.lit(0.0))
+    same = (F.col(lon) == F.col("_lon")) & (F.col(lat) == F.col("_lat")) & (F.col("_apart") == F.col("_apart_0"))
+    joined = keyed.join(first, same, "left")
     return joined.select(*points.columns, F.col("_area").alias(alias))
 
 

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vialis import vocabulary as v
 from vialis.functions.privacy import pseudonymise
 from vialis.functions.text import zone_of
 from vialis.operators.quality import clean_ridership, clear_sentinels, fill_absent, require_columns
 from vialis.operators.reshape import normalise_legacy
-from vialis.operators.rollups import long_to_wide
 from vialis.plans import DEFAULT, Layers
 from vialis.sources import files, tables
 
@@ -22,82 +21,92 @@ AIR_COLUMNS = ("estacion_id", "estacion_nombre", "zona", "latitud", "longitud",
 STATION_COLUMNS = {"estacion_nombre": "string", "latitud": "double", "longitud": "double", "municipio": "string"}
 
 
-def _names(paths: Sequence[str]) -> str:
-    return ";".join(p.rsplit("/", 1)[-1] for p in paths)
-
-
-def load_incidents(spark: SparkSession, paths: Sequence[str], layers: Layers = DEFAULT) -> int:
-    rows = files.read_text_table(spark, files.existing_inputs(spark, paths))
-    return tables.append_raw(rows, layers.raw("incidentes"), "incidentes_viales")
+def load_incidents(spark: SparkSession, paths: Sequence[str], layers: Layers = DEFAULT, multiline: bool = True) -> int:
+    """Incidents as text. Without line breaks inside fields pass ``multiline=False``, so that large files are split."""
+    return tables.append_files(
+        spark, files.existing_inputs(spark, paths), layers.raw("incidentes"), "incidentes_viales",
+        lambda found: files.read_text_table(spark, found, multiline))
 
 
 def load_ridership(spark: SparkSession, paths: Sequence[str], layers: Layers = DEFAULT) -> int:
-    rows = files.read_ridership(spark, files.existing_inputs(spark, paths))
-    rows = require_columns(rows, ["fecha", "linea", "hora", "pasajeros"])
-    rows = clean_ridership(rows, "fecha", "linea", "hora", "pasajeros")
-    return tables.append_raw(rows, layers.raw("afluencia"), "afluencia_real")
+    def read(found: list[str]) -> DataFrame:
+        rows = require_columns(files.read_ridership(spark, found), ["fecha", "linea", "hora", "pasajeros"])
+        return clean_ridership(rows, "fecha", "linea", "hora", "pasajeros")
+
+    return tables.append_files(spark, files.existing_inputs(spark, paths), layers.raw("afluencia"), "afluencia_real", read)
 
 
 def load_trips(spark: SparkSession, paths: Sequence[str], key: str, layers: Layers = DEFAULT) -> int:
     """Bike trips; user ids are stored only as keyed pseudonyms."""
-    rows = require_columns(files.read_trips(spark, files.existing_inputs(spark, paths)), ["id_usuario"])
-    return tables.append_raw(pseudonymise(rows, "id_usuario", key), layers.raw("viajes"), "prestamos_bici")
+    def read(found: list[str]) -> DataFrame:
+        rows = tables.with_path(require_columns(files.read_trips(spark, found), ["id_usuario"]))
+        return pseudonymise(rows, "id_usuario", key)
+
+    return tables.append_files(spark, files.existing_inputs(spark, paths), layers.raw("viajes"), "prestamos_bici", read)
 
 
 def load_air(
     spark: SparkSession, readings: Sequence[str], stations: Sequence[str] | None = None, layers: Layers = DEFAULT
 ) -> int:
-    """Long readings of several files as one row per time and station, beside the station's data.
+    """Long readings of several files, in one scan, as one row per time and station, beside the station's data.
 
     The missing-value marker is cleared before readings of one key are averaged.
+    A row names all files it was made of.
     """
-    found = files.existing_inputs(spark, readings)
-    long = reduce(DataFrame.unionByName, [files.read_readings(spark, p) for p in found])
-    long = clear_sentinels(long, ["valor"])
-    wide = long_to_wide(long, ["timestamp", "estacion_id"], "variable", ["pm25", "pm10"], "valor")
-    if stations is not None:
-        wide = wide.join(files.read_stations(spark, files.existing_inputs(spark, stations)), "estacion_id", "left")
-    wide = fill_absent(wide, STATION_COLUMNS).withColumn("zona", zone_of(F.col("municipio")))
-    wide = fill_absent(wide, {c: "double" for c in WEATHER})
-    return tables.append_raw(wide.select(*AIR_COLUMNS), layers.raw("aire"), "aire_real", _names(found))
+    def read(found: list[str]) -> DataFrame:
+        long = clear_sentinels(tables.with_path(files.read_readings(spark, found)), ["valor"])
+        wide = long.groupBy("timestamp", "estacion_id").agg(
+            *[F.avg(F.when(F.col("variable") == name, F.col("valor"))).alias(name) for name in ("pm25", "pm10")],
+            F.concat_ws(";", F.sort_array(F.collect_set(v.FILE_PATH))).alias(v.FILE_PATH),
+        )
+        if stations is not None:
+            wide = wide.join(files.read_stations(spark, files.existing_inputs(spark, stations)), "estacion_id", "left")
+        wide = fill_absent(wide, STATION_COLUMNS).withColumn("zona", zone_of(F.col("municipio")))
+        return fill_absent(wide, {c: "double" for c in WEATHER}).select(*AIR_COLUMNS, v.FILE_PATH)
+
+    return tables.append_files(spark, files.existing_inputs(spark, readings), layers.raw("aire"), "aire_real", read)
 
 
 def load_polygons(spark: SparkSession, paths: Sequence[str], layers: Layers = DEFAULT) -> int:
-    found = files.existing_inputs(spark, paths)
-    return tables.append_raw(files.read_geojson(spark, found), layers.raw("poligonos"), "limites_osm", _names(found))
+    return tables.append_files(
+        spark, files.existing_inputs(spark, paths), layers.raw("poligonos"), "limites_osm",
+        lambda found: files.read_geojson(spark, found, v.FILE_PATH))
 
 
 def load_counts(
-    spark: SparkSession, manual: Sequence[str] = (), cameras: Sequence[str] = (),
-    camera_rows: int | None = None, camera_order: Sequence[Column] = (), layers: Layers = DEFAULT,
+    spark: SparkSession, manual: Sequence[str] = (), cameras: Sequence[str] = (), layers: Layers = DEFAULT,
+    multiline: bool = True,
 ) -> int:
     """Manual and camera counts in one table, each with the columns of its own schema.
 
-    ``camera_rows`` caps an oversized camera delivery, in ``camera_order``.
+    The manual files give the table its columns, so they are loaded first;
+    columns that only camera files have are added to it.
     """
-    parts, names = [], []
+    table, written = layers.raw("aforos"), 0
     for kind, paths in (("manual", manual), ("camara", cameras)):
         if not paths:
             continue
-        found = files.existing_inputs(spark, paths)
-        rows = files.read_text_table(spark, found)
-        if kind == "camara" and camera_rows is not None:
-            rows = files.capped(rows, camera_rows, camera_order)
-        parts.append(rows.withColumn("tipo_aforo", F.lit(kind)))
-        names += found
-    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return tables.append_raw(both, layers.raw("aforos"), "aforos_trafico", _names(names))
+
+        def read(found: list[str], kind: str = kind) -> DataFrame:
+            rows = tables.with_path(files.read_text_table(spark, found, multiline)).withColumn("tipo_aforo", F.lit(kind))
+            return tables.with_table_columns(rows, table)
+
+        written += tables.append_files(spark, files.existing_inputs(spark, paths), table, "aforos_trafico", read)
+    return written
 
 
 def load_legacy(spark: SparkSession, paths: Sequence[str], layers: Layers = DEFAULT) -> int:
     """Text lines of both legacy layouts, normalised and with one row per record id."""
-    found = files.existing_inputs(spark, paths)
-    rows = normalise_legacy(spark.read.text(found))
-    rows = rows.withColumns({c: F.col(c).try_cast("double") for c in ("longitud", "latitud")})
-    return tables.append_raw(rows, layers.raw("incidentes_legado"), "incidentes_legado", _names(found))
+    def read(found: list[str]) -> DataFrame:
+        rows = normalise_legacy(tables.with_path(spark.read.text(found)), keep=[v.FILE_PATH])
+        return rows.withColumns({c: F.col(c).try_cast("double") for c in ("longitud", "latitud")})
+
+    return tables.append_files(
+        spark, files.existing_inputs(spark, paths), layers.raw("incidentes_legado"), "incidentes_legado", read)
 
 
 def load_canonical(spark: SparkSession, paths: Sequence[str], layers: Layers = DEFAULT) -> int:
     """Incidents another job has already normalised to tab-separated parts."""
-    rows = files.read_canonical_incidents(spark, files.existing_inputs(spark, paths))
-    return tables.append_raw(rows, layers.raw("incidentes_legado"), "incidentes_legado")
+    return tables.append_files(
+        spark, files.existing_inputs(spark, paths), layers.raw("incidentes_legado"), "incidentes_legado",
+        lambda found: files.read_canonical_incidents(spark, found))

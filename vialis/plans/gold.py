@@ -67,9 +67,9 @@ def risk_corridors(incidents: DataFrame, k: int = RISK_AREAS, streets: int = STR
 
 
 def export_references(percentiles: DataFrame, corridors: DataFrame, root: str) -> None:
-    """The two references of the streaming jobs as JSON below ``root``."""
+    """The two references of the streaming jobs as JSON below ``root``; corridors one per line."""
     write_json(percentiles, f"{root}/percentiles_linea")
-    write_json(corridors.agg(F.collect_set("corredor").alias("corredores")), f"{root}/corredores_riesgo")
+    write_json(corridors.select(F.array("corredor").alias("corredores")).distinct(), f"{root}/corredores_riesgo")
 
 
 def network_centrality(stations: DataFrame, links: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def network_centrality(stations: DataFrame, links: DataFrame) -> DataFrame:
         "id", "nombre", "linea", "longitud", "latitud", "pagerank", "ranking")
 
 
-def network_routes(stations: DataFrame, links: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+def network_routes(stations: DataFrame, links: DataFrame, sources: DataFrame) -> DataFrame:
     return graph.route_table(graph.shortest_routes(
         stations, links, "id", "nombre", "origen", "destino", "minutos", sources=sources))
 
@@ -99,9 +99,12 @@ def build(spark: SparkSession, layers: Layers = DEFAULT) -> None:
     replace_table(line_percentiles(clean("afluencia_horaria")), layers.derived("percentiles_linea"))
 
 
-def build_network(spark: SparkSession, stations: DataFrame, links: DataFrame, layers: Layers = DEFAULT) -> None:
+def build_network(
+    spark: SparkSession, stations: DataFrame, links: DataFrame, sources: DataFrame, layers: Layers = DEFAULT
+) -> None:
+    """Centrality of all stations, and the routes from ``sources``."""
     replace_table(network_centrality(stations, links), layers.derived("red_pagerank"))
-    replace_table(network_routes(stations, links), layers.derived("red_rutas_optimas"))
+    replace_table(network_routes(stations, links, sources), layers.derived("red_rutas_optimas"))
 
 
 def build_model(spark: SparkSession, path: str, layers: Layers = DEFAULT) -> None:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vialis.functions.calendar import day_first_text
+from vialis.functions.geo import pipe_text
 from vialis.operators import reports, reshape
 from vialis.questions.base import table
 
 # Days that move the order dates to both sides of 2017.
 SHIFT_DAYS = 18 * 365
+FIRST_NEW_YEAR = 2017
 
 
 def records(spark, sf_dir):
@@ -28,6 +31,22 @@ def records(spark, sf_dir):
     )
 
 
+def legacy_lines(df, moment):
+    """Text lines in the layout of their year: day-first with seven fields before 2017, else ISO with eight.
+
+    ``df`` has the fields of the newer layout except ``fecha``, which is taken
+    from ``moment``.
+    """
+    at = F.col(moment)
+    iso = F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000Z"))
+    old = df.filter(F.year(at) < FIRST_NEW_YEAR).withColumns(
+        {"fecha": day_first_text(at), "ubicacion": pipe_text(F.col("ubicacion"))}
+    )
+    new = df.filter(F.year(at) >= FIRST_NEW_YEAR).withColumn("fecha", iso)
+    line = lambda fields: F.to_csv(F.struct(*fields), {"escape": '"'}).alias("value")
+    return old.select(line(reshape.OLD_FIELDS)).unionByName(new.select(line(reshape.NEW_FIELDS)))
+
+
 def lines(spark, sf_dir):
     """All records as text, beside a line of the wrong length and one with a bad date per urgent order."""
     urgent = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
@@ -36,7 +55,7 @@ def lines(spark, sf_dir):
         F.concat(F.col("o_orderkey").cast("string"), F.lit(',ayer,c,g,"x, y",dir,1|2')),
         F.lit("   "),
     )).alias("value"))
-    return reshape.legacy_lines(records(spark, sf_dir), "momento").unionByName(spoiled)
+    return legacy_lines(records(spark, sf_dir), "momento").unionByName(spoiled)
 
 
 def legacy_normalise(spark, sf_dir):

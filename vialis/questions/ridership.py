@@ -177,7 +177,7 @@ def wide_to_long(spark, sf_dir):
 
 
 def micro_events(spark, sf_dir):
-    return local_times(reshape.micro_events(hourly(spark, sf_dir), "fecha", "hora", "linea", "pasajeros"), "timestamp")
+    return local_times(reshape.spread_evenly(hourly(spark, sf_dir), "fecha", "hora", "linea", "pasajeros"), "timestamp")
 
 
 QUERIES = {q.__name__: q for q in (

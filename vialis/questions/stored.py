@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vialis.functions.geo import rings_of
 from vialis.functions.text import corridor_of
+from vialis.operators.ranking import first_rows, running_total
 from vialis.questions import incidents, ridership
 from vialis.questions.base import events, sql_shown, table, with_shown
 from vialis.session import scratch_folder, settle
@@ -61,36 +62,69 @@ def small_replace(spark, sf_dir):
 
 
 def versioned(spark, sf_dir) -> str:
+    """One table, a partition per batch."""
     target = f"{layer(spark)}.lecturas"
-    for number, batch in enumerate(batches(spark, sf_dir), start=1):
-        tables.append_version(batch, target, number, summary={"source": "muestra"})
+    rows = [b.withColumn("_batch_id", F.lit(n)) for n, b in enumerate(batches(spark, sf_dir), start=1)]
+    for batch in rows:
+        batch.write.mode("append").partitionBy("_batch_id").saveAsTable(target)
     return target
 
 
 def versioned_read(spark, sf_dir):
-    """The table as of its second batch, after a third one was written."""
-    past = tables.as_of(spark, versioned(spark, sf_dir), 2)
+    """The first two batches of a table partitioned by batch; the third is pruned."""
+    past = spark.table(versioned(spark, sf_dir)).filter("_batch_id <= 2")
     return past.groupBy("_batch_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def snapshots(spark, sf_dir):
-    target = versioned(spark, sf_dir)
-    tables.append_version(batches(spark, sf_dir)[2], target, 3)
-    return tables.snapshots(spark, target).select("_batch_id", "operation", "added_records", "total_records", "added_in_summary")
+    """Rows per batch and their running total."""
+    counted = spark.table(versioned(spark, sf_dir)).groupBy("_batch_id").agg(F.count(F.lit(1)).alias("added_records"))
+    summed = running_total(counted, [], [F.col("_batch_id")], F.col("added_records"), "total_records")
+    return summed.select("_batch_id", F.lit("append").alias("operation"), "added_records", "total_records",
+                         F.col("added_records").alias("added_in_summary"))
 
 
 def schema_evolution(spark, sf_dir):
     """A column added between two batches: old rows read null."""
     target = f"{layer(spark)}.lecturas"
     first, second, _ = batches(spark, sf_dir)
-    tables.append_version(first, target, 1)
-    tables.add_columns(spark, target, {"observacion": "string"})
-    spark.catalog.refreshTable(target)
-    tables.append_version(second.withColumn("observacion", F.lit("nueva")), target, 2)
-    return spark.table(target).groupBy("_batch_id").agg(
+    tables.append_raw(first, target, "lecturas", "1")
+    more = tables.with_table_columns(second.withColumn("observacion", F.lit("nueva")), target)
+    tables.append_raw(more, target, "lecturas", "2")
+    return spark.table(target).groupBy(F.col("ruta_archivo").cast("int").alias("_batch_id")).agg(
         F.count(F.lit(1)).alias("filas"), F.count_if(F.col("observacion").isNull()).alias("sin_observacion"))
 
 
+def bronze_same_names(spark, sf_dir):
+    """Equal base names in two folders, a load of a superset, a grown file: every row is there once."""
+    target, root = f"{layer(spark)}.pedidos", scratch_folder(spark, "nombres")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+
+    def put(status: str, rows) -> str:
+        """The rows as one file, named alike in every folder."""
+        place = hadoop.Path(f"{root}/{status}/data.csv")
+        files.write_csv(rows.coalesce(1), f"{root}/_{status}")
+        part = hadoop.Path(files.existing_inputs(spark, [f"{root}/_{status}/part-*.csv"])[0])
+        system = part.getFileSystem(conf)
+        system.mkdirs(place.getParent())
+        system.delete(place, False)
+        system.rename(part, place)
+        return place.toString()
+
+    read = lambda found: spark.read.schema("o_orderkey bigint, o_orderstatus string").csv(found, header=True)
+    load = lambda paths: tables.append_files(spark, paths, target, "pedidos", read)
+    of = lambda status: orders.filter(F.col("o_orderstatus") == status)
+    paths = [put("F", of("F")), put("O", of("O").filter("o_orderkey % 2 = 0"))]
+    load(paths[:1])
+    load(paths)
+    paths[1] = put("O", of("O"))
+    load(paths)
+    load([*paths, put("P", of("P"))])
+    return spark.table(target).groupBy("o_orderstatus", "nombre_archivo").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("distintos"))
+
+
 def layer_names(spark, sf_dir):
     """Layers made twice without harm; a dropped table is gone; the counts come from what is left."""
     name = layer(spark)
@@ -240,10 +274,10 @@ def reference_table(spark, sf_dir):
 
 
 def corridor_export(spark, sf_dir):
-    """Corridors exported as one JSON document and read back, each once."""
+    """Corridors exported as JSON lines and read back, each once."""
     path = scratch_folder(spark, "corredores")
     named = incidents.street_to_corridor(spark, sf_dir).filter(F.col("corredor").isNotNull()).select("corredor").distinct()
-    files.write_json(named.agg(F.collect_set(F.concat(F.lit(" "), "corredor")).alias("corredores")), path)
+    files.write_json(named.select(F.array(F.concat(F.lit(" "), "corredor")).alias("corredores")), path)
     return tables.load_risk_corridors(spark, path)
 
 
@@ -279,10 +313,10 @@ def pruned_scan(spark, sf_dir):
 
 
 def capped_scan(spark, sf_dir):
-    """The row cap of an oversized camera file: the first rows in a fixed order."""
+    """The thousand rows that come first in a fixed order: a top-k report over the whole table."""
     order = [F.asc("l_shipdate"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey"),
              F.asc("l_extendedprice"), F.asc("l_tax"), F.asc("l_discount")]
-    kept = files.capped(table(spark, sf_dir, "lineitem"), 1000, order)
+    kept = first_rows(table(spark, sf_dir, "lineitem"), order, 1000)
     return kept.select("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
@@ -290,7 +324,7 @@ QUERIES = {q.__name__: q for q in (
     bronze_append, source_files, derived_replace, small_replace, versioned_read, snapshots, schema_evolution, layer_names,
     geojson_features, json_stations, csv_text, csv_ridership, csv_trips, csv_readings, tsv_stations, tsv_canonical,
     station_months, reference_export, reference_table, corridor_export, corridors_default, format_comparison, pruned_scan,
-    capped_scan,
+    capped_scan, bronze_same_names,
 )}
 
 _BATCH = "CASE WHEN event_type IN ('click', 'error') THEN 1 WHEN event_type = 'view' THEN 2 ELSE 3 END"
@@ -299,6 +333,8 @@ _STREET = incidents.SQL["street_to_corridor"]
 SQL = {
     "bronze_append": f"""SELECT 'eventos_muestra' AS fuente_id, 'lote_' || ({_BATCH} - 1) || '.parquet' AS nombre_archivo, event_type,
         count(*) AS n, count(*) AS con_hora, count(*) AS con_fecha FROM events GROUP BY ALL""",
+    "bronze_same_names": """SELECT o_orderstatus, 'data.csv' AS nombre_archivo, count(*) AS n, count(DISTINCT o_orderkey) AS distintos
+        FROM orders GROUP BY 1""",
     "source_files": "SELECT 'orders.parquet' AS nombre_archivo, 'pedidos' AS fuente_id, count(*) AS n FROM orders",
     "derived_replace": incidents.SQL["severity_by_area_year"].split(",\n               CAST(row_number()")[0] + " FROM severity",
     "small_replace": ridership.SQL["band_percentiles"],

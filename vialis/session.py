@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_made: dict[str, list[str]] = {}
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,6 +22,8 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Pseudonym keys are literals of a plan.
+    "spark.sql.redaction.string.regex": "[0-9a-fA-F]{64,}",
 }
 
 
@@ -57,18 +61,29 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the shared root; nothing is created yet."""
-    return f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared root; nothing is created yet. ``clear_scratch`` deletes it."""
+    path = f"{shared_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so later steps see fixed rows.
+    """Write ``df`` as Parquet to the shared folder and read it back: fixed rows for later steps, pruned to their columns.
 
     The files outlive the executors that wrote them: a lost executor costs a
     re-read, not a recomputation of everything before this point.
     """
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_folder(spark, "settled")
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application left below the shared root; call it when its results are stored."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 _shipped: set[str] = set()

@@ -84,11 +84,12 @@ def read_canonical_incidents(spark: SparkSession, paths) -> DataFrame:
     return rows.withColumns({c: F.col(c).try_cast("double") for c in ("longitud", "latitud")})
 
 
-def read_geojson(spark: SparkSession, paths) -> DataFrame:
-    """One row per feature of a FeatureCollection with the geometry as JSON text."""
+def read_geojson(spark: SparkSession, paths, path_column: str | None = None) -> DataFrame:
+    """One row per feature of a FeatureCollection with the geometry as JSON text, and its file's path if asked for."""
     files = spark.read.schema(FEATURE_SCHEMA).json(paths, multiLine=True)
-    feature = files.select(F.explode("features").alias("f"))
-    return feature.select("f.properties.*", F.col("f.geometry").alias("geometry_geojson"))
+    place = [] if path_column is None else [F.col("_metadata.file_path").alias(path_column)]
+    feature = files.select(F.explode("features").alias("f"), *place)
+    return feature.select("f.properties.*", F.col("f.geometry").alias("geometry_geojson"), *[c for c in feature.columns if c != "f"])
 
 
 def read_bike_stations(spark: SparkSession, paths) -> DataFrame:
@@ -126,11 +127,6 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str], conditi
     return rows.select(*columns)
 
 
-def capped(df: DataFrame, rows: int, order: Sequence[Column]) -> DataFrame:
-    """At most ``rows`` rows, the same ones each time: the cap for oversized camera files."""
-    return df.orderBy(*order).limit(rows)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 

@@ -1,14 +1,15 @@
-"""Layered tables: audit columns, appends, replaced tables, versioned batches, references."""
+"""Layered tables: audit columns, appends with a ledger of files, replaced tables, references."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vialis import vocabulary as v
+from vialis.session import settle
 
 
 def create_layers(spark: SparkSession, root: str | None = None, names: Sequence[str] = v.LAYERS) -> None:
@@ -21,47 +22,128 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def audited(df: DataFrame, source: str, file_name: str | Column | None = None) -> DataFrame:
-    """The four audit columns; without a name given, each row carries the file it came from."""
-    if file_name is None:
-        name = F.col("_metadata.file_name")
-    else:
-        name = file_name if isinstance(file_name, Column) else F.lit(file_name)
+def with_path(df: DataFrame) -> DataFrame:
+    """The full path of the file each row was read from, before rows of several files are combined."""
+    return df.withColumn(v.FILE_PATH, F.col("_metadata.file_path"))
+
+
+def audited(df: DataFrame, source: str, path: str | None = None) -> DataFrame:
+    """The audit columns. A row made of several files names them all, joined by semicolons."""
+    if path is not None:
+        df = df.withColumn(v.FILE_PATH, F.lit(path))
+    elif v.FILE_PATH not in df.columns:
+        df = with_path(df)
+    names = F.transform(F.split(v.FILE_PATH, ";"), lambda p: F.substring_index(p, "/", -1))
     return df.withColumns({
-        v.FILE_NAME: name,
+        v.FILE_NAME: F.array_join(names, ";"),
         v.INGESTED_AT: F.date_trunc("second", F.current_timestamp()),
         v.SOURCE_ID: F.lit(source),
         v.INGEST_DATE: F.current_date(),
     })
 
 
-def only_new_files(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
-    """Rows of files the table has not taken in yet; makes a repeated load harmless."""
-    if not spark.catalog.tableExists(table):
-        return df
-    loaded = spark.table(table).select(F.col(v.FILE_NAME)).distinct()
-    return df.join(loaded, v.FILE_NAME, "left_anti")
+LEDGER_SCHEMA = "ruta string, bytes bigint, modificado timestamp, carga string, cerrada boolean, anotado_en timestamp"
 
 
-def append_raw(df: DataFrame, table: str, source: str, file_name: str | Column | None = None,
-               partition: str = v.INGEST_DATE) -> int:
-    """Append audited rows to a bronze table, creating it when missing; returns the rows written.
+def ledger_of(table: str) -> str:
+    """Name of the table that lists the files a bronze table was loaded from."""
+    return f"{table}__cargas"
 
-    Files already in the table are skipped. The rows are counted by the write
-    itself, so the input is read once.
-    """
-    spark = df.sparkSession
-    rows = only_new_files(audited(df, source, file_name), spark, table)
-    if rows.isEmpty():
-        return 0
+
+def _ledger(spark: SparkSession, table: str) -> DataFrame:
+    """The newest entry of each file: path, size and time when it was loaded, its load, and whether that ended."""
+    if not spark.catalog.tableExists(ledger_of(table)):
+        return spark.createDataFrame([], LEDGER_SCHEMA).drop("anotado_en")
+    entry = F.struct("bytes", "modificado", "carga", "cerrada")
+    rows = spark.table(ledger_of(table)).groupBy("ruta").agg(F.max_by(entry, F.struct("anotado_en", "cerrada")).alias("e"))
+    return rows.select("ruta", "e.*")
+
+
+def _note(spark: SparkSession, table: str, files: list[tuple], load: str, closed: bool) -> None:
+    rows = spark.createDataFrame(files, "ruta string, bytes bigint, modificado timestamp")
+    rows = rows.select("*", F.lit(load).alias("carga"), F.lit(closed).alias("cerrada"), F.current_timestamp().alias("anotado_en"))
+    rows.coalesce(1).write.mode("append").saveAsTable(ledger_of(table))
+
+
+def file_list(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Path, size and time of change of files; their contents are not read."""
+    rows = spark.read.format("binaryFile").load(list(paths))
+    return rows.select(F.col("path").alias("ruta"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modificado"))
+
+
+def _take_out(spark: SparkSession, table: str, paths: Sequence[str], partition: str) -> None:
+    """Remove the rows of some files: the partitions that hold such rows are written again without them."""
+    if not paths or not spark.catalog.tableExists(table):
+        return
+    gone = F.arrays_overlap(F.split(v.FILE_PATH, ";"), F.array(*[F.lit(p) for p in paths]))
+    rows = spark.table(table)
+    days = [r[0] for r in rows.filter(gone).select(partition).distinct().collect()]
+    if not days:
+        return
+    kept = settle(rows.filter(F.col(partition).isin(days) & ~gone))
+    for day in days:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = '{day}')")
+    kept.write.mode("append").partitionBy(partition).saveAsTable(table)
+
+
+def _write(rows: DataFrame, table: str, partition: str) -> int:
+    spark = rows.sparkSession
     seen = Observation()
     counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
     if spark.catalog.tableExists(table):
         counted = counted.select(*spark.table(table).columns)
-    counted.write.mode("append").partitionBy(partition).saveAsTable(table)
+    counted.hint("rebalance", partition).write.mode("append").partitionBy(partition).saveAsTable(table)
     return seen.get["n"]
 
 
+def append_files(
+    spark: SparkSession, paths: Sequence[str], table: str, source: str, read: Callable[[list[str]], DataFrame],
+    partition: str = v.INGEST_DATE,
+) -> int:
+    """Append the files that a bronze table does not hold yet; returns the rows written.
+
+    A ledger keeps full path, size and time of change of every file, so equal
+    base names in other folders are other files. A file that changed is loaded
+    again, with all files of its load, after their rows were taken out; so are
+    files whose load was begun and never ended. ``read`` gets the files to load
+    and reads them once; the ledger is closed after the write.
+    """
+    known = _ledger(spark, table)
+    found = file_list(spark, paths)
+    state = found.join(known.withColumnsRenamed({"bytes": "_b", "modificado": "_m"}), "ruta", "left")
+    held = F.col("cerrada") & (F.col("bytes") == F.col("_b")) & (F.col("modificado") == F.col("_m"))
+    todo = state.filter(~F.coalesce(held, F.lit(False))).select("ruta", "bytes", "modificado", "carga").collect()
+    loads = sorted({r["carga"] for r in todo if r["carga"] is not None})
+    stale = [r["ruta"] for r in known.filter(F.col("carga").isin(loads)).collect()] if loads else []
+    again = sorted(set(stale) - {r["ruta"] for r in todo})
+    files = [(r["ruta"], r["bytes"], r["modificado"]) for r in todo]
+    if again:
+        files += [tuple(r) for r in file_list(spark, again).collect()]
+    if not files:
+        return 0
+    _take_out(spark, table, stale, partition)
+    load = uuid.uuid4().hex
+    _note(spark, table, files, load, False)
+    written = _write(audited(read([f[0] for f in files]), source), table, partition)
+    _note(spark, table, files, load, True)
+    return written
+
+
+def append_raw(df: DataFrame, table: str, source: str, delivery: str, partition: str = v.INGEST_DATE) -> int:
+    """Append a frame as a named delivery; returns the rows written, none if the ledger has the name."""
+    spark = df.sparkSession
+    known = _ledger(spark, table).filter(F.col("ruta") == delivery).select("cerrada").first()
+    if known is not None and known["cerrada"]:
+        return 0
+    if known is not None:
+        _take_out(spark, table, [delivery], partition)
+    entry, load = [(delivery, None, None)], uuid.uuid4().hex
+    _note(spark, table, entry, load, False)
+    written = _write(audited(df, source, delivery), table, partition)
+    _note(spark, table, entry, load, True)
+    return written
+
+
 def replace_table(df: DataFrame, table: str, partition: str | None = None) -> None:
     """Replace a derived table, partitioned where it is large.
 
@@ -74,55 +156,17 @@ def replace_table(df: DataFrame, table: str, partition: str | None = None) -> No
         df.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).saveAsTable(table)
 
 
-def batch_log(table: str) -> str:
-    return f"{table}__lotes"
-
-
-def append_version(df: DataFrame, table: str, batch: int, operation: str = "append",
-                   summary: dict[str, str] | None = None) -> int:
-    """Write a batch as one version of the table and log it; a repeated batch replaces itself."""
+def with_table_columns(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with a null for each column that only the table has; columns that only ``df`` has are added to the table."""
     spark = df.sparkSession
-    seen = Observation()
-    rows = df.drop(v.BATCH_ID).observe(seen, F.count(F.lit(1)).alias("n"))
-    if spark.catalog.tableExists(table):
-        columns = [c for c in spark.table(table).columns if c != v.BATCH_ID]
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION ({v.BATCH_ID} = {int(batch)}) SELECT * FROM {{rows}}",
-            rows=rows.select(*columns),
-        )
-    else:
-        rows.withColumn(v.BATCH_ID, F.lit(batch).cast("int")).write.partitionBy(v.BATCH_ID).saveAsTable(table)
-    added = seen.get["n"]
-    notes = {"added-records": str(added), **(summary or {})}
-    entry = spark.range(1).select(
-        F.lit(batch).cast("int").alias(v.BATCH_ID),
-        F.current_timestamp().alias("committed_at"),
-        F.lit(operation).alias("operation"),
-        F.lit(added).cast("bigint").alias("added_records"),
-        F.create_map(*[F.lit(x) for pair in notes.items() for x in pair]).alias("summary"),
-    )
-    entry.write.mode("append").saveAsTable(batch_log(table))
-    return added
-
-
-def snapshots(spark: SparkSession, table: str) -> DataFrame:
-    """One row per version with added and total records. The log has one row per batch written."""
-    log = spark.table(batch_log(table))
-    log = log.groupBy(v.BATCH_ID).agg(F.max_by(F.struct("*"), "committed_at").alias("e")).select("e.*")
-    until_here = W.orderBy(v.BATCH_ID).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return log.withColumns({
-        "total_records": F.sum("added_records").over(until_here),
-        "added_in_summary": F.try_element_at("summary", F.lit("added-records")).try_cast("bigint"),
-    })
-
-
-def latest_version(spark: SparkSession, table: str) -> DataFrame:
-    return snapshots(spark, table).orderBy(F.desc(v.BATCH_ID)).limit(1)
-
-
-def as_of(spark: SparkSession, table: str, batch: int) -> DataFrame:
-    """The table as it was after a batch; later batches are pruned as partitions."""
-    return spark.table(table).filter(F.col(v.BATCH_ID) <= batch)
+    if not spark.catalog.tableExists(table):
+        return df
+    held = spark.table(table).schema
+    new = {f.name: f.dataType.simpleString() for f in df.schema if f.name not in held.names}
+    if new:
+        add_columns(spark, table, new)
+        spark.catalog.refreshTable(table)
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in held if f.name not in df.columns})
 
 
 def add_columns(spark: SparkSession, table: str, columns: dict[str, str]) -> None:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from vialis.functions.calendar import event_time
 from vialis.functions.messages import AIR_SCHEMA, air_message, decode
+from vialis.operators.quality import one_per_key
 
 DAY = "_day"
 TRIGGER = "30 seconds"
@@ -31,6 +34,7 @@ def air_rows(messages: DataFrame) -> DataFrame:
 
 def append_table(df: DataFrame, table: str, checkpoint: str, every: str | None = TRIGGER) -> StreamingQuery:
     """Append a stream to a table; ``every=None`` takes what is there and stops."""
+    watch_late_rows(df.sparkSession)
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return _paced(writer, every).toTable(table)
 
@@ -43,19 +47,17 @@ def insert_absent(batch: DataFrame, path: str, keys: Sequence[str], moment: str)
     """Add the rows whose key the sink does not hold; the first writer of a key wins.
 
     The sink is partitioned by the day of ``moment``, which is part of the key,
-    so a batch is compared with the keys of its own days only, however long the
-    sink has been filled.
+    so a batch opens the day folders of its own days only, however long the sink
+    has been filled. Of rows with one key in a batch the least by value stays.
     """
     spark = batch.sparkSession
-    fresh = batch.dropDuplicates(list(keys)).withColumn(DAY, F.to_date(moment))
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        days = fresh.agg(F.min(DAY).alias("first"), F.max(DAY).alias("last")).first()
-        if days["first"] is None:
-            return
-        schema = fresh.schema
-        held = spark.read.schema(schema).parquet(path).filter(F.col(DAY).between(days["first"], days["last"]))
-        fresh = fresh.join(held.select(*keys, DAY), [*keys, DAY], "left_anti").select(*schema.names)
+    fresh = one_per_key(batch, keys, []).withColumn(DAY, F.to_date(moment))
+    days = [f"{path}/{DAY}={r[0]}" for r in batch.select(F.to_date(moment)).distinct().collect() if r[0] is not None]
+    place = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    held_days = [d for d in days if place(d).getFileSystem(spark._jsc.hadoopConfiguration()).exists(place(d))]
+    if held_days:
+        held = spark.read.schema(fresh.schema).option("basePath", path).parquet(*held_days)
+        fresh = fresh.join(held.select(*keys, DAY), [*keys, DAY], "left_anti").select(*fresh.columns)
     fresh.write.mode("append").partitionBy(DAY).parquet(path)
 
 
@@ -68,6 +70,7 @@ def write_once(
         insert_absent(batch, path, keys, moment)
         batch.unpersist()
 
+    watch_late_rows(df.sparkSession)
     writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(insert)
     return _paced(writer, every).start()
 
@@ -77,6 +80,7 @@ def read_once_sink(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_files(df: DataFrame, path: str, checkpoint: str, every: str | None = TRIGGER) -> StreamingQuery:
+    watch_late_rows(df.sparkSession)
     writer = df.writeStream.format("parquet").outputMode("append").options(path=path, checkpointLocation=checkpoint)
     return _paced(writer, every).start()
 
@@ -90,9 +94,47 @@ def run_for(query: StreamingQuery, seconds: float | None = None) -> StreamingQue
     return query
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark so far."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Rows dropped behind the watermark per run, summed over all of its progresses."""
+
+    def __init__(self):
+        self.rows, self.batch, self.ended = defaultdict(int), {}, set()
+        self.told = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        with self.told:
+            self.rows[str(progress.runId)] += sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+            self.batch[str(progress.runId)] = progress.batchId
+            self.told.notify_all()
+
+    def onQueryTerminated(self, event) -> None:
+        with self.told:
+            self.ended.add(str(event.runId))
+            self.told.notify_all()
+
+
+_LATE: dict[str, LateRows] = {}
+
+
+def watch_late_rows(spark: SparkSession) -> LateRows:
+    """The session's counter of late rows; the first call has to come before the streams it is to count."""
+    name = spark.sparkContext.applicationId
+    if name not in _LATE:
+        _LATE[name] = LateRows()
+        spark.streams.addListener(_LATE[name])
+    return _LATE[name]
+
+
+def late_rows(query: StreamingQuery, wait: float = 30.0) -> int:
+    """Rows dropped behind the watermark since the run began, up to its newest progress."""
+    counter = watch_late_rows(SparkSession.active())
+    run, newest = str(query.runId), query.lastProgress
+    if newest is None:
+        return 0
+    with counter.told:
+        counter.told.wait_for(lambda: counter.batch.get(run, -1) >= newest["batchId"] or run in counter.ended, wait)
+        return counter.rows[run]

@@ -14,12 +14,14 @@ def open_stream(spark: SparkSession, kind: str, place: str, topics: Sequence[str
     """Messages with ``topic, key, value, partition, offset``.
 
     ``kind`` is ``kafka`` (``place``: the bootstrap servers) or ``files``
-    (``place``: a folder of JSON lines with the same fields).
+    (``place``: a folder of JSON lines with the same fields). A new Kafka stream
+    starts at the oldest message and fails where messages were lost; ``options``
+    choose otherwise.
     """
     if kind == "kafka":
         stream = spark.readStream.format("kafka").options(**{
             "kafka.bootstrap.servers": place, "subscribe": ",".join(topics),
-            "startingOffsets": "latest", "failOnDataLoss": "false", **options,
+            "startingOffsets": "earliest", "failOnDataLoss": "true", **options,
         }).load()
         return stream.withColumns({c: F.col(c).cast("string") for c in ("key", "value")})
     if kind == "files":

@@ -6,6 +6,7 @@ LAYERS = ("bronze", "silver", "gold")
 # Audit columns of every bronze table.
 INGESTED_AT = "timestamp_ingesta"
 FILE_NAME = "nombre_archivo"
+FILE_PATH = "ruta_archivo"
 SOURCE_ID = "fuente_id"
 INGEST_DATE = "fecha_ingesta"
 
@@ -59,8 +60,8 @@ RAIN_DAY_MM = 1.0
 # Area names that stand for "unknown".
 PLACEHOLDER_AREAS = ("SD", "NO_DEFINIDO", "NULL", "")
 
-# Street kinds at the start of an address, and keywords with the corridor they stand for.
-STREET_KINDS = ("AVENIDA", "AV", "CALLE", "CL", "CARRERA", "CR", "TRANSVERSAL", "TV", "DIAGONAL", "DG")
+# The street kind and token at the start of an address, and keywords with the corridor they stand for.
+STREET_PATTERN = r"^(AVENIDA|AV|CALLE|CL|CARRERA|CR|TRANSVERSAL|TV|DIAGONAL|DG)\s*([0-9A-Z]+)"
 STREET_KEYWORDS = (
     ("AUTOPISTA", "Autopista"),
     ("BOLIVARIANA", "Avenida Bolivariana"),
