@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vialis import vocabulary as v
 from vialis.functions.measures import correlation, percent_from, severity_index
-from vialis.operators.ranking import ranked, running_total, top_per_group
+from vialis.operators.ranking import first_rows, ranked, running_total, top_per_group
 from vialis.session import settle
 
 
@@ -33,18 +33,21 @@ def severity_table(
     keys: Sequence[str],
     severity: str,
     classes: Sequence[tuple[str, str, float]] = v.SEVERITIES,
+    others: str | None = None,
 ) -> DataFrame:
     """Counts per severity as columns, their total and the weighted index.
 
     The first aggregate counts per key and severity before the shuffle; the
-    pivot over the listed classes works on those counts.
+    pivot over the listed classes works on those counts. ``others`` names a
+    column that counts the rows of no listed class, which are in no other figure.
     """
     counted = df.groupBy(*keys, severity).agg(F.count(F.lit(1)).alias("_n"))
     names = [name for _, name, _ in classes]
     wide = counted.groupBy(*keys).agg(*[
         F.coalesce(F.sum(F.when(F.col(severity) == text, F.col("_n"))), F.lit(0)).alias(name)
         for text, name, _ in classes
-    ])
+    ], *([] if others is None else [F.coalesce(F.sum(F.when(
+        ~F.coalesce(F.col(severity).isin([text for text, _, _ in classes]), F.lit(False)), F.col("_n"))), F.lit(0)).alias(others)]))
     return wide.withColumns({
         "incidentes_total": _sum([F.col(n) for n in names]),
         "indice_severidad": severity_index({n: F.col(n) for n in names}),
@@ -197,6 +200,21 @@ def area_ranking(df: DataFrame, area: str, severity: str, dead: str = "Con muert
     return counted.withColumn("score", score)
 
 
+def street_counts(df: DataFrame, area: str, severity: str, address: str) -> DataFrame:
+    """Incidents per area, severity and upper-case address: what both ranking steps need, in one pass."""
+    street = F.upper(F.trim(F.col(address)))
+    return df.groupBy(area, severity, street.alias("via")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def corridors_at_risk(counts: DataFrame, area: str, severity: str, areas: int, streets: int, dead: str, injured: str) -> DataFrame:
+    """The most frequent addresses (area, via, n) of the areas with the highest score, from settled street counts."""
+    is_dead, is_injured = (F.coalesce(F.col(severity) == s, F.lit(False)) for s in (dead, injured))
+    score = F.sum(F.when(is_dead, F.col("n") * 50).when(is_injured, F.col("n") * 10).otherwise(F.col("n")))
+    best = first_rows(counts.groupBy(area).agg(score.alias("_score")), [F.desc("_score"), F.asc(area)], areas).select(area)
+    per_street = counts.filter(F.col("via") != "").join(best, area, "left_semi").groupBy(area, "via").agg(F.sum("n").alias("n"))
+    return top_per_group(per_street, [area], [F.desc("n"), F.asc("via")], streets)
+
+
 def frequent_streets(df: DataFrame, area: str, address: str, k: int = 25) -> DataFrame:
     """The ``k`` most frequent addresses of each area, upper case, ties by name."""
     street = F.upper(F.trim(F.col(address)))

@@ -65,6 +65,20 @@ def corridors_approx(spark, sf_dir):
     return rollups.approximate_corridors(volume(spark, sf_dir), "comuna", "l_suppkey")
 
 
+def corridors_estimate(spark, sf_dir):
+    """Whether the estimated distinct suppliers per nation are within four times the asked error of the exact count."""
+    rows = volume(spark, sf_dir)
+    exact = rows.groupBy("comuna").agg(F.countDistinct("l_suppkey").alias("exacto"))
+    near = F.abs(F.col("corredores_aprox") - F.col("exacto")) <= F.greatest(F.lit(1.0), F.col("exacto") * 0.2)
+    return exact.join(rollups.approximate_corridors(rows, "comuna", "l_suppkey"), "comuna").select("comuna", "exacto", near.alias("cerca"))
+
+
+def severity_with_others(spark, sf_dir):
+    """Two of the three classes listed: the third is counted beside them."""
+    return rollups.severity_table(incidents(spark, sf_dir), ["comuna"], "gravedad", CLASSES[:2], others="otros").select(
+        "comuna", "con_heridos", "con_muertos", "incidentes_total", "otros")
+
+
 def area_history(spark, sf_dir):
     return with_shown(reports.deadliest_areas(severity(spark, sf_dir), "comuna"), "severidad_promedio")
 
@@ -134,8 +148,9 @@ def top_streets(spark, sf_dir):
 
 
 def risk_corridors(spark, sf_dir):
-    best = area_score_top(spark, sf_dir).select("comuna")
-    streets = rollups.frequent_streets(placed(spark, sf_dir).join(best, "comuna", "left_semi"), "comuna", "direccion")
+    """The joins behind the incidents run once: both steps read the counts per area, severity and street."""
+    counts = settle(rollups.street_counts(placed(spark, sf_dir), "comuna", "gravedad", "direccion"))
+    streets = rollups.corridors_at_risk(counts, "comuna", "gravedad", 8, 25, dead="O", injured="F")
     corridors = streets.select(corridor_of(F.col("via")).alias("corredor")).filter(F.col("corredor").isNotNull())
     return with_known_corridors(corridors)
 
@@ -166,6 +181,7 @@ QUERIES = {q.__name__: q for q in (
     severity_by_area_year, severity_top_latest_year, composite_risk, composite_risk_top, corridors_approx,
     area_history, deaths_per_year, severity_reports, top_areas_report, most_severe_report, deaths_and_air,
     corr_scalar, area_score_top, top_streets, risk_corridors, street_to_corridor, area_frequency, gold_row_counts,
+    corridors_estimate, severity_with_others,
 )}
 
 _INCIDENTS = """incidents AS (
@@ -224,6 +240,12 @@ def _sql_corridor(street: str) -> str:
 
 
 SQL = {
+    "corridors_estimate": """SELECT n_name AS comuna, count(DISTINCT l_suppkey) AS exacto, true AS cerca
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1""",
+    "severity_with_others": f"""WITH {_INCIDENTS}
+        SELECT comuna, count(*) FILTER (gravedad = 'F') AS con_heridos, count(*) FILTER (gravedad = 'O') AS con_muertos,
+               count(*) FILTER (gravedad IN ('F', 'O')) AS incidentes_total, count(*) FILTER (gravedad NOT IN ('F', 'O')) AS otros
+        FROM incidents GROUP BY 1""",
     "severity_by_area_year": f"""WITH {_SEVERITY}
         SELECT anio, comuna, con_heridos, con_muertos, solo_danos, incidentes_total,
                {sql_shown('indice_severidad')} AS indice_severidad,
