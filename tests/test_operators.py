@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import random
 import statistics
 
@@ -198,6 +199,21 @@ def test_ring_chaining():
     assert near == [(0.0, 0.0), (1.0, 1.0), (2.0, 0.0), (0.0, 0.0)]
 
 
+def test_rings_apart_stay_apart(spark):
+    square = lambda x: [(x, 0), (x + 2, 0), (x + 2, 2), (x, 2)]
+    ways = [[square(x)[i], square(x)[(i + 1) % 4]] for i in range(4) for x in (0, 5)]
+    assert [sorted(set(r)) for r in rings.chains(ways)] == [sorted(square(0)), sorted(square(5))]
+    assert all(len(r) == 5 and r[0] == r[-1] for r in rings.chains(ways)) and rings.chains([[], []]) == []
+    member = "relation_id bigint, type string, role string, seq int, lons array<double>, lats array<double>"
+    row = lambda role, seq, way: (1, "way", role, seq, [float(p[0]) for p in way], [float(p[1]) for p in way])
+    hole = [(5.5, 0.5), (6.0, 0.5), (6.0, 1.0), (5.5, 0.5)]
+    members = spark.createDataFrame([*[row("outer", i, w) for i, w in enumerate(ways)], row("inner", 0, hole)], member)
+    relation = spark.createDataFrame([(1, "a", "8", None, None)], "relation_id bigint, name string, admin_level string, alt_name string, wikipedia string")
+    shape = json.loads(rings.polygon_features(relation, members).first()["geometry_geojson"])
+    assert shape["type"] == "MultiPolygon" and [len(p) for p in shape["coordinates"]] == [1, 2]
+    assert len(json.loads(rings.polygon_features(relation, members, one_ring=True).first()["geometry_geojson"])["coordinates"]) == 2
+
+
 def test_polygon_features(spark):
     member = "relation_id bigint, type string, role string, seq int, lons array<double>, lats array<double>"
     members = spark.createDataFrame([

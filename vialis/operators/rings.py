@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
@@ -23,22 +23,14 @@ def _tile(point) -> tuple[int, int]:
     return round(point[0] / TOLERANCE), round(point[1] / TOLERANCE)
 
 
-def chain(ways: list[list[tuple[float, float]]]) -> list[tuple[float, float]]:
-    """Join ways end to end from the first one, turning a way round where only its end fits.
+def _walk(ways: list, ends: dict, free: set[int], first: int, closing: bool) -> list:
+    """The ring that starts with one way; of several ways that fit its tip the first in the list is taken.
 
-    Of several ways that fit, the first in the list is taken. Ways that never
-    fit are added in list order, and the ring is closed. Ends are looked up by
-    tile, so the work grows with the number of ways, not its square.
+    With ``closing`` the walk ends where the ring meets its start.
     """
-    ways = [w for w in ways if w]
-    if not ways:
-        return []
-    ends = defaultdict(set)
-    for number, way in enumerate(ways):
-        ends[_tile(way[0])].add(number)
-        ends[_tile(way[-1])].add(number)
-    ring, free = list(ways[0]), set(range(1, len(ways)))
-    while free:
+    ring = list(ways[first])
+    free.discard(first)
+    while free and not (closing and len(ring) >= LEAST_POINTS and _near(ring[0], ring[-1])):
         tip = ring[-1]
         x, y = _tile(tip)
         around = set().union(*(ends.get((x + i, y + j), ()) for i in (-1, 0, 1) for j in (-1, 0, 1)))
@@ -49,44 +41,100 @@ def chain(ways: list[list[tuple[float, float]]]) -> list[tuple[float, float]]:
         way = ways[number] if _near(ways[number][0], tip) else ways[number][::-1]
         ring += way[1:]
         free.remove(number)
+    return ring
+
+
+def _closed(ring: list) -> list:
+    return ring if not ring or _near(ring[0], ring[-1]) else [*ring, ring[0]]
+
+
+def _indexed(ways: list[list[tuple[float, float]]]) -> tuple[list, dict, set[int]]:
+    """The ways that have points, their numbers by the tile of either end, and all numbers."""
+    ways = [w for w in ways if w]
+    ends = defaultdict(set)
+    for number, way in enumerate(ways):
+        ends[_tile(way[0])].add(number)
+        ends[_tile(way[-1])].add(number)
+    return ways, ends, set(range(len(ways)))
+
+
+def chain(ways: list[list[tuple[float, float]]]) -> list[tuple[float, float]]:
+    """One ring: ways end to end from the first one, those that never fit added in list order, and closed."""
+    ways, ends, free = _indexed(ways)
+    if not ways:
+        return []
+    ring = _walk(ways, ends, free, 0, closing=False)
     for number in sorted(free):
         ring += ways[number]
-    if not _near(ring[0], ring[-1]):
-        ring.append(ring[0])
-    return ring
+    return _closed(ring)
 
 
-@F.arrow_udf(ArrayType(ArrayType(DoubleType())))
-def _chained(lons: pa.Array, lats: pa.Array) -> pa.Array:
-    rings = [chain([list(zip(x, y)) for x, y in zip(*ways)]) for ways in zip(lons.to_pylist(), lats.to_pylist())]
-    return pa.array(rings, pa.list_(pa.list_(pa.float64())))
+def chains(ways: list[list[tuple[float, float]]]) -> list[list[tuple[float, float]]]:
+    """All rings: one is walked until it closes or nothing fits, the next starts with the first way left.
 
+    Ends are looked up by tile, so the work grows with the number of ways, not
+    its square. A way is turned round where only its end fits.
+    """
+    ways, ends, free = _indexed(ways)
+    found = []
+    while free:
+        found.append(_closed(_walk(ways, ends, free, min(free), closing=True)))
+    return found
 
-def rings_of_relations(members: DataFrame) -> DataFrame:
-    """One ring per relation and role from ``relation_id, type, role, seq, lons, lats``.
 
-    The segments of one ring meet in one row, as the ring they form does, and
-    are chained in Arrow batches of many rings.
+def _over_rows(join):
+    @F.arrow_udf(ArrayType(ArrayType(ArrayType(DoubleType()))))
+    def run(lons: pa.Array, lats: pa.Array) -> pa.Array:
+        rings = [join([list(zip(x, y)) for x, y in zip(*ways)]) for ways in zip(lons.to_pylist(), lats.to_pylist())]
+        return pa.array(rings, pa.list_(pa.list_(pa.list_(pa.float64()))))
+    return run
+
+
+_all_rings = _over_rows(chains)
+_one_ring = _over_rows(lambda ways: [chain(ways)])
+
+
+def rings_of_relations(members: DataFrame, one_ring: bool = False) -> DataFrame:
+    """Rings per relation and role from ``relation_id, type, role, seq, lons, lats``, numbered by ``part``.
+
+    The segments of a relation's role meet in one row, as large as the rings
+    they form, and are chained in Arrow batches. ``one_ring`` gives a single ring
+    with what does not fit at its end.
     """
     ways = members.filter((F.col("type") == "way") & F.col("role").isin("outer", "inner"))
     gathered = ways.groupBy("relation_id", "role").agg(
         F.sort_array(F.collect_list(F.struct("seq", "lons", "lats"))).alias("_ways")
     )
-    chained = gathered.select("relation_id", "role", _chained("_ways.lons", "_ways.lats").alias("ring"))
-    return chained.filter(F.size("ring") >= LEAST_POINTS)
+    joined = _one_ring if one_ring else _all_rings
+    chained = gathered.select("relation_id", "role", joined("_ways.lons", "_ways.lats").alias("_rings"))
+    whole = chained.select("relation_id", "role", F.filter("_rings", lambda r: F.size(r) >= LEAST_POINTS).alias("_rings"))
+    return whole.select("relation_id", "role", F.posexplode("_rings").alias("part", "ring"))
+
 
+def _holds(outer: Column, point: Column) -> Column:
+    """Whether the bounding box of a ring holds a point."""
+    x, y = F.transform(outer, lambda p: p[0]), F.transform(outer, lambda p: p[1])
+    return (point[0].between(F.array_min(x), F.array_max(x))) & (point[1].between(F.array_min(y), F.array_max(y)))
 
-def polygon_features(relations: DataFrame, members: DataFrame) -> DataFrame:
+
+def polygon_features(relations: DataFrame, members: DataFrame, one_ring: bool = False) -> DataFrame:
     """Features with properties and GeoJSON text; relations without an outer ring are dropped.
 
+    Several outer rings make a MultiPolygon; an inner ring goes to the first
+    outer one whose bounding box holds it, else to the first.
+
     ``relations`` has ``relation_id`` and the tags ``name, admin_level, alt_name, wikipedia``.
     """
-    rings = rings_of_relations(members).groupBy("relation_id").agg(
-        F.max(F.when(F.col("role") == "outer", F.col("ring"))).alias("_outer"),
-        F.max(F.when(F.col("role") == "inner", F.col("ring"))).alias("_inner"),
-    ).filter(F.col("_outer").isNotNull())
-    coordinates = F.filter(F.array("_outer", "_inner"), lambda ring: ring.isNotNull())
-    geometry = F.to_json(F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")))
+    of = lambda role: F.transform(
+        F.sort_array(F.collect_list(F.when(F.col("role") == role, F.struct("part", "ring")))), lambda x: x["ring"])
+    rings = rings_of_relations(members, one_ring).groupBy("relation_id").agg(
+        of("outer").alias("_outer"), of("inner").alias("_inner")).filter(F.size("_outer") > 0)
+    home = lambda ring: F.greatest(F.lit(1), F.array_position(F.transform("_outer", lambda o: _holds(o, ring[0])), True).cast("int"))
+    parts = F.transform("_outer", lambda o, i: F.concat(F.array(o), F.filter("_inner", lambda r: home(r) == i + 1)))
+    rings = rings.withColumn("_parts", parts)
+    shape = lambda kind, value: F.to_json(F.struct(F.lit(kind).alias("type"), value.alias("coordinates")))
+    geometry = F.when(F.size("_parts") == 1, shape("Polygon", F.element_at("_parts", 1))).otherwise(
+        shape("MultiPolygon", F.col("_parts")))
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     return relations.join(rings, "relation_id").select(
         F.col("relation_id").alias("osm_id"),

@@ -9,8 +9,8 @@ from vialis import vocabulary as v
 from vialis.functions.measures import bin_label, rain_flag
 from vialis.functions.text import corridor_of, is_known_area
 from vialis.operators import classify, graph, rollups
-from vialis.operators.ranking import first_rows
 from vialis.plans import DEFAULT, Layers
+from vialis.session import settle
 from vialis.sources.files import write_json
 from vialis.sources.tables import replace_table, with_known_corridors
 
@@ -53,15 +53,11 @@ def line_percentiles(ridership: DataFrame, exact: bool = False) -> DataFrame:
     return measure(positive, ["linea", "franja_horaria"], "pasajeros")
 
 
-def risk_areas(incidents: DataFrame, k: int = RISK_AREAS) -> DataFrame:
-    known = incidents.filter(is_known_area(F.col("comuna"))).withColumn("comuna", F.trim("comuna"))
-    return first_rows(rollups.area_ranking(known, "comuna", "gravedad"), [F.desc("score"), F.asc("comuna")], k)
-
-
 def risk_corridors(incidents: DataFrame, k: int = RISK_AREAS, streets: int = STREETS_PER_AREA) -> DataFrame:
-    """Corridors of the most frequent addresses in the worst areas, and the known ones."""
-    worst = incidents.withColumn("comuna", F.trim("comuna")).join(risk_areas(incidents, k).select("comuna"), "comuna", "left_semi")
-    frequent = rollups.frequent_streets(worst, "comuna", "direccion", streets)
+    """Corridors of the most frequent addresses in the worst areas, and the known ones; the incidents are read once."""
+    known = incidents.filter(is_known_area(F.col("comuna"))).withColumn("comuna", F.trim("comuna"))
+    counts = settle(rollups.street_counts(known, "comuna", "gravedad", "direccion"))
+    frequent = rollups.corridors_at_risk(counts, "comuna", "gravedad", k, streets, dead="Con muertos", injured="Con heridos")
     named = frequent.select(corridor_of(F.col("via")).alias("corredor")).filter(F.col("corredor").isNotNull())
     return with_known_corridors(named)
 

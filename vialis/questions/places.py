@@ -146,37 +146,43 @@ def station_rules(spark, sf_dir):
     )
 
 
+# East of a customer's first square stands a second one.
+SECOND = 20
+
+
 def way_members(spark, sf_dir):
-    """Each customer a square of four ways, listed out of order and with the third one reversed."""
+    """Each customer two squares of four ways each, listed out of order and with the third one reversed."""
     x, y = F.col("c_custkey") % 100, F.floor(F.col("c_custkey") / 100)
     corners = {0: (0, 0), 1: (10, 0), 2: (10, 10), 3: (0, 10)}
     ways = [(0, 0, 1), (1, 2, 3), (2, 2, 1), (3, 3, 0)]
-    member = lambda seq, a, b: F.struct(
-        F.lit(seq).alias("seq"),
-        F.array(*[(x + corners[p][0]).cast("double") for p in (a, b)]).alias("lons"),
+    member = lambda seq, a, b, east: F.struct(
+        F.lit(seq + 4 * (east > 0)).alias("seq"),
+        F.array(*[(x + corners[p][0] + east).cast("double") for p in (a, b)]).alias("lons"),
         F.array(*[(y + corners[p][1]).cast("double") for p in (a, b)]).alias("lats"),
     )
     rows = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("relation_id"), F.explode(F.array(*[member(*w) for w in ways])).alias("m"))
+        F.col("c_custkey").alias("relation_id"), F.explode(F.array(*[member(*w, e) for e in (0, SECOND) for w in ways])).alias("m"))
     return rows.select("relation_id", F.lit("way").alias("type"), F.lit("outer").alias("role"), "m.*")
 
 
 def rings(spark, sf_dir):
     found = rings_of_relations(way_members(spark, sf_dir))
-    return found.select("relation_id", "role", F.transform("ring", lambda p: F.concat_ws(
+    return found.select("relation_id", "role", "part", F.transform("ring", lambda p: F.concat_ws(
         " ", p[0].cast("int").cast("string"), p[1].cast("int").cast("string"))).alias("_r")).select(
-        "relation_id", "role", F.concat_ws(",", "_r").alias("anillo"))
+        "relation_id", "role", "part", F.concat_ws(",", "_r").alias("anillo"))
 
 
 def ring_features(spark, sf_dir):
-    """Features whose geometry places the middle of every square inside."""
+    """Features of two squares each: how many polygons, and the points of each."""
     relations = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("relation_id"), F.col("c_name").alias("name"),
         F.when(F.col("c_nationkey") < 9, F.lit("7")).otherwise(F.lit("8")).alias("admin_level"),
         F.lit(None).cast("string").alias("alt_name"), F.lit("es:Lugar").alias("wikipedia"))
     features = polygon_features(relations, way_members(spark, sf_dir))
-    return features.withColumn("puntos", F.size(F.from_json("geometry_geojson", "coordinates array<array<array<double>>>")["coordinates"][0])).drop(
-        "geometry_geojson")
+    parts = F.from_json("geometry_geojson", "coordinates array<array<array<array<double>>>>")["coordinates"]
+    return features.withColumns({
+        "forma": F.get_json_object("geometry_geojson", "$.type"), "partes": F.size(parts), "puntos": F.size(parts[1][0]),
+    }).drop("geometry_geojson")
 
 
 def interchange_lines(spark, sf_dir):
@@ -247,10 +253,12 @@ SQL = {
       k AS (SELECT *, row_number() OVER (ORDER BY s_suppkey) AS _id FROM t WHERE nombre <> ''
             AND CASE WHEN red <> '' THEN contains(red, 'bicired') ELSE contains(lower(nombre), 'bicired') END)
         SELECT _id, printf('ENC%03d', _id) AS estacion_id, nombre, CAST(capacidad_anclajes AS INTEGER) AS capacidad_anclajes FROM k""",
-    "rings": """WITH t AS (SELECT c_custkey AS relation_id, c_custkey % 100 AS x, c_custkey // 100 AS y FROM customer)
-        SELECT relation_id, 'outer' AS role, x || ' ' || y || ',' || (x + 10) || ' ' || y || ',' || (x + 10) || ' ' || (y + 10)
+    "rings": """WITH t AS (SELECT c_custkey AS relation_id, CAST(part AS INTEGER) AS part, c_custkey % 100 + 20 * part AS x,
+               c_custkey // 100 AS y FROM customer, (SELECT unnest([0, 1]) AS part))
+        SELECT relation_id, 'outer' AS role, part, x || ' ' || y || ',' || (x + 10) || ' ' || y || ',' || (x + 10) || ' ' || (y + 10)
                || ',' || x || ' ' || (y + 10) || ',' || x || ' ' || y AS anillo FROM t""",
     "ring_features": """SELECT c_custkey AS osm_id, c_name AS nombre, CASE WHEN c_nationkey < 9 THEN 'corregimiento' ELSE 'comuna' END AS tipo,
-        CASE WHEN c_nationkey < 9 THEN '7' ELSE '8' END AS admin_level, '' AS nombre_alt, 'es:Lugar' AS wikipedia, 5 AS puntos FROM customer""",
+        CASE WHEN c_nationkey < 9 THEN '7' ELSE '8' END AS admin_level, '' AS nombre_alt, 'es:Lugar' AS wikipedia,
+        'MultiPolygon' AS forma, 2 AS partes, 5 AS puntos FROM customer""",
     "interchange_lines": "SELECT c_nationkey, 'A/B' AS linea, count(*) AS n FROM customer WHERE c_nationkey % 2 = 0 GROUP BY 1",
 }

@@ -17,6 +17,7 @@ from vialis import vocabulary as v
 from vialis.functions.calendar import day_band
 from vialis.functions.measures import air_class, air_class_short_window, rounded
 from vialis.operators.windows import last_known
+from vialis.session import settle
 
 
 def windowed(
@@ -84,6 +85,11 @@ def bike_snapshots(
     )
 
 
+def _fixed(side: DataFrame, stream: DataFrame) -> DataFrame:
+    """The static side of a join, computed once where the other side is a stream, not again in every micro-batch."""
+    return settle(side) if stream.isStreaming else side
+
+
 def corridor_snapshots(
     counts: DataFrame, corridor: str, moment: str, vehicles: str, risky: DataFrame, about: list[str] = (),
     minutes: int = 5, delay: str = "5 minutes", limit: float = v.VEHICLES_PER_MINUTE_LIMIT,
@@ -100,7 +106,7 @@ def corridor_snapshots(
         complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in about])
         aggregates.append(last_known(list(about), F.when(complete, F.struct(moment, *about))).alias("_last"))
     windows = windowed(named, [corridor], moment, f"{minutes} minutes", None, delay, aggregates)
-    marked = windows.join(risky.select(corridor, F.lit(True).alias("_risky")), corridor, "left")
+    marked = windows.join(_fixed(risky.select(corridor, F.lit(True).alias("_risky")), counts), corridor, "left")
     is_risky = F.coalesce(F.col("_risky"), F.lit(False))
     per_minute = F.col("intensidad_total") / minutes
     return _bounds(
@@ -149,6 +155,7 @@ def hybrid_alerts(
         F.col("linea").alias("_line"), F.col("franja_horaria").alias("_band"),
         (F.col(percentile) * (minutes / 60)).alias("_expected"),
     ).filter(F.col("_expected") > 0)
+    stats = _fixed(stats, ridership)
     both = windows.join(wet, "window").withColumn("franja_horaria", day_band(F.hour("window.start")))
     met = both.join(stats, (F.col(line) == F.col("_line")) & (F.col("franja_horaria") == F.col("_band")))
     ratio = F.col("_actual") / F.col("_expected")
