@@ -31,10 +31,10 @@ def test_refused(names, size):
 
 
 def test_placement(spark):
-    rows = [(1, "x", 5), (1, "y", 6), (None, "z", 7), (None, None, 8), (2, "", 9)]
-    docs = spark.createDataFrame(rows, "doc_id long, _slot string, Shard int")
+    rows = [(1, "x", 5, 0), (1, "y", 6, 0), (None, "z", 7, 0), (None, None, 8, 0), (2, "", 9, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, _slot string, Shard int, _at int")
     got = sharding.place(docs, n_shards=4).collect()
-    assert len(got) == 5 and set(got[0].asDict()) == {"doc_id", "_slot", "shard"}
+    assert len(got) == 5 and set(got[0].asDict()) == {"doc_id", "_slot", "_at", "shard"}
     by_key = {}
     for r in got:
         by_key.setdefault(r["doc_id"], set()).add(r["shard"])

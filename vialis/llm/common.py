@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from vialis.session import scratch_folder, ship_package
 
 ROWS_PER_PART = 20_000
+BUCKETS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +26,40 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_folder(spark, purpose)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made and that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(t._scratch)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _near(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], buckets: int, how: str) -> DataFrame:
+    """The rows whose keys fall into a hash bucket that keys of ``wanted`` fall into, or the other rows.
+
+    The list of the buckets in use, no longer than ``buckets`` numbers, is
+    broadcast; so rows that cannot meet ``wanted`` are told apart before anything moves.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    used = wanted.select(bucket.alias("_bucket")).distinct()
+    return rows.withColumn("_bucket", bucket).join(F.broadcast(used), "_bucket", how).drop("_bucket")
+
+
+def wanted_rows(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """``rows`` joined with ``wanted`` on ``keys``; only rows that may match move."""
+    return _near(rows, wanted, keys, buckets, "left_semi").join(wanted, list(keys))
+
+
+def other_rows(rows: DataFrame, dropped: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """``rows`` whose ``keys`` are not in ``dropped``; only rows that may match move."""
+    far = _near(rows, dropped, keys, buckets, "left_anti")
+    near = _near(rows, dropped, keys, buckets, "left_semi")
+    return far.unionByName(near.join(dropped.select(*keys), list(keys), "left_anti").select(*rows.columns))
 
 
 def python_ready(spark: SparkSession) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 from collections import Counter
 
@@ -32,7 +33,7 @@ class Alphabet:
     def __init__(self, texts: list[str]):
         seen = Counter(c for t in texts for c in t.lower() if c.isalpha())
         self.codes = {c: i + 2 for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS])}
-        self.size = LETTERS + 2
+        self.size = (len(self.codes) + 3) // 2 * 2
         points = np.zeros(0x110000, dtype=np.uint8)
         for point in range(0x110000):
             if unicodedata.category(chr(point))[0] == "L":
@@ -82,23 +83,52 @@ def suffix_automaton(codes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+_BUILT: dict[str, tuple] = {}
+
+
 class Model:
-    """One automaton per language, as tables whose entries are the next state's offset, odd where a phrase begins."""
+    """One automaton per language, as tables whose entries are the next state's offset, odd where a phrase begins.
+
+    Only the bounded samples travel; the tables are built from them once in
+    each Python worker.
+    """
 
     def __init__(self, samples: dict[str, list[str]]):
-        self.alphabet = Alphabet([t for texts in samples.values() for t in texts])
+        self.samples = samples
         self.languages = sorted(samples)
-        size = self.alphabet.size
-        self.tables, self.norms = [], []
+        self.mark = hashlib.sha256(repr(sorted(samples.items())).encode("utf-8", "replace")).hexdigest()
+
+    @property
+    def alphabet(self) -> Alphabet:
+        return self._built()[0]
+
+    @property
+    def tables(self) -> list[np.ndarray]:
+        return self._built()[1]
+
+    @property
+    def norms(self) -> list[float]:
+        return self._built()[2]
+
+    def _built(self) -> tuple[Alphabet, list[np.ndarray], list[float]]:
+        if self.mark not in _BUILT:
+            _BUILT.clear()
+            _BUILT[self.mark] = self._build()
+        return _BUILT[self.mark]
+
+    def _build(self) -> tuple[Alphabet, list[np.ndarray], list[float]]:
+        alphabet = Alphabet([t for texts in self.samples.values() for t in texts])
+        size, tables, norms = alphabet.size, [], []
         for lang in self.languages:
-            parts = [self.alphabet.encoded(t) for t in samples[lang]]
+            parts = [alphabet.encoded(t) for t in self.samples[lang]]
             codes = np.concatenate([x for p in parts for x in (p, np.zeros(1, dtype=np.uint8))])[:SAMPLE_CHARS]
             moves = suffix_automaton(codes, size)
             # One more state, before the first phrase and after a letter that the language lacks: any letter begins a phrase there.
             begin = np.where(moves[0] >= 0, moves[0], len(moves)) * size + 1
             flat = np.vstack([np.where(moves >= 0, moves * size, begin[None, :]), begin[None, :]])
-            self.tables.append(flat.astype(np.int32).ravel())
-            self.norms.append(np.log2(len(codes) + 1))
+            tables.append(flat.astype(np.int32).ravel())
+            norms.append(float(np.log2(len(codes) + 1)))
+        return alphabet, tables, norms
 
     def phrases(self, codes: np.ndarray) -> np.ndarray:
         """Phrases per language and lane; ``codes`` is (steps, lanes), 255 past a lane's end."""

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vialis.llm.common import starts_in_seeded_order, written
+from vialis.llm.common import discard, starts_in_seeded_order, written
 from vialis.operators.ranking import running_total
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -93,11 +93,15 @@ def quotas(sources: DataFrame, source: str, plan: Plan = Plan()) -> tuple[DataFr
 
 @dataclass(frozen=True)
 class Mix:
-    """``rows``: each document with its place and what the mix takes; ``sources``: targets and blocks per shard."""
+    """``rows``: each document with its place and what the mix takes; ``sources``: targets and blocks per shard.
+
+    Both read ``tables``, which may be discarded when they are not needed any more.
+    """
 
     rows: DataFrame
     sources: DataFrame
     block_words: float
+    tables: tuple[DataFrame, ...] = ()
 
 
 def mix(
@@ -138,7 +142,8 @@ def mix(
         left = F.col("_end") - F.col("source_size") * i - F.col("start")
         taken += F.greatest(F.lit(0), F.least(F.col("size"), left))
     rows = placed.join(to_join, placed["source"].eqNullSafe(F.col("_s"))).withColumn("taken", taken)
-    return Mix(rows.drop("_s", "_end", "_order"), known.drop("_end", "_rank"), block)
+    discard(sizes)
+    return Mix(rows.drop("_s", "_end", "_order"), known.drop("_end", "_rank"), block, (counted, known))
 
 
 def pieces(mixed: Mix, plan: Plan = Plan()) -> DataFrame:
@@ -172,11 +177,11 @@ def resample(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     document without words is kept once. The columns are those of ``docs``.
     """
     columns = docs.columns
-    fixed = written(docs.select(
-        docs["source"], docs["text"], F.struct(*[docs[c] for c in columns if c != "text"]).alias("_doc"),
-        F.xxhash64(*[docs[c] for c in columns]).alias("_content"), F.monotonically_increasing_id().alias("_row"),
-    ), "mixed")
-    mixed = mix(fixed, doc_id="_row", plan=plan, order="_content")
+    names = [f"_c{i}" for i in range(len(columns))]
+    whole = docs.select(*[docs[c].alias(n) for c, n in zip(columns, names, strict=True)],
+                        docs["source"].alias("source"), docs["text"].alias("text"))
+    whole = whole.withColumns({"_a": F.xxhash64(*names), "_b": F.xxhash64(F.lit(1), *names)})
+    mixed = mix(whole.withColumn("_id", F.struct("_a", "_b")), doc_id="_id", plan=plan)
     blocks = F.aggregate(F.coalesce("blocks", F.array().cast("array<bigint>")), F.lit(0).cast("bigint"), lambda a, x: a + x)
     ends = mixed.sources.select(F.col("source").alias("_s"), (blocks * F.lit(mixed.block_words)).alias("_end"))
     middle = F.col("start") + F.col("size") / 2
@@ -184,8 +189,12 @@ def resample(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     for i in range(plan.passes):
         times += F.when(middle + F.col("source_size") * i < F.col("_end"), 1).otherwise(0)
     rows = mixed.rows.join(ends, F.col("source").eqNullSafe(F.col("_s")))
-    lots = rows.select(
-        F.col("doc_id").alias("_id"), F.when(F.col("size") == 0, 1).otherwise(times).alias("_times"),
-    ).filter(F.col("_times") > 0)
-    repeated = fixed.join(lots, F.col("_row") == F.col("_id")).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times")))
-    return repeated.select(*[F.col("text") if c == "text" else F.col("_doc")[c].alias(c) for c in columns])
+    rows = rows.select("doc_id", F.when(F.col("size") == 0, 1).otherwise(times).alias("_times"))
+    # Equal rows have one key: the first of them stands for all, as often as they are taken together.
+    lots = rows.groupBy("doc_id").agg(F.sum("_times").cast("int").alias("_times"), F.count(F.lit(1)).alias("_n"))
+    lots = written(lots.filter("_times > 0").select("doc_id._a", "doc_id._b", "_times", "_n"), "lots")
+    discard(*mixed.tables)
+    met = whole.drop("source", "text").join(lots, ["_a", "_b"])
+    once = met.filter("_n = 1").unionByName(met.filter("_n > 1").dropDuplicates(["_a", "_b"]))
+    repeated = once.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times")))
+    return repeated.select(*[F.col(n).alias(c) for c, n in zip(columns, names, strict=True)])

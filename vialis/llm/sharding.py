@@ -82,6 +82,6 @@ def place(
     shards = [f"shard-{i}" for i in range(n_shards)]
     rows = table_frame(docs.sparkSession, shards, table_size, seed)
     kept = [c for c in docs.columns if c.lower() != alias.lower()]
-    placed = docs.select(*[docs[c] for c in kept], slot_of(docs[key], table_size).alias("_at"))
-    found = placed.join(F.broadcast(rows), placed["_at"] == rows["_slot"])
-    return found.select(*[placed[c] for c in kept], rows["_shard"].alias(alias))
+    placed = docs.select(slot_of(docs[key], table_size).alias("_at"), F.struct(*[docs[c] for c in kept]).alias("_doc"))
+    found = placed.join(F.broadcast(rows), F.col("_at") == F.col("_slot"))
+    return found.select("_doc.*", F.col("_shard").alias(alias))
