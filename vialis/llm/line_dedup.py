@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vialis.llm.common import written
+from vialis.llm.common import discard, wanted_rows, written
 
 BUCKETS = 65_536
 BLANKS = "\t\x0b\x0c\r"
@@ -31,13 +31,15 @@ class Rule:
         return n - F.ceil(F.lit(self.over) * n / F.lit(self.under)).cast("int") + 1
 
     def short_prefix(self, n: Column) -> Column:
-        """The same, for the smaller of the two sets."""
+        """The same for two sets of equal size."""
         return n - F.ceil(F.lit(2 * self.over) * n / F.lit(self.over + self.under)).cast("int") + 1
 
 
 def words(text: Column) -> Column:
     """Lower-case words between white space, repeats and empty ones included."""
-    return F.split(F.translate(F.lower(text), BLANKS, " " * len(BLANKS)), " ")
+    for blank in BLANKS:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.split(F.lower(text), " ")
 
 
 def rarity(docs: DataFrame, text: str) -> Column:
@@ -46,7 +48,7 @@ def rarity(docs: DataFrame, text: str) -> Column:
     The ranks are counted by Spark; the driver gets one number per bucket,
     whatever the size of the vocabulary.
     """
-    found = docs.select(F.explode(words(F.translate(docs[text], "\n", " "))).alias("w")).filter("w <> ''")
+    found = docs.select(F.explode(words(F.replace(docs[text], F.lit("\n"), F.lit(" ")))).alias("w")).filter("w <> ''")
     bucket = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
     counts = dict(found.groupBy(bucket.alias("b")).count().collect())
     order = sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))
@@ -56,18 +58,22 @@ def rarity(docs: DataFrame, text: str) -> Column:
     return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
 
 
-def tokens(line: Column, ranks: Column) -> Column:
-    """The distinct words of a line as longs, rarest first.
+def hashes(line: Column) -> Column:
+    """Hashes of the distinct words of a line."""
+    return F.array_remove(F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
-    A word's long has the rank of its bucket in the upper 16 bits and the rest
-    of its hash below, so it orders by rarity and loses nothing of the hash.
+
+def by_rarity(found: Column, ranks: Column) -> Column:
+    """Word hashes as longs that sort rarest first.
+
+    The rank of a word's bucket takes the place of the bucket's 16 bits, so the
+    long orders by rarity and still names the hash.
     """
-    def code(word: Column) -> Column:
-        h = F.xxhash64(word)
-        rank = F.element_at(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1) - BUCKETS // 2
+    def code(h: Column) -> Column:
+        rank = F.element_at(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1)
         return F.shiftleft(rank.cast("bigint"), 48).bitwiseOR(F.shiftrightunsigned(h, 16))
 
-    return F.sort_array(F.transform(F.filter(F.array_distinct(words(line)), lambda w: w != ""), code))
+    return F.sort_array(F.transform(found, code))
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -76,76 +82,94 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.select("doc_id", "h", F.posexplode(F.split("_text", "\n")).alias("line", "words"))
 
 
-def _sets(docs: DataFrame, doc_id: str, text: str, ranks: Column) -> DataFrame:
-    """(doc_id, h, line, k1, k2, tokens) of every line that has tokens; k1 and k2 name the set."""
-    rows = _lines(docs, doc_id, text).withColumn("tokens", tokens(F.col("words"), ranks)).filter(F.size("tokens") > 0)
-    return rows.select("doc_id", "h", "line", F.xxhash64("tokens").alias("k1"), F.xxhash64(F.lit(1), "tokens").alias("k2"), "tokens")
-
-
-def _place(prefix: str = "") -> Column:
+def _place() -> Column:
     """A line's place in the collection: by id, null last, then text hash and line number."""
-    c = lambda name: F.col(prefix + name)
-    return F.struct(c("doc_id").isNull(), c("doc_id"), c("h"), c("line"))
-
+    return F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("h"), F.col("line"))
 
-def _first(sets: DataFrame, rule: Rule) -> DataFrame:
-    """One row per distinct set: its first place, size, prefix and an id."""
-    n = F.size("tokens")
-    rows = sets.select("k1", "k2", _place().alias("first"), n.alias("n"), F.slice("tokens", 1, rule.prefix(n)).alias("prefix"))
-    firsts = rows.groupBy("k1", "k2").agg(F.min("first").alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    firsts = firsts.select("k1", "k2", "first.doc_id", "first.h", "first.line", "n", "prefix")
-    return written(firsts.withColumn("id", F.monotonically_increasing_id()), "line-sets")
 
+def _marked(docs: DataFrame, doc_id: str, text: str, ranks: Column, rule: Rule) -> DataFrame:
+    """Every line that has words: its place, the names k1 and k2 of its set, the set's size and prefix.
 
-def _postings(firsts: DataFrame, rule: Rule, short: bool) -> DataFrame:
+    The prefix keeps the upper half of each long, rank and 16 bits of the hash:
+    enough to find candidates, which are verified by all of their words.
+    """
+    rows = _lines(docs, doc_id, text).select("doc_id", "h", "line", by_rarity(hashes(F.col("words")), ranks).alias("tokens"))
+    n = F.size("tokens")
+    prefix = F.transform(F.slice("tokens", 1, rule.prefix(n)), lambda t: F.shiftright(t, 32).cast("int"))
+    # Each word turns one of 64 bits over: sets that differ in d words differ in d bits at most.
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(F.lit(63)).cast("int"))
+    bits = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
+    return written(rows.filter(n > 0).select(
+        "doc_id", "h", "line", F.xxhash64("tokens").alias("k1"), F.xxhash64(F.lit(1), "tokens").alias("k2"), n.alias("n"),
+        prefix.alias("prefix"), bits.alias("bits")), "lines")
+
+
+def _first(lines: DataFrame) -> DataFrame:
+    """One row per distinct set: its first place, size, prefix and an id; ids are in the order of the places."""
+    rows = lines.select("k1", "k2", _place().alias("first"), "n", "bits", "prefix")
+    firsts = rows.groupBy("k1", "k2").agg(
+        F.min("first").alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+        F.first("prefix").alias("prefix"))
+    firsts = firsts.select("k1", "k2", "first.doc_id", "first.h", "first.line", "n", "bits", "prefix")
+    order = [F.col("doc_id").asc_nulls_last(), F.col("h"), F.col("line")]
+    ordered = firsts.repartitionByRange(*order).sortWithinPartitions(*order)
+    return written(ordered.withColumn("id", F.monotonically_increasing_id()), "line-sets")
+
+
+def _postings(firsts: DataFrame, prefix: Column) -> DataFrame:
     """A row for each token of a set's prefix, with its position."""
-    kept = F.slice("prefix", 1, rule.short_prefix(F.col("n"))) if short else F.col("prefix")
-    return firsts.select("id", "doc_id", "h", "line", "n", F.posexplode(kept).alias("q", "token"))
+    return firsts.select("id", "n", F.posexplode(prefix).alias("q", "token"))
 
 
 def _reach(rule: Rule, n: Column, q: Column, m: Column, r: Column) -> Column:
-    """Length and positional filter: what is left behind the common token is enough."""
+    """Length and positional filter: what is left from the common token on is enough."""
     lengths = (F.least(n, m) * rule.under >= F.greatest(n, m) * rule.over)
     return lengths & (F.least(n - q, m - r) >= rule.least_overlap(n, m))
 
 
 def _neighbours(firsts: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (earlier, later) of sets that stand next to each other in a token's list."""
-    near = W.partitionBy("token").orderBy(_place(), "id").rowsBetween(-rule.neighbours, -1)
-    rows = _postings(firsts, rule, short=True).withColumn("_near", F.collect_list(F.struct("id", "n", "q")).over(near))
+    near = W.partitionBy("token").orderBy("id").rowsBetween(-rule.neighbours, -1)
+    rows = _postings(firsts, F.slice("prefix", 1, rule.short_prefix(F.col("n"))))
+    rows = rows.withColumn("_near", F.collect_list(F.struct("id", "n", "q")).over(near))
     good = F.filter("_near", lambda x: _reach(rule, x["n"], x["q"], F.col("n"), F.col("q")))
     return rows.select(F.explode(good).alias("x"), F.col("id").alias("later")).select(F.col("x.id").alias("earlier"), "later").distinct()
 
 
 def _others(firsts: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
-    """All remaining pairs (earlier, later) whose later set has no match yet."""
+    """All pairs (earlier, later) that share a prefix token and whose later set has no match yet."""
     open_ones = firsts.join(found, firsts["id"] == found["later"], "left_anti")
-    names = {c: f"x_{c}" for c in ("id", "doc_id", "h", "line", "n", "q")}
-    pairs = None
-    # The smaller set of a pair is found by its short prefix, whichever of the two comes later.
-    for later_short in (False, True):
-        later = _postings(open_ones, rule, short=later_short)
-        earlier = _postings(firsts, rule, short=not later_short).withColumnsRenamed(names)
-        sizes = F.col("n") < F.col("x_n") if later_short else F.col("n") >= F.col("x_n")
-        before = F.struct(_place("x_"), F.col("x_id")) < F.struct(_place(), F.col("id"))
-        met = later.join(earlier, "token").filter(sizes & before & _reach(rule, F.col("x_n"), F.col("x_q"), F.col("n"), F.col("q")))
-        met = met.select(F.col("x_id").alias("earlier"), F.col("id").alias("later"))
-        pairs = met if pairs is None else pairs.unionByName(met)
-    return pairs.distinct()
-
-
-def _verified(pairs: DataFrame, firsts: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The later sets (later) of the pairs whose Jaccard similarity is enough."""
-    pairs = written(pairs, "pairs")
+    later = _postings(open_ones, F.col("prefix"))
+    earlier = _postings(firsts, F.col("prefix")).withColumnsRenamed({"id": "x_id", "n": "x_n", "q": "x_q"})
+    reach = _reach(rule, F.col("x_n"), F.col("x_q"), F.col("n"), F.col("q"))
+    met = later.join(earlier, (later["token"] == earlier["token"]) & (F.col("x_id") < F.col("id")) & reach)
+    return met.select(F.col("x_id").alias("earlier"), F.col("id").alias("later")).distinct()
+
+
+def _verified(pairs: DataFrame, firsts: DataFrame, lines: DataFrame, rule: Rule) -> DataFrame:
+    """The later sets (later) of the pairs whose Jaccard similarity is enough.
+
+    Pairs whose 64 bits differ in more places than their words may are left out
+    first; only the lines of the others are split into words again.
+    """
+    facts = firsts.select("id", "n", "bits")
+    near = pairs.join(facts.withColumnsRenamed({"id": "earlier", "n": "m", "bits": "other"}), "earlier").join(
+        facts.withColumnRenamed("id", "later"), "later")
+    apart = F.bit_count(F.col("bits").bitwiseXOR(F.col("other")))
+    near = near.filter(apart <= F.col("n") + F.col("m") - 2 * rule.least_overlap(F.col("n"), F.col("m")))
+    pairs = written(near.select("earlier", "later"), "pairs")
     named = pairs.select(F.col("earlier").alias("id")).unionByName(pairs.select(F.col("later").alias("id"))).distinct()
-    wanted = firsts.join(named, "id").select("id", "doc_id", "h", "line")
-    here = sets["doc_id"].eqNullSafe(wanted["doc_id"]) & (sets["h"] == wanted["h"]) & (sets["line"] == wanted["line"])
-    full = written(sets.join(wanted, here).select("id", "tokens").dropDuplicates(["id"]), "tokens")
+    wanted = written(firsts.join(named, "id").select("id", F.coalesce("doc_id", F.lit(0)).alias("_d"), "h", "line"), "wanted")
+    here = lines.select(F.coalesce("doc_id", F.lit(0)).alias("_d"), "h", "line", "words")
+    found = wanted_rows(here, wanted, ["_d", "h", "line"]).groupBy("id").agg(F.first("words").alias("words"))
+    full = written(found.select("id", hashes(F.col("words")).alias("tokens")), "tokens")
     both = pairs.join(full.withColumnsRenamed({"id": "later", "tokens": "y"}), "later")
     both = both.join(full.withColumnsRenamed({"id": "earlier", "tokens": "x"}), "earlier")
     common = F.size(F.array_intersect("x", "y"))
     good = common >= rule.least_overlap(F.size("x"), F.size("y"))
-    return written(both.filter(good).select("later").distinct(), "matched")
+    matched = written(both.filter(good).select("later").distinct(), "matched")
+    discard(pairs, wanted, full)
+    return matched
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
@@ -166,16 +190,17 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     last; rows equal in id and text are one document and lose the same lines; an
     empty table gives no rows. Other columns are not used.
     """
-    ranks = rarity(docs, text)
-    sets = _sets(docs, doc_id, text, ranks)
-    firsts = _first(sets, rule)
-    near = _verified(_neighbours(firsts, rule), firsts, sets, rule)
-    rest = _verified(_others(firsts, near, rule), firsts, sets, rule)
+    marked = _marked(docs, doc_id, text, rarity(docs, text), rule)
+    lines = _lines(docs, doc_id, text)
+    firsts = _first(marked)
+    near = _verified(_neighbours(firsts, rule), firsts, lines, rule)
+    rest = _verified(_others(firsts, near, rule), firsts, lines, rule)
     gone = near.unionByName(rest).withColumn("gone", F.lit(True))
     judged = firsts.join(gone, firsts["id"] == gone["later"], "left").select(
         "k1", "k2", _place().alias("first"), F.coalesce("gone", F.lit(False)).alias("gone"))
-    again = sets.drop("tokens").join(judged, ["k1", "k2"]).filter(F.col("gone") | (_place() != F.col("first")))
-    lists = again.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    again = marked.select("doc_id", "h", "line", "k1", "k2").join(judged, ["k1", "k2"]).filter(F.col("gone") | (_place() != F.col("first")))
+    lists = written(again.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set("line")).alias("removed")), "removed")
+    discard(marked, firsts, near, rest)
     lists = lists.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "removed")
     rows = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), F.xxhash64(docs[text]).alias("h"),
                        F.coalesce(F.size(F.split(docs[text], "\n")), F.lit(0)).alias("n_lines"))
