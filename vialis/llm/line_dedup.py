@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vialis.llm.common import discard, wanted_rows, written
+from vialis.llm.common import discard, release, wanted_rows, written
 
 BUCKETS = 65_536
 BLANKS = "\t\x0b\x0c\r"
@@ -158,6 +158,7 @@ def _verified(pairs: DataFrame, firsts: DataFrame, lines: DataFrame, rule: Rule)
     apart = F.bit_count(F.col("bits").bitwiseXOR(F.col("other")))
     near = near.filter(apart <= F.col("n") + F.col("m") - 2 * rule.least_overlap(F.col("n"), F.col("m")))
     pairs = written(near.select("earlier", "later"), "pairs")
+    release(pairs.sparkSession)
     named = pairs.select(F.col("earlier").alias("id")).unionByName(pairs.select(F.col("later").alias("id"))).distinct()
     wanted = written(firsts.join(named, "id").select("id", F.coalesce("doc_id", F.lit(0)).alias("_d"), "h", "line"), "wanted")
     here = lines.select(F.coalesce("doc_id", F.lit(0)).alias("_d"), "h", "line", "words")
@@ -169,6 +170,7 @@ def _verified(pairs: DataFrame, firsts: DataFrame, lines: DataFrame, rule: Rule)
     good = common >= rule.least_overlap(F.size("x"), F.size("y"))
     matched = written(both.filter(good).select("later").distinct(), "matched")
     discard(pairs, wanted, full)
+    release(matched.sparkSession)
     return matched
 
 
@@ -193,6 +195,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     marked = _marked(docs, doc_id, text, rarity(docs, text), rule)
     lines = _lines(docs, doc_id, text)
     firsts = _first(marked)
+    release(docs.sparkSession)
     near = _verified(_neighbours(firsts, rule), firsts, lines, rule)
     rest = _verified(_others(firsts, near, rule), firsts, lines, rule)
     gone = near.unionByName(rest).withColumn("gone", F.lit(True))
