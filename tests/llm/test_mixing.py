@@ -84,3 +84,21 @@ def test_empty_and_wordless(spark, docs):
     assert mixing.resample(docs.limit(0)).count() == 0
     rows = mixing.mix(docs.filter("doc_id in (900, 901)")).rows.collect()
     assert [(r["size"], r["target"], r["taken"]) for r in rows] == [(0, 0.0, 0)] * 2
+
+
+def test_a_source_far_below_the_mean_comes_near_its_target(spark):
+    rows = [(i, "w " * 1000, f"s{i % 3}") for i in range(900)] + [(1000 + i, "w " * 50, "tiny") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    plan = mixing.Plan(weights=(5.0, 2.0, 1.0, 0.001), blocks_per_source=50)
+    mixed = mixing.mix(docs, plan=plan)
+    taken = {r["source"]: r["t"] for r in mixed.rows.groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+    sources = {r["source"]: r for r in mixed.sources.collect()}
+    goal = {s: r["target"] for s, r in sources.items()}
+    assert goal["tiny"] < sum(goal.values()) / len(goal) / 500
+    assert taken == pytest.approx(goal, rel=0.01)
+    seats = sum(sum(r["blocks"]) for r in sources.values())
+    names = sorted(goal)
+    votes = {s: goal[s] for s in names}
+    for k in range(1, plan.shards + 1):
+        assert {s: sum(sources[s]["blocks"][:k]) for s in names} == highest_quotients(votes, seats // plan.shards * k)
+    assert mixing.resample(docs, plan).filter("source = 'tiny'").count() > 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +21,9 @@ class Plan:
     ``weights`` go round the sources in code point order, null last. The mix has
     ``share`` times all words; a source gives ``passes`` times its words at
     most. ``blocks_per_source`` sets the block size: all blocks together are so
-    many times the number of sources, rounded up to a multiple of ``shards``.
+    many times the number of sources, rounded up to a multiple of ``shards``. The
+    blocks are smaller where the smallest source would have fewer than
+    ``least_blocks`` otherwise, down to one word.
     """
 
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
@@ -28,6 +31,7 @@ class Plan:
     passes: int = 2
     shards: int = 8
     blocks_per_source: int = 4096
+    least_blocks: int = 256
     seed: int = 11
 
 
@@ -71,23 +75,42 @@ def quotas(sources: DataFrame, source: str, plan: Plan = Plan()) -> tuple[DataFr
     the blocks. The order of the quotients is also the order of the shards:
     each takes the next run of equally many blocks, so every shard holds the
     sources in nearly the target proportions, and the numbers are integers. The
-    number of quotients is a parameter times the number of sources.
+    number of quotients is a parameter times the number of sources, or more, so
+    that the smallest source has ``least_blocks`` or blocks of a single word.
+
+    Up to each shard's last block, a source's share bounds the quotients that it
+    wins for certain and those that it may win. Only those in between are put in
+    order: a few rows per source and shard, however many blocks there are.
     """
-    n, words = sources.agg(F.count(F.lit(1)), F.sum("target")).first()
+    n, words, least = sources.agg(
+        F.count(F.lit(1)), F.sum("target"), F.min(F.when(F.col("target") > 0, F.col("target"))),
+    ).first()
     if not words:
         return sources.select(source, F.array_repeat(F.lit(0), plan.shards).alias("blocks")), 1.0
-    per_shard = -(-plan.blocks_per_source * n // plan.shards)
-    seats = per_shard * plan.shards
-    block = words / seats
-    # A source's share of the seats, times 1 + n / (2 * seats) plus a half, bounds its highest quotients.
-    most = F.ceil(F.col("target") / block * (1 + n / (2 * seats)) + 1)
-    claims = sources.select(
-        source, "_rank", "target", F.explode(F.sequence(F.lit(0).cast("bigint"), most)).alias("_seat"),
+    smallest = max(1.0, least / plan.least_blocks)
+    per_shard = max(-(-plan.blocks_per_source * n // plan.shards), math.ceil(words / smallest / plan.shards))
+    block = words / (per_shard * plan.shards)
+    upto = F.col("_cut") * F.lit(per_shard)
+    share = F.col("target") / words * upto
+    # Rounded shares miss the seats by n / 2 at most, so the divisor that fits differs by n / (2 * seats) of itself.
+    off = n / (2 * upto)
+    sure = F.greatest(F.lit(0), F.floor(share * (1 - off) - 0.5) - 1).cast("bigint")
+    most = (F.ceil(share * (1 + off) + 0.5) + 1).cast("bigint")
+    bounds = written(sources.filter("target > 0").select(
+        source, "_rank", "target", F.explode(F.sequence(F.lit(1), F.lit(plan.shards))).alias("_cut"),
+    ).withColumns({"_sure": sure, "_most": most}), "bounds")
+    given = {r["_cut"]: r["_given"] for r in bounds.groupBy("_cut").agg(F.sum("_sure").alias("_given")).collect()}
+    free = F.array(*[F.lit(k * per_shard - given[k]).cast("bigint") for k in range(1, plan.shards + 1)])
+    claims = bounds.select(
+        "_cut", "_rank", "target", F.explode(F.sequence("_sure", "_most")).alias("_seat"),
     ).withColumn("_quotient", F.col("target") / (2 * F.col("_seat") + 1))
     order = [F.col("_quotient").desc(), F.col("_rank"), F.col("_seat")]
-    won = running_total(claims, [], order, alias="_place").filter(F.col("_place") <= seats)
-    shard = F.floor((F.col("_place") - 1) / per_shard)
-    counted = won.groupBy(source).agg(*[F.count(F.when(shard == i, True)).alias(f"_b{i}") for i in range(plan.shards)])
+    placed = running_total(claims, ["_cut"], order, alias="_place")
+    won = F.count(F.when(F.col("_place") <= F.element_at(free, F.col("_cut")), True))
+    more = placed.groupBy(F.col("_rank").alias("_r"), F.col("_cut").alias("_k")).agg(won.alias("_won"))
+    ends = bounds.join(more, (F.col("_rank") == F.col("_r")) & (F.col("_cut") == F.col("_k")))
+    upto = [F.coalesce(F.sum(F.when(F.col("_cut") == k, F.col("_sure") + F.col("_won"))), F.lit(0)) for k in range(plan.shards + 1)]
+    counted = ends.groupBy(source).agg(*[(b - a).alias(f"_b{i}") for i, (a, b) in enumerate(zip(upto, upto[1:], strict=False))])
     return counted.select(source, F.array(*[F.col(f"_b{i}") for i in range(plan.shards)]).alias("blocks")), block
 
 
