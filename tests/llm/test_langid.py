@@ -58,3 +58,28 @@ def test_known_keeps_clean_rows_and_all_columns(spark):
     kept = langid.known(table)
     assert kept.columns == table.columns
     assert {r["doc_id"] for r in table.select("doc_id").collect()} - {r["doc_id"] for r in kept.collect()} == {300, 301, 302}
+
+
+def test_every_letter_of_the_samples_counts():
+    r = random.Random(4)
+    latin = {"x": " ".join(r.choices(["lorem", "ipsum", "dolor"], k=60)), "y": " ".join(r.choices(["quick", "fjord", "waltz"], k=60))}
+    signs = {"zh": range(0x4E00, 0x4E00 + 300), "ja": range(0x6000, 0x6000 + 300)}
+    words = {k: ["".join(map(chr, v[i:i + 3])) for i in range(0, 300, 3)] for k, v in signs.items()}
+    samples = {k: ["".join(r.choices(v, k=130)) for _ in range(5)] for k, v in words.items()}
+    model = langid.Model({**{k: [v] * 20 for k, v in latin.items()}, **samples})
+    seen = set("".join("".join(t) for t in model.samples.values())) - {" "}
+    codes = {c: int(model.alphabet.encoded(c)[0]) for c in seen}
+    assert len(set(codes.values())) == len(seen) and min(codes.values()) > 1
+    texts = ["".join(r.choices(words[k], k=14)) for k in ("zh", "ja") * 20] + [latin["x"][:50], latin["y"][:50]]
+    assert model.judged(texts)[0] == ["zh", "ja"] * 20 + ["x", "y"]
+    joined = {k: [tuple(model.alphabet.encoded(t)) for t in v] for k, v in model.samples.items()}
+    learned = [c for p in joined["ja"] for c in (*p, 0)]
+    parts = {tuple(learned[i:i + n]) for n in range(1, 8) for i in range(len(learned) - n + 1)}
+    for text in texts[:10]:
+        whole, count, at = tuple(model.alphabet.encoded(text).tolist()), 0, 0
+        while at < len(whole):
+            size = 1
+            while at + size < len(whole) and whole[at:at + size + 1] in parts:
+                size += 1
+            count, at = count + 1, at + size
+        assert model.phrases(model.alphabet.encoded(text)[:, None])[model.languages.index("ja"), 0] == count

@@ -32,13 +32,17 @@ class Alphabet:
 
     def __init__(self, texts: list[str]):
         seen = Counter(c for t in texts for c in t.lower() if c.isalpha())
-        self.codes = {c: i + 2 for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS])}
+        self.codes = {c: i + 2 for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0])))}
         self.size = (len(self.codes) + 3) // 2 * 2
-        points = np.zeros(0x110000, dtype=np.uint8)
+        # Codes below this have a column in the automata's tables, those of rarer letters are looked up.
+        self.columns = min(self.size, LETTERS + 2)
+        kind = next(t for t in (np.uint8, np.uint16, np.uint32) if self.size <= np.iinfo(t).max)
+        points = np.zeros(0x110000, dtype=kind)
         for point in range(0x110000):
             if unicodedata.category(chr(point))[0] == "L":
-                points[point] = self.codes.get(chr(point).lower(), 1)
+                points[point] = self.codes.get(chr(point).lower()[0], 1)
         self.points = points
+        self.end = int(np.iinfo(kind).max)
 
     def encoded(self, text: str) -> np.ndarray:
         """Codes of a text; each run of other characters is a single 0 between words."""
@@ -48,8 +52,8 @@ class Alphabet:
         return codes[keep]
 
 
-def suffix_automaton(codes: np.ndarray, size: int) -> np.ndarray:
-    """Transitions of the suffix automaton of a code sequence, one row per state, -1 where there is none."""
+def suffix_automaton(codes: np.ndarray) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of a code sequence: next state by code, for each state."""
     nexts: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -76,18 +80,49 @@ def suffix_automaton(codes: np.ndarray, size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = copy
         last = cur
-    out = np.full((len(nexts), size), -1, dtype=np.int32)
-    for state, moves in enumerate(nexts):
-        for c, to in moves.items():
-            out[state, c] = to
-    return out
+    return nexts
+
+
+class Automaton:
+    """A suffix automaton whose entries are the next state's offset, odd where a phrase begins.
+
+    The columns of the commonest letters are a table; moves by rarer letters
+    are sorted by state and code.
+    """
+
+    def __init__(self, codes: np.ndarray, alphabet: Alphabet):
+        nexts, self.size, self.columns = suffix_automaton(codes), alphabet.size, alphabet.columns
+        table = np.full((len(nexts), self.columns), -1, dtype=np.int64)
+        # One more state, before the first phrase and after a letter that the language lacks: any letter begins a phrase there.
+        self.first = len(nexts) * self.columns
+        begin = np.full(self.size, self.first + 1, dtype=np.int64)
+        for c, to in nexts[0].items():
+            begin[c] = to * self.columns + 1
+        rare = []
+        for state, moves in enumerate(nexts):
+            for c, to in moves.items():
+                if c < self.columns:
+                    table[state, c] = to * self.columns
+                else:
+                    rare.append((state * self.size + c, to * self.columns))
+        common = begin[None, :self.columns]
+        self.table = np.vstack([np.where(table >= 0, table, common), common]).astype(np.int32).ravel()
+        self.begin = begin.astype(np.int32)
+        # The last key is none of a move; it keeps every place inside the arrays.
+        rare = np.array([*sorted(rare), (np.iinfo(np.int64).max, 0)], dtype=np.int64)
+        self.keys, self.to = np.ascontiguousarray(rare[:, 0]), rare[:, 1].astype(np.int32)
+
+    def rare_moves(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        keys = states.astype(np.int64) // self.columns * self.size + codes
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, self.to[at], self.begin[codes])
 
 
 _BUILT: dict[str, tuple] = {}
 
 
 class Model:
-    """One automaton per language, as tables whose entries are the next state's offset, odd where a phrase begins.
+    """One automaton per language.
 
     Only the bounded samples travel; the tables are built from them once in
     each Python worker.
@@ -103,47 +138,48 @@ class Model:
         return self._built()[0]
 
     @property
-    def tables(self) -> list[np.ndarray]:
+    def tables(self) -> list[Automaton]:
         return self._built()[1]
 
     @property
     def norms(self) -> list[float]:
         return self._built()[2]
 
-    def _built(self) -> tuple[Alphabet, list[np.ndarray], list[float]]:
+    def _built(self) -> tuple[Alphabet, list[Automaton], list[float]]:
         if self.mark not in _BUILT:
             _BUILT.clear()
             _BUILT[self.mark] = self._build()
         return _BUILT[self.mark]
 
-    def _build(self) -> tuple[Alphabet, list[np.ndarray], list[float]]:
+    def _build(self) -> tuple[Alphabet, list[Automaton], list[float]]:
         alphabet = Alphabet([t for texts in self.samples.values() for t in texts])
-        size, tables, norms = alphabet.size, [], []
+        tables, norms = [], []
         for lang in self.languages:
             parts = [alphabet.encoded(t) for t in self.samples[lang]]
             codes = np.concatenate([x for p in parts for x in (p, np.zeros(1, dtype=np.uint8))])[:SAMPLE_CHARS]
-            moves = suffix_automaton(codes, size)
-            # One more state, before the first phrase and after a letter that the language lacks: any letter begins a phrase there.
-            begin = np.where(moves[0] >= 0, moves[0], len(moves)) * size + 1
-            flat = np.vstack([np.where(moves >= 0, moves * size, begin[None, :]), begin[None, :]])
-            tables.append(flat.astype(np.int32).ravel())
+            tables.append(Automaton(codes, alphabet))
             norms.append(float(np.log2(len(codes) + 1)))
         return alphabet, tables, norms
 
     def phrases(self, codes: np.ndarray) -> np.ndarray:
-        """Phrases per language and lane; ``codes`` is (steps, lanes), 255 past a lane's end."""
+        """Phrases per language and lane; ``codes`` is (steps, lanes), the alphabet's ``end`` past a lane's end."""
         out = np.zeros((len(self.tables), codes.shape[1]), dtype=np.int64)
-        ends = (codes != 255).sum(axis=0)
+        ends = (codes != self.alphabet.end).sum(axis=0)
         order = np.argsort(-ends, kind="stable")
         codes = np.ascontiguousarray(codes[:, order])
         alive = np.searchsorted(-ends[order], -np.arange(codes.shape[0]), side="left")
+        columns = self.alphabet.columns
+        low = np.minimum(codes, columns - 1).astype(np.uint8)
+        rare = [np.flatnonzero(codes[i, :n] >= columns) for i, n in enumerate(alive.tolist())]
         for k, moves in enumerate(self.tables):
-            state = np.full(codes.shape[1], len(moves) - self.alphabet.size, dtype=np.int32)
+            state = np.full(codes.shape[1], moves.first, dtype=np.int32)
             begun = np.zeros(codes.shape[1], dtype=np.int32)
             for i, n in enumerate(alive.tolist()):
                 if not n:
                     break
-                code = moves.take(state[:n] + codes[i, :n])
+                code = moves.table.take(state[:n] + low[i, :n])
+                if len(rare[i]):
+                    code[rare[i]] = moves.rare_moves(state[rare[i]], codes[i, rare[i]])
                 begin = code & 1
                 begun[:n] += begin
                 np.subtract(code, begin, out=state[:n])
@@ -165,7 +201,7 @@ class Model:
         def flush() -> None:
             if not lanes:
                 return
-            codes = np.full((len(lanes), max(map(len, lanes))), 255, dtype=np.uint8)
+            codes = np.full((len(lanes), max(map(len, lanes))), self.alphabet.end, dtype=self.alphabet.points.dtype)
             for i, lane in enumerate(lanes):
                 codes[i, :len(lane)] = lane
             np.add.at(total, np.array(owner), self.phrases(codes.T).T)
