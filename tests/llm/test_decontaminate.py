@@ -97,3 +97,17 @@ def test_gram_hashes_depend_on_the_window_alone():
         for i, h in enumerate(hashes):
             assert seen.setdefault(codes[i:i + q].tobytes(), h) == h
         assert len(set(seen.values())) == len(seen) and len(hashes) == 401 - q
+
+
+@pytest.mark.parametrize("block", [2_000_000, 50])
+def test_equal_items_and_short_items(spark, block):
+    item = "The quick brown fox jumps over the lazy dog again and again"
+    items = [(7, item), (3, "something else that nobody has in a text"), (8, item.upper()), (9, "Who, then?"), (10, "你叫什么名字"), (11, "..."), (12, "who then")]
+    docs = [(1, f"x {item} y"), (2, "Ah: who   then did it? Who then"), (3, "whoa, then"), (4, "请问你叫什么名字呢"), (5, "who"), (6, "你叫什么名"), (7, "Who! Then")]
+    table, bench = frames(spark, docs, items)
+    pairs = lambda rows: sorted((r["doc_id"], x["item_id"], x["start"], x["end"]) for r in rows for x in r["leaks"])
+    first = [(1, 7, 2, 2 + len(item)), (2, 9, 4, 14), (2, 9, 23, 31), (4, 10, 2, 8), (7, 9, 0, 9)]
+    assert pairs(dec.with_leaks(table, bench, block_chars=block).collect()) == first
+    every = first + [(d, {7: 8, 9: 12}[i], a, b) for d, i, a, b in first if i in (7, 9)]
+    assert pairs(dec.with_leaks(table, bench, block_chars=block, every_id=True).collect()) == sorted(every)
+    assert sorted(r["doc_id"] for r in dec.clean(table, bench).collect()) == [3, 5, 6]

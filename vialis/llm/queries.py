@@ -126,7 +126,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every place of a benchmark item in a document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
+    marked = decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark"), keep_text=False, every_id=True)
     return marked.select("doc_id", F.inline("leaks"))
 
 
