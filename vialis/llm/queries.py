@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialis.llm import chat_prefix, decontaminate, langid, line_dedup, mixing, ngram_join, pii, secret_scan, sharding, topk
+from vialis.llm import (
+    chat_prefix, decontaminate, langid, license_scan, line_dedup, mixing, ngram_join, pii, secret_scan, sharding, topk,
+)
 from vialis.llm.common import table
 
 
@@ -130,6 +132,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", F.inline("leaks"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_chat_prefix": op1_chat_prefix,
     "op2_line_dedup": op2_line_dedup,
@@ -141,9 +148,11 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_ngram_join": op9_ngram_join,
     "op10_decontamination": op10_decontamination,
+    "op11_license_scan": op11_license_scan,
 }
 SQL = {
     "op1_chat_prefix": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
     "op8_top_k": OP8_SQL,
+    "op11_license_scan": license_scan.as_sql(),
 }
