@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vialis.llm import (
-    chat_prefix, decontaminate, langid, license_scan, line_dedup, mixing, ngram_join, pii, secret_scan, sharding, topk,
+    chat_prefix, decontaminate, langid, license_scan, line_dedup, mixing, ngram_join, periodic_runs, pii, secret_scan,
+    sharding, topk,
 )
 from vialis.llm.common import table
 
@@ -137,6 +138,12 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of them with a periodic end."""
+    found = periodic_runs.find(table(spark, sf_dir, "documents"), tail=periodic_runs.planted_tail)
+    return periodic_runs.digest(found)
+
+
 QUERIES = {
     "op1_chat_prefix": op1_chat_prefix,
     "op2_line_dedup": op2_line_dedup,
@@ -149,6 +156,7 @@ QUERIES = {
     "op9_ngram_join": op9_ngram_join,
     "op10_decontamination": op10_decontamination,
     "op11_license_scan": op11_license_scan,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 SQL = {
     "op1_chat_prefix": OP1_SQL,
