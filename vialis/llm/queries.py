@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vialis.llm import (
     chat_prefix, decontaminate, langid, license_scan, line_dedup, mixing, ngram_join, periodic_runs, pii, secret_scan,
-    sharding, topk,
+    sharding, topk, whitening,
 )
 from vialis.llm.common import table
 
@@ -144,6 +144,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(found)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened leading components of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_chat_prefix": op1_chat_prefix,
     "op2_line_dedup": op2_line_dedup,
@@ -157,6 +162,7 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op11_license_scan": op11_license_scan,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_whitening": op13_whitening,
 }
 SQL = {
     "op1_chat_prefix": OP1_SQL,
