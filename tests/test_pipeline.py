@@ -145,16 +145,73 @@ def test_loads_lose_and_double_nothing(spark, layers, tmp_path):
     assert load("2021/data.csv", "2022/data.csv", "2023/data.csv") == 1
     write(tmp_path / "2022/data.csv", "2,b\n3,c\n4,d\n")
     assert load("2021/data.csv", "2022/data.csv") == 3 and held() == [1, 2, 3, 4, 9]
-    # The rows were written, the ledger was never closed: the next load takes them out and loads again.
+    # The rows were written, the load was never committed: the next load drops its partition.
     write(tmp_path / "2024/data.csv", "7,x\n")
-    entry = [tuple(r) for r in tables.file_list(spark, [str(tmp_path / "2024/data.csv")]).collect()]
-    tables._note(spark, table, entry, "cut-off", False)
-    tables._write(tables.audited(read([entry[0][0]]), "s"), table, "fecha_ingesta")
+    tables._write(tables.audited(read([str(tmp_path / "2024/data.csv")]), "s"), table, "cutoff", "fecha_ingesta")
+    assert sorted(r["i"] for r in tables.held(spark, table).collect()) == [1, 2, 3, 4, 9]
     assert load("2024/data.csv") == 1 and held() == [1, 2, 3, 4, 7, 9]
     assert tables.append_raw(spark.createDataFrame([(5, "e")], "i int, w string"), table, "s", "frame") == 1
     assert tables.append_raw(spark.createDataFrame([(5, "e")], "i int, w string"), table, "s", "frame") == 0
 
 
+@pytest.mark.parametrize("step", ["_write", "_commit", "_drop_loads"])
+@pytest.mark.parametrize("after", [False, True])
+def test_a_reload_cut_off_anywhere(spark, layers, tmp_path, monkeypatch, step, after):
+    """One file of a load of two grows, the other leaves; the load breaks before or after each step and is tried again."""
+    table = layers.raw("lecturas")
+    read = lambda found: spark.read.schema("i int, w string").csv(found)
+    load = lambda *names: tables.append_files(spark, [str(tmp_path / n) for n in names], table, "s", read)
+    held = lambda df: sorted((r["i"], r["nombre_archivo"]) for r in df.collect())
+    write(tmp_path / "a.csv", "1,a\n2,a\n")
+    write(tmp_path / "b.csv", "3,b\n")
+    write(tmp_path / "c.csv", "9,c\n")
+    load("a.csv", "b.csv")
+    load("c.csv")
+    write(tmp_path / "b.csv", "3,b\n4,b\n")
+    (tmp_path / "a.csv").unlink()
+    real, calls = getattr(tables, step), []
+
+    def broken(*args, **kwargs):
+        calls.append(step)
+        # The first call of _drop_loads clears what earlier loads left; the second one ends this load.
+        if step == "_drop_loads" and len(calls) == 1:
+            return real(*args, **kwargs)
+        if after:
+            real(*args, **kwargs)
+        raise RuntimeError("cut off")
+
+    monkeypatch.setattr(tables, step, broken)
+    with pytest.raises(RuntimeError):
+        load("b.csv")
+    monkeypatch.setattr(tables, step, real)
+    before, now = [(1, "a.csv"), (2, "a.csv"), (3, "b.csv"), (9, "c.csv")], [(1, "a.csv"), (2, "a.csv"), (3, "b.csv"), (4, "b.csv"), (9, "c.csv")]
+    committed = step == "_drop_loads" or step == "_commit" and after
+    assert held(tables.held(spark, table)) == (now if committed else before)
+    assert load("b.csv") == (0 if committed else 2)
+    assert held(spark.table(table)) == now and held(tables.held(spark, table)) == now
+
+
+def test_rows_of_several_files_and_one_that_left(spark, layers, tmp_path):
+    head = "timestamp,estacion_id,variable,valor\n"
+    a = write(tmp_path / "a.csv", head + "2020-05-01 01:00:00,S1,pm25,10\n2020-05-01 02:00:00,S1,pm25,11\n")
+    b = write(tmp_path / "b.csv", head + "2020-05-01 01:00:00,S1,pm10,5\n2020-05-01 03:00:00,S1,pm25,7\n")
+    assert bronze.load_air(spark, [a, b], layers=layers) == 3
+    write(tmp_path / "b.csv", head + "2020-05-01 01:00:00,S1,pm10,6\n2020-05-01 04:00:00,S1,pm25,8\n")
+    (tmp_path / "a.csv").unlink()
+    assert bronze.load_air(spark, [b], layers=layers) == 2
+    rows = silver.clean_air(tables.held(spark, layers.raw("aire"))).orderBy("timestamp").collect()
+    assert [(r["hora"], r["pm25"], r["pm10"]) for r in rows] == [(1, 10.0, 6.0), (2, 11.0, None), (4, 8.0, None)]
+
+
+def test_readings_of_one_hour_in_two_loads(spark, layers, tmp_path):
+    head = "timestamp,estacion_id,variable,valor\n"
+    a = write(tmp_path / "a.csv", head + "2020-05-01 01:00:00,S1,pm25,10\n")
+    b = write(tmp_path / "b.csv", head + "2020-05-01 01:00:00,S1,pm10,5\n")
+    assert bronze.load_air(spark, [a], layers=layers) == bronze.load_air(spark, [b], layers=layers) == 1
+    rows = silver.clean_air(spark.table(layers.raw("aire"))).collect()
+    assert [(r["pm25"], r["pm10"]) for r in rows] == [(10.0, 5.0)]
+
+
 def test_air_of_a_superset_is_not_doubled(spark, layers, tmp_path):
     head = "timestamp,estacion_id,variable,valor\n"
     a = write(tmp_path / "a.csv", head + "2020-05-01 01:00:00,S1,pm25,10\n")

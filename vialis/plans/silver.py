@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vialis import vocabulary as v
 from vialis.functions.calendar import day_band, is_weekend
 from vialis.functions.geo import in_valid_area, pair_from_brackets, pair_from_dict_text, repair_swapped
 from vialis.functions.measures import is_plausible_trip, trip_class, vehicle_total
@@ -12,6 +15,7 @@ from vialis.operators import quality
 from vialis.operators.rollups import network_daily
 from vialis.operators.spatial import area_or_text, assign_area
 from vialis.plans import DEFAULT, Layers
+from vialis.sources import tables
 from vialis.sources.tables import replace_table
 
 READINGS = ("pm25", "pm10", "temperatura_c", "humedad_pct", "precipitacion_mm", "viento_kmh")
@@ -45,8 +49,20 @@ def clean_incidents(raw: DataFrame, polygons: DataFrame) -> DataFrame:
     )
 
 
+def merged_readings(raw: DataFrame, keys: Sequence[str] = ("timestamp", "estacion_id")) -> DataFrame:
+    """One row per time and station: loads that brought other readings of it are joined, of one reading the newest load counts.
+
+    A missing value never takes the place of one that is there.
+    """
+    values = [c for c in raw.columns if c not in (*keys, *tables.AUDIT)]
+    when = F.struct(F.col(v.INGESTED_AT), F.col(v.LOAD)) if {v.INGESTED_AT, v.LOAD} <= set(raw.columns) else F.struct(F.lit(0))
+    newest = [F.max(F.when(F.col(c).isNotNull(), F.struct(when.alias("w"), F.col(c).alias("x"))))["x"].alias(c) for c in values]
+    return raw.groupBy(*keys).agg(*newest)
+
+
 def clean_air(raw: DataFrame) -> DataFrame:
-    rows = quality.valid_readings(quality.clear_sentinels(raw, READINGS), "pm25")
+    raw = merged_readings(quality.clear_sentinels(raw, READINGS))
+    rows = quality.valid_readings(raw, "pm25")
     rows = quality.fill_absent(rows, {"municipio": "string"})
     return rows.select(
         "estacion_id", "estacion_nombre", "zona", "municipio", "latitud", "longitud", "timestamp",
@@ -111,7 +127,7 @@ def placed_counts(raw: DataFrame, polygons: DataFrame) -> DataFrame:
 
 def build(spark: SparkSession, layers: Layers = DEFAULT) -> None:
     """Build every silver table; air comes first, two others need it."""
-    raw = lambda name: spark.table(layers.raw(name))
+    raw = lambda name: tables.held(spark, layers.raw(name))
     polygons = raw("poligonos").select("osm_id", "nombre", "geometry_geojson")
     replace_table(clean_air(raw("aire")), layers.clean("aire"), "anio")
     air = spark.table(layers.clean("aire"))

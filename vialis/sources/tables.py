@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vialis import vocabulary as v
-from vialis.session import settle
+
+
+AUDIT = (v.FILE_PATH, v.FILE_NAME, v.INGESTED_AT, v.SOURCE_ID, v.INGEST_DATE, v.LOAD)
 
 
 def create_layers(spark: SparkSession, root: str | None = None, names: Sequence[str] = v.LAYERS) -> None:
@@ -42,7 +44,8 @@ def audited(df: DataFrame, source: str, path: str | None = None) -> DataFrame:
     })
 
 
-LEDGER_SCHEMA = "ruta string, bytes bigint, modificado timestamp, carga string, cerrada boolean, anotado_en timestamp"
+LEDGER_SCHEMA = ("carga string, ruta string, bytes bigint, modificado timestamp, reemplaza array<string>, "
+                 "anotado_en timestamp")
 
 
 def ledger_of(table: str) -> str:
@@ -51,48 +54,73 @@ def ledger_of(table: str) -> str:
 
 
 def _ledger(spark: SparkSession, table: str) -> DataFrame:
-    """The newest entry of each file: path, size and time when it was loaded, its load, and whether that ended."""
+    """One row per file of each load in force: committed, and not replaced by a later one."""
     if not spark.catalog.tableExists(ledger_of(table)):
-        return spark.createDataFrame([], LEDGER_SCHEMA).drop("anotado_en")
-    entry = F.struct("bytes", "modificado", "carga", "cerrada")
-    rows = spark.table(ledger_of(table)).groupBy("ruta").agg(F.max_by(entry, F.struct("anotado_en", "cerrada")).alias("e"))
-    return rows.select("ruta", "e.*")
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    rows = spark.table(ledger_of(table))
+    replaced = rows.select(F.explode("reemplaza").alias("carga")).distinct()
+    return rows.join(replaced, "carga", "left_anti")
 
 
-def _note(spark: SparkSession, table: str, files: list[tuple], load: str, closed: bool) -> None:
-    rows = spark.createDataFrame(files, "ruta string, bytes bigint, modificado timestamp")
-    rows = rows.select("*", F.lit(load).alias("carga"), F.lit(closed).alias("cerrada"), F.current_timestamp().alias("anotado_en"))
+def _commit(table: str, entries: DataFrame, load: str, replaces: Sequence[str]) -> None:
+    """Put a load in force, and the loads it replaces out of force: one file, written at once or not at all."""
+    rows = entries.select(
+        F.lit(load).alias("carga"), "ruta", "bytes", "modificado",
+        F.array(*[F.lit(r) for r in replaces]).cast("array<string>").alias("reemplaza"), F.current_timestamp().alias("anotado_en"))
     rows.coalesce(1).write.mode("append").saveAsTable(ledger_of(table))
 
 
+def held(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a bronze table whose load is in force; those of a load that was cut off are not among them."""
+    rows = spark.table(table)
+    if v.LOAD not in rows.columns or not spark.catalog.tableExists(ledger_of(table)):
+        return rows
+    return rows.join(_ledger(spark, table).select(v.LOAD).distinct(), v.LOAD, "left_semi").select(*rows.columns)
+
+
+def _drop_loads(spark: SparkSession, table: str) -> None:
+    """Drop the partitions of loads that are not in force: cut off before their commit, or replaced."""
+    if not spark.catalog.tableExists(table):
+        return
+    partitions = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    if not partitions:
+        return
+    good = {r[v.LOAD] for r in _ledger(spark, table).select(v.LOAD).distinct().collect()}
+    for partition in partitions:
+        values = dict(part.split("=", 1) for part in partition.split("/"))
+        if values[v.LOAD] not in good:
+            named = ", ".join(f"{k} = '{x}'" for k, x in values.items())
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({named})")
+
+
 def file_list(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Path, size and time of change of files; their contents are not read."""
     rows = spark.read.format("binaryFile").load(list(paths))
     return rows.select(F.col("path").alias("ruta"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modificado"))
 
 
-def _take_out(spark: SparkSession, table: str, paths: Sequence[str], partition: str) -> None:
-    """Remove the rows of some files: the partitions that hold such rows are written again without them."""
-    if not paths or not spark.catalog.tableExists(table):
-        return
-    gone = F.arrays_overlap(F.split(v.FILE_PATH, ";"), F.array(*[F.lit(p) for p in paths]))
-    rows = spark.table(table)
-    days = [r[0] for r in rows.filter(gone).select(partition).distinct().collect()]
-    if not days:
-        return
-    kept = settle(rows.filter(F.col(partition).isin(days) & ~gone))
-    for day in days:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = '{day}')")
-    kept.write.mode("append").partitionBy(partition).saveAsTable(table)
+def _there(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    return [p for p in paths if _readable(spark, p)]
+
 
+def _carried(rows: DataFrame, again: DataFrame) -> DataFrame:
+    """The rows of replaced loads that no file of ``again`` makes anew: those with a file that is not read again."""
+    paths = rows.select(v.FILE_PATH).distinct().withColumn("ruta", F.explode(F.split(v.FILE_PATH, ";")))
+    kept = paths.join(again.select("ruta"), "ruta", "left_anti").select(v.FILE_PATH).distinct()
+    return rows.join(kept, v.FILE_PATH, "left_semi").select(*rows.columns)
 
-def _write(rows: DataFrame, table: str, partition: str) -> int:
+
+def _write(rows: DataFrame, table: str, load: str, partition: str, carried: DataFrame | None = None) -> int:
+    """Append the rows of a load, in partitions of its own below the ingest day; the number of rows without the carried ones."""
     spark = rows.sparkSession
     seen = Observation()
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+    out = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+    if carried is not None:
+        out = out.unionByName(carried.drop(v.LOAD), allowMissingColumns=True)
+    out = out.withColumn(v.LOAD, F.lit(load))
     if spark.catalog.tableExists(table):
-        counted = counted.select(*spark.table(table).columns)
-    counted.hint("rebalance", partition).write.mode("append").partitionBy(partition).saveAsTable(table)
+        out = out.select(*spark.table(table).columns)
+    out.hint("rebalance", partition).write.mode("append").partitionBy(partition, v.LOAD).saveAsTable(table)
     return seen.get["n"]
 
 
@@ -100,47 +128,60 @@ def append_files(
     spark: SparkSession, paths: Sequence[str], table: str, source: str, read: Callable[[list[str]], DataFrame],
     partition: str = v.INGEST_DATE,
 ) -> int:
-    """Append the files that a bronze table does not hold yet; returns the rows written.
+    """Append the files that a bronze table does not hold yet; returns the rows that ``read`` made.
 
     A ledger keeps full path, size and time of change of every file, so equal
-    base names in other folders are other files. A file that changed is loaded
-    again, with all files of its load, after their rows were taken out; so are
-    files whose load was begun and never ended. ``read`` gets the files to load
-    and reads them once; the ledger is closed after the write.
+    base names in other folders are other files. Each load has partitions of its
+    own below the ingest day, and counts from its entry in the ledger on, which is one file. So a load that is
+    cut off before that entry leaves partitions that the next load drops, and
+    nothing else is touched.
+
+    A file that changed is loaded in a new load that replaces the one it
+    was in. The other rows of that load are carried over as they are, whether their files are still there or not. Where rows
+    were made of several files, the files that are still there are read again,
+    and rows with a file that is gone are carried over beside the new ones. One
+    loader at a time writes a table.
     """
+    _drop_loads(spark, table)
     known = _ledger(spark, table)
-    found = file_list(spark, paths)
-    state = found.join(known.withColumnsRenamed({"bytes": "_b", "modificado": "_m"}), "ruta", "left")
-    held = F.col("cerrada") & (F.col("bytes") == F.col("_b")) & (F.col("modificado") == F.col("_m"))
-    todo = state.filter(~F.coalesce(held, F.lit(False))).select("ruta", "bytes", "modificado", "carga").collect()
-    loads = sorted({r["carga"] for r in todo if r["carga"] is not None})
-    stale = [r["ruta"] for r in known.filter(F.col("carga").isin(loads)).collect()] if loads else []
-    again = sorted(set(stale) - {r["ruta"] for r in todo})
-    files = [(r["ruta"], r["bytes"], r["modificado"]) for r in todo]
-    if again:
-        files += [tuple(r) for r in file_list(spark, again).collect()]
-    if not files:
+    entries = known.select("ruta", F.col("bytes").alias("_b"), F.col("modificado").alias("_m"), v.LOAD)
+    state = file_list(spark, paths).join(entries, "ruta", "left")
+    same = (F.col("bytes") == F.col("_b")) & (F.col("modificado") == F.col("_m"))
+    todo = state.filter(~F.coalesce(same, F.lit(False))).select("ruta", "bytes", "modificado", v.LOAD).collect()
+    if not todo:
         return 0
-    _take_out(spark, table, stale, partition)
+    listed = [(r["ruta"], r["bytes"], r["modificado"]) for r in todo]
+    replaced = sorted({r[v.LOAD] for r in todo if r[v.LOAD] is not None})
+    schema = "ruta string, bytes bigint, modificado timestamp"
+    files, carried = spark.createDataFrame(listed, schema), None
+    if replaced:
+        old = spark.table(table).filter(F.col(v.LOAD).isin(replaced))
+        others = known.filter(F.col(v.LOAD).isin(replaced)).join(files.select("ruta"), "ruta", "left_anti")
+        if not old.filter(F.col(v.FILE_PATH).contains(";")).isEmpty():
+            again = _there(spark, [r["ruta"] for r in others.collect()])
+            if again:
+                listed += [tuple(r) for r in file_list(spark, again).collect()]
+                files = spark.createDataFrame(listed, schema)
+                others = others.join(files.select("ruta"), "ruta", "left_anti")
+        carried = _carried(old, files)
+        files = files.unionByName(others.select("ruta", "bytes", "modificado"))
     load = uuid.uuid4().hex
-    _note(spark, table, files, load, False)
-    written = _write(audited(read([f[0] for f in files]), source), table, partition)
-    _note(spark, table, files, load, True)
+    written = _write(audited(read([f[0] for f in listed]), source), table, load, partition, carried)
+    _commit(table, files, load, replaced)
+    if replaced:
+        _drop_loads(spark, table)
     return written
 
 
 def append_raw(df: DataFrame, table: str, source: str, delivery: str, partition: str = v.INGEST_DATE) -> int:
     """Append a frame as a named delivery; returns the rows written, none if the ledger has the name."""
     spark = df.sparkSession
-    known = _ledger(spark, table).filter(F.col("ruta") == delivery).select("cerrada").first()
-    if known is not None and known["cerrada"]:
+    if not _ledger(spark, table).filter(F.col("ruta") == delivery).isEmpty():
         return 0
-    if known is not None:
-        _take_out(spark, table, [delivery], partition)
-    entry, load = [(delivery, None, None)], uuid.uuid4().hex
-    _note(spark, table, entry, load, False)
-    written = _write(audited(df, source, delivery), table, partition)
-    _note(spark, table, entry, load, True)
+    _drop_loads(spark, table)
+    load = uuid.uuid4().hex
+    written = _write(audited(df, source, delivery), table, load, partition)
+    _commit(table, spark.createDataFrame([(delivery, None, None)], "ruta string, bytes bigint, modificado timestamp"), load, [])
     return written
 
 

@@ -9,9 +9,7 @@ FILE_NAME = "nombre_archivo"
 FILE_PATH = "ruta_archivo"
 SOURCE_ID = "fuente_id"
 INGEST_DATE = "fecha_ingesta"
-
-# Version column of append-logged tables.
-BATCH_ID = "_batch_id"
+LOAD = "carga"
 
 # Missing-reading marker of the air stations.
 SENTINEL = -999.0
