@@ -10,7 +10,7 @@ from vialis.functions.calendar import event_time
 from vialis.functions.measures import whole_or_zero
 from vialis.functions.messages import AIR_SCHEMA, BIKE_SCHEMA, CORRIDOR_SCHEMA, LINE_SCHEMA, air_message, decode
 from vialis.plans import DEFAULT, Layers
-from vialis.streaming import alerts, sinks
+from vialis.streaming import alerts, sinks, stateful
 
 
 def _timed(messages: DataFrame, schema: str, key: str) -> DataFrame:
@@ -52,6 +52,21 @@ def run_short_air_alerts(messages: DataFrame, sink: str, state: str, every: str
     return _job(alerts.air_alerts_short_window(arrived, "zona", "llegada", "pm25", **options), "zona", sink, state, every)
 
 
+def run_arrival_air_alerts(messages: DataFrame, sink: str, state: str, every: str | None = sinks.TRIGGER, **options) -> StreamingQuery:
+    """Windows of arrival time that a timer ends, whether or not more readings come."""
+    found = stateful.arrival_alerts(air_readings(messages), "zona", "pm25", **options)
+    with sinks.keyed_state(messages.sparkSession):
+        return _job(found, "zona", sink, state, every)
+
+
+def run_air_means(
+    messages: DataFrame, sink: str, late: str, state: str, every: str | None = sinks.TRIGGER, **options
+) -> StreamingQuery:
+    """The mean of every zone and window, and a table of the readings that came after their window had closed."""
+    found = stateful.means_and_late_rows(air_readings(messages), "zona", "ts", "pm25", **options)
+    return sinks.write_with_late(alerts.emitted(found), sink, late, "tardia", state, every)
+
+
 def run_bike_snapshots(messages: DataFrame, sink: str, state: str, every: str | None = sinks.TRIGGER, **options) -> StreamingQuery:
     about = ["nombre", "latitud", "longitud", "capacidad_anclajes"]
     windows = alerts.bike_snapshots(bike_stock(messages), "estacion_id", "ts", "bicicletas_disponibles", about, **options)
@@ -73,15 +88,16 @@ def run_line_snapshots(messages: DataFrame, sink: str, state: str, every: str |
 
 def run_hybrid_alerts(
     lines: DataFrame, air: DataFrame, reference: DataFrame, sink: str, state: str,
-    every: str | None = sinks.TRIGGER, **options,
+    every: str | None = sinks.TRIGGER, rolling: bool = False, **options,
 ) -> StreamingQuery:
-    """Both topics against the percentiles of the gold layer."""
+    """Both topics against the percentiles of the gold layer, in windows or, ``rolling``, at every event of a line."""
     weather = air_readings(air).select(
         F.col("ts").alias("ts_aire"), F.col("precipitacion_mm").alias("lluvia"), F.col("pm25").alias("pm25_aire"))
-    windows = alerts.hybrid_alerts(
-        line_counts(lines), "linea", "ts", "pasajeros_periodo", weather, "ts_aire", "lluvia", "pm25_aire",
-        reference, **options)
-    return _job(windows, "linea", sink, state, every)
+    sides = (line_counts(lines), "linea", "ts", "pasajeros_periodo", weather, "ts_aire", "lluvia", "pm25_aire", reference)
+    if not rolling:
+        return _job(alerts.hybrid_alerts(*sides, **options), "linea", sink, state, every)
+    with sinks.keyed_state(lines.sparkSession):
+        return _job(stateful.rolling_hybrid_alerts(*sides, **options), "linea", sink, state, every)
 
 
 def run_air_ingest(messages: DataFrame, state: str, layers: Layers = DEFAULT, every: str | None = sinks.TRIGGER) -> StreamingQuery:

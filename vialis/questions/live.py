@@ -11,7 +11,7 @@ from vialis.questions import ridership
 from vialis.questions.base import events, local_times, sql_band, sql_shown, with_shown
 from vialis.questions.stored import layer
 from vialis.session import scratch_folder
-from vialis.streaming import alerts, sinks
+from vialis.streaming import alerts, sinks, stateful
 from vialis.streaming.sources import of_topics, open_stream, publish, stream_parquet
 
 
@@ -132,6 +132,79 @@ def hybrid_rolling(spark, sf_dir):
     return local_times(with_shown(found, "lluvia_mm", "ratio_vs_referencia", places=3), "ventana_inicio", "ventana_fin")
 
 
+def _sides(spark, sf_dir):
+    """Views as ridership, errors as rain, as streams."""
+    seen = stream(spark, sf_dir).withColumn("pax", F.col("value").cast("bigint"))
+    wet = stream(spark, sf_dir).filter(F.col("event_type") == "error").select(
+        F.col("ts").alias("ts_lluvia"), (F.col("value") / 100).alias("lluvia"), F.col("value").alias("pm25"))
+    return seen, wet
+
+
+def stream_hybrid_rolling(spark, sf_dir):
+    """The rolling hybrid alert at every event: the line's last five minutes and the newest rain, kept by a stream's own state."""
+    reference = ridership.band_percentiles(spark, sf_dir).withColumn("p90", F.col("p90") * 12)
+    seen, wet = _sides(spark, sf_dir)
+    found = stateful.rolling_hybrid_alerts(seen, "event_type", "ts", "pax", wet, "ts_lluvia", "lluvia", "pm25", reference)
+    with sinks.keyed_state(spark):
+        rows = finished(spark, found, "hibridas-moviles")
+    return local_times(with_shown(rows, "lluvia_mm", "ratio_vs_referencia", places=3), "momento", "ventana_inicio", "ventana_fin")
+
+
+def stream_last_rain(spark, sf_dir):
+    """Each event with the newest rain reading at or before it, both sides being streams."""
+    seen, wet = _sides(spark, sf_dir)
+    left = seen.filter(F.col("event_type") != "error").select("event_id", "event_type", "ts")
+    found = stateful.with_last_reading(left, wet.withColumnRenamed("ts_lluvia", "ts"), "ts", "pm25")
+    with sinks.keyed_state(spark):
+        return local_times(finished(spark, found, "ultima-lluvia"), "ts")
+
+
+def _deliveries(spark, sf_dir):
+    """Events in deliveries of ten days, a seventh of them one delivery late."""
+    late = F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    return events(spark, sf_dir).withColumn("lote", F.floor((F.dayofmonth("ts") - 1) / 10).cast("int") + late)
+
+
+def stream_late_rows(spark, sf_dir):
+    """Readings that came after the watermark had closed their window, over four deliveries to one stream."""
+    path = scratch_folder(spark, "tardias")
+    rows = _deliveries(spark, sf_dir)
+    for lote in range(5):
+        rows.filter(F.col("lote") == lote).drop("lote").write.mode("append").parquet(f"{path}/entrada")
+        landed = spark.readStream.schema(rows.drop("lote").schema).parquet(f"{path}/entrada")
+        found = stateful.means_and_late_rows(landed, "event_type", "ts", "value")
+        sinks.run_for(sinks.write_with_late(found, f"{path}/medias", f"{path}/aparte", "tardia", f"{path}/estado", every=None))
+    late = sinks.read_batches(spark, f"{path}/aparte").withColumnRenamed("pm25_promedio", "valor").drop("lecturas_en_ventana")
+    return local_times(late, "ventana_inicio", "ventana_fin", "momento")
+
+
+ARRIVAL_SECONDS = 4
+
+
+def stream_arrival_windows(spark, sf_dir):
+    """Two deliveries more than a window of arrival time apart: one mean per zone and delivery, ended by timers."""
+    path = scratch_folder(spark, "llegadas")
+    rows = events(spark, sf_dir).withColumn("lote", F.when(F.col("event_id") % 3 == 0, "a").otherwise("b"))
+    zone = F.concat_ws("/", "lote", "event_type").alias("zona")
+    landed = lambda: spark.readStream.schema("zona string, value double").parquet(f"{path}/entrada")
+    rows.filter("false").select(zone, "value").write.parquet(f"{path}/entrada")
+    found = stateful.arrival_means(landed(), "zona", "value", ARRIVAL_SECONDS)
+    with sinks.keyed_state(spark):
+        query = sinks.write_files(found, f"{path}/medias", f"{path}/estado", every="1 second")
+    stored = lambda: spark.read.schema(found.schema).parquet(f"{path}/medias")
+    try:
+        for n, lote in enumerate("ab", start=1):
+            batch = rows.filter(F.col("lote") == lote).select(zone, "value")
+            batch.write.mode("append").parquet(f"{path}/entrada")
+            expected = rows.filter(F.col("lote") <= lote).select(zone).distinct().count()
+            sinks.wait_until(query, lambda expected=expected: stored().count() >= expected)
+    finally:
+        query.stop()
+    parts = F.split("zona", "/")
+    return with_shown(stored().select(
+        parts[0].alias("lote"), parts[1].alias("event_type"), "pm25_promedio", "lecturas_en_ventana"), "pm25_promedio")
+
+
 def stream_sink_once(spark, sf_dir):
     """The insert-once sink after two runs on one checkpoint and one on a fresh checkpoint."""
     path = scratch_folder(spark, "unico")
@@ -145,6 +218,7 @@ def stream_sink_once(spark, sf_dir):
 QUERIES = {q.__name__: q for q in (
     stream_ingest, stream_tumbling_alert, stream_short_alert, arrival_windows, stream_sliding_stock, stream_corridor_alert,
     stream_line_counts, stream_replay, stream_hybrid_alert, hybrid_rolling, stream_sink_once,
+    stream_hybrid_rolling, stream_last_rain, stream_late_rows, stream_arrival_windows,
 )}
 
 # A bounded stream closes the windows that end at or before the newest event, in milliseconds, minus the delay.
@@ -189,6 +263,8 @@ def _sql_hybrid(windows: str, rain: str, closed: str) -> str:
         FROM actual JOIN wet USING (w) JOIN ref ON actual.event_type = ref.linea AND ref.franja_horaria = {sql_band('hour(w)')}
         WHERE lluvia >= 0.3 AND pax / (p90 * (5 / 60)) < 0.7 {closed}"""
 
+# One watermark over both sides, which Spark unites before it is taken.
+_BOTH_CLOSED = _sql_closed(5)
 
 SQL = {
     "stream_ingest": """SELECT event_id AS kafka_offset, CAST(user_id AS VARCHAR) AS estacion_id, event_type AS zona,
@@ -226,4 +302,30 @@ SQL = {
         "unnest([time_bucket(INTERVAL 1 MINUTE, ts) - to_minutes(i) for i in range(5)])",
         "arg_max(value / 100, (ts, value))", ""),
     "stream_sink_once": _LONG,
+    "stream_hybrid_rolling": f"""WITH {ridership._OBSERVED}, ref AS (
+        SELECT linea, franja_horaria, quantile_disc(pasajeros, 0.90) * 12 AS p90 FROM observed GROUP BY 1, 2 HAVING count(*) >= 10),
+      rolled AS (
+        SELECT DISTINCT event_type, ts, CAST(sum({_PAX}) OVER r AS BIGINT) AS pax, count(*) OVER r AS n FROM events
+        WINDOW r AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 5 MINUTES PRECEDING AND CURRENT ROW)),
+      wet AS (SELECT ts, max(value) AS pm25 FROM events WHERE event_type = 'error' GROUP BY 1),
+      met AS (SELECT rolled.*, pm25 FROM rolled ASOF JOIN wet ON rolled.ts >= wet.ts)
+        SELECT event_type AS linea, franja_horaria, ts AS momento, date_trunc('minute', ts) AS ventana_inicio,
+               date_trunc('minute', ts) + INTERVAL 5 MINUTES AS ventana_fin, pax AS afluencia_5min_actual, n AS eventos_en_ventana,
+               CAST(trunc(p90 * (5 / 60)) AS BIGINT) AS afluencia_5min_referencia,
+               {sql_shown('pax / (p90 * (5 / 60))', 3)} AS ratio_vs_referencia, 'p90' AS percentil_referencia,
+               {sql_shown('pm25 / 100', 3)} AS lluvia_mm, pm25 AS pm25_red, 'ALERTA_HIBRIDA' AS tipo,
+               'afluencia_baja_durante_lluvia' AS hipotesis, 0.7::DOUBLE AS factor_umbral
+        FROM met JOIN ref ON event_type = ref.linea AND ref.franja_horaria = {sql_band('hour(ts)')}
+        WHERE pm25 / 100 >= 0.3 AND pax / (p90 * (5 / 60)) < 0.7 AND ts <= {_BOTH_CLOSED}""",
+    "stream_last_rain": f"""SELECT l.event_id, l.event_type, l.ts, r.pm25 FROM (SELECT * FROM events WHERE event_type <> 'error') l
+        ASOF LEFT JOIN (SELECT ts, max(value) AS pm25 FROM events WHERE event_type = 'error' GROUP BY 1) r ON l.ts >= r.ts
+        WHERE l.ts <= {_BOTH_CLOSED}""",
+    "stream_late_rows": """WITH d AS (
+        SELECT *, CAST((day(ts) - 1) // 10 + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS INTEGER) AS lote,
+               time_bucket(INTERVAL 10 MINUTES, ts) AS w FROM events),
+      m AS (SELECT lote, max(max(ts)) OVER (ORDER BY lote ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM d GROUP BY 1)
+        SELECT w AS ventana_inicio, w + INTERVAL 10 MINUTES AS ventana_fin, event_type, ts AS momento, value AS valor
+        FROM d JOIN m USING (lote) WHERE w + INTERVAL 10 MINUTES <= date_trunc('milliseconds', newest) - INTERVAL 10 MINUTES""",
+    "stream_arrival_windows": f"""SELECT CASE WHEN event_id % 3 = 0 THEN 'a' ELSE 'b' END AS lote, event_type,
+        {sql_shown('avg(value)')} AS pm25_promedio, count(*) AS lecturas_en_ventana FROM events GROUP BY 1, 2""",
 }

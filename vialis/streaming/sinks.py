@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import threading
+import time
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,24 @@ def air_rows(messages: DataFrame) -> DataFrame:
     )
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, as the steps of ``stateful`` need it; others are as they were."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
 def append_table(df: DataFrame, table: str, checkpoint: str, every: str | None = TRIGGER) -> StreamingQuery:
     """Append a stream to a table; ``every=None`` takes what is there and stops."""
     watch_late_rows(df.sparkSession)
@@ -85,6 +105,31 @@ def write_files(df: DataFrame, path: str, checkpoint: str, every: str | None = T
     return _paced(writer, every).start()
 
 
+BATCH = "_lote"
+
+
+def write_with_late(
+    df: DataFrame, path: str, late_path: str, flag: str, checkpoint: str, every: str | None = TRIGGER
+) -> StreamingQuery:
+    """Rows to one table, those with ``flag`` to another, both in one folder per micro-batch.
+
+    A batch that is run again after a failure writes its folders anew. Both tables belong to one checkpoint.
+    """
+    def split(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        for place, rows in ((path, batch.filter(~F.col(flag))), (late_path, batch.filter(flag))):
+            rows.drop(flag).write.mode("overwrite").parquet(f"{place}/{BATCH}={number}")
+        batch.unpersist()
+
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(split)
+    with keyed_state(df.sparkSession):
+        return _paced(writer, every).start()
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(BATCH)
+
+
 def run_for(query: StreamingQuery, seconds: float | None = None) -> StreamingQuery:
     """Wait for the end of a stream, or stop it after ``seconds``."""
     if seconds is None:
@@ -94,6 +139,14 @@ def run_for(query: StreamingQuery, seconds: float | None = None) -> StreamingQue
     return query
 
 
+def wait_until(query: StreamingQuery, done: Callable[[], bool], seconds: float = 120.0, pause: float = 0.5) -> None:
+    """Wait for a running stream until ``done``; its failure, or too long a wait, is an error."""
+    end = time.monotonic() + seconds
+    while not done():
+        if query.awaitTermination(pause) or time.monotonic() > end:
+            raise TimeoutError(f"stream {query.id} ended or took more than {seconds} s")
+
+
 class LateRows(StreamingQueryListener):
     """Rows dropped behind the watermark per run, summed over all of its progresses."""
 
