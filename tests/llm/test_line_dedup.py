@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from vialis.llm import line_dedup
 
@@ -50,3 +51,19 @@ def test_text_without_them(spark):
 
 def test_empty(spark):
     assert line_dedup.removed_lines(frame(spark, [])).count() == 0
+
+
+def test_prefixes_hold_the_rarest_words_of_a_large_vocabulary(spark):
+    """Most of the 65,536 buckets are in use, so ranks lie on both sides of the middle."""
+    docs = spark.range(60_000).selectExpr(
+        "id AS doc_id", "concat_ws(' ', 'w' || id, 'w' || (id % 30000), 'w' || (id % 200), 'all') AS text")
+    ranks = line_dedup.rarity(docs, "text")
+    words = docs.selectExpr("explode(split(text, ' ')) AS w").groupBy("w").count()
+    per_bucket = words.groupBy((F.xxhash64("w").bitwiseAND(F.lit(line_dedup.BUCKETS - 1))).alias("b")).agg(F.sum("count").alias("n"))
+    assert per_bucket.count() > 36_000
+    counts = {r["b"]: r["n"] for r in per_bucket.collect()}
+    some = docs.filter("doc_id % 997 = 0").select("text", line_dedup.hashes(F.col("text")).alias("h"))
+    for r in some.select("h", line_dedup.by_rarity(F.col("h"), ranks).alias("codes")).collect():
+        by_hash = {(h >> 16) & ((1 << 48) - 1): counts[h & (line_dedup.BUCKETS - 1)] for h in r["h"]}
+        order = [by_hash[c & ((1 << 48) - 1)] for c in r["codes"]]
+        assert order == sorted(order)

@@ -67,10 +67,10 @@ def by_rarity(found: Column, ranks: Column) -> Column:
     """Word hashes as longs that sort rarest first.
 
     The rank of a word's bucket takes the place of the bucket's 16 bits, so the
-    long orders by rarity and still names the hash.
+    long orders by rarity and still names the hash. Ranks are counted from the middle: longs have a sign.
     """
     def code(h: Column) -> Column:
-        rank = F.element_at(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1)
+        rank = F.element_at(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1) - F.lit(BUCKETS // 2)
         return F.shiftleft(rank.cast("bigint"), 48).bitwiseOR(F.shiftrightunsigned(h, 16))
 
     return F.sort_array(F.transform(found, code))
