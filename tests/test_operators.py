@@ -258,6 +258,39 @@ def test_routes_prefer_time_over_stops(spark):
         "b": (5, "acb"), "c": (2, "ac"), "d": (6, "acbd")}
 
 
+def test_routes_through_a_hub_and_cycles(spark):
+    """Against a plain label-setting search: fastest, then fewest stops, then the least stop before the last."""
+    rng = random.Random(12)
+    ids = [f"v{i:03d}" for i in range(70)]
+    edges = [("v000", x, rng.randint(1, 9)) for x in ids[1:50]] + [(ids[i], ids[i + 1], 1) for i in range(50, 69)]
+    edges += [(rng.choice(ids[:55]), rng.choice(ids[:55]), rng.randint(0, 3)) for _ in range(60)]
+    vertices = spark.createDataFrame([(x, x.upper()) for x in ids] + [("alone", "ALONE")], "k string, n string")
+    links = spark.createDataFrame([*edges, ("v001", "unknown", 1)], "s string, t string, w int")
+    sources = ["v000", "v060", "alone", "v003"]
+    starts = spark.createDataFrame([(x,) for x in sources + ["v003", "nobody"]], "k string")
+    got = {(r["source"], r["id"]): (r["minutes"], r["ids"], r["names"])
+           for r in graph.shortest_routes(vertices, links, "k", "n", "s", "t", "w", starts).collect()}
+    near = {}
+    for a, b, w in edges:
+        for x, y in ((a, b), (b, a)):
+            near.setdefault(x, {}).setdefault(y, []).append(w)
+    want = {}
+    for source in sources:
+        best = {source: (0, 0, None)}
+        for _ in range(len(ids)):
+            for x, (m, k, _) in list(best.items()):
+                for y, ws in near.get(x, {}).items():
+                    label = (m + min(ws), k + 1, x)
+                    if y not in best or label[:2] < best[y][:2] or label[:2] == best[y][:2] and best[y][2] is not None and x < best[y][2]:
+                        best[y] = label
+        for x in best:
+            path = [x]
+            while best[path[0]][2] is not None:
+                path.insert(0, best[path[0]][2])
+            want[source, x] = (best[x][0], path, [p.upper() for p in path])
+    assert got == want
+
+
 def test_metrics_equal_the_evaluator(spark):
     rng = random.Random(3)
     scored = spark.createDataFrame([(float(rng.randint(0, 2)), float(rng.choice([0, 0, 1, 3]))) for _ in range(400)], "label double, prediction double")

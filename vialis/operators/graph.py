@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vialis.operators.ranking import ranked
-from vialis.session import settle
+from vialis.session import scratch_folder, settle
 
 # Edges of a vertex that stay together; a vertex has as many parts as that takes.
 SPREAD = 10_000
@@ -87,6 +89,57 @@ def centrality(vertices: DataFrame, edges: DataFrame, key: str, src: str, dst: s
     return vertices.join(placed, F.col(key) == F.col("_id")).drop("_id")
 
 
+def _distances(starts: DataFrame, links: DataFrame, name: str, path: str) -> int:
+    """Fill the table ``name`` with ``source, id, minutes, prev, round``: every label that was better than all before it.
+
+    A round joins the labels of the round before, the frontier, with the
+    edges, and keeps what betters the vertex. The table is bucketed by source and vertex, so
+    a round moves the frontier and its neighbours only; the labels it is held against stay where they are.
+    Returns the number of rounds.
+    """
+    spark = links.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def add(rows: DataFrame, number: int) -> int:
+        seen = Observation()
+        rows = rows.withColumn("round", F.lit(number)).observe(seen, F.count(F.lit(1)).alias("n"))
+        rows.write.format("parquet").bucketBy(buckets, "source", "id").option("path", path).mode("append").saveAsTable(name)
+        return seen.get["n"]
+
+    number, grown = 0, add(starts, 0)
+    while grown:
+        known = spark.table(name)
+        step = known.filter(F.col("round") == number).join(links, F.col("id") == F.col("src")).select(
+            "source", F.col("dst").alias("id"), F.struct((F.col("minutes") + F.col("weight")).alias("minutes"), F.col("src").alias("prev")).alias("new"))
+        best = step.groupBy("source", "id").agg(F.min("new").alias("new"))
+        held = known.select("source", "id", "minutes").join(best.select("source", "id").hint("shuffle_hash"), ["source", "id"])
+        held = held.groupBy("source", "id").agg(F.min("minutes").alias("held"))
+        better = best.join(held, ["source", "id"], "left").filter(F.col("held").isNull() | (F.col("new.minutes") < F.col("held")))
+        number += 1
+        grown = add(better.select("source", "id", "new.minutes", "new.prev"), number)
+    return number
+
+
+def _traced(final: DataFrame, names: DataFrame, rounds: int) -> DataFrame:
+    """``source, id, minutes, ids, names``: the stops on the way, put together from predecessors by pointer doubling.
+
+    Each row holds the end of its route and the vertex before that end; joining it with that
+    vertex's row doubles what it holds.
+    """
+    rows = settle(final.join(names, "id").select(
+        "source", "id", "minutes", F.col("prev").alias("before"), F.array("id").alias("ids"), F.array("name").alias("names")))
+    reach = 1
+    while reach < rounds + 1:
+        other = rows.select(
+            "source", F.col("id").alias("before"), F.col("before").alias("_before"), F.col("ids").alias("_ids"), F.col("names").alias("_names"))
+        longer = rows.filter(F.col("before").isNotNull()).join(other, ["source", "before"]).select(
+            "source", "id", "minutes", F.col("_before").alias("before"), F.concat("_ids", "ids").alias("ids"),
+            F.concat("_names", "names").alias("names"))
+        rows = settle(rows.filter(F.col("before").isNull()).unionByName(longer))
+        reach *= 2
+    return rows.drop("before")
+
+
 def shortest_routes(
     vertices: DataFrame,
     edges: DataFrame,
@@ -100,40 +153,25 @@ def shortest_routes(
     """Fastest route from every source to every vertex it reaches, with the stops on the way.
 
     ``sources`` is a frame with the ``key`` column; the result is as large as the
-    pairs of sources and vertices. Each round extends the routes that got
-    better in the round before by one edge; of equally fast routes the one with
-    fewer stops stays, then the first by its list of ids. It ends when nothing
-    gets better.
+    pairs of sources and vertices. Rows of distance and predecessor are bettered edge by edge, from the
+    frontier of the round before, until nothing gets better; routes are put together once, at the end. Of equally fast routes the
+    one with fewer stops stays, of those the one whose stop before the last has the least id, and so on backwards.
+    Weights must not be negative.
     """
-    named = vertices.select(F.col(key).alias("_dst"), F.col(name).alias("dst_name"))
-    links = both_ways(edges, src, dst, weight).join(named, F.col("dst") == F.col("_dst")).drop("_dst")
-    links = settle(links.groupBy("src", "dst", "dst_name").agg(F.min("weight").alias("weight")))
-
-    starts = vertices.join(sources.select(key).distinct(), key, "left_semi")
-    route = F.struct(
-        F.lit(0).cast(edges.schema[weight].dataType).alias("minutes"), F.lit(1).alias("is_new"),
-        F.array(key).alias("ids"), F.array(name).alias("names"),
-    )
-    def extended(best: DataFrame) -> DataFrame:
-        """Routes after one more edge; ``is_new`` marks those that got better."""
-        step = best.filter("route.is_new = 1").join(links, F.col("id") == F.col("src")).select(
-            "source", F.col("dst").alias("id"),
-            F.struct(
-                (F.col("route.minutes") + F.col("weight")).alias("minutes"), F.lit(1).alias("is_new"),
-                F.concat("route.ids", F.array("dst")).alias("ids"),
-                F.concat("route.names", F.array("dst_name")).alias("names"),
-            ).alias("route"),
-        )
-        known = best.withColumn("route", F.col("route").withField("is_new", F.lit(0)))
-        return known.union(step).groupBy("source", "id").agg(F.min("route").alias("route"))
-
-    best = starts.select(F.col(key).alias("source"), F.col(key).alias("id"), route.alias("route"))
-    while True:
-        # Two rounds per cut: the second reads the shuffle of the first for both of its sides.
-        best = settle(extended(extended(best)))
-        if best.filter("route.is_new = 1").isEmpty():
-            break
-    return best.select("source", "id", "route.minutes", "route.ids", "route.names")
+    spark = vertices.sparkSession
+    ids = vertices.select(F.col(key).alias("id"), F.col(name).alias("name"))
+    links = both_ways(edges, src, dst, weight).join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
+    links = settle(links.groupBy("src", "dst").agg(F.min("weight").alias("weight")))
+    starts = ids.join(sources.select(F.col(key).alias("id")).distinct(), "id", "left_semi").select(
+        F.col("id").alias("source"), "id", F.lit(0).cast(links.schema["weight"].dataType).alias("minutes"),
+        F.lit(None).cast(ids.schema["id"].dataType).alias("prev"))
+    label = f"rutas_{uuid.uuid4().hex}"
+    try:
+        rounds = _distances(starts, links, label, scratch_folder(spark, "rutas"))
+        final = spark.table(label).groupBy("source", "id").agg(F.min(F.struct("minutes", "round", "prev")).alias("best"))
+        return _traced(final.select("source", "id", "best.minutes", "best.prev"), ids, rounds)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {label}")
 
 
 def route_table(routes: DataFrame) -> DataFrame:
