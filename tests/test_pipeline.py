@@ -230,6 +230,23 @@ def test_monthly_station_files(spark, tmp_path):
         ("2020-01-01 00:00:00", "S.1", "pm25", 1.5), ("2020-01-01 01:00:00", "S 2", "pm25", 2.0), ("2021-01-01 01:00:00", "S3", "pm25", 4.0)]
 
 
+def test_hundreds_of_station_files_in_one_scan(spark, tmp_path):
+    want = []
+    for i in range(500):
+        names = [f"S{i % 7}", "", '"S 9"'] if i % 2 else ["X", f"S{i % 5}"]
+        year = 2010 + i % 12
+        place = tmp_path / f"m/{i}/pm25_{year}_0{1 + i % 9}.tab" if i % 3 else tmp_path / f"m/pm25_{year}_0{1 + i % 9}/part-{i}.csv"
+        write(place, "Fecha\t" + "\t".join(names) + f"\n2020-01-01 00:00:00\t{i}\t \t1.5\n\n\t9\t9\n2020-01-02 00:00:00\tx\t{i}.5\n")
+        if 2012 <= year <= 2015:
+            clean = [n.strip('"') for n in names]
+            cells = [(0, i), (2, 1.5)] + [(1, i + 0.5)]
+            want += [(clean[c], float(x)) for c, x in cells if c < len(clean) and clean[c]]
+    found = files.read_station_months(spark, [str(tmp_path / "m/*/*")], "pm25", 2012, 2015)
+    assert sorted((r["estacion_id"], r["valor"]) for r in found.collect()) == sorted(want)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2 and " text" in plan
+
+
 def test_audit_columns_name_each_file(spark, tmp_path):
     for name in ("a", "b"):
         write(tmp_path / f"x/{name}.csv", f"fecha,linea,hora,pasajeros\n2020-01-01,{name},1,2\n")

@@ -95,33 +95,45 @@ def schema_evolution(spark, sf_dir):
         F.count(F.lit(1)).alias("filas"), F.count_if(F.col("observacion").isNull()).alias("sin_observacion"))
 
 
-def bronze_same_names(spark, sf_dir):
-    """Equal base names in two folders, a load of a superset, a grown file: every row is there once."""
-    target, root = f"{layer(spark)}.pedidos", scratch_folder(spark, "nombres")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+# Keys of one delivered file.
+FILE_KEYS = 20_000
+
 
-    def put(status: str, rows) -> str:
-        """The rows as one file, named alike in every folder."""
-        place = hadoop.Path(f"{root}/{status}/data.csv")
-        files.write_csv(rows.coalesce(1), f"{root}/_{status}")
-        part = hadoop.Path(files.existing_inputs(spark, [f"{root}/_{status}/part-*.csv"])[0])
+def deliver(spark, rows, root: str) -> None:
+    """Each status as a folder of files by ranges of the key, all of them named ``data.csv``; files that are there are replaced."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    fresh = scratch_folder(spark, "entrega")
+    parts = ["estado", "tramo"]
+    placed = rows.withColumns({"estado": F.col("o_orderstatus"), "tramo": F.floor(F.col("o_orderkey") / FILE_KEYS)})
+    placed.repartition(*parts).write.partitionBy(*parts).csv(fresh, header=True)
+    # Spark names the files itself; a delivery brings them under names of their own.
+    for path in files.existing_inputs(spark, [f"{fresh}/*/*/part-*.csv"]):
+        part = hadoop.Path(path)
+        place = hadoop.Path(f"{root}/{part.getParent().getParent().getName()}/{part.getParent().getName()}/data.csv")
         system = part.getFileSystem(conf)
         system.mkdirs(place.getParent())
         system.delete(place, False)
         system.rename(part, place)
-        return place.toString()
 
+
+def bronze_same_names(spark, sf_dir):
+    """Equal base names in many folders, a load of a superset, grown files: every row is there once."""
+    target, root = f"{layer(spark)}.pedidos", scratch_folder(spark, "nombres")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     read = lambda found: spark.read.schema("o_orderkey bigint, o_orderstatus string").csv(found, header=True)
-    load = lambda paths: tables.append_files(spark, paths, target, "pedidos", read)
     of = lambda status: orders.filter(F.col("o_orderstatus") == status)
-    paths = [put("F", of("F")), put("O", of("O").filter("o_orderkey % 2 = 0"))]
-    load(paths[:1])
-    load(paths)
-    paths[1] = put("O", of("O"))
-    load(paths)
-    load([*paths, put("P", of("P"))])
-    return spark.table(target).groupBy("o_orderstatus", "nombre_archivo").agg(
+
+    def load(*states: str) -> None:
+        paths = files.existing_inputs(spark, [f"{root}/estado={x}/*/data.csv" for x in states])
+        tables.append_files(spark, paths, target, "pedidos", read)
+
+    deliver(spark, of("F").unionByName(of("O").filter("o_orderkey % 2 = 0")), root)
+    load("F")
+    load("F", "O")
+    deliver(spark, of("O").unionByName(of("P")), root)
+    load("F", "O", "P")
+    load("O")
+    return tables.held(spark, target).groupBy("o_orderstatus", "nombre_archivo").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("distintos"))
 
 
@@ -241,22 +253,18 @@ def tsv_canonical(spark, sf_dir):
 
 
 def station_months(spark, sf_dir):
-    """A wide file per year, with other stations in odd years; only files of the wanted years count."""
+    """Wide files by year, with other stations in odd years; only files of the wanted years count."""
     path = scratch_folder(spark, "meses")
     rows = table(spark, sf_dir, "lineitem").groupBy("l_shipdate").agg(*[
         F.sum(F.when(F.col("l_returnflag") == flag, F.col("l_quantity"))).alias(f"EST-{flag}") for flag in ("A", "N", "R")])
-    rows = settle(rows.withColumn("anio", F.year("l_shipdate")))
-    years = [r["anio"] for r in rows.select("anio").distinct().collect()]
-    moment = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("Fecha_Hora")
-    # Spark names the parts itself; the year goes into the name as downloads have it.
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-    for year in years:
-        stations = ("R", "A") if year % 2 else ("A", "N", "R")
-        month = rows.filter(F.col("anio") == year).select(moment, *[F.col(f"EST-{f}") for f in stations])
-        month.coalesce(1).write.csv(f"{path}/{year}", header=True, sep="\t")
-        part = hadoop.Path(files.existing_inputs(spark, [f"{path}/{year}/part-*.csv"])[0])
-        part.getFileSystem(conf).rename(part, hadoop.Path(f"{path}/pm25_{year}_01.tab"))
-    read = files.read_station_months(spark, [f"{path}/*.tab"], "pm25", 1996, 1999)
+    month = F.concat(F.lit("pm25_"), F.year("l_shipdate"), F.lit("_01"))
+    rows = settle(rows.select(
+        month.alias("mes"), (F.year("l_shipdate") % 2).alias("_odd"), F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("Fecha_Hora"),
+        "EST-A", "EST-N", "EST-R"))
+    for odd, stations in ((1, "RA"), (0, "ANR")):
+        of_years = rows.filter(F.col("_odd") == odd).select("mes", "Fecha_Hora", *[F.col(f"EST-{f}") for f in stations])
+        of_years.write.mode("append").partitionBy("mes").csv(path, header=True, sep="\t")
+    read = files.read_station_months(spark, [f"{path}/*/*.csv"], "pm25", 1996, 1999)
     return with_shown(read, "valor")
 
 

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vialis.functions.text import plain_columns
-from vialis.operators.reshape import stations_to_rows
+from vialis.session import settle
 
 RIDERSHIP_SCHEMA = "fecha date, linea string, hora int, pasajeros bigint"
 TRIP_SCHEMA = ("id_viaje string, id_usuario string, estacion_origen string, estacion_destino string, "
@@ -103,20 +102,40 @@ def file_year(name: Column) -> Column:
 
 
 def in_years(df: DataFrame, first: int, last: int) -> DataFrame:
-    """Rows of files whose name falls in the years; the name is file metadata, so other files are skipped."""
-    return df.filter(file_year(F.col("_metadata.file_name")).between(first, last))
+    """Rows of files whose name, or else the folder they lie in, falls in the years; both are file metadata, so other files are skipped."""
+    folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    year = F.coalesce(file_year(F.col("_metadata.file_name")), file_year(folder))
+    return df.filter(year.between(first, last))
+
+
+def _header_lines(lines: DataFrame) -> DataFrame:
+    """The first line of each file, as (ruta, encabezado)."""
+    starts = lines.filter(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("ruta"), F.monotonically_increasing_id().alias("_at"), "value")
+    return starts.groupBy("ruta").agg(F.min_by("value", "_at").alias("encabezado"))
+
+
+def _cells(line: str) -> Column:
+    """Tab-separated cells without blanks and quotation marks around them."""
+    return F.transform(F.split(line, "\t"), lambda c: F.trim(F.regexp_replace(F.trim(c), '^"(.*)"$', "$1")))
 
 
 def read_station_months(spark: SparkSession, paths: Sequence[str], variable: str, first: int, last: int) -> DataFrame:
     """Long readings from monthly wide files, each with its own set of stations.
 
-    Only headers are read to build the plan; the list of files is the unit, not their rows.
+    All files are lines of one scan, however many there are. A table of their
+    first lines, written before, names the columns of each line: cell and
+    column of the same place make a reading. Lines without a time, cells without a number and columns without a name are
+    skipped, and so is a repeated first line. Cells hold no tabs or line breaks.
     """
-    def month(path: str) -> DataFrame:
-        wide = spark.read.options(header=True, sep="\t").csv(path)
-        moment, *stations = wide.columns
-        return stations_to_rows(in_years(wide, first, last), moment, variable, stations)
-    return reduce(DataFrame.unionByName, [month(p) for p in existing_inputs(spark, paths)])
+    lines = in_years(spark.read.text(existing_inputs(spark, paths)), first, last)
+    headers = settle(_header_lines(lines))
+    placed = lines.select(F.col("_metadata.file_path").alias("ruta"), "value").join(headers, "ruta")
+    cells = placed.filter(F.col("value") != F.col("encabezado")).select(_cells("value").alias("c"), _cells("encabezado").alias("h"))
+    pairs = cells.select(F.get("c", F.lit(0)).alias("timestamp"), F.explode(F.slice(F.arrays_zip("h", "c"), 2, F.size("h"))).alias("x"))
+    return pairs.select(
+        "timestamp", F.col("x.h").alias("estacion_id"), F.lit(variable).alias("variable"), F.col("x.c").try_cast("double").alias("valor"),
+    ).filter((F.col("timestamp") != "") & (F.col("estacion_id") != "") & F.col("valor").isNotNull())
 
 
 def read_columns(spark: SparkSession, path: str, columns: Sequence[str], condition: Column | None = None) -> DataFrame:
