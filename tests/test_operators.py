@@ -108,6 +108,27 @@ def test_latest_before(spark):
     assert [r["x"] for r in windows.latest_before(left, right, "t", "x").orderBy("i").collect()] == [None, 1.0, 2.0, 3.0, 3.0]
 
 
+@pytest.mark.parametrize("by", [(), ("k",)])
+def test_latest_before_against_a_search(spark, by):
+    """Busy instants, equal times on both sides, empty groups, nulls; no window over all rows."""
+    rng = random.Random(5)
+    start = dt.datetime(2024, 1, 1)
+    at = lambda: start + dt.timedelta(minutes=rng.choice([0, 3, 3, 3, rng.randint(0, 9000)]))
+    lefts = [(i, rng.choice("abcx"), at()) for i in range(400)] + [(400, None, at()), (401, "a", None)]
+    rights = [(rng.choice("abc"), at(), rng.choice([None, rng.random()])) for _ in range(300)]
+    left = spark.createDataFrame(lefts, "i int, k string, t timestamp").repartition(5)
+    right = spark.createDataFrame(rights, "k string, t timestamp, x double").repartition(3)
+    found = windows.latest_before(left, right, "t", "x", by)
+    want = {}
+    for i, k, t in lefts:
+        fitting = [(u, x) for r, u, x in rights if x is not None and t is not None and u <= t and (not by or r == k)]
+        want[i] = max(fitting)[1] if fitting else None
+    assert {r["i"]: r["x"] for r in found.collect()} == want
+    assert found.columns == ["i", "k", "t", "x"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "_slice" in plan.split("Window [")[1].split("\n")[0]
+
+
 SQUARE = '{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,1],[0,0]]]}'
 BESIDE = '{"type":"Polygon","coordinates":[[[0.5,0],[2,0],[2,1],[0.5,1],[0.5,0]]]}'
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vialis.session import settle
+
 MICROS = 1_000_000
 
 
@@ -44,32 +46,37 @@ def latest_before(
     moment: str,
     value: str,
     by: Sequence[str] = (),
-    slice_seconds: int = 600,
 ) -> DataFrame:
     """Left rows with the newest non-null right ``value`` at or before their ``moment``.
 
-    ``left`` must not have a column named like ``value``. Both sides are stacked
-    and read in order inside one time slice; what an earlier slice ended with
-    comes from one row per slice, so no task reads a whole history.
+    ``left`` must not have a column named like ``value``. Both sides are stacked and cut into range partitions of equal size
+    by group, time and side, so a slice follows the data: a busy hour, or
+    instant, is many slices. Each slice is read in order; what the slices before it ended with comes from one row
+    per slice.
     """
-    slot = F.floor(F.unix_seconds(F.col(moment).cast("timestamp")) / slice_seconds)
     known = right.filter(F.col(value).isNotNull()).select(*by, moment, value)
     # Several readings at one instant: the largest stands for it on any layout of the input.
     known = known.groupBy(*by, moment).agg(F.max(value).alias(value))
-    ends = known.groupBy(*by, slot.alias("_slot")).agg(F.max_by(value, moment).alias("_end"))
+    own = F.xxhash64(*left.columns)
+    stacked = left.withColumns({"_left": F.lit(1), "_own": own}).unionByName(
+        known.withColumns({"_left": F.lit(0), "_own": F.lit(0).cast("bigint")}), allowMissingColumns=True)
+    order = [*by, moment, "_left", "_own"]
+    sliced = settle(stacked.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()))
 
-    stacked = left.withColumn("_left", F.lit(1)).unionByName(
-        known.withColumn("_left", F.lit(0)), allowMissingColumns=True
-    ).withColumn("_slot", slot)
-    inside = W.partitionBy(*by, "_slot").orderBy(moment, "_left").rowsBetween(W.unboundedPreceding, 0)
-    read = stacked.withColumn("_in", F.last(value, ignorenulls=True).over(inside)).filter("_left = 1")
+    # One entry per group and slice, no more than there are partitions: what a slice hands on.
+    ends = sliced.groupBy(*by, "_slice").agg(F.max_by(value, F.when(F.col("_left") == 0, F.col(moment))).alias("_end"))
+    listed = ends.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_slice", "_end"))).alias("_ends"))
+    before = lambda x: F.filter("_ends", lambda e: (e["_slice"] < x["_slice"]) & e["_end"].isNotNull())
+    carried = listed.select(*by, F.explode(F.transform("_ends", lambda x: F.struct(
+        x["_slice"].alias("_slice"), F.try_element_at(before(x), F.lit(-1))["_end"].alias("_carry")))).alias("x"))
+    carried = carried.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("x._slice").alias("_s"), "x._carry")
 
-    slots = left.select(*by, slot.alias("_slot")).distinct().join(ends, [*by, "_slot"], "full")
-    earlier = W.partitionBy(*by).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
-    carried = slots.select(*by, "_slot", F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
-    return read.drop(value).join(carried, [*by, "_slot"], "left").select(
-        *left.columns, F.coalesce("_in", "_carry").alias(value)
-    )
+    inside = W.partitionBy(*by, "_slice").orderBy(moment, "_left").rowsBetween(W.unboundedPreceding, 0)
+    read = sliced.withColumn("_in", F.last(value, ignorenulls=True).over(inside)).filter("_left = 1")
+    same = F.col("_slice") == F.col("_s")
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return read.drop(value).join(carried, same, "left").select(*left.columns, F.coalesce("_in", "_carry").alias(value))
 
 
 def last_known(fields: Sequence[str], moment: Column | str) -> Column:
