@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -40,12 +39,6 @@ def discard(*tables: DataFrame) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of finished steps now, not at some later collection of garbage on the driver."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _near(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], buckets: int, how: str) -> DataFrame:
     """The rows whose keys fall into a hash bucket that keys of ``wanted`` fall into, or the other rows.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vialis.llm.common import discard, release, wanted_rows, written
+from vialis.llm.common import discard, wanted_rows, written
 
 BUCKETS = 65_536
 BLANKS = "\t\x0b\x0c\r"
@@ -35,11 +35,16 @@ class Rule:
         return n - F.ceil(F.lit(2 * self.over) * n / F.lit(self.over + self.under)).cast("int") + 1
 
 
-def words(text: Column) -> Column:
-    """Lower-case words between white space, repeats and empty ones included."""
+def normal(text: Column) -> Column:
+    """Lower case, with blanks for other white space inside lines."""
     for blank in BLANKS:
         text = F.replace(text, F.lit(blank), F.lit(" "))
-    return F.split(F.lower(text), " ")
+    return F.lower(text)
+
+
+def words(line: Column) -> Column:
+    """Words of a normal line, repeats and empty ones included."""
+    return F.split(line, " ")
 
 
 def rarity(docs: DataFrame, text: str) -> Column:
@@ -48,7 +53,7 @@ def rarity(docs: DataFrame, text: str) -> Column:
     The ranks are counted by Spark; the driver gets one number per bucket,
     whatever the size of the vocabulary.
     """
-    found = docs.select(F.explode(words(F.replace(docs[text], F.lit("\n"), F.lit(" ")))).alias("w")).filter("w <> ''")
+    found = docs.select(F.explode(words(F.replace(normal(docs[text]), F.lit("\n"), F.lit(" ")))).alias("w")).filter("w <> ''")
     bucket = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
     counts = dict(found.groupBy(bucket.alias("b")).count().collect())
     order = sorted(range(BUCKETS), key=lambda b: (counts.get(b, 0), b))
@@ -77,8 +82,8 @@ def by_rarity(found: Column, ranks: Column) -> Column:
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, h, line, words) of every line; h is the hash of the whole text."""
-    rows = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), F.xxhash64(docs[text]).alias("h"), docs[text].alias("_text"))
+    """(doc_id, h, line, words) of every line, in normal form; h is the hash of the whole text."""
+    rows = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), F.xxhash64(docs[text]).alias("h"), normal(docs[text]).alias("_text"))
     return rows.select("doc_id", "h", F.posexplode(F.split("_text", "\n")).alias("line", "words"))
 
 
@@ -117,22 +122,24 @@ def _first(lines: DataFrame) -> DataFrame:
 
 
 def _postings(firsts: DataFrame, prefix: Column) -> DataFrame:
-    """A row for each token of a set's prefix, with its position."""
-    return firsts.select("id", "n", F.posexplode(prefix).alias("q", "token"))
+    """A row for each token of a set's prefix, with its position and what the filters need."""
+    return firsts.select("id", "n", "bits", F.posexplode(prefix).alias("q", "token"))
 
 
-def _reach(rule: Rule, n: Column, q: Column, m: Column, r: Column) -> Column:
-    """Length and positional filter: what is left from the common token on is enough."""
+def _reach(rule: Rule, n: Column, q: Column, x: Column, m: Column, r: Column, y: Column) -> Column:
+    """Length and positional filter: what is left from the common token on is enough; and the bits x and y differ in no more
+    places than the words of similar sets may."""
     lengths = (F.least(n, m) * rule.under >= F.greatest(n, m) * rule.over)
-    return lengths & (F.least(n - q, m - r) >= rule.least_overlap(n, m))
+    overlap = rule.least_overlap(n, m)
+    return lengths & (F.least(n - q, m - r) >= overlap) & (F.bit_count(x.bitwiseXOR(y)) <= n + m - 2 * overlap)
 
 
 def _neighbours(firsts: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (earlier, later) of sets that stand next to each other in a token's list."""
     near = W.partitionBy("token").orderBy("id").rowsBetween(-rule.neighbours, -1)
     rows = _postings(firsts, F.slice("prefix", 1, rule.short_prefix(F.col("n"))))
-    rows = rows.withColumn("_near", F.collect_list(F.struct("id", "n", "q")).over(near))
-    good = F.filter("_near", lambda x: _reach(rule, x["n"], x["q"], F.col("n"), F.col("q")))
+    rows = rows.withColumn("_near", F.collect_list(F.struct("id", "n", "q", "bits")).over(near))
+    good = F.filter("_near", lambda x: _reach(rule, x["n"], x["q"], x["bits"], F.col("n"), F.col("q"), F.col("bits")))
     return rows.select(F.explode(good).alias("x"), F.col("id").alias("later")).select(F.col("x.id").alias("earlier"), "later").distinct()
 
 
@@ -140,25 +147,15 @@ def _others(firsts: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     """All pairs (earlier, later) that share a prefix token and whose later set has no match yet."""
     open_ones = firsts.join(found, firsts["id"] == found["later"], "left_anti")
     later = _postings(open_ones, F.col("prefix"))
-    earlier = _postings(firsts, F.col("prefix")).withColumnsRenamed({"id": "x_id", "n": "x_n", "q": "x_q"})
-    reach = _reach(rule, F.col("x_n"), F.col("x_q"), F.col("n"), F.col("q"))
+    earlier = _postings(firsts, F.col("prefix")).withColumnsRenamed({"id": "x_id", "n": "x_n", "q": "x_q", "bits": "x_bits"})
+    reach = _reach(rule, F.col("x_n"), F.col("x_q"), F.col("x_bits"), F.col("n"), F.col("q"), F.col("bits"))
     met = later.join(earlier, (later["token"] == earlier["token"]) & (F.col("x_id") < F.col("id")) & reach)
     return met.select(F.col("x_id").alias("earlier"), F.col("id").alias("later")).distinct()
 
 
 def _verified(pairs: DataFrame, firsts: DataFrame, lines: DataFrame, rule: Rule) -> DataFrame:
-    """The later sets (later) of the pairs whose Jaccard similarity is enough.
-
-    Pairs whose 64 bits differ in more places than their words may are left out
-    first; only the lines of the others are split into words again.
-    """
-    facts = firsts.select("id", "n", "bits")
-    near = pairs.join(facts.withColumnsRenamed({"id": "earlier", "n": "m", "bits": "other"}), "earlier").join(
-        facts.withColumnRenamed("id", "later"), "later")
-    apart = F.bit_count(F.col("bits").bitwiseXOR(F.col("other")))
-    near = near.filter(apart <= F.col("n") + F.col("m") - 2 * rule.least_overlap(F.col("n"), F.col("m")))
-    pairs = written(near.select("earlier", "later"), "pairs")
-    release(pairs.sparkSession)
+    """The later sets (later) of the pairs whose Jaccard similarity is enough; only their lines are split into words again."""
+    pairs = written(pairs, "pairs")
     named = pairs.select(F.col("earlier").alias("id")).unionByName(pairs.select(F.col("later").alias("id"))).distinct()
     wanted = written(firsts.join(named, "id").select("id", F.coalesce("doc_id", F.lit(0)).alias("_d"), "h", "line"), "wanted")
     here = lines.select(F.coalesce("doc_id", F.lit(0)).alias("_d"), "h", "line", "words")
@@ -170,7 +167,6 @@ def _verified(pairs: DataFrame, firsts: DataFrame, lines: DataFrame, rule: Rule)
     good = common >= rule.least_overlap(F.size("x"), F.size("y"))
     matched = written(both.filter(good).select("later").distinct(), "matched")
     discard(pairs, wanted, full)
-    release(matched.sparkSession)
     return matched
 
 
@@ -195,7 +191,6 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     marked = _marked(docs, doc_id, text, rarity(docs, text), rule)
     lines = _lines(docs, doc_id, text)
     firsts = _first(marked)
-    release(docs.sparkSession)
     near = _verified(_neighbours(firsts, rule), firsts, lines, rule)
     rest = _verified(_others(firsts, near, rule), firsts, lines, rule)
     gone = near.unionByName(rest).withColumn("gone", F.lit(True))
