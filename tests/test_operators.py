@@ -235,6 +235,30 @@ def test_rings_apart_stay_apart(spark):
     assert len(json.loads(rings.polygon_features(relation, members, one_ring=True).first()["geometry_geojson"])["coordinates"]) == 2
 
 
+def test_holes_go_to_the_ring_they_lie_in(spark):
+    """A notch, an island in a hole with a hole of its own, rings that touch, a hole outside everything."""
+    outers = [
+        [(0, 0), (9, 0), (9, 2), (2, 2), (2, 9), (0, 9)],          # an L
+        [(4, 4), (8, 4), (8, 8), (4, 8)],                          # a square in its notch
+        [(20, 0), (40, 0), (40, 20), (20, 20)],                    # a large square ...
+        [(25, 5), (35, 5), (35, 15), (25, 15)],                    # ... and an island in its hole
+    ]
+    inners = [
+        [(5, 5), (6, 5), (6, 6), (5, 6)],                          # in the notch square
+        [(22, 2), (38, 2), (38, 18), (22, 18)],                    # in the large square, around the island
+        [(25, 5), (28, 5), (28, 8), (25, 8)],                      # in the island, touching its corner
+        [(0.5, 0.5), (1, 0.5), (1, 8), (0.5, 8)],                  # in the L
+        [(90, 90), (91, 90), (91, 91)],                            # nowhere
+    ]
+    member = "relation_id bigint, type string, role string, seq int, lons array<double>, lats array<double>"
+    row = lambda role, seq, ring: (7, "way", role, seq, [float(p[0]) for p in [*ring, ring[0]]], [float(p[1]) for p in [*ring, ring[0]]])
+    members = spark.createDataFrame([row("outer", i, r) for i, r in enumerate(outers)] + [row("inner", i, r) for i, r in enumerate(inners)], member)
+    relation = spark.createDataFrame([(7, "a", "8", None, None)], "relation_id bigint, name string, admin_level string, alt_name string, wikipedia string")
+    shape = json.loads(rings.polygon_features(relation, members).first()["geometry_geojson"])
+    starts = [[tuple(r[0]) for r in part] for part in shape["coordinates"]]
+    assert starts == [[(0, 0), (0.5, 0.5), (90, 90)], [(4, 4), (5, 5)], [(20, 0), (22, 2)], [(25, 5), (25, 5)]]
+
+
 def test_polygon_features(spark):
     member = "relation_id bigint, type string, role string, seq int, lons array<double>, lats array<double>"
     members = spark.createDataFrame([

@@ -90,3 +90,35 @@ def is_inside(lon: Column, lat: Column, edges: Column) -> Column:
         rise = (e["x1"] - e["x0"]) * (lat - e["y0"])
         return spans & F.when(e["y1"] > e["y0"], run < rise).otherwise(run > rise)
     return F.size(F.filter(edges, crossed)) % 2 == 1
+
+
+def interior_point(ring: Column) -> Column:
+    """A point strictly inside a ring, as struct ``x, y``: the middle of the first stretch inside it at a height between two corners.
+
+    A ring without an inside gives its first corner.
+    """
+    heights = F.array_sort(F.array_distinct(F.transform(ring, lambda p: F.get(p, F.lit(1)))))
+    below = F.floor((F.size(heights) - 1) / 2).cast("int")
+    height = (F.get(heights, below) + F.get(heights, below + 1)) / 2
+
+    def meeting(e: Column) -> Column:
+        return e["x0"] + (height - e["y0"]) * (e["x1"] - e["x0"]) / (e["y1"] - e["y0"])
+
+    crossed = F.filter(edges_of(F.array(ring)), lambda e: (e["y0"] > height) != (e["y1"] > height))
+    xs = F.array_sort(F.transform(crossed, meeting))
+    middle = (F.get(xs, F.lit(0)) + F.get(xs, F.lit(1))) / 2
+    first = F.get(ring, F.lit(0))
+    return F.struct(F.coalesce(middle, F.get(first, F.lit(0))).alias("x"),
+                    F.when(middle.isNull(), F.get(first, F.lit(1))).otherwise(height).alias("y"))
+
+
+def box_of(ring: Column) -> Column:
+    """Struct ``west, south, east, north`` of a ring."""
+    x, y = F.transform(ring, lambda p: F.get(p, F.lit(0))), F.transform(ring, lambda p: F.get(p, F.lit(1)))
+    return F.struct(F.array_min(x).alias("west"), F.array_min(y).alias("south"), F.array_max(x).alias("east"), F.array_max(y).alias("north"))
+
+
+def ring_area(ring: Column) -> Column:
+    """Area inside a ring, whichever way round it goes."""
+    twice = F.aggregate(edges_of(F.array(ring)), F.lit(0.0), lambda a, e: a + e["x0"] * e["y1"] - e["x1"] * e["y0"])
+    return F.abs(twice) / 2

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from vialis.functions.geo import box_of, edges_of, interior_point, is_inside, ring_area
 from vialis.functions.text import boundary_kind
+from vialis.session import settle
 
 TOLERANCE = 1e-7
 LEAST_POINTS = 4
@@ -111,27 +113,42 @@ def rings_of_relations(members: DataFrame, one_ring: bool = False) -> DataFrame:
     return whole.select("relation_id", "role", F.posexplode("_rings").alias("part", "ring"))
 
 
-def _holds(outer: Column, point: Column) -> Column:
-    """Whether the bounding box of a ring holds a point."""
-    x, y = F.transform(outer, lambda p: p[0]), F.transform(outer, lambda p: p[1])
-    return (point[0].between(F.array_min(x), F.array_max(x))) & (point[1].between(F.array_min(y), F.array_max(y)))
+def _homes(rings: DataFrame) -> DataFrame:
+    """``relation_id, part, home``: the outer ring each inner one lies in, by exact test.
+
+    Of nested outer rings around it that is the innermost, the one with the
+    least area. The test is made for a point inside the inner ring, so rings may touch; an outer ring that lies in the hole
+    itself does not hold its corners. Only rings of one relation whose boxes fit meet.
+    """
+    facts = rings.withColumn("box", box_of(F.col("ring")))
+    inner = facts.filter("role = 'inner'").select("relation_id", "part", "box", interior_point(F.col("ring")).alias("point"))
+    outer = facts.filter("role = 'outer'").select(
+        "relation_id", F.col("part").alias("home"), F.col("box").alias("around"), ring_area(F.col("ring")).alias("area"), "ring")
+    fits = ((F.col("around.west") <= F.col("box.west")) & (F.col("around.east") >= F.col("box.east"))
+            & (F.col("around.south") <= F.col("box.south")) & (F.col("around.north") >= F.col("box.north")))
+    met = inner.join(outer, "relation_id").filter(fits)
+    inside = is_inside(F.col("point.x"), F.col("point.y"), edges_of(F.array("ring")))
+    return met.filter(inside).groupBy("relation_id", "part").agg(F.min_by("home", F.struct("area", "home")).alias("home"))
 
 
 def polygon_features(relations: DataFrame, members: DataFrame, one_ring: bool = False) -> DataFrame:
     """Features with properties and GeoJSON text; relations without an outer ring are dropped.
 
-    Several outer rings make a MultiPolygon; an inner ring goes to the first
-    outer one whose bounding box holds it, else to the first.
+    Several outer rings make a MultiPolygon; an inner ring goes to the innermost
+    outer one that it lies in, else to the first.
 
     ``relations`` has ``relation_id`` and the tags ``name, admin_level, alt_name, wikipedia``.
     """
-    of = lambda role: F.transform(
-        F.sort_array(F.collect_list(F.when(F.col("role") == role, F.struct("part", "ring")))), lambda x: x["ring"])
-    rings = rings_of_relations(members, one_ring).groupBy("relation_id").agg(
-        of("outer").alias("_outer"), of("inner").alias("_inner")).filter(F.size("_outer") > 0)
-    home = lambda ring: F.greatest(F.lit(1), F.array_position(F.transform("_outer", lambda o: _holds(o, ring[0])), True).cast("int"))
-    parts = F.transform("_outer", lambda o, i: F.concat(F.array(o), F.filter("_inner", lambda r: home(r) == i + 1)))
-    rings = rings.withColumn("_parts", parts)
+    chained = settle(rings_of_relations(members, one_ring))
+    outer = chained.filter("role = 'outer'").select("relation_id", F.col("part").alias("home"), F.lit(-1).alias("part"), "ring")
+    first = outer.groupBy("relation_id").agg(F.min("home").alias("first"))
+    inner = chained.filter("role = 'inner'").join(_homes(chained), ["relation_id", "part"], "left").join(first, "relation_id")
+    inner = inner.select("relation_id", F.coalesce("home", "first").alias("home"), "part", "ring")
+    # An outer ring comes before the inner ones in it.
+    polygons = outer.unionByName(inner).groupBy("relation_id", "home").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("part", "ring"))), lambda x: x["ring"]).alias("rings"))
+    rings = polygons.groupBy("relation_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("home", "rings"))), lambda x: x["rings"]).alias("_parts"))
     shape = lambda kind, value: F.to_json(F.struct(F.lit(kind).alias("type"), value.alias("coordinates")))
     geometry = F.when(F.size("_parts") == 1, shape("Polygon", F.element_at("_parts", 1))).otherwise(
         shape("MultiPolygon", F.col("_parts")))
