@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import math
 import random
 import statistics
 
@@ -169,11 +170,53 @@ def test_spatial_join_against_brute_force(spark):
 
     expected = {i: next((name for _, name, r in shapes if inside(px, py, r)), None) for i, px, py in spots}
     points = spark.createDataFrame(spots, "i int, x double, y double")
-    for cell in (0.7, 0.11):
-        found = spatial.assign_area(points, polygons, "x", "y", "n", "g", "o", cell=cell)
+    for cell, leaf in ((0.7, 64), (0.11, 1), (0.02, 2)):
+        found = spatial.assign_area(points, polygons, "x", "y", "n", "g", "o", cell=cell, leaf=leaf)
         assert {r["i"]: r["area"] for r in found.collect()} == expected
 
 
+def _even_odd(px, py, ring):
+    odd = False
+    for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+        if (ay > py) != (by > py):
+            run, rise = (px - ax) * (by - ay), (bx - ax) * (py - ay)
+            odd ^= run < rise if by > ay else run > rise
+    return odd
+
+
+def test_cells_decide_like_the_whole_polygon_on_corners_and_sides(spark):
+    """Whole numbers: points, corners, cell sides and edges fall together wherever they can."""
+    rng = random.Random(9)
+    shapes = [(n, f"p{n}", [(rng.randint(-6, 10), rng.randint(-6, 10)) for _ in range(rng.randint(3, 9))]) for n in range(25)]
+    text = lambda ring: '{"type":"Polygon","coordinates":[[' + ",".join(f"[{a},{b}]" for a, b in ring + ring[:1]) + "]]}"
+    points = spark.createDataFrame([(x * 100 + y, float(x), float(y)) for x in range(-8, 13) for y in range(-8, 13)], "i int, x double, y double")
+    for n, name, ring in shapes:
+        polygon = spark.createDataFrame([(n, name, text(ring))], "o int, n string, g string")
+        found = spatial.assign_area(points, polygon, "x", "y", "n", "g", "o", cell=1.0, leaf=n % 3)
+        got = {r["i"] for r in found.collect() if r["area"] is not None}
+        assert got == {x * 100 + y for x in range(-8, 13) for y in range(-8, 13) if _even_odd(x, y, ring)}, ring
+        if n == 7:
+            break
+
+
+def test_a_large_polygon_spreads_over_tasks(spark):
+    edges = 100_000
+    turn = [2 * math.pi * k / edges for k in range(edges)]
+    ring = [((5 + 0.8 * math.sin(40 * t)) * math.cos(t), (5 + 0.8 * math.sin(40 * t)) * math.sin(t)) for t in turn]
+    shape = spark.createDataFrame([(1, "a", '{"type":"Polygon","coordinates":[[' + ",".join(f"[{x},{y}]" for x, y in ring) + "]]}")], "o int, n string, g string")
+    index = spatial.area_index(shape, "n", "g", "o")
+    sizes = index.select(F.size("_edges").alias("n"), "_level").collect()
+    assert max(r["n"] for r in sizes if r["_level"] > 0) <= spatial.LEAF_EDGES
+    assert edges <= sum(r["n"] for r in sizes) < 2 * edges and len(sizes) < 20_000
+    tasks = index.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.sum(F.size("_edges")).alias("n")).collect()
+    assert len(tasks) >= 4 and max(r["n"] for r in tasks) < 0.5 * edges
+    rng = random.Random(3)
+    spots = [(i, rng.uniform(-6.5, 6.5), rng.uniform(-6.5, 6.5)) for i in range(2000)]
+    found = spatial.assign_area(spark.createDataFrame(spots, "i int, x double, y double"), shape, "x", "y", "n", "g", "o")
+    inside = lambda x, y: math.hypot(x, y) < 5 + 0.8 * math.sin(40 * math.atan2(y, x))
+    assert {r["i"] for r in found.collect() if r["area"]} == {i for i, x, y in spots if inside(x, y)}
+
+
 def test_hours_to_rows(spark):
     frame = spark.createDataFrame(
         [("01.01.2024", " L1 ", "180", None, "x", "-3", "999"), ("nunca", "L1", "1", "1", "1", "1", "9"), ("2024-01-02", "", "1", "1", "1", "1", "9")],

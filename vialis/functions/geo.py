@@ -82,14 +82,50 @@ def edges_of(rings: Column) -> Column:
     return F.flatten(F.transform(rings, closed))
 
 
+def _beside(lon: Column, lat: Column, e: Column) -> Column:
+    """Whether a point lies to the east of an edge's line; on the line it counts as east. For edges that are not level."""
+    run = (lon - e["x0"]) * (e["y1"] - e["y0"])
+    rise = (e["x1"] - e["x0"]) * (lat - e["y0"])
+    return F.when(e["y1"] > e["y0"], run >= rise).otherwise(run <= rise)
+
+
+def _meets_east(lon: Column, lat: Column, e: Column) -> Column:
+    """Whether a ray to the east of the point crosses the edge."""
+    return ((e["y0"] > lat) != (e["y1"] > lat)) & ~_beside(lon, lat, e)
+
+
+def _meets_north(lon: Column, lat: Column, e: Column) -> Column:
+    """Whether a ray to the north of the point crosses the edge, for the same choice of sides."""
+    rising = (e["x1"] > e["x0"]) == (e["y1"] > e["y0"])
+    above = F.when(e["y0"] == e["y1"], e["y0"] > lat).otherwise(rising == _beside(lon, lat, e))
+    return ((e["x0"] > lon) != (e["x1"] > lon)) & above
+
+
 def is_inside(lon: Column, lat: Column, edges: Column) -> Column:
     """Even-odd rule: a ray to the east of the point crosses an odd number of edges."""
+    return F.size(F.filter(edges, lambda e: _meets_east(lon, lat, e))) % 2 == 1
+
+
+def is_inside_near(lon: Column, lat: Column, east: Column, south: Column, corner: Column, edges: Column) -> Column:
+    """``is_inside`` from what is near: whether the south-east corner of a cell is inside, and the edges that touch the cell.
+
+    The way from the point east to the cell's side and down to the corner
+    crosses only such edges, and changes sides at each.
+    """
     def crossed(e: Column) -> Column:
-        spans = (e["y0"] > lat) != (e["y1"] > lat)
-        run = (lon - e["x0"]) * (e["y1"] - e["y0"])
-        rise = (e["x1"] - e["x0"]) * (lat - e["y0"])
-        return spans & F.when(e["y1"] > e["y0"], run < rise).otherwise(run > rise)
-    return F.size(F.filter(edges, crossed)) % 2 == 1
+        level = _meets_east(lon, lat, e) != _meets_east(east, lat, e)
+        upright = _meets_north(east, lat, e) != _meets_north(east, south, e)
+        return level != upright
+    return corner != (F.size(F.filter(edges, crossed)) % 2 == 1)
+
+
+def touches(e: Column, west: Column, east: Column, south: Column, north: Column) -> Column:
+    """Whether an edge meets a box, its sides included."""
+    near = ((F.least(e["x0"], e["x1"]) <= east) & (F.greatest(e["x0"], e["x1"]) >= west)
+            & (F.least(e["y0"], e["y1"]) <= north) & (F.greatest(e["y0"], e["y1"]) >= south))
+    side = lambda x, y: (x - e["x0"]) * (e["y1"] - e["y0"]) - (e["x1"] - e["x0"]) * (y - e["y0"])
+    sides = [side(x, y) for x in (west, east) for y in (south, north)]
+    return near & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
 
 
 def interior_point(ring: Column) -> Column:

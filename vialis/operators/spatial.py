@@ -1,57 +1,92 @@
-"""Area of a point: a grid-keyed join with an exact even-odd test."""
+"""Area of a point: a join on the cells of a quadtree with an exact even-odd test."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from vialis.functions.geo import edges_of, is_inside, rings_of
+from vialis.functions.geo import edges_of, is_inside, is_inside_near, rings_of, touches
+from vialis.session import settle
 
-# Grid step in degrees.
+# Side of the smallest cell in degrees; cells of level n are 2^n times as wide.
 CELL_DEGREES = 0.005
+# A cell with more edges than this is split.
+LEAF_EDGES = 64
 # Share of a cell by which its sides are moved out, so that rounding never leaves a point outside its cell.
 MARGIN = 1e-6
 
+NODE = ("_rank", "_area", "_level", "_cx", "_cy", "_inside", "_edges")
 
-def area_index(
-    polygons: DataFrame, name: str, geojson: str, order: str, cell: float = CELL_DEGREES, holes: bool = False
-) -> DataFrame:
-    """One row per polygon and grid cell it reaches, with the edges that matter there.
 
-    A ray to the east from inside a cell can only meet edges at its height that
-    are not wholly to its west. Where no edge touches the cell, the cell is all
-    inside or all outside: it is decided once, by its middle.
-    """
-    shaped = polygons.select(
-        F.col(order).alias("_rank"),
-        F.col(name).alias("_area"),
-        edges_of(rings_of(F.col(geojson), holes)).alias("_all"),
-    ).filter(F.size("_all") > 0)
+def _size(cell: float) -> Column:
+    return F.lit(cell) * F.pow(F.lit(2.0), F.col("_level"))
+
 
-    def cells(axis: str) -> Column:
-        """Cells from the lowest to the highest corner; every corner starts one edge."""
-        corners = F.transform("_all", lambda e: F.floor(e[axis] / cell))
-        return F.explode(F.sequence(F.array_min(corners), F.array_max(corners)))
+def _corner(size: Column) -> tuple[Column, Column]:
+    """East and south side of a cell."""
+    return (F.col("_cx") + 1) * size, F.col("_cy") * size
 
-    placed = shaped.withColumn("_cx", cells("x0")).withColumn("_cy", cells("y0"))
-    side = lambda c, step: (F.col(c) + step) * cell
+
+def _near_edges(edges: Column, size: Column) -> Column:
+    """The edges that touch a cell, with its margin."""
+    side = lambda c, step: (F.col(c) + step) * size
     west, east, south, north = side("_cx", -MARGIN), side("_cx", 1 + MARGIN), side("_cy", -MARGIN), side("_cy", 1 + MARGIN)
-    matters = lambda e: (
-        (F.greatest(e["y0"], e["y1"]) >= south) & (F.least(e["y0"], e["y1"]) <= north)
-        & (F.greatest(e["x0"], e["x1"]) >= west)
-    )
-    placed = placed.withColumn("_edges", F.filter("_all", matters))
-    touched = F.exists("_edges", lambda e: F.least(e["x0"], e["x1"]) <= east)
-    middle = is_inside(side("_cx", 0.5), side("_cy", 0.5), F.col("_edges"))
-    decided = placed.select("_rank", "_area", "_cx", "_cy", "_edges", touched.alias("_touched"), middle.alias("_middle"))
-    return decided.filter(F.col("_touched") | F.col("_middle")).select(
-        "_cx", "_cy", "_rank", "_area", (~F.col("_touched")).alias("_whole"),
-        F.when(F.col("_touched"), F.col("_edges")).otherwise(F.slice("_edges", 1, 0)).alias("_edges"),
-    )
+    return F.filter(edges, lambda e: touches(e, west, east, south, north))
 
 
-def _covers(entry, lon: Column, lat: Column) -> Column:
-    return entry("_whole") | is_inside(lon, lat, entry("_edges"))
+def _roots(polygons: DataFrame, name: str, geojson: str, order: str, cell: float, holes: bool) -> DataFrame:
+    """The cells as large as a polygon that it reaches, four at most."""
+    shaped = polygons.select(
+        F.col(order).alias("_rank"), F.col(name).alias("_area"), edges_of(rings_of(F.col(geojson), holes)).alias("_all"),
+    ).filter(F.size("_all") > 0)
+    # Every corner starts one edge.
+    low = lambda axis: F.array_min(F.transform("_all", lambda e: e[axis]))
+    high = lambda axis: F.array_max(F.transform("_all", lambda e: e[axis]))
+    wide = F.greatest(high("x0") - low("x0"), high("y0") - low("y0"))
+    level = F.greatest(F.lit(0), F.ceil(F.log2(wide / cell))).cast("int")
+    placed = shaped.withColumn("_level", F.coalesce(level, F.lit(0)))
+    cells = lambda axis: F.explode(F.sequence(F.floor(low(axis) / _size(cell)), F.floor(high(axis) / _size(cell))))
+    placed = placed.withColumn("_cx", cells("x0")).withColumn("_cy", cells("y0"))
+    east, south = _corner(_size(cell))
+    return placed.select("_rank", "_area", "_level", "_cx", "_cy", is_inside(east, south, F.col("_all")).alias("_inside"),
+                         _near_edges(F.col("_all"), _size(cell)).alias("_edges"))
+
+
+def _quarters(nodes: DataFrame, cell: float) -> DataFrame:
+    """The four quarters of each cell, each with the edges that touch it and the side its corner is on."""
+    east, south = _corner(_size(cell))
+    halves = nodes.withColumns({"_east": east, "_south": south, "_half": F.explode(F.array(*[
+        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (0, 1) for y in (0, 1)]))})
+    halves = halves.withColumns({
+        "_level": F.col("_level") - 1, "_cx": F.col("_cx") * 2 + F.col("_half.x"), "_cy": F.col("_cy") * 2 + F.col("_half.y")})
+    own_east, own_south = _corner(_size(cell))
+    inside = is_inside_near(own_east, own_south, F.col("_east"), F.col("_south"), F.col("_inside"), F.col("_edges"))
+    return halves.select("_rank", "_area", "_level", "_cx", "_cy", inside.alias("_inside"), _near_edges(F.col("_edges"), _size(cell)).alias("_edges"))
+
+
+def area_index(
+    polygons: DataFrame, name: str, geojson: str, order: str, cell: float = CELL_DEGREES, holes: bool = False,
+    leaf: int = LEAF_EDGES,
+) -> DataFrame:
+    """A quadtree cover: cells of several levels that lie in a polygon or on its border, with the edges that touch them.
+
+    A cell with more than ``leaf`` edges is split in four, round by
+    round down to the width ``cell``; each quarter gets the edges that touch it. So the cells of one large polygon spread over
+    the cluster as they are split. ``_inside`` tells of the south-east corner of a cell; a cell
+    without edges is all inside or, dropped, all outside.
+    """
+    done = None
+    nodes = _roots(polygons, name, geojson, order, cell, holes)
+    while True:
+        seen = Observation()
+        is_open = (F.size("_edges") > leaf) & (F.col("_level") > 0)
+        spread = nodes.filter((F.size("_edges") > 0) | F.col("_inside")).repartition("_cx", "_cy", "_level")
+        nodes = settle(spread.observe(seen, F.count_if(is_open).alias("n")))
+        leaves = nodes.filter(~is_open)
+        done = leaves if done is None else done.unionByName(leaves)
+        if not seen.get["n"]:
+            return done.select(*NODE)
+        nodes = _quarters(nodes.filter(is_open), cell)
 
 
 def assign_area(
@@ -65,20 +100,26 @@ def assign_area(
     alias: str = "area",
     cell: float = CELL_DEGREES,
     holes: bool = False,
+    leaf: int = LEAF_EDGES,
 ) -> DataFrame:
     """Points with the first polygon, by ``order``, that holds them; null outside all of them.
 
     Polygons with equal order values come by name, those without one last.
-    Distinct coordinates are joined with the polygon index on the grid cell, so
+    Distinct coordinates are joined with the polygon index on their cells of all levels in use, so
     a crowded place is tested once and is no heavier than any other; whether
     the index travels to the executors is left to Spark's own size check.
     Points without coordinates meet nothing and take no part in the joins.
     """
-    index = area_index(polygons, name, geojson, order, cell, holes)
+    index = area_index(polygons, name, geojson, order, cell, holes, leaf)
+    # Some twenty levels at most lie between the smallest cell and the whole earth.
+    levels = [r[0] for r in index.select("_level").distinct().collect()]
     located = F.col(lon).isNotNull() & F.col(lat).isNotNull()
     spots = points.filter(located).select(F.col(lon).alias("_lon"), F.col(lat).alias("_lat")).distinct()
-    spots = spots.withColumns({"_cx": F.floor(F.col("_lon") / cell), "_cy": F.floor(F.col("_lat") / cell)})
-    hits = spots.join(index, ["_cx", "_cy"]).filter(_covers(F.col, F.col("_lon"), F.col("_lat")))
+    spots = spots.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
+    spots = spots.withColumns({"_cx": F.floor(F.col("_lon") / _size(cell)), "_cy": F.floor(F.col("_lat") / _size(cell))})
+    east, south = _corner(_size(cell))
+    covers = is_inside_near(F.col("_lon"), F.col("_lat"), east, south, F.col("_inside"), F.col("_edges"))
+    hits = spots.join(index, ["_level", "_cx", "_cy"]).filter(covers)
     place = F.struct(F.col("_rank").isNull(), F.col("_rank"), F.col("_area"))
     first = hits.groupBy("_lon", "_lat").agg(F.min(place)["_area"].alias("_area"))
     # A row without coordinates gets a key of its own, so that all of them do not meet in one task.
