@@ -15,23 +15,21 @@ LEAF_EDGES = 64
 # Share of a cell by which its sides are moved out, so that rounding never leaves a point outside its cell.
 MARGIN = 1e-6
 
-NODE = ("_rank", "_area", "_level", "_cx", "_cy", "_inside", "_edges")
+NODE = ("_rank", "_area", "_level", "_cx", "_cy", "_east", "_south", "_inside", "_edges")
 
 
-def _size(cell: float) -> Column:
-    return F.lit(cell) * F.pow(F.lit(2.0), F.col("_level"))
+def _with_sides(cells: DataFrame, cell: float) -> DataFrame:
+    """The sides of each cell, and those of its margin, as columns: they are computed once, not for each edge."""
+    sized = cells.withColumn("_size", F.lit(cell) * F.pow(F.lit(2.0), F.col("_level")))
+    side = lambda c, step: (F.col(c) + step) * F.col("_size")
+    return sized.withColumns({
+        "_east": side("_cx", 1), "_south": side("_cy", 0), "_w": side("_cx", -MARGIN), "_e": side("_cx", 1 + MARGIN),
+        "_s": side("_cy", -MARGIN), "_n": side("_cy", 1 + MARGIN)})
 
 
-def _corner(size: Column) -> tuple[Column, Column]:
-    """East and south side of a cell."""
-    return (F.col("_cx") + 1) * size, F.col("_cy") * size
-
-
-def _near_edges(edges: Column, size: Column) -> Column:
+def _near_edges(edges: str) -> Column:
     """The edges that touch a cell, with its margin."""
-    side = lambda c, step: (F.col(c) + step) * size
-    west, east, south, north = side("_cx", -MARGIN), side("_cx", 1 + MARGIN), side("_cy", -MARGIN), side("_cy", 1 + MARGIN)
-    return F.filter(edges, lambda e: touches(e, west, east, south, north))
+    return F.filter(edges, lambda e: touches(e, *map(F.col, ("_w", "_e", "_s", "_n"))))
 
 
 def _roots(polygons: DataFrame, name: str, geojson: str, order: str, cell: float, holes: bool) -> DataFrame:
@@ -42,26 +40,23 @@ def _roots(polygons: DataFrame, name: str, geojson: str, order: str, cell: float
     # Every corner starts one edge.
     low = lambda axis: F.array_min(F.transform("_all", lambda e: e[axis]))
     high = lambda axis: F.array_max(F.transform("_all", lambda e: e[axis]))
-    wide = F.greatest(high("x0") - low("x0"), high("y0") - low("y0"))
-    level = F.greatest(F.lit(0), F.ceil(F.log2(wide / cell))).cast("int")
-    placed = shaped.withColumn("_level", F.coalesce(level, F.lit(0)))
-    cells = lambda axis: F.explode(F.sequence(F.floor(low(axis) / _size(cell)), F.floor(high(axis) / _size(cell))))
-    placed = placed.withColumn("_cx", cells("x0")).withColumn("_cy", cells("y0"))
-    east, south = _corner(_size(cell))
-    return placed.select("_rank", "_area", "_level", "_cx", "_cy", is_inside(east, south, F.col("_all")).alias("_inside"),
-                         _near_edges(F.col("_all"), _size(cell)).alias("_edges"))
+    boxed = shaped.withColumns({f"_{end}_{axis}": of(f"{axis}0") for end, of in (("low", low), ("high", high)) for axis in "xy"})
+    wide = F.greatest(F.col("_high_x") - F.col("_low_x"), F.col("_high_y") - F.col("_low_y"))
+    level = F.greatest(F.lit(0), F.ceil(F.log2(wide / cell)).cast("int"))
+    boxed = boxed.withColumn("_level", level).withColumn("_size", F.lit(cell) * F.pow(F.lit(2.0), F.col("_level")))
+    cells = lambda axis: F.explode(F.sequence(F.floor(F.col(f"_low_{axis}") / F.col("_size")), F.floor(F.col(f"_high_{axis}") / F.col("_size"))))
+    placed = _with_sides(boxed.withColumn("_cx", cells("x")).withColumn("_cy", cells("y")), cell)
+    return placed.withColumns({
+        "_inside": is_inside(F.col("_east"), F.col("_south"), F.col("_all")), "_edges": _near_edges("_all")}).select(*NODE)
 
 
 def _quarters(nodes: DataFrame, cell: float) -> DataFrame:
     """The four quarters of each cell, each with the edges that touch it and the side its corner is on."""
-    east, south = _corner(_size(cell))
-    halves = nodes.withColumns({"_east": east, "_south": south, "_half": F.explode(F.array(*[
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (0, 1) for y in (0, 1)]))})
-    halves = halves.withColumns({
+    quarter = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (0, 1) for y in (0, 1)]))
+    halves = nodes.withColumnsRenamed({"_east": "_from_e", "_south": "_from_s"}).withColumn("_half", quarter).withColumns({
         "_level": F.col("_level") - 1, "_cx": F.col("_cx") * 2 + F.col("_half.x"), "_cy": F.col("_cy") * 2 + F.col("_half.y")})
-    own_east, own_south = _corner(_size(cell))
-    inside = is_inside_near(own_east, own_south, F.col("_east"), F.col("_south"), F.col("_inside"), F.col("_edges"))
-    return halves.select("_rank", "_area", "_level", "_cx", "_cy", inside.alias("_inside"), _near_edges(F.col("_edges"), _size(cell)).alias("_edges"))
+    inside = is_inside_near(*map(F.col, ("_east", "_south", "_from_e", "_from_s", "_inside", "_edges")))
+    return _with_sides(halves, cell).withColumns({"_inside": inside, "_edges": _near_edges("_edges")}).select(*NODE)
 
 
 def area_index(
@@ -85,7 +80,7 @@ def area_index(
         leaves = nodes.filter(~is_open)
         done = leaves if done is None else done.unionByName(leaves)
         if not seen.get["n"]:
-            return done.select(*NODE)
+            return done
         nodes = _quarters(nodes.filter(is_open), cell)
 
 
@@ -116,9 +111,9 @@ def assign_area(
     located = F.col(lon).isNotNull() & F.col(lat).isNotNull()
     spots = points.filter(located).select(F.col(lon).alias("_lon"), F.col(lat).alias("_lat")).distinct()
     spots = spots.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
-    spots = spots.withColumns({"_cx": F.floor(F.col("_lon") / _size(cell)), "_cy": F.floor(F.col("_lat") / _size(cell))})
-    east, south = _corner(_size(cell))
-    covers = is_inside_near(F.col("_lon"), F.col("_lat"), east, south, F.col("_inside"), F.col("_edges"))
+    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("_level"))
+    spots = spots.withColumns({"_cx": F.floor(F.col("_lon") / size), "_cy": F.floor(F.col("_lat") / size)})
+    covers = is_inside_near(*map(F.col, ("_lon", "_lat", "_east", "_south", "_inside", "_edges")))
     hits = spots.join(index, ["_level", "_cx", "_cy"]).filter(covers)
     place = F.struct(F.col("_rank").isNull(), F.col("_rank"), F.col("_area"))
     first = hits.groupBy("_lon", "_lat").agg(F.min(place)["_area"].alias("_area"))
