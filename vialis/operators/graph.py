@@ -112,9 +112,10 @@ def _distances(starts: DataFrame, links: DataFrame, name: str, path: str) -> int
         step = known.filter(F.col("round") == number).join(links, F.col("id") == F.col("src")).select(
             "source", F.col("dst").alias("id"), F.struct((F.col("minutes") + F.col("weight")).alias("minutes"), F.col("src").alias("prev")).alias("new"))
         best = step.groupBy("source", "id").agg(F.min("new").alias("new"))
-        held = known.select("source", "id", "minutes").join(best.select("source", "id").hint("shuffle_hash"), ["source", "id"])
-        held = held.groupBy("source", "id").agg(F.min("minutes").alias("held"))
-        better = best.join(held, ["source", "id"], "left").filter(F.col("held").isNull() | (F.col("new.minutes") < F.col("held")))
+        # The hash table is built of the few new labels; the known ones pass by in their buckets.
+        met = best.hint("shuffle_hash").join(known.select("source", "id", "minutes"), ["source", "id"], "left")
+        held = met.groupBy("source", "id").agg(F.first("new").alias("new"), F.min("minutes").alias("held"))
+        better = held.filter(F.col("held").isNull() | (F.col("new.minutes") < F.col("held")))
         number += 1
         grown = add(better.select("source", "id", "new.minutes", "new.prev"), number)
     return number
@@ -162,6 +163,8 @@ def shortest_routes(
     ids = vertices.select(F.col(key).alias("id"), F.col(name).alias("name"))
     links = both_ways(edges, src, dst, weight).join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
     links = settle(links.groupBy("src", "dst").agg(F.min("weight").alias("weight")))
+    # Laid out once by source, so that a round moves labels only; a lost part is read again from the settled table.
+    links = links.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "src").persist(StorageLevel.MEMORY_AND_DISK)
     starts = ids.join(sources.select(F.col(key).alias("id")).distinct(), "id", "left_semi").select(
         F.col("id").alias("source"), "id", F.lit(0).cast(links.schema["weight"].dataType).alias("minutes"),
         F.lit(None).cast(ids.schema["id"].dataType).alias("prev"))
@@ -171,6 +174,7 @@ def shortest_routes(
         final = spark.table(label).groupBy("source", "id").agg(F.min(F.struct("minutes", "round", "prev")).alias("best"))
         return _traced(final.select("source", "id", "best.minutes", "best.prev"), ids, rounds)
     finally:
+        links.unpersist()
         spark.sql(f"DROP TABLE IF EXISTS {label}")
 
 
