@@ -217,6 +217,11 @@ def test_a_large_polygon_spreads_over_tasks(spark):
     assert {r["i"] for r in found.collect() if r["area"]} == {i for i, x, y in spots if inside(x, y)}
 
 
+def test_lines_not_listed_are_counted_together(spark):
+    frame = spark.createDataFrame([(1, "A", 5), (1, "B", 7), (1, "C", 1), (1, None, 2), (2, "A", 3)], "ventana_inicio int, linea string, n bigint")
+    assert rows(reports.series_by_line(frame, ["A", "Z"], "linea", "n").orderBy("ventana_inicio")) == [(1, 5, 0, 10), (2, 3, 0, 0)]
+
+
 def test_hours_to_rows(spark):
     frame = spark.createDataFrame(
         [("01.01.2024", " L1 ", "180", None, "x", "-3", "999"), ("nunca", "L1", "1", "1", "1", "1", "9"), ("2024-01-02", "", "1", "1", "1", "1", "9")],

@@ -115,11 +115,15 @@ def recent_counts(docs: DataFrame, now: Column, last: str) -> DataFrame:
     return recent.groupBy("tipo").agg(F.count(F.lit(1)).alias("n"))
 
 
+OTHER_LINES = "otras"
+
+
 def series_by_line(snapshots: DataFrame, lines: list[str], line: str, value: str) -> DataFrame:
-    """One column per listed line and one row per window, zero where a line has none."""
-    return snapshots.groupBy("ventana_inicio").agg(*[
-        F.coalesce(F.sum(F.when(F.col(line) == name, F.col(value))), F.lit(0)).alias(name) for name in lines
-    ])
+    """One column per listed line, one for all the others, and one row per window; zero where a line has none."""
+    total = lambda keep, name: F.coalesce(F.sum(F.when(keep, F.col(value))), F.lit(0)).alias(name)
+    listed = [total(F.col(line) == name, name) for name in lines]
+    others = total(~F.coalesce(F.col(line).isin(list(lines)), F.lit(False)), OTHER_LINES)
+    return snapshots.groupBy("ventana_inicio").agg(*listed, others)
 
 
 def severity_by(severity: DataFrame, *keys: str) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vialis import vocabulary as v
 from vialis.functions.measures import correlation, percent_from, severity_index
-from vialis.operators.ranking import first_rows, ranked, running_total, top_per_group
+from vialis.operators.ranking import first_rows, running_total, top_per_group
 from vialis.session import settle
 
 
@@ -55,9 +56,12 @@ def severity_table(
 
 
 def rank_severity(table: DataFrame, year: str, area: str) -> DataFrame:
-    """Rank of each area inside its year, worst first, ties by area."""
-    order = [F.desc("indice_severidad"), F.asc(area)]
-    return ranked(table, order, "ranking_severidad", [year])
+    """Rank of each area inside its year, worst first, ties by area.
+
+    The table has a row per area and year, so a year is as small as a map has areas.
+    """
+    order = W.partitionBy(year).orderBy(F.desc("indice_severidad"), F.asc(area))
+    return table.withColumn("ranking_severidad", F.row_number().over(order))
 
 
 def network_daily(df: DataFrame, moment: str, averages: dict[str, str], totals: dict[str, str]) -> DataFrame:
@@ -132,12 +136,15 @@ def incidents_per_area(
 
 
 def composite_risk(volume: DataFrame, incidents: DataFrame, area: str) -> DataFrame:
-    """Rank by volume plus rank by severity for areas known to both; the lowest score is worst."""
+    """Rank by volume plus rank by severity for areas known to both; the lowest score is worst.
+
+    Both sides have one row per area already, so plain windows number them: an order is as small as a map has areas.
+    """
     joined = volume.join(incidents, on=area, how="inner")
-    joined = ranked(joined, [F.desc("vehiculos_total"), F.asc(area)], "rank_volumen")
     weight = F.col("con_muertos") * 5 + F.col("con_heridos")
-    joined = ranked(joined, [weight.desc(), F.asc(area)], "rank_severidad")
-    return joined.withColumn("score_riesgo", F.col("rank_volumen") + F.col("rank_severidad"))
+    place = lambda *order: F.row_number().over(W.orderBy(*order, F.asc(area)))
+    ranks = joined.withColumns({"rank_volumen": place(F.desc("vehiculos_total")), "rank_severidad": place(weight.desc())})
+    return ranks.withColumn("score_riesgo", F.col("rank_volumen") + F.col("rank_severidad"))
 
 
 def percentiles(df: DataFrame, keys: Sequence[str], value: str, least_rows: int = 10) -> DataFrame:

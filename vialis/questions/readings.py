@@ -182,7 +182,10 @@ def latest_k(spark, sf_dir):
 def series_pivot(spark, sf_dir):
     snapshots = line_snapshots(
         events(spark, sf_dir).withColumn("value", F.col("value").cast("bigint")), "event_type", "ts", "value", "1 hour", "1 hour")
-    return local_times(reports.series_by_line(snapshots, list(LINES), "event_type", "pasajeros_acumulados"), "ventana_inicio")
+    found = reports.series_by_line(snapshots, list(LINES), "event_type", "pasajeros_acumulados")
+    few = reports.series_by_line(snapshots, list(LINES[:2]), "event_type", "pasajeros_acumulados")
+    both = found.drop(reports.OTHER_LINES).join(few.select("ventana_inicio", reports.OTHER_LINES), "ventana_inicio")
+    return local_times(both, "ventana_inicio")
 
 
 QUERIES = {q.__name__: q for q in (
@@ -257,6 +260,7 @@ SQL = {
         ORDER BY emitido_en DESC, _id LIMIT 200""",
     "series_pivot": f"""
         SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ventana_inicio,
-               {', '.join(f"CAST(coalesce(sum(CAST(trunc(value) AS BIGINT)) FILTER (event_type = '{c}'), 0) AS BIGINT) AS {c}" for c in LINES)}
+               {', '.join(f"CAST(coalesce(sum(CAST(trunc(value) AS BIGINT)) FILTER (event_type = '{c}'), 0) AS BIGINT) AS {c}" for c in LINES)},
+               CAST(coalesce(sum(CAST(trunc(value) AS BIGINT)) FILTER (event_type NOT IN ({', '.join(f"'{c}'" for c in LINES[:2])})), 0) AS BIGINT) AS otras
         FROM events GROUP BY 1""",
 }
