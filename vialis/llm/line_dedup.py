@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vialis.llm.common import discard, wanted_rows, written
 
 BUCKETS = 65_536
+PARTS = 8
 BLANKS = "\t\x0b\x0c\r"
 
 
@@ -153,6 +154,17 @@ def _others(firsts: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     return met.select(F.col("x_id").alias("earlier"), F.col("id").alias("later")).distinct()
 
 
+def _bits(part: int) -> Column:
+    """64 bits; each word that falls into this part of 64 times ``PARTS`` places turns one of them over."""
+    mine = F.filter("tokens", lambda t: F.shiftright(t, 6).bitwiseAND(F.lit(PARTS - 1)) == part)
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(mine, F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
+
+
+def _named(marks: DataFrame, side: str, prefix: str) -> DataFrame:
+    return marks.select(F.col("id").alias(side), *[F.col(c).alias(prefix + c) for c in marks.columns if c != "id"])
+
+
 def _verified(pairs: DataFrame, firsts: DataFrame, lines: DataFrame, rule: Rule) -> DataFrame:
     """The later sets (later) of the pairs whose Jaccard similarity is enough; only their lines are split into words again."""
     pairs = written(pairs, "pairs")
@@ -160,13 +172,21 @@ def _verified(pairs: DataFrame, firsts: DataFrame, lines: DataFrame, rule: Rule)
     wanted = written(firsts.join(named, "id").select("id", F.coalesce("doc_id", F.lit(0)).alias("_d"), "h", "line"), "wanted")
     here = lines.select(F.coalesce("doc_id", F.lit(0)).alias("_d"), "h", "line", "words")
     found = wanted_rows(here, wanted, ["_d", "h", "line"]).groupBy("id").agg(F.first("words").alias("words"))
-    full = written(found.select("id", hashes(F.col("words")).alias("tokens")), "tokens")
-    both = pairs.join(full.withColumnsRenamed({"id": "later", "tokens": "y"}), "later")
-    both = both.join(full.withColumnsRenamed({"id": "earlier", "tokens": "x"}), "earlier")
+    full = written(found.select("id", hashes(F.col("words")).alias("tokens")).select(
+        "id", "tokens", F.size("tokens").alias("n"), *[_bits(part).alias(f"s{part}") for part in range(PARTS)]), "tokens")
+    # Longer marks first: only pairs that they cannot tell apart move with all their words.
+    marks = full.drop("tokens")
+    near = pairs.join(_named(marks, "later", "x_"), "later").join(_named(marks, "earlier", "y_"), "earlier")
+    apart = sum((F.bit_count(F.col(f"x_s{part}").bitwiseXOR(F.col(f"y_s{part}"))) for part in range(PARTS)), F.lit(0))
+    least = rule.least_overlap(F.col("x_n"), F.col("y_n"))
+    near = written(near.filter(apart <= F.col("x_n") + F.col("y_n") - 2 * least).select("earlier", "later"), "near")
+    words_of = full.select("id", "tokens")
+    both = near.join(words_of.withColumnsRenamed({"id": "later", "tokens": "y"}), "later")
+    both = both.join(words_of.withColumnsRenamed({"id": "earlier", "tokens": "x"}), "earlier")
     common = F.size(F.array_intersect("x", "y"))
     good = common >= rule.least_overlap(F.size("x"), F.size("y"))
     matched = written(both.filter(good).select("later").distinct(), "matched")
-    discard(pairs, wanted, full)
+    discard(pairs, wanted, full, near)
     return matched
 
 
