@@ -342,6 +342,17 @@ def test_transit_network(spark):
     assert far["num_paradas"] == len(far["ruta_ids"]) - 1 and far["ruta_ids"][0] == "A21" and far["ruta_nombres"][-1] == "Parque Arví"
 
 
+def test_no_sources_and_no_polygons(spark):
+    vertices = spark.createDataFrame([("a", "A")], "k string, n string")
+    edges = spark.createDataFrame([], "s string, t string, w int")
+    none = spark.createDataFrame([], "k string")
+    assert graph.shortest_routes(vertices, edges, "k", "n", "s", "t", "w", none).count() == 0
+    points = spark.createDataFrame([(0, 0.25, 0.5)], "i int, x double, y double")
+    for shapes in ([], [(1, "roto", "{}")]):
+        polygons = spark.createDataFrame(shapes, "o int, n string, g string")
+        assert spatial.assign_area(points, polygons, "x", "y", "n", "g", "o").first()["area"] is None
+
+
 def test_routes_prefer_time_over_stops(spark):
     vertices = spark.createDataFrame([(x, x.upper()) for x in "abcde"], "k string, n string")
     edges = spark.createDataFrame([("a", "b", 10), ("a", "c", 2), ("c", "b", 3), ("b", "d", 1)], "s string, t string, w int")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vialis.operators.ranking import ranked
@@ -100,11 +100,10 @@ def _distances(starts: DataFrame, links: DataFrame, name: str, path: str) -> int
     spark = links.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def add(rows: DataFrame, number: int) -> int:
-        seen = Observation()
-        rows = rows.withColumn("round", F.lit(number)).observe(seen, F.count(F.lit(1)).alias("n"))
+    def add(rows: DataFrame, number: int) -> bool:
+        rows = rows.withColumn("round", F.lit(number))
         rows.write.format("parquet").bucketBy(buckets, "source", "id").option("path", path).mode("append").saveAsTable(name)
-        return seen.get["n"]
+        return not spark.table(name).filter(F.col("round") == number).isEmpty()
 
     number, grown = 0, add(starts, 0)
     while grown:

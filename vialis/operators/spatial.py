@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vialis.functions.geo import edges_of, is_inside, is_inside_near, rings_of, touches
@@ -73,15 +73,15 @@ def area_index(
     done = None
     nodes = _roots(polygons, name, geojson, order, cell, holes)
     while True:
-        seen = Observation()
         is_open = (F.size("_edges") > leaf) & (F.col("_level") > 0)
         spread = nodes.filter((F.size("_edges") > 0) | F.col("_inside")).repartition("_cx", "_cy", "_level")
-        nodes = settle(spread.observe(seen, F.count_if(is_open).alias("n")))
+        nodes = settle(spread)
         leaves = nodes.filter(~is_open)
         done = leaves if done is None else done.unionByName(leaves)
-        if not seen.get["n"]:
+        nodes = nodes.filter(is_open)
+        if nodes.isEmpty():
             return done
-        nodes = _quarters(nodes.filter(is_open), cell)
+        nodes = _quarters(nodes, cell)
 
 
 def assign_area(

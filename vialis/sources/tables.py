@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vialis import vocabulary as v
@@ -111,17 +111,18 @@ def _carried(rows: DataFrame, again: DataFrame) -> DataFrame:
 
 
 def _write(rows: DataFrame, table: str, load: str, partition: str, carried: DataFrame | None = None) -> int:
-    """Append the rows of a load, in partitions of its own below the ingest day; the number of rows without the carried ones."""
+    """Append the rows of a load, in partitions of its own below the ingest day; the number of rows without the carried ones.
+
+    Counts of stored rows come from file footers and, for the carried ones, one column of their old load.
+    """
     spark = rows.sparkSession
-    seen = Observation()
-    out = rows.observe(seen, F.count(F.lit(1)).alias("n"))
-    if carried is not None:
-        out = out.unionByName(carried.drop(v.LOAD), allowMissingColumns=True)
+    out = rows if carried is None else rows.unionByName(carried.drop(v.LOAD), allowMissingColumns=True)
     out = out.withColumn(v.LOAD, F.lit(load))
     if spark.catalog.tableExists(table):
         out = out.select(*spark.table(table).columns)
     out.hint("rebalance", partition).write.mode("append").partitionBy(partition, v.LOAD).saveAsTable(table)
-    return seen.get["n"]
+    stored = spark.table(table).filter(F.col(v.LOAD) == load).count()
+    return stored - (0 if carried is None else carried.count())
 
 
 def append_files(
