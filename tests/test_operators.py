@@ -74,6 +74,14 @@ def test_severity_table(spark):
     assert found["b"]["incidentes_total"] == 0
 
 
+def test_percentiles_are_exact_where_neighbouring_ranks_differ(spark):
+    n = 120_000
+    frame = spark.range(n).select(F.lit("l").alias("k"), (F.col("id") * 7_919 % n + 1).alias("x"))
+    frame = frame.unionByName(spark.range(20).select(F.lit(None).cast("string").alias("k"), (F.col("id") + 1).alias("x")))
+    found = {r["k"]: tuple(r)[1:] for r in rollups.percentiles(frame, ["k"], "x").collect()}
+    assert found == {"l": (60_000, 90_000, 108_000, 114_000, n), None: (10, 15, 18, 19, 20)}
+
+
 @pytest.mark.parametrize("size", [9, 10, 11, 15, 19, 20, 100, 137])
 def test_exclusive_percentiles(spark, size):
     values = [random.Random(size).randint(1, 60) for _ in range(size)]

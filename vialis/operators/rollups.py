@@ -147,46 +147,53 @@ def composite_risk(volume: DataFrame, incidents: DataFrame, area: str) -> DataFr
     return ranks.withColumn("score_riesgo", F.col("rank_volumen") + F.col("rank_severidad"))
 
 
-def percentiles(df: DataFrame, keys: Sequence[str], value: str, least_rows: int = 10) -> DataFrame:
-    """Approximate p50, p75, p90, p95 by group; groups with too few rows are left out.
-
-    The sketches merge before the shuffle, so a group of any size is fine.
-    """
-    points = {"p50": 0.50, "p75": 0.75, "p90": 0.90, "p95": 0.95}
-    return df.groupBy(*keys).agg(
-        F.percentile_approx(value, list(points.values()), F.lit(10_000)).alias("_p"),
-        F.count(F.lit(1)).alias("muestras"),
-    ).filter(F.col("muestras") >= least_rows).select(
-        *keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(points)], "muestras"
-    )
+POINTS = {"p50": 50, "p75": 75, "p90": 90, "p95": 95}
 
 
-def exclusive_percentiles(df: DataFrame, keys: Sequence[str], value: str, least_rows: int = 10) -> DataFrame:
-    """Exact median, p75, p90, p95 by the (n + 1) p rule, cut to whole numbers.
+def _value_ranks(df: DataFrame, keys: Sequence[str], value: str, least_rows: int) -> DataFrame:
+    """A row per group and value: its copies, the rows up to it, and the group's rows as ``muestras``.
 
     Equal values are counted together before the shuffle and the ranks come
     from :func:`running_total`, so a group may hold any share of the rows.
     """
-    points = {"p50": 50, "p75": 75, "p90": 90, "p95": 95}
     valued = df.filter(F.col(value).isNotNull())
     distinct = settle(valued.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_copies")))
     upto = running_total(distinct, keys, [F.asc(value)], F.col("_copies"), "_upto", settled=True)
-    size = distinct.groupBy(*keys).agg(F.sum("_copies").alias("muestras"))
+    size = distinct.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.sum("_copies").alias("muestras"))
     size = size.filter(F.col("muestras") >= least_rows)
-    placed = upto.join(size, on=list(keys))
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return upto.join(size, same).drop(*[f"_k_{k}" for k in keys])
+
+
+def _at_rank(value: str, rank: Column) -> Column:
+    """The one value whose copies cover the rank."""
+    return F.max(F.when((F.col("_upto") - F.col("_copies") < rank) & (rank <= F.col("_upto")), F.col(value)))
 
-    def at_rank(rank: Column) -> Column:
-        """The one value whose copies cover the rank."""
-        return F.max(F.when((F.col("_upto") - F.col("_copies") < rank) & (rank <= F.col("_upto")), F.col(value)))
+
+def percentiles(df: DataFrame, keys: Sequence[str], value: str, least_rows: int = 10) -> DataFrame:
+    """Exact p50, p75, p90, p95 by group: the least value that this share of the rows does not exceed.
+
+    Groups with too few rows are left out; so are rows without a value. Ranks are whole numbers, so no rounding moves them.
+    """
+    return _value_ranks(df, keys, value, least_rows).groupBy(*keys, "muestras").agg(*[
+        _at_rank(value, F.floor((F.col("muestras") * percent + 99) / 100)).alias(name) for name, percent in POINTS.items()
+    ]).select(*keys, *POINTS, "muestras")
+
+
+def exclusive_percentiles(df: DataFrame, keys: Sequence[str], value: str, least_rows: int = 10) -> DataFrame:
+    """Exact median, p75, p90, p95 by the (n + 1) p rule, cut to whole numbers."""
+    placed = _value_ranks(df, keys, value, least_rows)
 
     # (n + 1) p falls on or after rank `low`, by `over` hundredths; the last two
     # ranks carry everything beyond them.
     split, aggregates = {}, []
-    for name, percent in points.items():
+    for name, percent in POINTS.items():
         target = (F.col("muestras") + 1) * percent
         low = F.least(F.floor(target / 100), F.col("muestras") - 1)
         split[name] = target - low * 100
-        aggregates += [at_rank(low).alias(f"{name}_low"), at_rank(low + 1).alias(f"{name}_high")]
+        aggregates += [_at_rank(value, low).alias(f"{name}_low"), _at_rank(value, low + 1).alias(f"{name}_high")]
     parts = placed.groupBy(*keys, "muestras").agg(*aggregates)
     return parts.select(*keys, *[
         ((F.col(f"{name}_low") * (100 - over) + F.col(f"{name}_high") * over) / 100).cast("bigint").alias(name)
