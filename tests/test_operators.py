@@ -411,6 +411,33 @@ def test_metrics_equal_the_evaluator(spark):
         assert found[name] == pytest.approx(MulticlassClassificationEvaluator(metricName=metric).evaluate(scored))
 
 
+def test_training_rows_are_spread_however_few_files_they_lie_in(spark, tmp_path):
+    spark.range(3_000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    frame = spark.read.parquet(str(tmp_path / "one"))
+    assert frame.rdd.getNumPartitions() == 1
+    spread = classify.spread(frame, "id", 3_000)
+    sizes = [len(p) for p in spread.rdd.glom().collect()]
+    assert len(sizes) == classify.TRAINING_PARTS and sum(sizes) == 3_000 and max(sizes) < 200
+    assert classify.spread(frame, "id", 3_000, parts=2, part_rows=500).rdd.getNumPartitions() == 6
+
+
+def test_forest_trains_on_spread_rows(spark, monkeypatch):
+    seen = []
+
+    class Fake:
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return self
+
+        def transform(self, rows):
+            return rows
+
+    monkeypatch.setattr(classify, "forest", lambda *a, **k: Fake())
+    frame = spark.range(200).coalesce(1).select("id", F.lit("x").alias("y"), F.lit("c").alias("c"), F.lit(1.0).alias("n"))
+    classify.train(frame, "id", "y", 100, ["c"], ["n"])
+    assert seen == [classify.TRAINING_PARTS]
+
+
 def test_classifier_round_trip(spark, tmp_path):
     rng = random.Random(5)
     data = []
