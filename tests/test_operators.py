@@ -411,6 +411,27 @@ def test_metrics_equal_the_evaluator(spark):
         assert found[name] == pytest.approx(MulticlassClassificationEvaluator(metricName=metric).evaluate(scored))
 
 
+def test_rings_hold_few_rows_as_python_objects():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    corners = [(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (0.0, 9.0)]
+    ways = list(zip(corners, corners[1:] + corners[:1]))
+
+    def peak(n):
+        lons, lats = (pa.array([[[a[i], b[i]] for a, b in ways]] * n) for i in (0, 1))
+        tracemalloc.start()
+        found = rings._over_rows(rings.chains).func(lons, lats)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(found) == n
+        assert found.to_pylist() == [[[list(c) for c in [*corners, corners[0]]]]] * n
+        return most
+
+    assert peak(8_000) < 4 * peak(800)
+
+
 def test_training_rows_are_spread_however_few_files_they_lie_in(spark, tmp_path):
     spark.range(3_000).coalesce(1).write.parquet(str(tmp_path / "one"))
     frame = spark.read.parquet(str(tmp_path / "one"))

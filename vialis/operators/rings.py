@@ -15,6 +15,8 @@ from vialis.session import settle
 
 TOLERANCE = 1e-7
 LEAST_POINTS = 4
+# Rows of an Arrow batch that are Python objects at one time.
+ROWS_AT_ONCE = 64
 
 
 def _near(a, b) -> bool:
@@ -84,11 +86,22 @@ def chains(ways: list[list[tuple[float, float]]]) -> list[list[tuple[float, floa
     return found
 
 
+RINGS = pa.list_(pa.list_(pa.list_(pa.float64())))
+
+
+def _in_slices(join, lons: pa.Array, lats: pa.Array, rows: int = ROWS_AT_ONCE) -> pa.Array:
+    """``join`` over the ways of each row. A batch becomes Python objects a few rows at a time, as they take many times its size."""
+    parts = [pa.array([], RINGS)]
+    for start in range(0, len(lons), rows):
+        some = zip(lons.slice(start, rows).to_pylist(), lats.slice(start, rows).to_pylist())
+        parts.append(pa.array([join([list(zip(x, y)) for x, y in zip(*ways)]) for ways in some], RINGS))
+    return pa.concat_arrays(parts)
+
+
 def _over_rows(join):
     @F.arrow_udf(ArrayType(ArrayType(ArrayType(DoubleType()))))
     def run(lons: pa.Array, lats: pa.Array) -> pa.Array:
-        rings = [join([list(zip(x, y)) for x, y in zip(*ways)]) for ways in zip(lons.to_pylist(), lats.to_pylist())]
-        return pa.array(rings, pa.list_(pa.list_(pa.list_(pa.float64()))))
+        return _in_slices(join, lons, lats)
     return run
 
 
