@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pandas as pd
 import pytest
 
 from vialis.streaming import sinks, stateful
@@ -103,3 +104,68 @@ def test_waiting_has_an_end(spark, tmp_path):
     with pytest.raises(TimeoutError):
         sinks.wait_until(query, lambda: False, seconds=2)
     query.stop()
+
+
+class _Map(dict):
+    """Map state of one key, in memory."""
+
+    getValue, containsKey, updateValue, removeKey = dict.get, dict.__contains__, dict.__setitem__, dict.pop
+
+
+class _Handle:
+    def __init__(self):
+        self.timers = []
+
+    def getMapState(self, name, keys, values):
+        return _Map()
+
+    def getListState(self, name, schema):
+        raise AssertionError("waiting rows in one list are loaded as a whole")
+
+    def getValueState(self, name, schema):
+        class Value:
+            held = None
+            exists = lambda self: self.held is not None
+            get = lambda self: self.held
+
+            def update(self, x):
+                self.held = x
+        return Value()
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_waiting_rows_are_handed_on_slot_by_slot(monkeypatch):
+    import random
+
+    monkeypatch.setattr(stateful, "GATHERED_ROWS", 70)
+    hour, most = 3600 * 1_000_000, []
+
+    class Watched(stateful.LastReading):
+        def advance(self, key, due):
+            most.append(len(due))
+            return super().advance(key, due)
+
+    step, handle = Watched(), _Handle()
+    step.init(handle)
+    rows = [(h * hour + i * 60_000_000 + 1, stateful.ROW, f"{h}/{i}", None, None) for h in range(20) for i in range(10)]
+    rows += [(h * hour + 5 * 60_000_000, stateful.LAST, None, float(h), None) for h in range(0, 20, 2)]
+    random.Random(3).shuffle(rows)
+    frame = pd.DataFrame(rows, columns=["at", "kind", "name", "a", "b"]).astype({"a": "float64", "b": "float64"})
+    list(step.handleInputRows(("k",), iter([frame[:90], frame[90:]]), _Watermark(0)))
+    found = []
+    for passed in (3 * 3_600_000 + 250_000, 30 * 3_600_000):
+        for out in step.handleExpiredTimer(("k",), _Watermark(passed), None):
+            found += [(r, None if pd.isna(x) else x) for r, x in out.itertuples(index=False)]
+    newest = lambda h, i: h // 2 * 2 if h % 2 or i >= 5 else (h - 2 if h else None)
+    assert found == [(f"{h}/{i}", newest(h, i)) for h in range(20) for i in range(10)]
+    assert max(most) <= 11 and not step.slots and not step.packs

@@ -9,6 +9,7 @@ from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -22,7 +23,11 @@ SHARDS = 16
 MICROS = 1_000_000
 LAST, ROW = 0, 1
 EXACT_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-PENDING = "t bigint, kind int, name string, a double, b double"
+# Rows wait in slots of event time; a slot is what a key's task holds when it hands them on.
+SLOT_MICROS = 3600 * MICROS
+# Rows of a key that are gathered before they go to the state.
+GATHERED_ROWS = 100_000
+PENDING = pa.schema([("at", pa.int64()), ("kind", pa.int32()), ("name", pa.string()), ("a", pa.float64()), ("b", pa.float64())])
 
 
 def _timed(rows: DataFrame, delay: str) -> DataFrame:
@@ -34,51 +39,92 @@ def _micros(moment: str):
     return F.unix_micros(F.col(moment).cast("timestamp"))
 
 
-def _number(x: float | None) -> float | None:
-    return None if x is None or pd.isna(x) else float(x)
+def _packed(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, PENDING) as writer:
+        writer.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(packed: bytes) -> list[tuple]:
+    with pa.ipc.open_stream(packed) as reader:
+        rows = reader.read_all()
+    return list(zip(*(c.to_pylist() for c in rows.columns))) if rows.num_rows else []
 
 
 class InOrder(StatefulProcessor):
     """Keeps rows until the watermark has passed them and hands them on in event-time order.
 
-    Rows that come in behind the watermark are dropped. One timer stands at the oldest row that waits.
+    Rows that come in behind the watermark are dropped. Waiting rows lie in the state by slot of event time, packed, and are
+    handed on slot by slot, so a task holds one slot of a key, however much waits. One timer stands at the oldest row that waits.
     """
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", PENDING)
+        self.slots = handle.getMapState("slots", "slot bigint", "packs bigint")
+        self.packs = handle.getMapState("packs", "slot bigint, n bigint", "packed binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        fresh = []
+        gathered, n, oldest = [], 0, None
         for part in rows:
             part = part[part["at"] > passed]
-            fresh += zip(part["at"].tolist(), part["kind"].tolist(), part["name"].tolist(), map(_number, part["a"]), map(_number, part["b"]))
-        if fresh:
-            self.pending.appendList(fresh)
-            self._wait(fresh)
+            if part.empty:
+                continue
+            first = int(part["at"].min())
+            oldest = first if oldest is None else min(oldest, first)
+            gathered.append(pa.Table.from_pandas(part[PENDING.names], PENDING, preserve_index=False))
+            n += len(part)
+            if n >= GATHERED_ROWS:
+                self._keep(gathered)
+                gathered, n = [], 0
+        if gathered:
+            self._keep(gathered)
+        if oldest is not None:
+            self._wait(oldest)
         yield from ()
 
-    def _wait(self, rows: list[tuple]) -> None:
-        self.handle.registerTimer(-(-min(r[0] for r in rows) // 1000))
+    def _keep(self, tables: list[pa.Table]) -> None:
+        """The rows into the state, one more pack for each slot they touch."""
+        rows = pa.concat_tables(tables).sort_by("at")
+        slots = rows["at"].to_numpy() // SLOT_MICROS
+        starts = [0, *(1 + (slots[1:] != slots[:-1]).nonzero()[0]).tolist(), len(slots)]
+        for start, end in zip(starts, starts[1:]):
+            self._add(int(slots[start]), rows.slice(start, end - start))
+
+    def _add(self, slot: int, rows: pa.Table) -> None:
+        n = self.slots.getValue((slot,))[0] if self.slots.containsKey((slot,)) else 0
+        self.packs.updateValue((slot, n), (_packed(rows),))
+        self.slots.updateValue((slot,), (n + 1,))
+
+    def _wait(self, oldest: int) -> None:
+        self.handle.registerTimer(-(-oldest // 1000))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = [tuple(r) for r in self.pending.get()] if self.pending.exists() else []
-        due = [r for r in rows if r[0] <= passed]
-        if not due:
-            return
-        rest = [r for r in rows if r[0] > passed]
-        if rest:
-            self.pending.put(rest)
-            self._wait(rest)
-        else:
-            self.pending.clear()
-        # At one instant readings come before rows, the largest reading last.
-        due.sort(key=lambda r: (r[0], r[1], r[2] or "", float("-inf") if r[3] is None else r[3]))
-        out = self.advance(key, due)
-        if len(out):
-            yield out
+        for slot in sorted(k[0] for k in self.slots.keys()):
+            if slot * SLOT_MICROS > passed:
+                # No row of it is due; its start comes before its oldest row.
+                self._wait(slot * SLOT_MICROS)
+                return
+            packs = self.slots.getValue((slot,))[0]
+            rows = [r for n in range(packs) for r in _unpacked(bytes(self.packs.getValue((slot, n))[0]))]
+            due, rest = [r for r in rows if r[0] <= passed], [r for r in rows if r[0] > passed]
+            del rows
+            if due:
+                for n in range(packs):
+                    self.packs.removeKey((slot, n))
+                self.slots.removeKey((slot,))
+                if rest:
+                    self._add(slot, pa.table([list(c) for c in zip(*rest)], schema=PENDING))
+                # At one instant readings come before rows, the largest reading last.
+                due.sort(key=lambda r: (r[0], r[1], r[2] or "", float("-inf") if r[3] is None else r[3]))
+                out = self.advance(key, due)
+                if len(out):
+                    yield out
+            if rest:
+                self._wait(min(r[0] for r in rest))
+                return
 
     def advance(self, key, due: list[tuple]) -> pd.DataFrame:
         raise NotImplementedError
