@@ -253,3 +253,17 @@ def test_audit_columns_name_each_file(spark, tmp_path):
     rows = tables.audited(files.read_ridership(spark, str(tmp_path / "x/*.csv")), "f").collect()
     assert {(r["linea"], r["nombre_archivo"], r["fuente_id"]) for r in rows} == {("a", "a.csv", "f"), ("b", "b.csv", "f")}
     assert all(isinstance(r["fecha_ingesta"], dt.date) for r in rows)
+
+
+def test_keys_of_small_files_are_counted_in_as_many_tasks_as_rows_ask_for(spark):
+    from vialis.questions import stored
+    from vialis.session import by_hash
+    from vialis.sources import tables
+
+    assert by_hash(spark.range(10), "id", rows=5_000_001).rdd.getNumPartitions() == 11
+    plan = stored.bronze_same_names(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [o_orderkey" in plan
+    before = spark.conf.get(tables.OPEN_FILES, None)
+    with tables.unsorted_writes(spark):
+        assert spark.conf.get(tables.OPEN_FILES) == "4"
+    assert spark.conf.get(tables.OPEN_FILES, None) == before

@@ -11,7 +11,7 @@ from vialis.functions.text import corridor_of
 from vialis.operators.ranking import first_rows, running_total
 from vialis.questions import incidents, ridership
 from vialis.questions.base import events, sql_shown, table, with_shown
-from vialis.session import scratch_folder, settle
+from vialis.session import by_hash, scratch_folder, settle
 from vialis.sources import files, tables
 
 BATCHES = (("click", "error"), ("view",), ("signup", "purchase"))
@@ -105,7 +105,7 @@ def deliver(spark, rows, root: str) -> None:
     fresh = scratch_folder(spark, "entrega")
     parts = ["estado", "tramo"]
     placed = rows.withColumns({"estado": F.col("o_orderstatus"), "tramo": F.floor(F.col("o_orderkey") / FILE_KEYS)})
-    placed.repartition(*parts).write.partitionBy(*parts).csv(fresh, header=True)
+    by_hash(placed, *parts, rows=rows.count()).write.partitionBy(*parts).csv(fresh, header=True)
     # Spark names the files itself; a delivery brings them under names of their own.
     for path in files.existing_inputs(spark, [f"{fresh}/*/*/part-*.csv"]):
         part = hadoop.Path(path)
@@ -133,8 +133,12 @@ def bronze_same_names(spark, sf_dir):
     deliver(spark, of("O").unionByName(of("P")), root)
     load("F", "O", "P")
     load("O")
-    return tables.held(spark, target).groupBy("o_orderstatus", "nombre_archivo").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("distintos"))
+    stored = tables.held(spark, target)
+    # Copies of a key meet first, in as many tasks as there are rows for: a file of few bytes may hold millions of keys.
+    keyed = by_hash(stored.select("o_orderstatus", "nombre_archivo", "o_orderkey"), "o_orderkey", rows=stored.count())
+    copies = keyed.groupBy("o_orderstatus", "nombre_archivo", "o_orderkey").agg(F.count(F.lit(1)).alias("copias"))
+    return copies.groupBy("o_orderstatus", "nombre_archivo").agg(
+        F.sum("copias").alias("n"), F.count("o_orderkey").alias("distintos"))
 
 
 def layer_names(spark, sf_dir):
