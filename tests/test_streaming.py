@@ -129,3 +129,22 @@ def test_bounded_run_stops(spark, tmp_path):
     place = messages(tmp_path, "aire", [reading(0, "90")])
     query = live.run_air_alerts(open_stream(spark, "files", place), str(tmp_path / "s"), str(tmp_path / "c"), every="1 second")
     assert not sinks.run_for(query, 3).isActive
+
+
+def test_a_batch_adds_one_file_to_a_day(spark, tmp_path):
+    """A stream's session has no adaptive execution: without a deal by day every task would add a file to every day."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(600).select(
+        F.col("id").alias("k"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 15 * 86_400).alias("ts"))
+    sink = tmp_path / "sink"
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sinks.insert_absent(rows.filter("k < 300"), str(sink), ["k", "ts"], "ts")
+        assert len(list(sink.glob("_day=*"))) == len(list(sink.glob("_day=*/part-*"))) == 15
+        sinks.insert_absent(rows, str(sink), ["k", "ts"], "ts")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(list(sink.glob("_day=*/part-*"))) == 30
+    assert sorted(r["k"] for r in sinks.read_once_sink(spark, str(sink)).collect()) == list(range(600))
