@@ -91,6 +91,19 @@ def test_threshold_keeps_the_asked_recall(spark):
     assert np.isfinite(found.network.scale)
 
 
+def test_all_findings_train_however_they_lie(spark):
+    """More findings than a task takes: none is left out, and the network does not depend on how rows are dealt."""
+    r = random.Random(12)
+    rows = [(scan.window(t := f"x = {key(r)} y", 4, 36), 1) for _ in range(3200)]
+    rows += [(scan.window(t := f"x = {'word_' * 5}{i} y", 4, 29 + len(str(i))), 0) for i in range(3200)]
+    table = spark.createDataFrame(rows + rows[:50], "window string, label int")
+    found = scan.train(table, scan.Training(per_task=1000))
+    assert found.learned + found.held == len(set(rows)) == 6400
+    assert found.recall >= 0.95 and found.precision >= 0.95
+    again = scan.train(table.repartition(7), scan.Training(per_task=1000))
+    assert (found.network.state() == again.network.state()).all() and found.threshold == again.threshold
+
+
 def test_slopes_equal_differences():
     r = np.random.default_rng(0)
     net = scan.Network()

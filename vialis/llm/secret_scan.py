@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vialis.llm.common import unit_hash, with_columns_from_text, written
+from vialis.llm.common import discard, python_ready, unit_hash, with_columns_from_text, written
 from vialis.llm.spans import SPAN, Span, counted, joined, matches
+from vialis.operators.ranking import running_total
 
 KINDS = ("assign", "access", "hex")
 LEARNED = "learned"
@@ -124,7 +127,22 @@ class Network:
             "out": r.normal(0, 0.1, 3 * self.FILTERS).astype(np.float32),
             "shift": np.zeros(1, dtype=np.float32),
         }
-        self.scale, self.offset = 1.0, 0.0
+        self.first = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        self.second = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        self.step, self.scale, self.offset = 0, 1.0, 0.0
+
+    def state(self) -> np.ndarray:
+        """Weights, both moments of Adam and the number of steps as one vector."""
+        parts = [v.ravel() for d in (self.weights, self.first, self.second) for v in d.values()]
+        return np.concatenate([*parts, [self.step]]).astype(np.float64)
+
+    def load(self, state: np.ndarray) -> None:
+        at = 0
+        for d in (self.weights, self.first, self.second):
+            for k, v in d.items():
+                d[k] = state[at:at + v.size].reshape(v.shape).astype(np.float32)
+                at += v.size
+        self.step = int(round(state[at]))
 
     def _forward(self, codes: np.ndarray) -> tuple:
         w = self.weights
@@ -139,31 +157,29 @@ class Network:
         hidden = np.maximum(pooled, 0)
         return columns, tops, hidden, hidden @ w["out"] + w["shift"][0]
 
-    def fit(self, codes: np.ndarray, labels: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.004, hidden: float = 0.5,
-            inside: float = 0.5) -> None:
-        r = np.random.default_rng(5)
-        first = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        weight = np.where(labels > 0, 0.5 / max(1e-9, labels.mean()), 0.5 / max(1e-9, 1 - labels.mean()))
-        step, plain = 0, np.flatnonzero((labels == 0) & (codes[:, SIDE + BODY - 1] > 0))
-        for _ in range(epochs):
-            order = r.permutation(len(codes))
-            for at in range(0, len(order), batch):
-                pick = order[at:at + batch]
-                x = codes[pick].copy()
-                # A share of the secrets is put inside other text, as they stand in the views of a long run.
-                for row in np.flatnonzero((labels[pick] > 0) & (r.random(len(pick)) < inside)) if len(plain) else ():
-                    x[row] = _embedded(codes[pick[row]], codes[r.choice(plain)], r)
-                # In a share of the cases the context is hidden, so that the shape alone counts, too.
-                hide = r.random(len(pick)) < hidden
-                x[hide, :SIDE] = 0
-                x[hide, SIDE + BODY:] = 0
-                step += 1
-                for name, slope in self._slopes(x, labels[pick], weight[pick]).items():
-                    first[name] = 0.9 * first[name] + 0.1 * slope
-                    second[name] = 0.999 * second[name] + 0.001 * slope**2
-                    move = first[name] / (1 - 0.9**step) / (np.sqrt(second[name] / (1 - 0.999**step)) + 1e-8)
-                    self.weights[name] = (self.weights[name] - rate * move).astype(np.float32)
+    def fit(self, codes: np.ndarray, labels: np.ndarray, positives: float, seed: list[int], batch: int = 64, rate: float = 0.004,
+            hidden: float = 0.5, inside: float = 0.5) -> None:
+        """One pass over findings; ``positives`` is the share of label 1 among all, which weighs the two classes."""
+        r, first, second = np.random.default_rng(seed), self.first, self.second
+        weight = np.where(labels > 0, 0.5 / max(1e-9, positives), 0.5 / max(1e-9, 1 - positives))
+        plain = np.flatnonzero((labels == 0) & (codes[:, SIDE + BODY - 1] > 0))
+        order = r.permutation(len(codes))
+        for at in range(0, len(order), batch):
+            pick = order[at:at + batch]
+            x = codes[pick].copy()
+            # A share of the secrets is put inside other text, as they stand in the views of a long run.
+            for row in np.flatnonzero((labels[pick] > 0) & (r.random(len(pick)) < inside)) if len(plain) else ():
+                x[row] = _embedded(codes[pick[row]], codes[r.choice(plain)], r)
+            # In a share of the cases the context is hidden, so that the shape alone counts, too.
+            hide = r.random(len(pick)) < hidden
+            x[hide, :SIDE] = 0
+            x[hide, SIDE + BODY:] = 0
+            self.step += 1
+            for name, slope in self._slopes(x, labels[pick], weight[pick]).items():
+                first[name] = 0.9 * first[name] + 0.1 * slope
+                second[name] = 0.999 * second[name] + 0.001 * slope**2
+                move = first[name] / (1 - 0.9**self.step) / (np.sqrt(second[name] / (1 - 0.999**self.step)) + 1e-8)
+                self.weights[name] = (self.weights[name] - rate * move).astype(np.float32)
 
     def _slopes(self, codes: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
         columns, tops, hidden, logit = self._forward(codes)
@@ -188,28 +204,18 @@ class Network:
         parts = [self._forward(codes[i:i + block])[-1] for i in range(0, len(codes), block)]
         return np.concatenate(parts) if parts else np.zeros(0)
 
-    def calibrate(self, codes: np.ndarray, labels: np.ndarray) -> None:
-        """Platt scaling on rows that were not trained on: slope and offset of the logit, by Newton steps."""
-        z, y = self.logits(codes), labels.astype(float)
-        goal = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
-        x = np.stack([z, np.ones_like(z)], axis=1)
-        b = np.array([1.0, 0.0])
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-            bend = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-            move = np.linalg.solve(bend, x.T @ (p - goal) + 1e-3 * (b - [1.0, 0.0]))
-            b = b - np.clip(move, -1, 1)
-        self.scale, self.offset = float(max(b[0], 1e-3)), float(b[1])
+    def sure(self, logits: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.scale * logits + self.offset, -30, 30)))
 
     def probability(self, codes: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(codes) + self.offset, -30, 30)))
+        return self.sure(self.logits(codes))
 
 
 @dataclass(frozen=True)
 class Training:
-    """Labelled findings per class at most, least number of each class, recall asked of the threshold, least probability."""
+    """Findings that one task takes in a pass, least number of each class, recall asked of the threshold, least probability."""
 
-    per_class: int = 3_000
+    per_task: int = 20_000
     least: int = 20
     recall: float = 0.98
     surest: float = 0.9
@@ -217,50 +223,125 @@ class Training:
 
 @dataclass(frozen=True)
 class Scanner:
+    """``learned`` and ``held`` count the distinct findings that trained the network and those that set the threshold."""
+
     network: Network
     threshold: float
     recall: float
     precision: float
+    learned: int
+    held: int
+
+
+def bare(codes: np.ndarray) -> np.ndarray:
+    """Windows without their context."""
+    out = codes.copy()
+    out[:, :SIDE] = 0
+    out[:, SIDE + BODY:] = 0
+    return out
+
+
+def _one_pass(begun: np.ndarray, positives: float, number: int, hidden: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A pass over one share, from the state ``begun``."""
+    def work(batch: pd.DataFrame) -> pd.DataFrame:
+        batch = batch.sort_values(["_u", "window", "label"], ignore_index=True)
+        own = Network()
+        own.load(begun)
+        labels = batch["label"].to_numpy(np.float32)
+        own.fit(encoded(batch["window"].tolist()), labels, positives, [5, number, int(batch["share"][0])], hidden=hidden)
+        return pd.DataFrame({"state": [own.state().tolist()], "n": [len(batch)]})
+
+    return work
+
+
+def _fitted(network: Network, rows: DataFrame, epochs: int, hidden: float, per_task: int) -> int:
+    """Train ``network`` by passes over all ``rows`` (window, label, _u); returns how many findings a pass has.
+
+    The findings are dealt into shares by their hash, as many as there are
+    ``per_task``. In a pass every share takes the network of the pass before
+    through its own findings, and what comes back is averaged, weighted by their
+    number; the sums are of whole numbers, so their order does not show.
+    """
+    count, positives = rows.agg(F.count(F.lit(1)), F.avg("label")).first()
+    shares = -(-count // per_task)
+    dealt = rows.withColumn("share", F.floor(F.col("_u") * shares).cast("int"))
+    python_ready(rows.sparkSession)
+    seen = 0
+    for number in range(epochs):
+        work = _one_pass(network.state(), positives, number, hidden)
+        states = dealt.groupBy("share").applyInPandas(work, "state array<double>, n long")
+        whole = F.round(F.col("value") * F.col("n") * F.lit(2.0**40)).cast("decimal(38,0)")
+        means = states.select("n", F.posexplode("state").alias("place", "value")).groupBy("place").agg(
+            F.sum(whole).alias("total"), F.sum("n").alias("n")).orderBy("place").collect()
+        network.load(np.array([float(m["total"]) / 2**40 / m["n"] for m in means]))
+        seen = means[0]["n"]
+    return seen
+
+
+def _calibrate(network: Network, judged: DataFrame, secrets: int, others: int) -> None:
+    """Platt scaling on rows (z, label) that were not trained on: slope and offset of the logit, by Newton steps."""
+    b = np.array([1.0, 0.0])
+    goal = F.when(F.col("label") > 0, (secrets + 1) / (secrets + 2)).otherwise(1 / (others + 2))
+    for _ in range(50):
+        p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("z") * float(b[0]) + float(b[1])))))
+        rows = judged.select("z", (p * (1 - p)).alias("w"), (p - goal).alias("e"))
+        zz, z1, ones, ez, e1 = rows.agg(
+            F.sum(F.expr("w * z * z")), F.sum(F.expr("w * z")), F.sum("w"), F.sum(F.expr("e * z")), F.sum("e")).first()
+        bend = np.array([[zz, z1], [z1, ones]]) + 1e-3 * np.eye(2)
+        move = np.clip(np.linalg.solve(bend, np.array([ez, e1]) + 1e-3 * (b - [1.0, 0.0])), -1, 1)
+        b = b - move
+        if np.abs(move).max() < 1e-10:
+            break
+    # So many places that the order of the sums does not show.
+    network.scale, network.offset = round(float(max(b[0], 1e-3)), 8), round(float(b[1]), 8)
 
 
 def train(labelled: DataFrame, training: Training = Training()) -> Scanner | None:
     """A scanner from labelled findings (window, label); None where a class has too few.
 
-    A bounded sample, the ``per_class`` findings of each label with the lowest
-    hash of their window, copies counted once. Unlabelled look-alikes of the
-    labelled secrets are left out of it. A third of it calibrates the
+    All findings count, copies once. Unlabelled look-alikes of the
+    labelled secrets are left out. A third, by the hash of the window, calibrates the
     probabilities and sets the threshold: the highest that keeps the asked
     recall, in the findings' contexts and without any, but no lower than
-    ``surest``.
+    ``surest``. The other findings train the network where they lie, share by share (``_fitted``).
     """
     rows = labelled.distinct().withColumn("_u", unit_hash(F.col("window"), seed=9))
-    picked = []
-    for label in (0, 1):
-        picked += rows.filter(F.col("label") == label).orderBy("_u", "window").limit(training.per_class).collect()
-    codes = encoded([r["window"] for r in picked])
-    labels = np.array([r["label"] for r in picked], dtype=np.float32)
-    apart = np.array([int(r["_u"] * 3e6) % 3 == 0 for r in picked], dtype=bool)
-    if min(labels.sum(), (1 - labels).sum()) < training.least or not 0 < labels[apart].sum() < apart.sum():
+    rows = written(rows.withColumn("apart", F.floor(F.col("_u") * 3e6) % 3 == 0), "findings")
+    counted = lambda df: {(r["label"], r["apart"]): r["count"] for r in df.groupBy("label", "apart").count().collect()}
+    sizes = counted(rows)
+    both = [sum(n for (label, _), n in sizes.items() if label == k) for k in (0, 1)]
+    if min(both) < training.least or not all((k, True) in sizes for k in (0, 1)):
         return None
     # A secret that no fixed pattern knows is labelled 0: what a first network takes for one by its shape alone teaches nothing.
     shape = Network(seed=4)
-    shape.fit(codes[~apart], labels[~apart], epochs=4, hidden=1.0)
-    bare = codes.copy()
-    bare[:, :SIDE] = 0
-    bare[:, SIDE + BODY:] = 0
-    clear = (labels > 0) | (shape.logits(bare) < 0)
-    if not (labels[clear & apart] == 0).any() or not (labels[clear & ~apart] == 0).any():
+    _fitted(shape, rows.filter(~F.col("apart")), 4, 1.0, training.per_task)
+    shaped = with_columns_from_text(rows, "window", "alike double", lambda w: {"alike": shape.logits(bare(encoded(w)))}, keep_text=True)
+    clear = written(shaped.filter((F.col("label") > 0) | (F.col("alike") < 0)).drop("alike"), "clear")
+    discard(rows)
+    sizes = counted(clear)
+    if not all((0, k) in sizes for k in (False, True)):
         return None
-    codes, bare, labels, apart = codes[clear], bare[clear], labels[clear], apart[clear]
     network = Network()
-    network.fit(codes[~apart], labels[~apart])
-    network.calibrate(codes[apart], labels[apart])
-    sure, truth = network.probability(codes[apart]), labels[apart] > 0
-    kept = int(np.ceil(training.recall * truth.sum())) - 1
-    views = (sure[truth], network.probability(bare[apart][truth]))
-    threshold = max(training.surest, min(float(np.sort(v)[::-1][kept]) for v in views))
-    flagged = sure >= threshold
-    return Scanner(network, threshold, float(flagged[truth].mean()), float(truth[flagged].mean()) if flagged.any() else 1.0)
+    learned = _fitted(network, clear.filter(~F.col("apart")), 8, 0.5, training.per_task)
+
+    def both_views(windows: list[str]) -> dict[str, np.ndarray]:
+        codes = encoded(windows)
+        return {"z": network.logits(codes).astype(float), "plain": network.logits(bare(codes)).astype(float)}
+
+    judged = with_columns_from_text(clear.filter("apart").select("window", "label"), "window", "z double, plain double", both_views)
+    judged = written(judged, "judged")
+    secrets, others = sizes[1, True], sizes[0, True]
+    _calibrate(network, judged, secrets, others)
+    kept = int(np.ceil(training.recall * secrets))
+    views = judged.filter("label > 0").select(F.explode(F.array(
+        F.struct(F.lit(0).alias("view"), F.col("z")), F.struct(F.lit(1).alias("view"), F.col("plain").alias("z")))).alias("v"))
+    falling = running_total(views.groupBy("v.view", "v.z").count(), ["view"], [F.desc("z")], F.col("count"), "place")
+    lowest = falling.filter(F.col("place") >= kept).groupBy("view").agg(F.max("z").alias("z")).agg(F.min("z")).first()[0]
+    threshold = max(training.surest, float(network.sure(np.array([lowest], dtype=np.float32))[0]))
+    least = max(lowest, (np.log(training.surest / (1 - training.surest)) - network.offset) / network.scale)
+    flagged, found = judged.filter(F.col("z") >= float(least)).agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+    discard(clear, judged)
+    return Scanner(network, threshold, found / secrets, found / flagged if flagged else 1.0, learned, secrets + others)
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", training: Training = Training()) -> DataFrame:
