@@ -370,6 +370,19 @@ def test_routes_prefer_time_over_stops(spark):
         "b": (5, "acb"), "c": (2, "ac"), "d": (6, "acbd")}
 
 
+def test_route_lengths_read_a_round_once(spark, monkeypatch):
+    """Lengths equal those of the routes, also where labels are bettered and folders joined; a round's frontier is read alone."""
+    vertices = spark.createDataFrame([(i, f"n{i}") for i in range(12)], "k long, n string")
+    edges = spark.createDataFrame([(i, i + 1, 1 + i % 2) for i in range(11)] + [(0, 9, 13), (2, 7, 5), (7, 1, 2)], "s long, t long, w int")
+    starts = spark.createDataFrame([(0,), (11,)], "k long")
+    monkeypatch.setattr(graph, "FOLDERS", 3)
+    lengths = graph.route_lengths(vertices, edges, "k", "s", "t", "w", starts)
+    routes = graph.shortest_routes(vertices, edges, "k", "n", "s", "t", "w", starts).collect()
+    assert {(r["source"], r["id"], r["minutes"], r["stops"]) for r in lengths.collect()} == {
+        (r["source"], r["id"], r["minutes"], len(r["ids"]) - 1) for r in routes}
+    assert len(routes) == 24 and not [t for t in spark.catalog.listTables() if t.name.startswith("rutas_")]
+
+
 def test_routes_through_a_hub_and_cycles(spark):
     """Against a plain label-setting search: fastest, then fewest stops, then the least stop before the last."""
     rng = random.Random(12)

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vialis.operators.ranking import ranked
-from vialis.session import scratch_folder, settle
+from vialis.session import settle
 
 # Edges of a vertex that stay together; a vertex has as many parts as that takes.
 SPREAD = 10_000
 # Rounds between two lineage cuts.
 CUT_EVERY = 5
+# Folders of labels that are read side by side before they become one.
+FOLDERS = 24
 # Decimals that count when ranks are compared, so equal vertices tie on any layout of the sums.
 RANK_DECIMALS = 12
 
@@ -89,35 +91,42 @@ def centrality(vertices: DataFrame, edges: DataFrame, key: str, src: str, dst: s
     return vertices.join(placed, F.col(key) == F.col("_id")).drop("_id")
 
 
-def _distances(starts: DataFrame, links: DataFrame, name: str, path: str) -> int:
-    """Fill the table ``name`` with ``source, id, minutes, prev, round``: every label that was better than all before it.
+def _distances(starts: DataFrame, links: DataFrame) -> DataFrame:
+    """``source, id, minutes, round, prev``: the best label of every vertex that a source reaches, with the stops on its way as ``round``.
 
     A round joins the labels of the round before, the frontier, with the
-    edges, and keeps what betters the vertex. The table is bucketed by source and vertex, so
-    a round moves the frontier and its neighbours only; the labels it is held against stay where they are.
-    Returns the number of rounds.
+    edges, and keeps what betters the vertex. Every round's labels are a folder of their own, so
+    the frontier is read alone; new labels are held against the old ones of the same vertices only. A label does not go back
+    where it came from: that way is never better.
     """
     spark = links.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def add(rows: DataFrame, number: int) -> bool:
-        rows = rows.withColumn("round", F.lit(number))
-        rows.write.format("parquet").bucketBy(buckets, "source", "id").option("path", path).mode("append").saveAsTable(name)
-        return not spark.table(name).filter(F.col("round") == number).isEmpty()
+    def stored(rows: DataFrame) -> tuple[DataFrame, int]:
+        counted = Observation()
+        kept = settle(rows.observe(counted, F.count(F.lit(1)).alias("n")))
+        return kept, counted.get["n"]
 
-    number, grown = 0, add(starts, 0)
+    frontier, grown = stored(starts.withColumn("round", F.lit(0)))
+    known, number = [frontier], 0
     while grown:
-        known = spark.table(name)
-        step = known.filter(F.col("round") == number).join(links, F.col("id") == F.col("src")).select(
+        number += 1
+        step = frontier.join(links, F.col("id") == F.col("src")).filter(F.col("prev").isNull() | (F.col("dst") != F.col("prev")))
+        step = step.select(
             "source", F.col("dst").alias("id"), F.struct((F.col("minutes") + F.col("weight")).alias("minutes"), F.col("src").alias("prev")).alias("new"))
-        best = step.groupBy("source", "id").agg(F.min("new").alias("new"))
-        # The hash table is built of the few new labels; the known ones pass by in their buckets.
-        met = best.hint("shuffle_hash").join(known.select("source", "id", "minutes"), ["source", "id"], "left")
-        held = met.groupBy("source", "id").agg(F.first("new").alias("new"), F.min("minutes").alias("held"))
+        best, grown = stored(step.groupBy("source", "id").agg(F.min("new").alias("new")))
+        if not grown:
+            break
+        old = reduce(DataFrame.unionByName, known).select("source", "id", "minutes")
+        met = old.join(best.select("source", "id"), ["source", "id"]).groupBy("source", "id").agg(F.min("minutes").alias("held"))
+        held = best.join(met, ["source", "id"], "left")
         better = held.filter(F.col("held").isNull() | (F.col("new.minutes") < F.col("held")))
-        number += 1
-        grown = add(better.select("source", "id", "new.minutes", "new.prev"), number)
-    return number
+        frontier, grown = stored(better.select("source", "id", "new.minutes", "new.prev", F.lit(number).alias("round")))
+        known.append(frontier)
+        if len(known) > FOLDERS:
+            known = [settle(reduce(DataFrame.unionByName, known))]
+    every = reduce(DataFrame.unionByName, known)
+    best = F.min(F.struct("minutes", "round", "prev")).alias("best")
+    return every.groupBy("source", "id").agg(best).select("source", "id", "best.*")
 
 
 def _traced(final: DataFrame, names: DataFrame, rounds: int) -> DataFrame:
@@ -140,6 +149,27 @@ def _traced(final: DataFrame, names: DataFrame, rounds: int) -> DataFrame:
     return rows.drop("before")
 
 
+def route_lengths(vertices: DataFrame, edges: DataFrame, key: str, src: str, dst: str, weight: str, sources: DataFrame) -> DataFrame:
+    """``source, id, minutes, stops, prev`` of the routes that ``shortest_routes`` finds, without putting them together.
+
+    A label of some round has a way of as many edges, and so have the final labels: what stands before
+    the last stop of a final label is final, too.
+    """
+    spark = vertices.sparkSession
+    ids = vertices.select(F.col(key).alias("id"))
+    links = both_ways(edges, src, dst, weight).join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
+    links = settle(links.groupBy("src", "dst").agg(F.min("weight").alias("weight")))
+    # Laid out once by source, so that a round moves labels only; a lost part is read again from the settled table.
+    links = links.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "src").persist(StorageLevel.MEMORY_AND_DISK)
+    starts = ids.join(sources.select(F.col(key).alias("id")).distinct(), "id", "left_semi").select(
+        F.col("id").alias("source"), "id", F.lit(0).cast(links.schema["weight"].dataType).alias("minutes"),
+        F.lit(None).cast(ids.schema["id"].dataType).alias("prev"))
+    try:
+        return _distances(starts, links).withColumnRenamed("round", "stops")
+    finally:
+        links.unpersist()
+
+
 def shortest_routes(
     vertices: DataFrame,
     edges: DataFrame,
@@ -158,23 +188,10 @@ def shortest_routes(
     one with fewer stops stays, of those the one whose stop before the last has the least id, and so on backwards.
     Weights must not be negative.
     """
-    spark = vertices.sparkSession
     ids = vertices.select(F.col(key).alias("id"), F.col(name).alias("name"))
-    links = both_ways(edges, src, dst, weight).join(ids.select(F.col("id").alias("dst")), "dst", "left_semi")
-    links = settle(links.groupBy("src", "dst").agg(F.min("weight").alias("weight")))
-    # Laid out once by source, so that a round moves labels only; a lost part is read again from the settled table.
-    links = links.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "src").persist(StorageLevel.MEMORY_AND_DISK)
-    starts = ids.join(sources.select(F.col(key).alias("id")).distinct(), "id", "left_semi").select(
-        F.col("id").alias("source"), "id", F.lit(0).cast(links.schema["weight"].dataType).alias("minutes"),
-        F.lit(None).cast(ids.schema["id"].dataType).alias("prev"))
-    label = f"rutas_{uuid.uuid4().hex}"
-    try:
-        rounds = _distances(starts, links, label, scratch_folder(spark, "rutas"))
-        final = spark.table(label).groupBy("source", "id").agg(F.min(F.struct("minutes", "round", "prev")).alias("best"))
-        return _traced(final.select("source", "id", "best.minutes", "best.prev"), ids, rounds)
-    finally:
-        links.unpersist()
-        spark.sql(f"DROP TABLE IF EXISTS {label}")
+    final = settle(route_lengths(vertices, edges, key, src, dst, weight, sources))
+    rounds = final.agg(F.max("stops")).first()[0] or 0
+    return _traced(final.drop("stops"), ids, rounds)
 
 
 def route_table(routes: DataFrame) -> DataFrame:

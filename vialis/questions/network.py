@@ -46,6 +46,15 @@ def routes(spark, sf_dir):
     return graph.route_table(found)
 
 
+def lengths(spark, sf_dir):
+    """Minutes and stops of the routes, which need not be put together for that."""
+    found = graph.route_lengths(
+        stations(spark, sf_dir), links(spark, sf_dir), "c_custkey", "c_custkey", "padre", "minutos", sources=landmarks(spark, sf_dir))
+    return found.filter("source <> id").select(
+        F.col("source").alias("origen_id"), F.col("id").alias("destino_id"), F.col("minutes").cast("int").alias("tiempo_min"),
+        F.col("stops").alias("num_paradas"))
+
+
 def shortest_routes(spark, sf_dir):
     text = lambda c: F.concat_ws(",", F.col(c).cast("array<string>")).alias(c)
     return routes(spark, sf_dir).select(
@@ -54,7 +63,11 @@ def shortest_routes(spark, sf_dir):
 
 def longest_routes(spark, sf_dir):
     order = [F.desc("tiempo_min"), F.asc("origen_id"), F.asc("destino_id")]
-    return first_rows(routes(spark, sf_dir), order, 5).select("origen", "destino", "tiempo_min", "num_paradas")
+    found = first_rows(lengths(spark, sf_dir), order, 5)
+    for end in ("origen", "destino"):
+        names = stations(spark, sf_dir).select(F.col("c_custkey").alias(f"{end}_id"), F.col("c_name").alias(end))
+        found = found.join(names, f"{end}_id")
+    return found.select("origen", "destino", "tiempo_min", "num_paradas")
 
 
 def degrees(spark, sf_dir):
