@@ -132,3 +132,38 @@ def test_crowded_nodes_get_longer_prefixes(spark):
             if one is not two:
                 common = next((k for k in range(more) if rest(one[0])[k] != rest(two[0])[k]), more)
                 assert sum(rest(i)[:common] == rest(one[0])[:common] for i in range(len(sketches))) > 3 or common == 0
+
+
+@pytest.mark.parametrize("large", [64, 1])
+def test_links_that_the_forest_leaves_out_are_found(spark, rows, large):
+    """One tree with its longest prefix brings few pairs together; the lists of prefixes give the others."""
+    r = random.Random(33)
+    words = [f"v{i}" for i in range(2000)]
+    pairs = []
+    for i in range(60):
+        base = r.choices(words, k=r.choice([9, 45, 100, 300]))
+        other = list(base)
+        for _ in range(len(base) // 45):
+            other[r.randrange(len(other))] = r.choice(words)
+        pairs += [(5000 + 2 * i, " ".join(base)), (5001 + 2 * i, " ".join(other))]
+    rule = join.Rule(trees=1, recall=0.0, large=large)
+    assert rule.depth == rule.longest
+    got = sorted((tuple(x) for x in join.near_copies(frame(spark, rows + pairs), rule=rule).collect()), key=str)
+    assert got == brute(rows + pairs)
+
+
+def test_prefixes_and_marks_lose_no_similar_sets():
+    r = np.random.default_rng(5)
+    rule = join.Rule()
+    common = r.integers(0, 2**63, 300, dtype=np.uint64)
+    places = np.argsort(common, kind="stable")
+    for size in (1, 4, 5, 9, 90, 1000, 5000):
+        own = np.concatenate([r.integers(0, 2**63, size, dtype=np.uint64), r.choice(common, min(size, 250), replace=False)])
+        a = np.unique(own[:size] if size < 9 else own[-size:])
+        keep = -(-8 * len(a) // 9)
+        b = np.unique(np.concatenate([a[r.permutation(len(a))[:keep]], r.integers(0, 2**63, len(a) - keep, dtype=np.uint64)]))
+        both = len(a) + len(b)
+        if 9 * len(np.intersect1d(a, b)) >= 4 * both:
+            first = [set(join.prefix_of(x, common[places], places, rule.prefix(len(x))).tolist()) for x in (a, b)]
+            assert first[0] & first[1]
+        assert join.differing(join.mark_of(a), join.mark_of(b)) <= len(np.setxor1d(a, b))

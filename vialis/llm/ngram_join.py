@@ -1,14 +1,16 @@
-"""Near copies by the Jaccard similarity of word n-grams: a MinHash LSH forest, then exact verification."""
+"""Near copies by the Jaccard similarity of word n-grams: a MinHash LSH forest, prefixes of what it leaves apart, exact verification."""
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,6 +21,12 @@ MIX = np.uint64(0xD6E8FEB86659FD93)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 WORDS_KEPT = 200_000
 CELLS = 1 << 18
+# Exactness of sums that are held against the threshold.
+NEARLY = 1e-6
+MARK_BITS = 256
+# Texts whose n-grams are counted for the order of the n-grams: one of so many; common n-grams stand in one of so many of these at least.
+COUNTED = 16
+RARE = 20_000
 
 
 @dataclass(frozen=True)
@@ -26,7 +34,8 @@ class Rule:
     """Words of an n-gram, least similarity, trees of the forest, longest prefix, recall asked for at the least similarity.
 
     ``crowd`` is how many clusters may stay in a node before its prefix grows. ``doubt`` is how far below the similarity an
-    estimate from the signature may lie before a pair is given up, six standard deviations by default.
+    estimate from the signature may lie before a pair is brought into one cluster, six standard deviations by default.
+    A cluster of more than ``large`` sets is met as a whole.
     """
 
     n: int = 5
@@ -36,6 +45,7 @@ class Rule:
     recall: float = 0.9995
     rows_per_task: int = 512
     crowd: int = 4
+    large: int = 64
 
     def recall_at(self, depth: int) -> float:
         """Share of the pairs at the least similarity that agree on ``depth`` values in some tree."""
@@ -54,6 +64,14 @@ class Rule:
         n = self.trees * self.longest
         return 6 * (self.similarity * (1 - self.similarity) / n) ** 0.5
 
+    def prefix(self, n: int) -> int:
+        """First n-grams, in any one order, of which two similar sets share one."""
+        return n - math.ceil(self.similarity * n - NEARLY) + 1
+
+    def least_overlap(self, both: Column) -> Column:
+        """Common n-grams that two sets need, of as many together."""
+        return F.ceil(both * (self.similarity / (1 + self.similarity)) - NEARLY)
+
 
 class _Words(dict):
     """64-bit hashes of words; forgets all when it holds too many."""
@@ -116,31 +134,82 @@ class Signer:
         return out.view(np.int64)
 
 
-def signed(docs: DataFrame, text: str, rule: Rule) -> DataFrame:
-    """``docs`` without their text, with the key of the gram set (null without words), its labels and its sketch.
+def common_grams(docs: DataFrame, text: str, rule: Rule) -> np.ndarray:
+    """N-grams that many texts have, the rarest first.
+
+    They only set the order in which prefixes are taken, and every order gives all pairs; so texts
+    of some hashes are enough to count them. The list has a bound: each text has few n-grams of one in ``RARE`` texts.
+    """
+    h = F.xxhash64(text)
+    some = docs.filter(F.pmod(h, F.lit(COUNTED)) == 0).groupBy(h.alias("_h")).agg(F.any_value(text).alias("_text"))
+    of_text = lambda texts: {"grams": [grams(t, rule.n).view(np.int64) for t in texts]}
+    some = written(with_columns_from_text(some, "_text", "grams array<bigint>", of_text), "counted")
+    often = max(3, some.count() // RARE)
+    counts = some.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= often)
+    found = counts.orderBy("n", "gram").select("gram").toArrow()["gram"].to_numpy().astype(np.int64).view(np.uint64)
+    discard(some)
+    return found
+
+
+def prefix_of(found: np.ndarray, common: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """The first ``size`` grams of a sorted set: those that are not common by their hash, then the common ones, rarest first.
+
+    ``common`` is sorted by hash, ``places`` are the places in the order of rarity.
+    """
+    if not len(common):
+        return found[:size]
+    at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+    here = common[at] == found
+    first = found[~here][:size]
+    if len(first) == size:
+        return first
+    rest = at[here]
+    return np.concatenate([first, common[rest[np.argsort(places[rest])]][:size - len(first)]])
+
+
+def mark_of(found: np.ndarray) -> bytes:
+    """A power of two of bits, as many as grams at least; each gram turns one over, so sets differ in as many grams as bits at least."""
+    bits = max(MARK_BITS, 1 << (len(found) - 1).bit_length())
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two marks differ, the longer one folded to the length of the other."""
+    a, b = sorted((np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
 
-    The sketch is the low byte of each MinHash value.
+def signed(docs: DataFrame, text: str, rule: Rule, order: Broadcast) -> DataFrame:
+    """``docs`` without their text, with the key of the gram set (null without words), its size, labels, sketch, prefix and mark.
+
+    The sketch is the low byte of each MinHash value. Tokens of the prefix are the upper 40 bits of
+    n-grams. ``order`` holds the common n-grams.
     """
-    made: list[Signer] = []
+    made: list = []
 
     def work(texts: list[str | None]) -> dict[str, list]:
         if not made:
-            made.append(Signer(rule))
-        key, labels, sketch = [], [], []
+            places = np.argsort(order.value, kind="stable")
+            made.extend([Signer(rule), order.value[places], places])
+        signer, common, places = made
+        out: dict[str, list] = {c: [] for c in ("key", "n", "labels", "sketch", "prefix", "mark")}
         for t in texts:
             found = grams(t, rule.n)
+            row = [None] * len(out)
             if len(found):
-                least = made[0].values(found)
-                key.append(xxhash.xxh3_128_digest(found.tobytes()))
-                labels.append(made[0].labels(least))
-                sketch.append((least & np.uint32(255)).astype(np.uint8).tobytes())
-            else:
-                key.append(None)
-                labels.append(None)
-                sketch.append(None)
-        return {"key": key, "labels": labels, "sketch": sketch}
+                least = signer.values(found)
+                first = prefix_of(found, common, places, rule.prefix(len(found)))
+                row = [xxhash.xxh3_128_digest(found.tobytes()), len(found), signer.labels(least),
+                       (least & np.uint32(255)).astype(np.uint8).tobytes(), (first >> np.uint64(24)).astype(np.int64), mark_of(found)]
+            for column, value in zip(out.values(), row, strict=True):
+                column.append(value)
+        return out
 
-    return with_columns_from_text(docs, text, "key binary, labels array<bigint>, sketch binary", work)
+    return with_columns_from_text(
+        docs, text, "key binary, n int, labels array<bigint>, sketch binary, prefix array<bigint>, mark binary", work)
 
 
 def _alike(pairs: DataFrame, reps: DataFrame, rule: Rule, least: float) -> DataFrame:
@@ -170,16 +239,15 @@ def _grown(heads: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
     first = F.col("tree") * rule.longest + rule.depth + 1
     rest = heads.join(reps.select("id", "sketch"), "id").select(
         "tree", "label", "id", "root", F.substring("sketch", first, F.lit(more)).alias("rest"))
-    rest = written(rest, "rest")
-    lengths = F.explode(F.sequence(F.lit(1), F.lit(more))).alias("length")
+    # In the order of the values, a prefix is crowded if it is that of a row and of the row ``crowd`` places on.
+    by_value = W.partitionBy("label").orderBy("rest", "id")
+    there = F.lead("rest", rule.crowd).over(by_value)
+    start = lambda c, k: F.substring(c, F.lit(1), F.lit(k))
+    shared = sum((F.coalesce((start("rest", k) == start("_there", k)).cast("int"), F.lit(0)) for k in range(1, more + 1)), F.lit(0))
+    placed = rest.withColumn("_there", there).withColumn("_shared", shared)
+    crowded = F.max("_shared").over(by_value.rowsBetween(-rule.crowd, 0))
+    placed = placed.withColumn("length", F.least(crowded + 1, F.lit(more)))
     prefix = F.substring("rest", F.lit(1), F.col("length"))
-    sizes = rest.select("label", "rest", lengths).groupBy("label", "length", prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("size"))
-    # Each distinct rest of a label takes the shortest of its prefixes that is not crowded.
-    paths = rest.select("label", "rest").distinct().select("label", "rest", lengths)
-    fitting = paths.withColumn("prefix", prefix).join(sizes, ["label", "length", "prefix"]).filter(
-        (F.col("size") <= rule.crowd) | (F.col("length") == more))
-    chosen = fitting.groupBy("label", "rest").agg(F.min("length").alias("length"))
-    placed = rest.join(chosen, ["label", "rest"])
     node = F.xxhash64("label", "length", prefix)
     return placed.select(node.alias("node"), "id", "root")
 
@@ -225,6 +293,7 @@ def likely(reps: DataFrame, rule: Rule) -> DataFrame:
     nodes = written(reps.select("id", F.posexplode("labels").alias("tree", "label")), "forest")
     first = nodes.groupBy("label").agg(F.min("id").alias("a"), F.max("id").alias("_z")).filter("a <> _z").drop("_z")
     met = written(nodes.join(first, "label"), "met")
+    discard(nodes)
     bound = rule.similarity - rule.doubt
     nearest = met.groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")).filter("a <> b").select("a", "b")
     edges = written(_alike(nearest, reps, rule, bound), "alike")
@@ -237,7 +306,56 @@ def likely(reps: DataFrame, rule: Rule) -> DataFrame:
     grown = _grown(heads.filter(F.col("size") > rule.crowd).select("tree", "label", "id", "root"), reps, rule)
     more = _merged(written(small.unionByName(grown), "nodes"), reps, rule, bound - rule.doubt)
     found = components(edges.unionByName(more)) if more.limit(1).count() else clusters
-    discard(nodes, met, heads, edges, *([clusters] if found is not clusters else []))
+    discard(met, heads, edges, *([clusters] if found is not clusters else []))
+    return found
+
+
+def _met_in_lists(reps: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): all pairs of sets in different clusters that may be similar by their prefixes, as edges of sets or clusters.
+
+    Similar sets share a token of their prefixes, are nearly of one length and have enough n-grams left from the first
+    common one on. A token is looked at if it stands in several clusters. A cluster of more than
+    ``large`` sets is one row of a token's list, with the bounds of its sets.
+    """
+    sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    named = clusters.join(sizes, "root").select(F.col("node").alias("id"), "root", (F.col("size") > rule.large).alias("large"))
+    placed = reps.select("id", "n", "prefix").join(named, "id", "left").select(
+        "id", F.coalesce("root", "id").alias("root"), F.coalesce("large", F.lit(False)).alias("large"), "n", F.posexplode("prefix").alias("q", "token"))
+    lists = W.partitionBy("token")
+    mixed = placed.withColumn("_lo", F.min("root").over(lists)).withColumn("_hi", F.max("root").over(lists)).filter("_lo <> _hi")
+    who = F.when(F.col("large"), F.col("root")).otherwise(F.col("id"))
+    mixed = written(mixed.groupBy("token", "root", "large", who.alias("who")).agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("q")).alias("left")), "mixed")
+    other = mixed.select("token", *[F.col(c).alias(f"_{c}") for c in mixed.columns if c != "token"])
+    lengths = (F.col("hi") >= F.col("_lo") * rule.similarity - NEARLY) & (F.col("_hi") >= F.col("lo") * rule.similarity - NEARLY)
+    enough = F.least("left", "_left") >= rule.least_overlap(F.col("lo") + F.col("_lo"))
+    met = mixed.join(other, "token").filter((F.col("root") < F.col("_root")) & lengths & enough)
+    whole = F.col("large") | F.col("_large")
+    met = written(met.select(F.col("who").alias("a"), F.col("_who").alias("b"), whole.alias("whole")).distinct(), "met")
+    python_ready(reps.sparkSession)
+    marks = reps.select("id", "n", "mark")
+    near = met.filter("not whole").join(marks.withColumnsRenamed({"id": "a", "n": "_n", "mark": "x"}), "a")
+    near = near.join(marks.withColumnsRenamed({"id": "b", "mark": "y"}), "b")
+
+    @F.pandas_udf("int")
+    def apart(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([differing(a, b) for a, b in zip(x, y, strict=True)], dtype="int32")
+
+    both = F.col("n") + F.col("_n")
+    near = near.filter(apart("x", "y") <= both - 2 * rule.least_overlap(both)).select("a", "b")
+    found = written(near.unionByName(met.filter("whole").select("a", "b")), "found")
+    discard(mixed, met)
+    return found
+
+
+def complete(reps: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
+    """(node, root): ``clusters`` joined until no two similar sets are in different ones."""
+    more = _met_in_lists(reps, clusters, rule)
+    if more.isEmpty():
+        discard(more)
+        return clusters
+    found = components(more.unionByName(clusters.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    discard(more, clusters)
     return found
 
 
@@ -274,9 +392,9 @@ def links_of(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray, simil
     ``side`` is 0 for all sets of one block; two blocks are held against each
     other only, not within.
     """
-    sizes = np.array([len(s) for s in sets], dtype=np.float32)
-    common = intersections(sets)
-    linked = common * (1 + similarity) >= similarity * (sizes[:, None] + sizes[None, :]) - 1e-3
+    sizes = np.array([len(s) for s in sets], dtype=np.float64)
+    common = intersections(sets).astype(np.float64)
+    linked = common * (1 + similarity) >= similarity * (sizes[:, None] + sizes[None, :]) - NEARLY
     np.fill_diagonal(linked, False)
     if side.any():
         linked &= side[:, None] != side[None, :]
@@ -296,13 +414,16 @@ def _classified(docs: DataFrame, doc_id: str, text: str, rule: Rule) -> tuple[Da
         docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("_text"),
         F.xxhash64(docs[text]).alias("_h"), F.xxhash64(docs[text], F.lit(1)).alias("_g"),
     )
-    rows = written(signed(hashed, "_text", rule), "signatures")
+    order = docs.sparkSession.sparkContext.broadcast(common_grams(hashed, "_text", rule))
+    rows = written(signed(hashed, "_text", rule, order), "signatures")
     reps = rows.filter("key is not null").groupBy("key").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("_h", "_g")).alias("text"),
-        F.any_value("labels").alias("labels"), F.any_value("sketch").alias("sketch"),
-    )
+        *[F.any_value(c).alias(c) for c in ("n", "labels", "sketch", "prefix", "mark")])
     reps = written(reps.withColumn("id", F.monotonically_increasing_id()), "sets")
-    clusters = likely(reps, rule)
+    places = written(rows.select("doc_id", "_h", "_g", "key"), "places")
+    discard(rows)
+    order.unpersist()
+    clusters = complete(reps, likely(reps, rule), rule)
 
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     members = clusters.join(sizes, "root").withColumnRenamed("node", "id")
@@ -338,8 +459,7 @@ def _classified(docs: DataFrame, doc_id: str, text: str, rule: Rule) -> tuple[Da
     sets = reps.select("key", "id", "copies").join(classes.withColumnRenamed("node", "id"), "id", "left").join(links, "id", "left")
     sets = sets.select("key", F.coalesce("root", "id").alias("root"), "copies", F.coalesce("links", F.lit(0)).alias("links"))
     sets = written(sets, "classes")
-    places = written(rows.select("doc_id", "_h", "_g", "key"), "places")
-    discard(rows, reps, wanted, verified, clusters, classes)
+    discard(reps, wanted, verified, clusters, classes)
     return places, sets
 
 
@@ -352,7 +472,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rul
 
     Equal sets are one set with a number of copies. Sets that share a matched
     prefix of their MinHash signature in a tree of the forest form clusters
-    (``likely``). All pairs inside a cluster are then verified exactly, in blocks
+    (``likely``); sets that it left apart meet by the prefix filter, which leaves out no similar pair (``complete``). All pairs inside a cluster are then verified exactly, in blocks
     of bounded size: a large cluster is cut into parts, and each two parts meet
     in a task that returns a row per set, never a row per pair. Only texts of
     clustered sets move.
