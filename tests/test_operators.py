@@ -340,6 +340,31 @@ def test_pagerank_of_a_path(spark, spread):
     assert lonely[5] == pytest.approx(0.15 / 5)
 
 
+@pytest.mark.parametrize("hubs", [False, True])
+def test_pagerank_moves_only_flows_between_rounds(spark, hubs):
+    nodes = spark.createDataFrame([(i, 2, 1) for i in range(9)], "id long, degree long, parts int")
+    links = graph.both_ways(spark.createDataFrame([(i, (i + 1) % 9) for i in range(9)], "a long, b long"), "a", "b")
+    laid = graph._laid_out(nodes, links, hubs)
+    assert laid.count() == 27
+    moves = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        states = [nodes.withColumn("rank", F.lit(1 / 9))]
+        for _ in range(3):
+            states.append(graph._handed_on(states[-1], laid, hubs, 0.15 / 9, 0.85))
+        # The plan of the laid-out edges stands in each round's plan, too.
+        own = moves(states[3]) - moves(states[2]) - moves(laid.select("src"))
+        assert sorted(rows(states[3].select("id", F.round("rank", 9)))) == [(i, pytest.approx(1 / 9)) for i in range(9)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        laid.unpersist()
+    assert own == (2 if hubs else 1)
+
+
 def test_transit_network(spark):
     stations, links = transit.stations(spark), transit.links(spark)
     assert (stations.count(), links.count()) == (34, 33)

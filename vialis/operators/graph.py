@@ -29,6 +29,30 @@ def both_ways(edges: DataFrame, src: str, dst: str, weight: str | None = None) -
     return forth.unionByName(back)
 
 
+def _laid_out(nodes: DataFrame, links: DataFrame, hubs: bool) -> DataFrame:
+    """``src, part, dst, stays``: the links of ``nodes`` by their source, or by source and part; every node has a row that stays with it."""
+    session = nodes.sparkSession
+    tasks = int(session.conf.get("spark.sql.shuffle.partitions"))
+    counts = nodes.select(F.col("id").alias("src"), "parts")
+    part = F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int")
+    rows = links.join(counts, "src").select("src", part.alias("part"), "dst", F.lit(False).alias("stays"))
+    rows = rows.unionByName(nodes.select(F.col("id").alias("src"), F.lit(0).alias("part"), F.col("id").alias("dst"), F.lit(True).alias("stays")))
+    keys = ["src", "part"] if hubs else ["src"]
+    return rows.repartition(tasks, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _handed_on(state: DataFrame, laid: DataFrame, hubs: bool, base: float, damping: float) -> DataFrame:
+    """``state`` after one round."""
+    shares = state.select(F.col("id").alias("src"), (F.col("rank") / F.col("degree")).alias("flow"), "degree", "parts")
+    if hubs:
+        shares = shares.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    of_node = lambda c: F.when(F.col("stays"), F.col(c)).alias(c)
+    flows = laid.join(shares, ["src", "part"] if hubs else "src").select(
+        F.col("dst").alias("id"), F.when(F.col("stays"), 0.0).otherwise(F.col("flow")).alias("flow"), of_node("degree"), of_node("parts"))
+    return flows.groupBy("id").agg(
+        F.max("degree").alias("degree"), F.max("parts").alias("parts"), (F.lit(base) + F.sum("flow") * damping).alias("rank"))
+
+
 def pagerank(
     vertices: DataFrame,
     edges: DataFrame,
@@ -44,38 +68,26 @@ def pagerank(
     Ranks start even; what vertices without neighbours hold is not handed on.
     One round is one join and one aggregate: the vertices travel through the
     aggregate with a zero flow, so none is lost and no second join is needed.
-    Edges are laid out before the first round by source and part: a vertex has
+    Edges are laid out before the first round by source: the aggregate leaves the ranks
+    where the edges are, and a round moves flows only. If a vertex has more than ``spread`` edges, they
+    are laid out by source and part: a vertex has
     one part per ``spread`` edges, picked by a hash of the other end, and its
     rank is sent to each of its parts. So the edges of a hub lie on many tasks.
     """
-    session = vertices.sparkSession
     links = settle(both_ways(edges, src, dst))
-    tasks = int(session.conf.get("spark.sql.shuffle.partitions"))
-
     degrees = links.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
     parts = F.ceil(F.col("degree") / spread).cast("int")
     ids = vertices.select(F.col(key).alias("id"))
     nodes = ids.join(degrees, F.col("id") == F.col("src"), "left").select(
         "id", "degree", F.coalesce(parts, F.lit(1)).alias("parts"))
     nodes = settle(nodes)
-    total = nodes.count()
-    counts = nodes.select(F.col("id").alias("src"), "parts")
-    laid = links.join(counts, "src").select("src", "dst", F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int").alias("part"))
-    # Laid out once, so that a round moves only ranks and flows; a lost part is read again from `links`.
-    laid = laid.repartition(tasks, "src", "part").sortWithinPartitions("src", "part").persist(StorageLevel.MEMORY_AND_DISK)
-
-    state = nodes.withColumn("rank", F.lit(1.0 / total))
-    still = nodes.withColumn("flow", F.lit(0.0))
+    total, parts = nodes.agg(F.count(F.lit(1)), F.max("parts")).first()
+    hubs = (parts or 1) > 1
+    # Laid out once; a lost part is read again from `links`.
+    laid = _laid_out(nodes, links, hubs)
+    state = nodes.withColumn("rank", F.lit(1.0 / total if total else 0.0))
     for number in range(1, rounds + 1):
-        shares = state.select(
-            F.col("id").alias("src"), (F.col("rank") / F.col("degree")).alias("flow"),
-            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        flows = laid.join(shares, ["src", "part"]).select(F.col("dst").alias("id"), "flow")
-        state = still.unionByName(flows, allowMissingColumns=True).groupBy("id").agg(
-            F.max("degree").alias("degree"),
-            F.max("parts").alias("parts"),
-            (F.lit((1 - damping) / total) + F.sum("flow") * damping).alias("rank"),
-        )
+        state = _handed_on(state, laid, hubs, (1 - damping) / max(total, 1), damping)
         if number % CUT_EVERY == 0 or number == rounds:
             state = settle(state)
     laid.unpersist()
