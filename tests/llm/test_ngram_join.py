@@ -167,3 +167,26 @@ def test_prefixes_and_marks_lose_no_similar_sets():
             first = [set(join.prefix_of(x, common[places], places, rule.prefix(len(x))).tolist()) for x in (a, b)]
             assert first[0] & first[1]
         assert join.differing(join.mark_of(a), join.mark_of(b)) <= len(np.setxor1d(a, b))
+
+
+def test_a_group_of_near_copies_is_brought_together_by_a_few_edges_a_set(spark, monkeypatch):
+    """Sets that meet in many nodes: clusters are joined by a row for each set, not by one for each set, node and centre."""
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    base = r.choices(words, k=200)
+    rows = []
+    for i in range(500):
+        copy = list(base)
+        for at in r.sample(range(200), r.choice([2, 8, 9])):
+            copy[at] = r.choice(words)
+        rows.append((i, " ".join(copy)))
+    seen, real = [], join.components
+
+    def counted(edges):
+        seen.append(edges.count())
+        return real(edges)
+
+    monkeypatch.setattr(join, "components", counted)
+    got = sorted((tuple(x) for x in join.near_copies(frame(spark, rows)).collect()), key=str)
+    assert got == brute(rows)
+    assert max(seen) <= 3 * len(rows), seen

@@ -253,29 +253,37 @@ def _grown(heads: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _merged(nodes: DataFrame, reps: DataFrame, rule: Rule, least: float) -> DataFrame:
-    """(a, b): pairs of sets in one node whose sketches agree, found by holding each node's clusters against its first ones.
+    """(a, b): cluster a goes to cluster b, as sets in one node whose sketches agree ask for; a row per cluster and round.
 
-    ``nodes`` is (node, id, root), a set for each cluster. Clusters that agree with one of the node's first ``crowd`` join it
-    and leave the node with it; what is left is held against the first of the rest, and so on.
+    ``nodes`` is (node, id, root), a set for each cluster. In the first round each set is held against one other only, the
+    least of the first ones of its nodes, so a large group becomes few clusters by a pair for each set.
+    From then on each node's clusters are held against its first ``crowd``; those that agree join them
+    and leave the node with them; what is left is held against the first of the rest, and so on.
     """
-    found = []
+    found, nearest = [], True
     while True:
         first = W.partitionBy("node").orderBy("id")
         centres = written(nodes.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= rule.crowd).drop("_n"), "centres")
         other = centres.select("node", F.col("id").alias("a"), F.col("root").alias("_r"))
         met = nodes.join(other, "node").filter((F.col("a") < F.col("id")) & (F.col("root") != F.col("_r")))
-        agreed = written(_alike(met.select("a", F.col("id").alias("b")).distinct(), reps, rule, least), "agreed")
-        found.append(agreed)
+        pairs = met.groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")).select("a", "b") if nearest else met.select(
+            "a", F.col("id").alias("b")).distinct()
+        agreed = written(_alike(pairs, reps, rule, least), "agreed")
         roots = nodes.select("id", "root").distinct()
         joined = agreed.join(roots.withColumnsRenamed({"id": "a", "root": "ra"}), "a").join(
             roots.withColumnsRenamed({"id": "b", "root": "rb"}), "b")
-        joined = components(joined.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(
-            F.col("node").alias("root"), F.col("root").alias("_to"))
+        stars = components(joined.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        found.append(stars.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        joined = stars.select(F.col("node").alias("root"), F.col("root").alias("_to"))
         renamed = lambda df: df.join(joined, "root", "left").withColumn("root", F.coalesce("_to", "root")).drop("_to")  # noqa: E731, B023
-        rest = renamed(nodes).join(renamed(centres).select("node", "root").distinct(), ["node", "root"], "left_anti")
+        rest = renamed(nodes)
+        if not nearest:
+            rest = rest.join(renamed(centres).select("node", "root").distinct(), ["node", "root"], "left_anti")
         rest = rest.groupBy("node", "root").agg(F.min("id").alias("id"))
         several = rest.groupBy("node").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select("node")
         nodes = written(rest.join(several, "node").select("node", "id", "root"), "nodes")
+        discard(centres, agreed)
+        nearest = False
         if nodes.isEmpty():
             return reduce(DataFrame.unionByName, found)
 
@@ -305,7 +313,8 @@ def likely(reps: DataFrame, rule: Rule) -> DataFrame:
     small = heads.filter(F.col("size") <= rule.crowd).select(F.col("label").alias("node"), "id", "root")
     grown = _grown(heads.filter(F.col("size") > rule.crowd).select("tree", "label", "id", "root"), reps, rule)
     more = _merged(written(small.unionByName(grown), "nodes"), reps, rule, bound - rule.doubt)
-    found = components(edges.unionByName(more)) if more.limit(1).count() else clusters
+    stars = clusters.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    found = components(stars.unionByName(more)) if more.limit(1).count() else clusters
     discard(met, heads, edges, *([clusters] if found is not clusters else []))
     return found
 
