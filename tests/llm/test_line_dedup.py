@@ -67,3 +67,20 @@ def test_prefixes_hold_the_rarest_words_of_a_large_vocabulary(spark):
         by_hash = {(h >> 16) & ((1 << 48) - 1): counts[h & (line_dedup.BUCKETS - 1)] for h in r["h"]}
         order = [by_hash[c & ((1 << 48) - 1)] for c in r["codes"]]
         assert order == sorted(order)
+
+
+def test_wanted_lines_are_read_by_document(spark):
+    """A line that is not wanted does not move, whatever else is wanted; a document that stands twice gives its lines once."""
+    docs = spark.createDataFrame([(i, i * 10, f"A {i}\nB\tB {i}\n") for i in [*range(300), 7]], "_d long, h long, _text string")
+    wanted = docs.distinct().selectExpr("_d", "h", "1 AS line", "_d + 1000 AS id").filter("_d % 3 = 1")
+    found = line_dedup._wanted_lines(docs, wanted)
+    assert sorted(map(tuple, found.collect())) == [(i + 1000, f"b b {i}") for i in range(300) if i % 3 == 1]
+
+
+def test_tokens_are_made_once_a_line(spark):
+    """A filter on the tokens would be pushed below them and make all of them twice."""
+    docs = frame(spark, [(1, "one two\n \t\nthree"), (2, None)])
+    rows = line_dedup._worded(docs, "doc_id", "text", line_dedup.rarity(docs, "text"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array") == 1
+    assert sorted((r["doc_id"], r["line"], len(r["tokens"])) for r in rows.collect()) == [(1, 0, 2), (1, 2, 1)]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vialis.llm.common import discard, wanted_rows, written
+from vialis.llm.common import discard, written
 
 BUCKETS = 65_536
 PARTS = 8
@@ -49,9 +49,9 @@ def words(line: Column) -> Column:
 
 
 def rarity(docs: DataFrame, text: str) -> Column:
-    """Rank of each of 65,536 hash buckets by the number of words that fall into it over all texts.
+    """Rank of each of 65,536 hash buckets by the number of words that fall into it over all texts, as the upper 16 bits of a long.
 
-    The ranks are counted by Spark; the driver gets one number per bucket,
+    Ranks are counted from the middle: longs have a sign. They are counted by Spark; the driver gets one number per bucket,
     whatever the size of the vocabulary.
     """
     found = docs.select(F.explode(words(F.replace(normal(docs[text]), F.lit("\n"), F.lit(" ")))).alias("w")).filter("w <> ''")
@@ -61,7 +61,7 @@ def rarity(docs: DataFrame, text: str) -> Column:
     ranks = [0] * BUCKETS
     for rank, b in enumerate(order):
         ranks[b] = rank
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(str((rank - BUCKETS // 2) << 48) for rank in ranks)), ",").cast("array<bigint>")
 
 
 def hashes(line: Column) -> Column:
@@ -73,11 +73,11 @@ def by_rarity(found: Column, ranks: Column) -> Column:
     """Word hashes as longs that sort rarest first.
 
     The rank of a word's bucket takes the place of the bucket's 16 bits, so the
-    long orders by rarity and still names the hash. Ranks are counted from the middle: longs have a sign.
+    long orders by rarity and still names the hash.
     """
     def code(h: Column) -> Column:
-        rank = F.element_at(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1) - F.lit(BUCKETS // 2)
-        return F.shiftleft(rank.cast("bigint"), 48).bitwiseOR(F.shiftrightunsigned(h, 16))
+        rank = F.get(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+        return rank.bitwiseOR(F.shiftrightunsigned(h, 16))
 
     return F.sort_array(F.transform(found, code))
 
@@ -93,19 +93,28 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("h"), F.col("line"))
 
 
+def _worded(docs: DataFrame, doc_id: str, text: str, ranks: Column) -> DataFrame:
+    """(doc_id, h, line, tokens) of every line that has words, its tokens rarest first.
+
+    Lines without words go by their text: a filter on the tokens would have them made twice.
+    """
+    worded = _lines(docs, doc_id, text).filter(F.trim("words") != "")
+    return worded.select("doc_id", "h", "line", by_rarity(hashes(F.col("words")), ranks).alias("tokens"))
+
+
 def _marked(docs: DataFrame, doc_id: str, text: str, ranks: Column, rule: Rule) -> DataFrame:
     """Every line that has words: its place, the names k1 and k2 of its set, the set's size and prefix.
 
     The prefix keeps the upper half of each long, rank and 16 bits of the hash:
     enough to find candidates, which are verified by all of their words.
     """
-    rows = _lines(docs, doc_id, text).select("doc_id", "h", "line", by_rarity(hashes(F.col("words")), ranks).alias("tokens"))
+    rows = _worded(docs, doc_id, text, ranks)
     n = F.size("tokens")
     prefix = F.transform(F.slice("tokens", 1, rule.prefix(n)), lambda t: F.shiftright(t, 32).cast("int"))
     # Each word turns one of 64 bits over: sets that differ in d words differ in d bits at most.
     bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("bigint"), t.bitwiseAND(F.lit(63)).cast("int"))
     bits = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda a, t: a.bitwiseXOR(bit(t)))
-    return written(rows.filter(n > 0).select(
+    return written(rows.select(
         "doc_id", "h", "line", F.xxhash64("tokens").alias("k1"), F.xxhash64(F.lit(1), "tokens").alias("k2"), n.alias("n"),
         prefix.alias("prefix"), bits.alias("bits")), "lines")
 
@@ -165,14 +174,23 @@ def _named(marks: DataFrame, side: str, prefix: str) -> DataFrame:
     return marks.select(F.col("id").alias(side), *[F.col(c).alias(prefix + c) for c in marks.columns if c != "id"])
 
 
-def _verified(pairs: DataFrame, firsts: DataFrame, lines: DataFrame, rule: Rule) -> DataFrame:
+def _wanted_lines(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, words) of the lines (id, _d, h, line) that are ``wanted``, once each.
+
+    Documents meet the list of their wanted lines, so a text moves once at most, however many lines of the collection are wanted.
+    """
+    lists = wanted.groupBy("_d", "h").agg(F.collect_list(F.struct("line", "id")).alias("_picks"))
+    met = texts.join(lists, ["_d", "h"]).dropDuplicates(["_d", "h"]).withColumn("_lines", F.split("_text", "\n"))
+    picked = met.select("_lines", F.explode("_picks").alias("_pick"))
+    return picked.select("_pick.id", normal(F.get("_lines", F.col("_pick.line"))).alias("words"))
+
+
+def _verified(pairs: DataFrame, firsts: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """The later sets (later) of the pairs whose Jaccard similarity is enough; only their lines are split into words again."""
     pairs = written(pairs, "pairs")
     named = pairs.select(F.col("earlier").alias("id")).unionByName(pairs.select(F.col("later").alias("id"))).distinct()
     wanted = written(firsts.join(named, "id").select("id", F.coalesce("doc_id", F.lit(0)).alias("_d"), "h", "line"), "wanted")
-    here = lines.select(F.coalesce("doc_id", F.lit(0)).alias("_d"), "h", "line", "words")
-    found = wanted_rows(here, wanted, ["_d", "h", "line"]).groupBy("id").agg(F.first("words").alias("words"))
-    full = written(found.select("id", hashes(F.col("words")).alias("tokens")).select(
+    full = written(_wanted_lines(texts, wanted).select("id", hashes(F.col("words")).alias("tokens")).select(
         "id", "tokens", F.size("tokens").alias("n"), *[_bits(part).alias(f"s{part}") for part in range(PARTS)]), "tokens")
     # Longer marks first: only pairs that they cannot tell apart move with all their words.
     marks = full.drop("tokens")
@@ -209,10 +227,11 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     empty table gives no rows. Other columns are not used.
     """
     marked = _marked(docs, doc_id, text, rarity(docs, text), rule)
-    lines = _lines(docs, doc_id, text)
+    texts = docs.select(F.coalesce(docs[doc_id].cast("bigint"), F.lit(0)).alias("_d"), F.xxhash64(docs[text]).alias("h"),
+                        docs[text].alias("_text"))
     firsts = _first(marked)
-    near = _verified(_neighbours(firsts, rule), firsts, lines, rule)
-    rest = _verified(_others(firsts, near, rule), firsts, lines, rule)
+    near = _verified(_neighbours(firsts, rule), firsts, texts, rule)
+    rest = _verified(_others(firsts, near, rule), firsts, texts, rule)
     gone = near.unionByName(rest).withColumn("gone", F.lit(True))
     judged = firsts.join(gone, firsts["id"] == gone["later"], "left").select(
         "k1", "k2", _place().alias("first"), F.coalesce("gone", F.lit(False)).alias("gone"))
