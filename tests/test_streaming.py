@@ -148,3 +148,15 @@ def test_a_batch_adds_one_file_to_a_day(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.enabled", before)
     assert len(list(sink.glob("_day=*/part-*"))) == 30
     assert sorted(r["k"] for r in sinks.read_once_sink(spark, str(sink)).collect()) == list(range(600))
+
+
+@pytest.mark.parametrize("value", [10.0, 90.0])
+def test_a_sink_without_alerts_is_read_as_no_rows(spark, tmp_path, value):
+    """Where no window passes the limit the sink gets no file that would tell its columns."""
+    from vialis.questions import live as asked
+
+    spark.createDataFrame([(i, at(20 * i), i, "view", value) for i in range(4)], "event_id long, ts timestamp, user_id long, event_type string, value double").write.parquet(
+        str(tmp_path / "events.parquet"))
+    found = asked.stream_sink_once(spark, str(tmp_path))
+    assert found.columns == asked.stream_tumbling_alert(spark, str(tmp_path)).columns
+    assert [r["ventana_inicio"] for r in found.orderBy("ventana_inicio").collect()] == ([] if value < 75 else [at(0), at(20), at(40)])

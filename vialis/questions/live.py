@@ -210,9 +210,9 @@ def stream_sink_once(spark, sf_dir):
     path = scratch_folder(spark, "unico")
     keys = ["event_type", "ventana_inicio"]
     for state in ("a", "a", "b"):
-        found = alerts.air_alerts(stream(spark, sf_dir), "event_type", "ts", "value")
-        sinks.run_for(sinks.write_once(alerts.emitted(found), path, keys, "ventana_inicio", f"{path}-estado-{state}", every=None))
-    return windows_shown(sinks.read_once_sink(spark, path).drop("emitido_en"))
+        found = alerts.emitted(alerts.air_alerts(stream(spark, sf_dir), "event_type", "ts", "value"))
+        sinks.run_for(sinks.write_once(found, path, keys, "ventana_inicio", f"{path}-estado-{state}", every=None))
+    return windows_shown(sinks.read_once_sink(spark, path, found.schema).drop("emitido_en"))
 
 
 QUERIES = {q.__name__: q for q in (
