@@ -89,6 +89,24 @@ def test_common_grams_of_all_pairs():
     assert (got == np.array(want)).all()
 
 
+def test_n_grams_of_all_texts_are_counted(spark, monkeypatch):
+    """No text is left out of the count, however it is hashed; equal texts count once, and so do the chunks of a task."""
+    monkeypatch.setattr(join, "TOKENS_HELD", 500)
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    many, few = r.choices(words, k=12), r.choices(words, k=12)
+    texts = [" ".join(r.choices(words, k=20) + many) for _ in range(join.MANY)]
+    texts += [" ".join(few + r.choices(words, k=20)) for _ in range(join.MANY - 1)]
+    texts += [texts[-1]] * 40 + [None, "", "one"] + ["one two"] * 40
+    want = {}
+    for t in set(texts):
+        for token in join.tokens_of(join.grams(t, 5)).tolist():
+            want[token] = want.get(token, 0) + 1
+    want = sorted((n, token) for token, n in want.items() if n >= join.MANY)
+    got = join.common_grams(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), "text", join.Rule())
+    assert got.tolist() == [token for _, token in want] and len(want) == 8
+
+
 def test_empty(spark):
     assert join.near_copies(frame(spark, [])).count() == 0
     assert join.near_copies(frame(spark, [(1, None)])).collect()[0]["n_links"] == 0

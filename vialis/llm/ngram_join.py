@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -19,14 +21,17 @@ from vialis.llm.components import components
 
 MIX = np.uint64(0xD6E8FEB86659FD93)
 STEP = np.uint64(0x9E3779B97F4A7C15)
-WORDS_KEPT = 200_000
 CELLS = 1 << 18
 # Exactness of sums that are held against the threshold.
 NEARLY = 1e-6
 MARK_BITS = 256
-# Texts whose n-grams are counted for the order of the n-grams: one of so many; common n-grams stand in one of so many of these at least.
-COUNTED = 16
+# Common n-grams stand in so many texts, and in one of so many of all texts, at least.
+MANY = 32
 RARE = 20_000
+# Tokens are the upper bits of n-grams. A task adds up so many at a time; a part of them is that of so many characters of text.
+TOKEN_BITS = 40
+TOKENS_HELD = 1 << 21
+PART_CHARS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -73,26 +78,12 @@ class Rule:
         return F.ceil(both * (self.similarity / (1 + self.similarity)) - NEARLY)
 
 
-class _Words(dict):
-    """64-bit hashes of words; forgets all when it holds too many."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        code = xxhash.xxh64_intdigest(word.encode("utf-8", "replace")) - (1 << 63)
-        self[word] = code
-        return code
-
-
-_WORDS = _Words()
-
-
 def grams(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct hashes of the n-grams of lower-case words; of all words where there are fewer; none without words."""
     words = text.lower().split() if text else []
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    codes = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.int64, count=len(words)).view(np.uint64)
+    codes = pd.util.hash_array(np.array(words, dtype=object), categorize=False)
     size = min(n, len(words))
     count = len(words) - size + 1
     with np.errstate(over="ignore"):
@@ -101,7 +92,13 @@ def grams(text: str | None, n: int) -> np.ndarray:
             out = (out ^ codes[i:i + count]) * STEP
             out ^= out >> np.uint64(32)
         out *= MIX
-    return np.unique(out ^ (out >> np.uint64(31)))
+    out ^= out >> np.uint64(31)
+    out.sort()
+    return out[np.r_[True, out[1:] != out[:-1]]]
+
+
+def tokens_of(found: np.ndarray) -> np.ndarray:
+    return found >> np.uint64(64 - TOKEN_BITS)
 
 
 class Signer:
@@ -134,20 +131,66 @@ class Signer:
         return out.view(np.int64)
 
 
+def _parts_of(held: list[np.ndarray], bits: int) -> pa.RecordBatch:
+    """Tokens of some texts by their upper ``bits``: the lower ones of those seen once, of those seen more often, and how often."""
+    tokens, times = np.unique(np.concatenate(held), return_counts=True)
+    low = (tokens & np.uint64((1 << TOKEN_BITS - bits) - 1)).astype(np.uint32)
+    upper = tokens >> np.uint64(TOKEN_BITS - bits)
+    starts = np.flatnonzero(np.r_[True, upper[1:] != upper[:-1]]) if len(tokens) else np.zeros(0, dtype=np.int64)
+    out: dict[str, list] = {"part": upper[starts].astype(np.int32), "once": [], "more": [], "times": []}
+    for i, j in zip(starts, [*starts[1:], len(tokens)], strict=False):
+        single = times[i:j] == 1
+        out["once"].append(low[i:j][single].tobytes())
+        out["more"].append(low[i:j][~single].tobytes())
+        out["times"].append(times[i:j][~single].astype(np.uint32).tobytes())
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(v, type=k) for v, k in zip(out.values(), kinds, strict=True)], names=[*out])
+
+
 def common_grams(docs: DataFrame, text: str, rule: Rule) -> np.ndarray:
-    """N-grams that many texts have, the rarest first.
+    """Tokens of the n-grams that many texts have, the rarest first.
 
-    They only set the order in which prefixes are taken, and every order gives all pairs; so texts
-    of some hashes are enough to count them. The list has a bound: each text has few n-grams of one in ``RARE`` texts.
+    They only set the order in which prefixes are taken, and every order gives all pairs. All
+    texts are counted, equal ones once; a task adds up what it has read and hands its tokens on packed, by their upper bits.
+    The list has a bound: each text has few n-grams of one in ``RARE`` texts.
     """
     h = F.xxhash64(text)
-    some = docs.filter(F.pmod(h, F.lit(COUNTED)) == 0).groupBy(h.alias("_h")).agg(F.any_value(text).alias("_text"))
-    of_text = lambda texts: {"grams": [grams(t, rule.n).view(np.int64) for t in texts]}
-    some = written(with_columns_from_text(some, "_text", "grams array<bigint>", of_text), "counted")
-    often = max(3, some.count() // RARE)
-    counts = some.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= often)
-    found = counts.orderBy("n", "gram").select("gram").toArrow()["gram"].to_numpy().astype(np.int64).view(np.uint64)
-    discard(some)
+    times = written(docs.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("n"), F.max(F.length(text)).alias("size")), "texts")
+    texts, size = times.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    often = max(MANY, texts // RARE)
+    bits = min(max((size // PART_CHARS).bit_length(), TOKEN_BITS - 32), TOKEN_BITS // 2)
+    rows, twice = docs.select(h.alias("_h"), F.col(text).alias("_text")), times.filter("n > 1").select("_h")
+    alone = other_rows(rows, twice, ["_h"]).select("_text")
+    first = wanted_rows(rows, twice, ["_h"]).groupBy("_h").agg(F.any_value("_text").alias("_text")).select("_text")
+    python_ready(docs.sparkSession)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                held.append(tokens_of(grams(t, rule.n)))
+                n += len(held[-1])
+                if n >= TOKENS_HELD:
+                    yield _parts_of(held, bits)
+                    held, n = [], 0
+        if held:
+            yield _parts_of(held, bits)
+
+    def summed(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
+        once, more, of_more = (np.frombuffer(b"".join(batch[c]), dtype=np.uint32) for c in ("once", "more", "times"))
+        both = np.concatenate([once, more]).astype(np.uint64) << np.uint64(32)
+        both |= np.concatenate([np.ones(len(once), dtype=np.uint32), of_more]).astype(np.uint64)
+        both.sort()
+        low, n = both >> np.uint64(32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        starts = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
+        n = np.add.reduceat(n, starts)
+        token = low[starts] + (np.uint64(key[0]) << np.uint64(TOKEN_BITS - bits))
+        return pd.DataFrame({"token": token[n >= often].astype(np.int64), "n": n[n >= often]})
+
+    parts = alone.unionByName(first).mapInArrow(counted, "part int, once binary, more binary, times binary")
+    counts = parts.groupBy("part").applyInPandas(summed, "token long, n long")
+    found = counts.orderBy("n", "token").select("token").toArrow()["token"].to_numpy().astype(np.int64).view(np.uint64)
+    discard(times)
     return found
 
 
@@ -185,8 +228,8 @@ def differing(x: bytes, y: bytes) -> int:
 def signed(docs: DataFrame, text: str, rule: Rule, order: Broadcast) -> DataFrame:
     """``docs`` without their text, with the key of the gram set (null without words), its size, labels, sketch, prefix and mark.
 
-    The sketch is the low byte of each MinHash value. Tokens of the prefix are the upper 40 bits of
-    n-grams. ``order`` holds the common n-grams.
+    The sketch is the low byte of each MinHash value. The prefix is of tokens.
+    ``order`` holds the common ones.
     """
     made: list = []
 
@@ -201,9 +244,9 @@ def signed(docs: DataFrame, text: str, rule: Rule, order: Broadcast) -> DataFram
             row = [None] * len(out)
             if len(found):
                 least = signer.values(found)
-                first = prefix_of(found, common, places, rule.prefix(len(found)))
+                first = prefix_of(tokens_of(found), common, places, rule.prefix(len(found)))
                 row = [xxhash.xxh3_128_digest(found.tobytes()), len(found), signer.labels(least),
-                       (least & np.uint32(255)).astype(np.uint8).tobytes(), (first >> np.uint64(24)).astype(np.int64), mark_of(found)]
+                       (least & np.uint32(255)).astype(np.uint8).tobytes(), first.astype(np.int64), mark_of(found)]
             for column, value in zip(out.values(), row, strict=True):
                 column.append(value)
         return out
